@@ -1,7 +1,321 @@
-"""File-based registered queries (CSV ingest, partitioned sinks, landing zone).
+"""File-based registered queries (CSV ingest, partitioned sinks, landing zone,
+streaming, the full run).
 
-Each writes its inputs/outputs under the shared scratch folder
-(``spark.checkpoint.dir``) and returns the read-back DataFrame.
+Each query lands its inputs (derived from the benchmark tables through the
+clinical fixture) in a fresh folder under the shared scratch area
+(``spark.checkpoint.dir``), runs the operator and returns the read-back
+DataFrame, so the check covers the real file round trip.
 """
 
 from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from aurum import config
+from aurum.functions import expressions as X
+from aurum.plans import layers
+from aurum.plans.lineage import lineage_trace
+from aurum.plans.queries import RUN_DATE, RUN_TS, query
+from aurum.plans.run import run_medallion
+from aurum.session import scratch_path
+from aurum.sinks import writers
+from aurum.sources import csv, landing
+from aurum.sources.fixtures import load_fixtures, metadata_csv_lines, read_table
+from aurum.streaming.incremental import incremental_ingest
+from aurum.operators import headers
+from aurum.operators.join import ledger_lookup
+
+# The fixture extract carries its encounter id (the dedup tiebreaker), typed.
+FIXTURE_METADATA_SCHEMA = StructType(list(config.METADATA_RAW_SCHEMA.fields)
+                                     + [StructField("encounter_id", LongType(), True)])
+RAW_META_COLS = [f.name for f in config.METADATA_RAW_SCHEMA.fields]
+
+# Whitespace must survive the CSV round trip (padded values are part of the data).
+_KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> str:
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").options(header=header, **_KEEP_SPACES).csv(path)
+    return path
+
+
+def land_fixture(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    """Land the fixture as CSV: one extract per site plus the manifest, with
+    immutable upload names. Returns the folders."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, name)
+    choc = meta.where(F.col("site_location") == "CHOC")
+    rest = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC")))
+    stamp = _dt.datetime(2026, 6, 23, 13, 18, 4)
+    # An upload is one file (a single-part folder named with the upload name).
+    write_csv(choc, f"{root}/raw/metadata/{landing.upload_name('choc_extract.csv', stamp)}", single_file=True)
+    write_csv(rest, f"{root}/raw/metadata/{landing.upload_name('rady_extract.csv', stamp)}", single_file=True)
+    write_csv(man, f"{root}/raw/dicom/{landing.upload_name('dicom_manifest.csv', stamp)}", single_file=True)
+    return {"root": root, "metadata": f"{root}/raw/metadata", "dicom": f"{root}/raw/dicom"}
+
+
+def _source_is_csv() -> F.Column:
+    return F.col("source_file").endswith(".csv").alias("source_is_csv")
+
+
+# ---------------------------------------------------------------- Bronze ingest
+
+@query("bronze_csv_scan")
+def q_bronze_csv_scan(spark, sf_dir):
+    meta, _ = load_fixtures(spark, sf_dir)
+    path = write_csv(meta, scratch_path(spark, "csv-scan"))
+    raw = csv.read_csv(spark, path, FIXTURE_METADATA_SCHEMA)
+    return raw.drop(config.CORRUPT_COLUMN)
+
+
+def _corrupt_lines(spark, sf_dir) -> str:
+    meta, _ = load_fixtures(spark, sf_dir)
+    e = F.col("encounter_id")
+    lines = metadata_csv_lines(meta, corrupt_short=(e % 101 == 0), corrupt_long=(e % 103 == 0))
+    path = scratch_path(spark, "corrupt")
+    lines.select("value").write.mode("overwrite").text(path)
+    return path
+
+
+@query("corrupt_audit")
+def q_corrupt_audit(spark, sf_dir):
+    """Rows with too few/many fields, captured with their raw text."""
+    path = _corrupt_lines(spark, sf_dir)
+    bronze = csv.ingest_bronze(spark, path, config.METADATA_RAW_SCHEMA, RUN_TS, RUN_DATE, header=False)
+    return csv.quarantine_rows(bronze).select(*RAW_META_COLS, config.CORRUPT_COLUMN)
+
+
+@query("ingest_row_count")
+def q_ingest_row_count(spark, sf_dir):
+    """Rows and corrupt rows ingested per run date (read back from Bronze)."""
+    path = _corrupt_lines(spark, sf_dir)
+    bronze = csv.ingest_bronze(spark, path, config.METADATA_RAW_SCHEMA, RUN_TS, RUN_DATE, header=False)
+    out = scratch_path(spark, "bronze-count")
+    writers.write_bronze(bronze, out)
+    return writers.read_bronze(spark, out).groupBy("pipeline_run_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(config.CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
+
+
+def _bronze_written(spark, sf_dir, dataset: str) -> DataFrame:
+    meta, man = load_fixtures(spark, sf_dir)
+    src, schema = (meta, FIXTURE_METADATA_SCHEMA) if dataset == "metadata" else (man, config.MANIFEST_RAW_SCHEMA)
+    path = write_csv(src, scratch_path(spark, f"landing-{dataset}"))
+    bronze = csv.ingest_bronze(spark, path, schema, RUN_TS, RUN_DATE)
+    out = scratch_path(spark, f"bronze-{dataset}")
+    writers.write_bronze(bronze, out)
+    return writers.read_bronze(spark, out)
+
+
+@query("bronze_metadata")
+def q_bronze_metadata(spark, sf_dir):
+    b = _bronze_written(spark, sf_dir, "metadata")
+    return b.select(*RAW_META_COLS, "encounter_id", "ingested_at", "pipeline_run_date",
+                    _source_is_csv(), config.CORRUPT_COLUMN)
+
+
+@query("bronze_manifest")
+def q_bronze_manifest(spark, sf_dir):
+    b = _bronze_written(spark, sf_dir, "dicom")
+    return b.select(*[f.name for f in config.MANIFEST_RAW_SCHEMA.fields], "ingested_at", "pipeline_run_date",
+                    _source_is_csv(), config.CORRUPT_COLUMN)
+
+
+@query("header_harmonize")
+def q_header_harmonize(spark, sf_dir):
+    """Two sites, two header dialects and column orders -> canonical columns."""
+    meta, _ = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, "headers")
+    choc = meta.where(F.col("site_location") == "CHOC").select(
+        F.col("lesion_status_code"), F.col("scan_date"), F.col("ssn").alias("cerner_id"), "age", "site_location")
+    rady = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC"))).select(
+        "site_location", F.col("ssn").alias("epic_id"), F.col("age").alias("age_in_years"),
+        F.col("scan_date").alias("mri_date"), F.col("lesion_status_code").alias("lesion_status"))
+    write_csv(choc, f"{root}/choc")
+    write_csv(rady, f"{root}/rady")
+    frames = [csv.read_csv(spark, f"{root}/{s}") for s in ("choc", "rady")]
+    return headers.harmonize_headers(frames)
+
+
+# ---------------------------------------------------------------- sinks
+
+@query("bronze_roundtrip")
+def q_bronze_roundtrip(spark, sf_dir):
+    meta, _ = load_fixtures(spark, sf_dir)
+    from aurum.operators.clean import add_lineage
+    bronze = add_lineage(meta, RUN_TS, RUN_DATE, source_file="landing/metadata/fx_metadata.csv")
+    path = scratch_path(spark, "bronze-table")
+    writers.write_table(bronze, path, table="aurum_bronze_metadata")
+    return spark.table("aurum_bronze_metadata")
+
+
+@query("bronze_partition_overwrite")
+def q_bronze_partition_overwrite(spark, sf_dir):
+    """Two run dates; the second is written twice (a rerun) and must hold the
+    rerun's rows only, while the first date is untouched."""
+    meta, _ = load_fixtures(spark, sf_dir)
+    path = scratch_path(spark, "bronze-dates")
+    writers.write_bronze(meta.withColumn("pipeline_run_date", F.lit("2026-06-22")), path)
+    partial = meta.where(F.col("encounter_id") % 2 == 0)
+    writers.write_bronze(partial.withColumn("pipeline_run_date", F.lit("2026-06-23")), path)
+    writers.write_bronze(meta.withColumn("pipeline_run_date", F.lit("2026-06-23")), path)
+    return writers.read_bronze(spark, path)
+
+
+def _silver_site_export(spark, sf_dir) -> str:
+    meta, man = load_fixtures(spark, sf_dir)
+    path = scratch_path(spark, "silver-sites")
+    writers.export_by_site(layers.silver_joined(meta, man), path)
+    return path
+
+
+@query("silver_partition_export")
+def q_silver_partition_export(spark, sf_dir):
+    path = _silver_site_export(spark, sf_dir)
+    return spark.read.option("basePath", path).parquet(path)
+
+
+@query("site_pruned_read")
+def q_site_pruned_read(spark, sf_dir):
+    return writers.read_site(spark, _silver_site_export(spark, sf_dir), "CHOC")
+
+
+@query("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    meta, man = load_fixtures(spark, sf_dir)
+    path = scratch_path(spark, "silver-table")
+    writers.write_table(layers.silver_joined(meta, man), path)
+    return spark.read.parquet(path)
+
+
+@query("gold_ml_export")
+def q_gold_ml_export(spark, sf_dir):
+    meta, man = load_fixtures(spark, sf_dir)
+    path = scratch_path(spark, "gold-ml")
+    writers.export_gold_ml(layers.gold_dataset(layers.silver_joined(meta, man)), path)
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- landing zone
+
+@query("landing_scan")
+def q_landing_scan(spark, sf_dir):
+    """Every metadata extract under the landing prefix, however nested."""
+    dirs = land_fixture(spark, sf_dir, "landing-scan")
+    spark.createDataFrame([("not an extract",)], "value string").write.text(f"{dirs['metadata']}/notes")
+    raw = csv.read_csv(spark, dirs["metadata"], FIXTURE_METADATA_SCHEMA, recursive=True, glob="*.csv")
+    return raw.drop(config.CORRUPT_COLUMN)
+
+
+@query("newest_snapshot")
+def q_newest_snapshot(spark, sf_dir):
+    """Three snapshots land in turn, then an unrelated newer file; only the
+    newest matching snapshot is read."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, "snapshots")
+    write_csv(meta.where(F.col("encounter_id") % 2 == 0), f"{root}/metadata_a", single_file=True)
+    write_csv(meta.where(F.col("encounter_id") % 2 == 1), f"{root}/metadata_b", single_file=True)
+    write_csv(meta, f"{root}/metadata_c", single_file=True)
+    write_csv(man, f"{root}/zz_other", single_file=True)
+    newest = landing.newest_snapshot(spark, root, config.METADATA_NAME_TOKENS)
+    return csv.read_csv(spark, newest, FIXTURE_METADATA_SCHEMA).drop(config.CORRUPT_COLUMN)
+
+
+@query("landing_name_parts")
+def q_landing_name_parts(spark, sf_dir):
+    """Upload stamps parsed from landed names (names derived from orders;
+    every seventh carries no stamp)."""
+    orders = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    name = F.when(k % 7 == 0, F.concat(F.lit("extract_"), k.cast("string"), F.lit(".csv"))).otherwise(
+        F.concat(F.lit("extract_"), k.cast("string"), F.lit("_"),
+                 F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'Z'"), F.lit(".csv")))
+    names = orders.select(k.alias("o_orderkey"), name.alias("file_name"))
+    return names.select("o_orderkey", "file_name", X.upload_base_name("file_name").alias("base_name"),
+                        X.upload_time("file_name").alias("uploaded_at"))
+
+
+def _ledger(spark, dirs) -> DataFrame:
+    listing = landing.list_files(spark, f"{dirs['root']}/raw", "*.csv")
+    kind = F.when(F.col("path").contains("/raw/dicom/"), F.lit("DICOM Imaging Manifest")) \
+        .otherwise(F.lit("Clinical Metadata Extract"))
+    site = F.when(F.col("file_name").startswith("choc_extract"), F.lit("CHOC")).otherwise(F.lit("Rady"))
+    submissions = listing.select("file_name", F.lit("Site coordinator").alias("submitter"),
+                                 site.alias("affiliation"), kind.alias("dataset_type"))
+    return landing.landing_ledger(spark, f"{dirs['root']}/raw", submissions)
+
+
+@query("landing_ledger")
+def q_landing_ledger(spark, sf_dir):
+    dirs = land_fixture(spark, sf_dir, "ledger")
+    return _ledger(spark, dirs).drop("source_file")
+
+
+@query("landing_catalog")
+def q_landing_catalog(spark, sf_dir):
+    dirs = land_fixture(spark, sf_dir, "catalog")
+    ledger = _ledger(spark, dirs)
+    listing = landing.list_files(spark, dirs["root"])
+    return landing.landing_catalog(listing, ledger, root=dirs["root"]).drop("last_modified")
+
+
+@query("ledger_lookup")
+def q_ledger_lookup(spark, sf_dir):
+    """Known ids resolve to their files; an unknown id falls back to the
+    default (the first metadata upload)."""
+    dirs = land_fixture(spark, sf_dir, "lookup")
+    ledger = _ledger(spark, dirs).drop("source_file")
+    default = ledger.where(F.col("object_prefix") == "metadata").agg(F.min("tx_id").alias("d"))
+    requests = ledger.select("tx_id").unionByName(
+        ledger.select(F.concat(F.lit("TX-UNKNOWN-"), F.col("tx_id")).alias("tx_id")))
+    default_id = default.first()["d"]
+    return ledger_lookup(requests, ledger, default_id).select(
+        "requested_id", "tx_id", "found", "file_name", "affiliation")
+
+
+# ---------------------------------------------------------------- streaming
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, sf_dir):
+    """Landed extracts ingested by an availableNow stream, run twice (the
+    second run finds nothing new)."""
+    dirs = land_fixture(spark, sf_dir, "stream")
+    out = scratch_path(spark, "stream-bronze")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    for _ in range(2):
+        incremental_ingest(spark, dirs["metadata"], FIXTURE_METADATA_SCHEMA, out, ckpt)
+    b = writers.read_bronze(spark, out)
+    return b.select(*RAW_META_COLS, "encounter_id", _source_is_csv(), config.CORRUPT_COLUMN)
+
+
+# ---------------------------------------------------------------- full run and lineage
+
+def _run(spark, sf_dir, name):
+    dirs = land_fixture(spark, sf_dir, name)
+    base = f"{dirs['root']}/lake"
+    metrics = run_medallion(spark, dirs["metadata"], dirs["dicom"], base, run_ts=RUN_TS, run_date=RUN_DATE,
+                            metadata_schema=FIXTURE_METADATA_SCHEMA)
+    return dirs, base, metrics
+
+
+@query("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    _, _, metrics = _run(spark, sf_dir, "run")
+    return metrics
+
+
+@query("lineage_trace")
+def q_lineage_trace(spark, sf_dir):
+    """Trace the CHOC extract's confirmation id through every layer."""
+    dirs, base, _ = _run(spark, sf_dir, "lineage")
+    ledger = _ledger(spark, dirs)
+    tx_id = ledger.where(F.col("file_name").startswith("choc_extract")).first()["tx_id"]
+    bronze = writers.read_bronze(spark, f"{base}/bronze_metadata")
+    silver = spark.read.parquet(f"{base}/silver").drop("site_key")
+    gold = spark.read.parquet(f"{base}/gold_research")
+    return lineage_trace(tx_id, ledger, bronze, silver, gold).select("stage", "record_key")

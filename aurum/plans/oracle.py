@@ -302,3 +302,93 @@ ORACLE["age_distribution_lineitem"] = """
            round(stddev_samp(l_quantity), 6) as stddev_age, quantile_disc(l_quantity, 0.25) as p25_age,
            quantile_disc(l_quantity, 0.5) as median_age, quantile_disc(l_quantity, 0.75) as p75_age
     from lineitem group by l_returnflag"""
+
+
+def _csv_line(cols: list[str]) -> str:
+    return "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in cols) + ")"
+
+
+_RAW_META = ["ssn", "age", "site_location", "ehr_system", "lesion_status_code", "scan_date"]
+_SITE_KEY = "replace(replace(site_location, ' ', '_'), '/', '-')"
+_UPLOAD_TS = "_([0-9]{8}T[0-9]{6}Z)(\\.[^./]+)?$"
+
+ORACLE.update({
+    "bronze_csv_scan": _q("select * from fx_metadata"),
+    "corrupt_audit": _q(f"""
+        select ssn, age, site_location, ehr_system, lesion_status_code,
+               case when encounter_id % 101 = 0 then null else scan_date end as scan_date,
+               case when encounter_id % 101 = 0 then {_csv_line(_RAW_META[:-1])}
+                    else {_csv_line(_RAW_META)} || ',extra' end as _corrupt_record
+        from fx_metadata where encounter_id % 101 = 0 or encounter_id % 103 = 0"""),
+    "ingest_row_count": _q("""
+        select '2026-06-23' as pipeline_run_date, count(*) as rows,
+               count_if(encounter_id % 101 = 0 or encounter_id % 103 = 0) as corrupt_rows
+        from fx_metadata"""),
+    "bronze_metadata": _q("""
+        select ssn, age, site_location, ehr_system, lesion_status_code, scan_date, encounter_id,
+               '2026-06-23T13:18:04Z' as ingested_at, '2026-06-23' as pipeline_run_date,
+               true as source_is_csv, cast(null as varchar) as _corrupt_record
+        from fx_metadata"""),
+    "bronze_manifest": _q("""
+        select ssn, dicom_s3_uri, modality, body_region,
+               '2026-06-23T13:18:04Z' as ingested_at, '2026-06-23' as pipeline_run_date,
+               true as source_is_csv, cast(null as varchar) as _corrupt_record
+        from fx_manifest"""),
+    "header_harmonize": _q("""
+        select ssn, site_location, age, scan_date, lesion_status_code as raw_lesion_status from fx_metadata"""),
+    "bronze_roundtrip": ORACLE["lineage_append"],
+    "bronze_partition_overwrite": _q("""
+        select *, '2026-06-22' as pipeline_run_date from fx_metadata
+        union all
+        select *, '2026-06-23' as pipeline_run_date from fx_metadata"""),
+    "silver_partition_export": _q(f"select *, {_SITE_KEY} as site_key from sj where site_location is not null"),
+    "site_pruned_read": _q(f"""
+        select *, {_SITE_KEY} as site_key from sj
+        where site_location is not null and {_SITE_KEY} = 'CHOC'"""),
+    "silver_roundtrip": _q("select * from sj"),
+    "gold_ml_export": _q("""
+        select subject_surrogate_id as surrogate_id, age, ehr_system, site_location, lesion_label,
+               imaging_s3_uri as s3_dicom_path from g"""),
+    "landing_scan": _q("select * from fx_metadata"),
+    "newest_snapshot": _q("select * from fx_metadata"),
+    "landing_name_parts": f"""
+        select o_orderkey, file_name,
+               regexp_replace(regexp_replace(file_name, '{_UPLOAD_TS}', ''), '\\.[^./]+$', '') as base_name,
+               cast(try_strptime(nullif(regexp_extract(file_name, '{_UPLOAD_TS}', 1), ''),
+                                 '%Y%m%dT%H%M%SZ') as timestamp) as uploaded_at
+        from (select o_orderkey,
+                     case when o_orderkey % 7 = 0 then 'extract_' || cast(o_orderkey as varchar) || '.csv'
+                          else 'extract_' || cast(o_orderkey as varchar) || '_'
+                               || strftime(o_orderdate, '%Y%m%dT%H%M%SZ') || '.csv' end as file_name
+              from orders) t""",
+    "incremental_ingest": _q("""
+        select ssn, age, site_location, ehr_system, lesion_status_code, scan_date, encounter_id,
+               true as source_is_csv, cast(null as varchar) as _corrupt_record from fx_metadata"""),
+    "run_metrics": _q("""
+        select '2026-06-23T13:18:04Z' as run_timestamp, '2026-06-23' as pipeline_run_date,
+               (select count(*) from fx_metadata) as bronze_metadata_rows,
+               0::bigint as bronze_metadata_corrupt_rows,
+               (select count(*) from fx_manifest) as bronze_manifest_rows,
+               0::bigint as bronze_manifest_corrupt_rows,
+               (select count(*) from sj) as silver_joined_rows,
+               (select count(*) from sj where site_location is null) as silver_rows_without_site,
+               (select count(distinct ssn) from sl) as metadata_ids,
+               (select count(distinct ssn) from sf) as manifest_ids,
+               greatest(0, least((select count(distinct ssn) from sl), (select count(distinct ssn) from sf))
+                           - (select count(*) from sj))::bigint as silver_unmatched_count,
+               (select count(distinct ssn) from sl
+                 where not exists (select 1 from sf where sf.ssn = sl.ssn)) as metadata_only_ids,
+               (select count(distinct ssn) from sf
+                 where not exists (select 1 from sl where sl.ssn = sf.ssn)) as manifest_only_ids,
+               (select count(*) from g) as gold_rows,
+               (select count(*) from g where lesion_code_requires_review) as gold_flagged_for_review"""),
+    "lineage_trace": _q("""
+        select 'bronze' as stage, ssn as record_key from fx_metadata where site_location = 'CHOC'
+        union all
+        select 'silver' as stage, ssn as record_key from sj
+          where ssn in (select trim(ssn) from fx_metadata where site_location = 'CHOC' and ssn is not null)
+        union all
+        select 'gold' as stage, subject_surrogate_id as record_key from g
+          where subject_surrogate_id in (select substr(sha256(trim(ssn)), 1, 16) from fx_metadata
+                                         where site_location = 'CHOC' and ssn is not null)"""),
+})
