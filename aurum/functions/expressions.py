@@ -143,8 +143,15 @@ def upload_stamp(c) -> Column:
 def upload_time(c) -> Column:
     """Upload instant encoded in a landed file name, as a UTC wall-clock
     ``timestamp_ntz``; NULL when the name carries no valid stamp."""
+    # Built from its digits, so the result does not depend on the session
+    # time zone (no DST gaps); impossible dates give NULL.
     stamp = upload_stamp(c)
-    return F.try_to_timestamp(stamp, F.lit(config.UPLOAD_TS_FORMAT)).cast("timestamp_ntz")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(stamp, start, length).cast("int")
+
+    return F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(10, 2), part(12, 2),
+                                    part(14, 2))
 
 
 def upload_base_name(c) -> Column:

@@ -22,10 +22,17 @@ MANIFEST_JOIN_COLUMNS = {
 
 def join_manifest(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
                   columns: dict[str, str] | None = None) -> DataFrame:
-    """Inner join; one output row per matching manifest row (fan-out kept)."""
+    """Inner join; one output row per matching manifest row (fan-out kept).
+
+    The manifest (the side that fans out) is the streamed, left side and the
+    one-row-per-key metadata the buffered, right side: a sort-merge join
+    buffers the right side's rows per key, so a patient with very many scans
+    never has to fit in memory. Output columns: metadata first, then imaging.
+    """
     columns = columns or MANIFEST_JOIN_COLUMNS
-    right = manifest.select(key, *[F.col(src).alias(dst) for src, dst in columns.items()])
-    return metadata.join(right, on=key, how="inner")
+    scans = manifest.select(key, *[F.col(src).alias(dst) for src, dst in columns.items()])
+    joined = scans.join(metadata, on=key, how="inner")
+    return joined.select(*metadata.columns, *[c for c in columns.values()])
 
 
 def reconcile_join(metadata: DataFrame, manifest: DataFrame, key: str = "ssn") -> DataFrame:
