@@ -38,15 +38,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote sessions expose no context)
+        return tempfile.mkdtemp(prefix="aurum-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # Unset: a bare local run (tests). Register our own folder.
+    # Unset: a bare local run (tests). Register our own folder with the
+    # context (the conf itself cannot change on a running session).
     root = tempfile.mkdtemp(prefix="aurum-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
     sc.setCheckpointDir(root)
-    return root
+    return (sc.getCheckpointDir() or root).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -56,6 +59,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote sessions manage checkpoints server-side)
+        return
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(checkpoint_root(spark))

@@ -218,3 +218,24 @@ def test_ordinal_within_matches_bruteforce(spark):
 
 def as_set(df):
     return {tuple(r) for r in df.collect()}
+
+
+def test_native_ids_per_site_bruteforce(spark):
+    rows = [("CHOC" if i % 4 else " Rady ", f"P{i:04d}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "site_location string, ssn string, enc int")
+    out = headers.native_ids(df, order_cols=["ssn", "enc"])
+    got = {r["enc"]: (r["native_id_column"], r["native_id"]) for r in out.collect()}
+    choc = sorted((s, e) for site, s, e in rows if site == "CHOC")
+    rady = sorted((s, e) for site, s, e in rows if site != "CHOC")
+    exp = {e: ("cerner_id", f"C{i:05d}") for i, (_, e) in enumerate(choc)}
+    exp.update({e: ("epic_id", f"E{i:05d}") for i, (_, e) in enumerate(rady)})
+    assert got == exp
+
+
+def test_site_native_view_rady_headers(spark):
+    df = spark.createDataFrame([("P1", "Rady", "7", "2026-01-01", "NA")],
+                               "ssn string, site_location string, age string, scan_date string, "
+                               "raw_lesion_status string")
+    out = headers.site_native_view(df, "Rady", order_cols=["ssn"])
+    assert out.columns == ["epic_id", "ssn", "site_location", "age_in_years", "mri_date", "lesion_status"]
+    assert out.first()["epic_id"] == "E00000"
