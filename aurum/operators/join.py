@@ -35,16 +35,23 @@ def join_manifest(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
     return joined.select(*metadata.columns, *[c for c in columns.values()])
 
 
-def reconcile_join(metadata: DataFrame, manifest: DataFrame, key: str = "ssn") -> DataFrame:
+def reconcile_join(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
+                   metadata_deduplicated: bool = False) -> DataFrame:
     """One-row reconciliation of an inner join on ``key``.
 
     Reports distinct ids on each side, joined rows, the legacy
     ``max(0, min(ids) - joined_rows)`` estimate and the exact number of ids
     present on only one side (anti-joins), which the estimate hides whenever
     the manifest fans out.
+
+    ``metadata_deduplicated=True`` reconciles the join the metadata will
+    have *after* keep-latest dedup (one row per id) without running the
+    dedup: only the set of ids matters, so a cheap distinct suffices.
     """
     # Per-id multiplicities: joined rows = sum over shared ids of m_count * d_count.
     m_cnt = metadata.groupBy(key).agg(F.count(F.lit(1)).alias("_m"))
+    if metadata_deduplicated:
+        m_cnt = m_cnt.withColumn("_m", F.lit(1).cast("bigint"))
     d_cnt = manifest.groupBy(key).agg(F.count(F.lit(1)).alias("_d"))
     both = m_cnt.join(d_cnt, key, "full_outer").where(F.col(key).isNotNull())
     stats = both.agg(

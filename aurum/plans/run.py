@@ -44,8 +44,11 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                   metadata_schema: StructType = config.METADATA_RAW_SCHEMA,
                   manifest_schema: StructType = config.MANIFEST_RAW_SCHEMA,
                   tiebreakers: Sequence[str] = ("encounter_id",), salt: str | None = None,
-                  fmt: str = "parquet") -> DataFrame:
-    """Run all layers and return the one-row metrics table (also written)."""
+                  fmt: str = "parquet", site_spread: int | None = None) -> DataFrame:
+    """Run all layers and return the one-row metrics table (also written).
+
+    ``site_spread`` bounds Silver files per site (see ``writers.write_table``).
+    """
     now = _dt.datetime.now(_dt.timezone.utc)
     run_ts = run_ts or now.strftime(config.RUN_TS_FORMAT)
     run_date = run_date or now.strftime(config.RUN_DATE_FORMAT)
@@ -74,11 +77,13 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
         F.count_if(F.col("site_location").isNull()).alias("rows_without_site"))
     # The Silver table is partitioned by site (NULL sites land in the default
     # partition and are excluded from site reads by partition pruning).
-    writers.write_table(silver, out.silver, fmt, partition_by=["site_key"], dynamic=False)
+    writers.write_table(silver, out.silver, fmt, partition_by=["site_key"], dynamic=False,
+                        spread=site_spread)
 
-    # Join reconciliation over the cleaned inputs (key columns only).
-    recon = join.reconcile_join(layers.silver_latest(layers.silver_metadata(meta_b), tiebreakers),
-                                layers.silver_manifest(man_b)).first()
+    # Join reconciliation over the cleaned inputs: only key columns are read
+    # and the dedup is not re-run (it keeps exactly one row per id).
+    recon = join.reconcile_join(layers.silver_metadata(meta_b), layers.silver_manifest(man_b),
+                                metadata_deduplicated=True).first()
 
     # Gold from the written Silver table.
     silver_r = spark.read.format(fmt).load(out.silver).drop("site_key")

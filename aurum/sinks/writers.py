@@ -2,10 +2,11 @@
 
 All writes are distributed (each task writes its own files); nothing is
 collected to the driver. Partitioned writes use dynamic partition overwrite so
-rerunning a run date replaces only that date. Partitioned exports do not
-repartition by the partition column: with one hot site, that would funnel a
-third of the data through one task; instead every task writes the sites it
-holds.
+rerunning a run date replaces only that date. Partitioned exports never
+repartition by the partition column alone: with one hot site, that would
+funnel a third of the data through one task. By default every task writes the
+sites it holds; ``spread=N`` bounds the files per site by shuffling to
+(site, hash mod N), which still splits a hot site over N tasks.
 """
 
 from __future__ import annotations
@@ -22,13 +23,23 @@ from aurum.operators.deid import project_rename, require_columns
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Iterable[str] = (), table: str | None = None,
-                compression: str = "snappy", dynamic: bool = True) -> None:
+                compression: str = "snappy", dynamic: bool = True, spread: int | None = None) -> None:
     """Write ``df`` to ``path`` (and register it as ``table`` if given).
 
     ``dynamic`` overwrites only the partitions present in ``df``.
+
+    ``spread`` (partitioned writes only) shuffles rows to
+    ``(partition values, hash(row) mod spread)``: every partition value is
+    written by at most ``spread`` tasks (bounded file count) and a hot value
+    is still split over ``spread`` tasks rather than funnelled into one.
+    Without it each task writes the partition values it already holds (no
+    shuffle; files = tasks x values).
     """
-    w = df.write.format(fmt).mode(mode).option("compression", compression)
     parts = list(partition_by)
+    if parts and spread:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+        df = df.repartition(*[F.col(c) for c in parts], salt)
+    w = df.write.format(fmt).mode(mode).option("compression", compression)
     if parts:
         w = w.partitionBy(*parts)
         if dynamic and mode == "overwrite":
@@ -51,7 +62,7 @@ def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def export_by_site(silver: DataFrame, path: str, site_col: str = "site_location",
-                   key_col: str = "site_key", fmt: str = "parquet") -> None:
+                   key_col: str = "site_key", fmt: str = "parquet", spread: int | None = None) -> None:
     """Silver export, one directory per site (storage-safe key).
 
     Rows without a site are not exported (count them with
@@ -59,7 +70,7 @@ def export_by_site(silver: DataFrame, path: str, site_col: str = "site_location"
     """
     require_columns(silver, [site_col], "Silver dataset")
     out = silver.where(F.col(site_col).isNotNull()).withColumn(key_col, site_partition_key(site_col))
-    write_table(out, path, fmt, partition_by=[key_col], dynamic=False)
+    write_table(out, path, fmt, partition_by=[key_col], dynamic=False, spread=spread)
 
 
 def unexported_rows(silver: DataFrame, site_col: str = "site_location") -> DataFrame:
