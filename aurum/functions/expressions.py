@@ -38,7 +38,7 @@ def safe_int(c) -> Column:
 def safe_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> date with ``fmt``; NULL for malformed or impossible dates."""
     t = _col(c)
-    parsed = F.try_to_timestamp(t, F.lit(fmt)).cast("date")
+    parsed = F.try_to_date(t, fmt)
     if fmt == "yyyy-MM-dd":
         return F.when(t.rlike(_ISO_DATE_TEXT), parsed)
     return parsed

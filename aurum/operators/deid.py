@@ -46,9 +46,16 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
 
 
 def gold_research(silver_joined: DataFrame, id_col: str = "ssn", date_col: str = "scan_date",
-                  salt: str | None = None, extra_drop: Iterable[str] = ()) -> DataFrame:
+                  salt: str | None = None, extra_drop: Iterable[str] = (),
+                  pointer_base: str | None = None) -> DataFrame:
     """Gold research dataset: masked key, year only, audit/raw columns purged,
-    canonical column order."""
+    canonical column order.
+
+    ``pointer_base`` replaces ``imaging_s3_uri`` by an opaque hash pointer of
+    the key (for sources whose URIs embed the identifier).
+    """
+    if pointer_base is not None:
+        silver_joined = rewrite_pointer(silver_joined, id_col, pointer_base)
     g = mask_key(silver_joined, id_col, salt=salt)
     g = generalize_date(g, date_col)
     g = purge_columns(g, [*config.GOLD_COLUMNS_TO_DROP, *extra_drop])

@@ -150,7 +150,9 @@ def q_bronze_roundtrip(spark, sf_dir):
     from aurum.operators.clean import add_lineage
     bronze = add_lineage(meta, RUN_TS, RUN_DATE, source_file="landing/metadata/fx_metadata.csv")
     path = scratch_path(spark, "bronze-table")
-    writers.write_table(bronze, path, table="aurum_bronze_metadata")
+    writers.write_table(bronze, path)
+    # A session-scoped view (no catalog side effects in the caller's session).
+    spark.read.parquet(path).createOrReplaceTempView("aurum_bronze_metadata")
     return spark.table("aurum_bronze_metadata")
 
 
@@ -319,3 +321,20 @@ def q_lineage_trace(spark, sf_dir):
     silver = spark.read.parquet(f"{base}/silver").drop("site_key")
     gold = spark.read.parquet(f"{base}/gold_research")
     return lineage_trace(tx_id, ledger, bronze, silver, gold).select("stage", "record_key")
+
+
+@query("output_locations")
+def q_output_locations(spark, sf_dir):
+    """Report of written outputs (layer, name, partitions, rows) read back
+    from the data itself."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, "outputs")
+    from aurum.operators.clean import add_lineage
+    writers.write_bronze(add_lineage(meta, RUN_TS, RUN_DATE, "x.csv"), f"{root}/bronze_metadata")
+    silver = layers.silver_joined(meta, man)
+    writers.export_by_site(silver, f"{root}/silver")
+    writers.write_table(layers.gold_dataset(silver), f"{root}/gold_research")
+    report = writers.output_locations(spark, [("bronze", "metadata", f"{root}/bronze_metadata"),
+                                              ("silver", "clinical_imaging_joined", f"{root}/silver"),
+                                              ("gold", "research_dataset", f"{root}/gold_research")])
+    return report.select("layer", "name", F.array_join("partitions", ",").alias("partitions"), "rows")

@@ -37,6 +37,6 @@ def silver_joined(bronze_metadata: DataFrame, bronze_manifest: DataFrame,
 
 
 def gold_dataset(silver: DataFrame, salt: str | None = None,
-                 extra_drop: Sequence[str] = ("encounter_id",)) -> DataFrame:
+                 extra_drop: Sequence[str] = ("encounter_id",), pointer_base: str | None = None) -> DataFrame:
     """Gold research dataset (de-identified, canonical column order)."""
-    return deid.gold_research(silver, salt=salt, extra_drop=extra_drop)
+    return deid.gold_research(silver, salt=salt, extra_drop=extra_drop, pointer_base=pointer_base)

@@ -392,3 +392,47 @@ ORACLE.update({
           where subject_surrogate_id in (select substr(sha256(trim(ssn)), 1, 16) from fx_metadata
                                          where site_location = 'CHOC' and ssn is not null)"""),
 })
+
+
+_SYNTH_SJ = """
+ssj as (
+  select trim(s.ssn) as ssn, s.age::integer as age, upper(trim(s.site_location)) as site_location,
+         s.scan_date::date as scan_date, s.lesion_status_code,
+         's3://clinical-bronze/imaging/' || s.ssn || '_scan1.dcm' as imaging_s3_uri
+  from synth s)"""
+
+
+def _qs(body: str) -> str:
+    return f"with {FIXTURE_CTES.strip()},{_SYNTH_SJ.strip()}\n{body.strip()}"
+
+
+_SYNTH_GOLD_STRING = ["subject_surrogate_id", "site_location", "ehr_system", "lesion_label", "imaging_s3_uri",
+                      "modality", "body_region"]
+
+ORACLE.update({
+    "phi_audit_synth": _qs("\nunion all\n".join(
+        [f"select '{c}' as column_name, false as forbidden_name, "
+         f"{'(select count(*) from ssj)' if c == 'imaging_s3_uri' else '0'}::bigint as identifier_values"
+         for c in _SYNTH_GOLD_STRING]
+        + [f"select '{c}' as column_name, false as forbidden_name, 0::bigint as identifier_values"
+           for c in ("age", "enrollment_year", "lesion_code_requires_review")])),
+    "phi_key_leak": _qs("select count_if(contains(imaging_s3_uri, ssn)) as imaging_s3_uri_contains_key from ssj"),
+    "gold_pointer_rewrite": _qs(f"""
+        select substr(sha256(ssn), 1, 16) as subject_surrogate_id, age, site_location,
+               case when site_location = 'CHOC' then 'Cerner' else 'Epic' end as ehr_system,
+               cast(year(scan_date) as integer) as enrollment_year,
+               {_label('lesion_status_code')} as lesion_label,
+               {_review('lesion_status_code')} as lesion_code_requires_review,
+               's3://imaging-pointers/imaging/scan_' || upper(substr(md5(ssn), 1, 8)) || '.dcm' as imaging_s3_uri,
+               'MRI' as modality, 'Brain' as body_region
+        from ssj"""),
+    "output_locations": _q("""
+        select 'bronze' as layer, 'metadata' as name, '2026-06-23' as partitions, count(*) as rows from fx_metadata
+        union all
+        select 'silver', 'clinical_imaging_joined',
+               (select string_agg(k, ',' order by k) from (select distinct
+                    replace(replace(site_location, ' ', '_'), '/', '-') as k from sj where site_location is not null) t),
+               (select count(*) from sj where site_location is not null)
+        union all
+        select 'gold', 'research_dataset', '', count(*) from g"""),
+})

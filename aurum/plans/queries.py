@@ -356,3 +356,26 @@ def q_synth_manifest(spark, sf_dir):
 @query("source_profile")
 def q_source_profile(spark, sf_dir):
     return stats.source_profile(synthetic.synth_metadata(read_table(spark, sf_dir, "customer")))
+
+
+def _synth_silver(spark, sf_dir) -> DataFrame:
+    meta = synthetic.synth_metadata(read_table(spark, sf_dir, "customer"))
+    return layers.silver_joined(meta, synthetic.synth_manifest(meta), tiebreakers=())
+
+
+@query("phi_audit_synth")
+def q_phi_audit_synth(spark, sf_dir):
+    """PHI audit of a Gold dataset whose source URIs embed the raw identifier."""
+    return stats.phi_audit(layers.gold_dataset(_synth_silver(spark, sf_dir), extra_drop=()))
+
+
+@query("phi_key_leak")
+def q_phi_key_leak(spark, sf_dir):
+    """Rows whose published imaging URI contains the raw key (checked before masking)."""
+    return stats.key_leak_count(_synth_silver(spark, sf_dir))
+
+
+@query("gold_pointer_rewrite")
+def q_gold_pointer_rewrite(spark, sf_dir):
+    """Gold with identifier-bearing URIs replaced by hash pointers."""
+    return layers.gold_dataset(_synth_silver(spark, sf_dir), extra_drop=(), pointer_base=POINTER_BASE)
