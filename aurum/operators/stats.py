@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -51,11 +51,12 @@ def cohort_summary(gold: DataFrame, by: Sequence[str] = ("site_location", "lesio
 def label_distribution(gold: DataFrame, label: str = "lesion_label") -> DataFrame:
     """Count and percentage per label.
 
-    The total comes from a window over the (tiny, one-row-per-label)
-    aggregate, so no separate counting job runs over the data.
+    The total is a scalar subquery over the per-label counts (its shuffle is
+    reused): evaluated once, used as a value, so the per-label rows stay
+    distributed however many distinct labels there are, with no join.
     """
     counts = gold.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.round(F.col("n").cast("double") / total * 100, 2))
 
 

@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 
 from aurum.functions.expressions import surrogate_key
 
+# Matching landed files up to this count are broadcast to the Bronze scan.
+BROADCAST_FILE_LIMIT = 100_000
+
 
 def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame,
                   key: str = "ssn", salt: str | None = None) -> DataFrame:
     """Long table ``(stage, record_key, payload)``; payload is the row as JSON."""
-    # One ledger row per file carrying this id (a handful at most: ids are
-    # per file), so the broadcast is bounded by the number of matching files.
-    files = F.broadcast(ledger.where(F.col("tx_id") == tx_id).select("source_file").distinct())
+    # The files carrying this id: normally one, several for re-uploads of the
+    # same bytes. Broadcast only after checking how many there are.
+    files = ledger.where(F.col("tx_id") == tx_id).select("source_file").distinct()
+    if files.count() <= BROADCAST_FILE_LIMIT:
+        files = F.broadcast(files)
     raw = bronze.join(files, "source_file", "left_semi")
     keys = raw.select(F.trim(F.col(key)).alias(key)).where(F.col(key).isNotNull()).distinct()
     silver_rows = silver.join(keys, key, "left_semi")
