@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from aurum import config
 from aurum.functions.expressions import uniform01
 from aurum.operators.dedup import ordinal_within
+from aurum.sources.fixtures import zero_pad
 
 DEFAULT_SEED = 42
 
@@ -36,7 +37,7 @@ def synth_metadata(population: DataFrame, id_col: str = "c_custkey", seed: int =
     base = population.select(
         i.alias("participant"),
         F.concat(F.lit("999-"), (F.floor(uniform01(seed, "mid", i) * 90) + 10).cast("int").cast("string"),
-                 F.lit("-"), F.format_string("%04d", i)).alias("ssn"),
+                 F.lit("-"), zero_pad(i, 4)).alias("ssn"),
         (F.lit(lo) + F.floor(uniform01(seed, "age", i) * (hi - lo + 1))).cast("int").cast("string").alias("age"),
         site.alias("site_location"),
         F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("missing"), i.cast("string"))), 1, 8),
