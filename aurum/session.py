@@ -33,6 +33,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_UNSET = ("spark.checkpoint.dir is not set: point it at a shared folder (HDFS/object store) "
+          "for checkpoints and intermediate tables")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up only if missing."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,12 +44,15 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     try:
         sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (remote sessions expose no context)
-        return tempfile.mkdtemp(prefix="aurum-ckpt-")
+    except Exception as e:  # noqa: BLE001  (remote sessions expose no context)
+        raise ValueError(_UNSET) from e
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # Unset: a bare local run (tests). Register our own folder with the
+    if not str(sc.master).startswith("local"):
+        # A machine-local folder is not visible to executors on a cluster.
+        raise ValueError(_UNSET)
+    # Unset in a local-mode run (tests): register our own folder with the
     # context (the conf itself cannot change on a running session).
     root = tempfile.mkdtemp(prefix="aurum-ckpt-")
     sc.setCheckpointDir(root)
@@ -65,3 +72,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(checkpoint_root(spark))
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 128 << 20,
+               max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Runtime SQL settings sized to the input so partitions fit in executor
+    memory (no spills from oversized tasks, no storm of tiny ones).
+
+    * initial shuffle partitions: input / target size, at least 2x the cores
+      (AQE coalesces them at runtime, so erring high is cheap);
+    * file splits of ``max_partition_bytes`` for the scans;
+    * AQE on, with skew-join splitting and a matching advisory size.
+    """
+    shuffle = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, executor_cores_total: int, **kw) -> dict[str, str]:
+    conf = scale_conf(input_bytes, executor_cores_total, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -124,3 +124,22 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
                F.raise_error(F.concat(F.lit("landed file without submitter: "), F.col("file_name"))))
         .otherwise(F.col("submitter")),
     )
+
+
+def append_ledger(spark: SparkSession, ledger: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Append ledger rows for files not yet recorded (by landed path).
+
+    Idempotent: rerunning over the same landing zone adds nothing. Returns
+    the number of rows appended (taken from the write's Observation).
+    """
+    from pyspark.sql import Observation
+
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    new = ledger
+    if fs.exists(jvm_path):
+        known = spark.read.format(fmt).load(path).select("source_file")
+        new = ledger.join(known, "source_file", "left_anti")
+    obs = Observation("ledger_append")
+    new.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("append").save(path)
+    return int(obs.get["rows"])

@@ -165,3 +165,36 @@ def test_output_locations(spark):
 def test_create_namespace(spark):
     writers.create_namespace(spark, "aurum_test_ns")
     assert "aurum_test_ns" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_append_ledger_idempotent(spark):
+    dirs = files.land_fixture(spark, SF_SMALL, "t-append")
+    path = scratch_path(spark, "t-ledger-table")
+    assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 3
+    assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 0
+    meta = files.load_fixtures(spark, SF_SMALL)[0].where(F.col("encounter_id") % 7 == 0)
+    files.write_csv(meta, f"{dirs['metadata']}/late_extract_20260624T000000Z.csv", single_file=True)
+    assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 1
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_run_rerun_same_date_is_idempotent(spark):
+    from aurum.plans.run import run_medallion
+    dirs = files.land_fixture(spark, SF_SMALL, "t-rerun-run")
+    base = f"{dirs['root']}/lake"
+    kw = dict(run_ts="2026-06-23T00:00:00Z", run_date="2026-06-23", metadata_schema=files.FIXTURE_METADATA_SCHEMA)
+    m1 = run_medallion(spark, dirs["metadata"], dirs["dicom"], base, **kw).first()
+    m2 = run_medallion(spark, dirs["metadata"], dirs["dicom"], base,
+                       **{**kw, "run_ts": "2026-06-23T01:00:00Z"}).first()
+    assert writers.read_bronze(spark, f"{base}/bronze_metadata").count() == m1["bronze_metadata_rows"]
+    assert {k: v for k, v in m1.asDict().items() if k != "run_timestamp"} == \
+        {k: v for k, v in m2.asDict().items() if k != "run_timestamp"}
+    assert spark.read.parquet(f"{base}/run_metrics").count() == 2
+    assert spark.read.parquet(f"{base}/gold_research").count() == m1["gold_rows"]
+
+
+def test_scale_conf():
+    from aurum.session import scale_conf
+    c = scale_conf(100 * 2 ** 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -19,8 +19,9 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, current=None):
+    def __init__(self, current=None, master="local[*]"):
         self.current = current
+        self.master = master
 
     def getCheckpointDir(self):
         return self.current
@@ -30,9 +31,9 @@ class _Context:
 
 
 class _Spark:
-    def __init__(self, conf, current=None):
+    def __init__(self, conf, current=None, master="local[*]"):
         self.conf = _Conf(conf)
-        self.sparkContext = _Context(current)
+        self.sparkContext = _Context(current, master)
 
 
 def test_configured_folder_is_used():
@@ -49,3 +50,9 @@ def test_unset_registers_own_folder_once():
     assert first.endswith("/uuid") and s.sparkContext.current == first
     assert session.checkpoint_root(s) == first
     assert session.scratch_path(s, "q").startswith(first + "/aurum-scratch/q-")
+
+
+def test_unset_on_cluster_refuses_local_folder():
+    import pytest
+    with pytest.raises(ValueError, match="shared folder"):
+        session.checkpoint_root(_Spark(None, master="yarn"))
