@@ -338,3 +338,13 @@ def q_output_locations(spark, sf_dir):
                                               ("silver", "clinical_imaging_joined", f"{root}/silver"),
                                               ("gold", "research_dataset", f"{root}/gold_research")])
     return report.select("layer", "name", F.array_join("partitions", ",").alias("partitions"), "rows")
+
+
+@query("synth_run_metrics")
+def q_synth_run_metrics(spark, sf_dir):
+    """Generate extracts for every customer, land them, run all layers."""
+    from aurum.sources.synthetic import write_synthetic_extracts
+    root = scratch_path(spark, "synth-run")
+    dirs = write_synthetic_extracts(read_table(spark, sf_dir, "customer"), f"{root}/raw")
+    return run_medallion(spark, dirs["metadata"], dirs["dicom"], f"{root}/lake", run_ts=RUN_TS,
+                         run_date=RUN_DATE, tiebreakers=())

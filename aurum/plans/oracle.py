@@ -436,3 +436,15 @@ ORACLE.update({
         union all
         select 'gold', 'research_dataset', '', count(*) from g"""),
 })
+
+
+ORACLE["synth_run_metrics"] = _q(f"""
+    select '2026-06-23T13:18:04Z' as run_timestamp, '2026-06-23' as pipeline_run_date,
+           count(*) as bronze_metadata_rows, 0::bigint as bronze_metadata_corrupt_rows,
+           count(*) as bronze_manifest_rows, 0::bigint as bronze_manifest_corrupt_rows,
+           count(*) as silver_joined_rows, 0::bigint as silver_rows_without_site,
+           count(distinct ssn) as metadata_ids, count(distinct ssn) as manifest_ids,
+           0::bigint as silver_unmatched_count, 0::bigint as metadata_only_ids, 0::bigint as manifest_only_ids,
+           count(*) as gold_rows,
+           count_if({_review('lesion_status_code')}) as gold_flagged_for_review
+    from synth""")

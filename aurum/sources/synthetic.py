@@ -76,3 +76,15 @@ def synth_manifest(metadata: DataFrame, uri_base: str = "s3://clinical-bronze/im
         F.lit(config.SYNTH_MODALITY).alias("modality"),
         F.lit(config.SYNTH_BODY_REGION).alias("body_region"),
     )
+
+
+def write_synthetic_extracts(population: DataFrame, root: str, seed: int = DEFAULT_SEED,
+                             missing: str = "exact") -> dict[str, str]:
+    """Land a synthetic metadata extract and manifest as header CSV under
+    ``root`` (``metadata/`` and ``dicom/``), written by every task in
+    parallel. Returns the two folders."""
+    meta = synth_metadata(population, seed=seed, missing=missing)
+    out = {"metadata": f"{root.rstrip('/')}/metadata", "dicom": f"{root.rstrip('/')}/dicom"}
+    meta.write.mode("overwrite").option("header", True).csv(out["metadata"])
+    synth_manifest(meta).write.mode("overwrite").option("header", True).csv(out["dicom"])
+    return out
