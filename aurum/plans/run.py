@@ -120,3 +120,40 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     metrics = spark.createDataFrame([tuple(row.values())], schema)
     writers.write_table(metrics.coalesce(1), out.run_metrics, fmt, mode="append")
     return spark.read.format(fmt).load(out.run_metrics).where(F.col("run_timestamp") == run_ts)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m aurum.plans.run --metadata <dir> --manifest <dir> --out <dir>``
+
+    Runs every layer on the cluster the session is configured for (e.g. via
+    ``spark-submit``) and prints the run's metrics row as JSON.
+    """
+    import argparse
+    import json
+
+    p = argparse.ArgumentParser(description="Run Bronze -> Silver -> Gold on landed extracts.")
+    p.add_argument("--metadata", required=True, help="landing folder of metadata extracts (CSV)")
+    p.add_argument("--manifest", required=True, help="landing folder of imaging manifests (CSV)")
+    p.add_argument("--out", required=True, help="base folder for all layer tables")
+    p.add_argument("--run-date", default=None)
+    p.add_argument("--salt", default=None, help="secret salt for surrogate keys")
+    p.add_argument("--format", default="parquet")
+    p.add_argument("--site-spread", type=int, default=None)
+    p.add_argument("--tiebreaker", action="append", default=None,
+                   help="dedup tiebreaker column (repeatable); must be in the extract schema")
+    a = p.parse_args(argv)
+
+    spark = SparkSession.builder.appName("aurum-medallion").getOrCreate()
+    schema = config.METADATA_RAW_SCHEMA
+    if a.tiebreaker:
+        from pyspark.sql.types import StringType, StructField
+        schema = StructType(list(schema.fields) + [StructField(t, StringType(), True)
+                                                   for t in a.tiebreaker if t not in schema.fieldNames()])
+    metrics = run_medallion(spark, a.metadata, a.manifest, a.out, run_date=a.run_date, salt=a.salt,
+                            fmt=a.format, site_spread=a.site_spread, metadata_schema=schema,
+                            tiebreakers=tuple(a.tiebreaker or ()))
+    print(json.dumps(metrics.first().asDict()))
+
+
+if __name__ == "__main__":
+    main()

@@ -88,3 +88,33 @@ def write_synthetic_extracts(population: DataFrame, root: str, seed: int = DEFAU
     meta.write.mode("overwrite").option("header", True).csv(out["metadata"])
     synth_manifest(meta).write.mode("overwrite").option("header", True).csv(out["dicom"])
     return out
+
+
+def population(spark, participants: int, id_col: str = "c_custkey") -> DataFrame:
+    """Participant ids 1..n as a distributed range (for standalone generation)."""
+    return spark.range(1, participants + 1).withColumnRenamed("id", id_col)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m aurum.sources.synthetic --out <dir> (--participants N | --population <parquet>)``"""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    p = argparse.ArgumentParser(description="Land synthetic metadata and manifest extracts.")
+    p.add_argument("--out", required=True)
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--participants", type=int)
+    src.add_argument("--population", help="parquet table whose id column defines the participants")
+    p.add_argument("--id-col", default="c_custkey")
+    p.add_argument("--seed", type=int, default=DEFAULT_SEED)
+    p.add_argument("--missing", choices=("exact", "bernoulli"), default="exact")
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("aurum-synthetic").getOrCreate()
+    pop = population(spark, a.participants, a.id_col) if a.participants else spark.read.parquet(a.population)
+    print(write_synthetic_extracts(pop.select(a.id_col).withColumnRenamed(a.id_col, "c_custkey"),
+                                   a.out, seed=a.seed, missing=a.missing))
+
+
+if __name__ == "__main__":
+    main()
