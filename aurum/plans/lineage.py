@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from aurum.functions.expressions import surrogate_key
 
-# Matching landed files up to this count are broadcast to the Bronze scan.
+# Matching landed files up to this count become a filter pushed into the
+# Bronze scan; up to the second limit they are broadcast to a semi-join.
+PUSHDOWN_FILE_LIMIT = 1_000
 BROADCAST_FILE_LIMIT = 100_000
 
 
@@ -24,9 +26,16 @@ def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: Data
     # The files carrying this id: normally one, several for re-uploads of the
     # same bytes. Broadcast only after checking how many there are.
     files = ledger.where(F.col("tx_id") == tx_id).select("source_file").distinct()
-    if files.count() <= BROADCAST_FILE_LIMIT:
-        files = F.broadcast(files)
-    raw = bronze.join(files, "source_file", "left_semi")
+    n_files = files.count()
+    if n_files <= PUSHDOWN_FILE_LIMIT:
+        # A short, checked list: filter in the scan (Parquet skips row groups
+        # whose source_file range excludes these files).
+        paths = [r["source_file"] for r in files.collect()]
+        raw = bronze.where(F.col("source_file").isin(paths))
+    elif n_files <= BROADCAST_FILE_LIMIT:
+        raw = bronze.join(F.broadcast(files), "source_file", "left_semi")
+    else:
+        raw = bronze.join(files, "source_file", "left_semi")
     keys = raw.select(F.trim(F.col(key)).alias(key)).where(F.col(key).isNotNull()).distinct()
     silver_rows = silver.join(keys, key, "left_semi")
     gold_keys = keys.select(surrogate_key(key, salt).alias("subject_surrogate_id"))

@@ -87,11 +87,12 @@ def read_site(spark: SparkSession, path: str, site: str, key_col: str = "site_ke
 
 def export_gold_ml(gold: DataFrame, path: str, mapping: Mapping[str, str] = config.GOLD_ML_COLUMNS,
                    fmt: str = "parquet", files: int | None = None) -> None:
-    """Flat ML export of the renamed 6-column projection (optionally
-    coalesced to ``files`` output files)."""
+    """Flat ML export of the renamed 6-column projection, optionally as
+    ``files`` output files (a final shuffle, so the read stays fully
+    parallel; ``coalesce`` would shrink the upstream stage to ``files`` tasks)."""
     out = project_rename(gold, mapping, "Gold dataset")
     if files:
-        out = out.coalesce(files)
+        out = out.repartition(files)
     write_table(out, path, fmt)
 
 

@@ -92,3 +92,20 @@ def test_gold_has_no_forbidden_columns(spark):
     gold = E.queries()["gold_research"](spark, SF_SMALL)
     assert not set(gold.columns) & {"ssn", "scan_date", *config.GOLD_COLUMNS_TO_DROP, "encounter_id"}
     assert gold.columns == list(config.GOLD_COLUMN_ORDER)
+
+
+def test_lineage_filter_reaches_bronze_scan(spark):
+    from aurum.plans.lineage import lineage_trace
+    from aurum.plans.run import run_medallion
+    from aurum.sinks import writers
+    dirs = files.land_fixture(spark, SF_SMALL, "t-lineage-plan")
+    base = f"{dirs['root']}/lake"
+    run_medallion(spark, dirs["metadata"], dirs["dicom"], base, run_ts="t", run_date="2026-06-23",
+                  metadata_schema=files.FIXTURE_METADATA_SCHEMA)
+    ledger = files._ledger(spark, dirs)
+    tx = ledger.where(ledger.file_name.startswith("choc_extract")).first()["tx_id"]
+    out = lineage_trace(tx, ledger, writers.read_bronze(spark, f"{base}/bronze_metadata"),
+                        spark.read.parquet(f"{base}/silver").drop("site_key"),
+                        spark.read.parquet(f"{base}/gold_research"))
+    plan = plan_of(out)
+    assert re.search(r"PushedFilters: \[[^\]]*source_file", plan), plan
