@@ -93,7 +93,7 @@ def newest_snapshot(spark: SparkSession, root: str, tokens: Sequence[str] = conf
 
 
 def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob: str | None = "*.csv",
-                   dataset_prefixes=config.DATASET_PREFIXES) -> DataFrame:
+                   dataset_prefixes=config.DATASET_PREFIXES, id_from: str = "content") -> DataFrame:
     """One row per landed file: confirmation id, full MD5, submitter,
     affiliation, dataset type and prefix, upload time (from the name) and
     file name.
@@ -102,12 +102,25 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     ``(file_name, submitter, affiliation, dataset_type)``, keyed by the
     landed object name (see ``landed_object_name``). A landed file with
     no submitter is an error (provenance is mandatory).
+
+    ``id_from="content"`` hashes each file's bytes (one task per file; the
+    ``binaryFile`` source caps a file at 2 GiB). ``id_from="metadata"``
+    hashes (path, size, modification time) instead and reads no content,
+    for landing zones with very large files.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(root).select("path", X.landed_object_name("path").alias("file_name"),
-                                F.md5("content").alias("content_md5"))
+    listing = r.load(root)
+    if id_from == "content":
+        digest = F.md5("content")
+    elif id_from == "metadata":
+        digest = F.md5(F.concat_ws("|", "path", F.col("length").cast("string"),
+                                   F.col("modificationTime").cast("string")))
+    else:
+        raise ValueError(f"unknown id_from {id_from!r}")
+    files = listing.select("path", X.landed_object_name("path").alias("file_name"),
+                           digest.alias("content_md5"))
     prefix = F.lit(None).cast("string")
     for dtype, pfx in dataset_prefixes.items():
         prefix = F.when(F.col("dataset_type") == dtype, F.lit(pfx)).otherwise(prefix)

@@ -198,3 +198,15 @@ def test_scale_conf():
     c = scale_conf(100 * 2 ** 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_ledger_metadata_ids_read_no_content(spark):
+    dirs = files.land_fixture(spark, SF_SMALL, "t-meta-id")
+    subs = landing.list_files(spark, f"{dirs['root']}/raw", "*.csv").select(
+        "file_name", F.lit("x").alias("submitter"), F.lit("CHOC").alias("affiliation"),
+        F.lit("Clinical Metadata Extract").alias("dataset_type"))
+    led = landing.landing_ledger(spark, f"{dirs['root']}/raw", subs, id_from="metadata")
+    plan = led._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split(">")[0]
+    rows = led.collect()
+    assert len(rows) == 3 and len({r["tx_id"] for r in rows}) == 3
