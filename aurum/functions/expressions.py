@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from aurum import config
 
-ColumnLike = "Column | str"
-
 # A decimal number as text: optional sign, digits, optional fraction.
 _DECIMAL_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 # yyyy-MM-dd with exactly two-digit month and day.

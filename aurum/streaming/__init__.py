@@ -1 +1 @@
-"""aurum.streaming."""
+"""Structured Streaming: exactly-once incremental landing ingest (``incremental``)."""
