@@ -448,3 +448,30 @@ ORACLE["synth_run_metrics"] = _q(f"""
            count(*) as gold_rows,
            count_if({_review('lesion_status_code')}) as gold_flagged_for_review
     from synth""")
+
+
+
+def _bigint_count_if(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in a BIGINT cast (DuckDB may widen it to
+    HUGEINT, Spark returns BIGINT)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"cast({sql[j:k + 1]} as bigint)")
+        i = k + 1
+
+
+ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}

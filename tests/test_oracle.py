@@ -11,6 +11,8 @@ from scripts.compare_oracle import duck_conn, rows_of
 from conftest import SF_SMALL
 
 KEYS = sorted(E.queries())
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 ORACLE = E.oracle_sql()
 
 
@@ -29,6 +31,9 @@ def test_query_matches_oracle(spark, duck, key):
         return
     rel = duck.sql(ORACLE[key])
     assert sorted(cols) == sorted(rel.columns)
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert spark_types == duck_types
     assert rows_of(cols, rows) == rows_of(rel.columns, rel.fetchall())
 
 
