@@ -210,3 +210,13 @@ def test_ledger_metadata_ids_read_no_content(spark):
     assert "content" not in plan.split("ReadSchema:")[1].split(">")[0]
     rows = led.collect()
     assert len(rows) == 3 and len({r["tx_id"] for r in rows}) == 3
+
+
+def test_site_export_sanitizes_counts_and_keeps_collisions(spark):
+    df = spark.createDataFrame([("A B", 1), ("A/B", 2), (None, 3), ("A_B", 4)], "site_location string, v int")
+    path = scratch_path(spark, "t-sites")
+    writers.export_by_site(df, path)
+    back = {(r["site_key"], r["v"]) for r in spark.read.parquet(path).collect()}
+    assert back == {("A_B", 1), ("A-B", 2), ("A_B", 4)}          # colliding keys share a folder, both kept
+    assert writers.unexported_rows(df).first()["rows_without_site"] == 1
+    assert {r["site_key"] for r in writers.read_site(spark, path, "A B").collect()} == {"A_B"}
