@@ -80,7 +80,7 @@ def ordinal_within(df: DataFrame, order_cols: Sequence[str | Column], group_cols
     w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    slices = slices.checkpoint(eager=True)
+    # Derived from the checkpointed rows, so recomputing it is deterministic.
     if slices.count() <= BROADCAST_ROW_LIMIT:
         slices = F.broadcast(slices)
 
