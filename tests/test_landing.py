@@ -220,3 +220,16 @@ def test_site_export_sanitizes_counts_and_keeps_collisions(spark):
     assert back == {("A_B", 1), ("A-B", 2), ("A_B", 4)}          # colliding keys share a folder, both kept
     assert writers.unexported_rows(df).first()["rows_without_site"] == 1
     assert {r["site_key"] for r in writers.read_site(spark, path, "A B").collect()} == {"A_B"}
+
+
+def test_gold_ml_export_file_count(spark):
+    from aurum.plans import layers
+    meta, man = files.load_fixtures(spark, SF_SMALL)
+    gold = layers.gold_dataset(layers.silver_joined(meta, man))
+    path = scratch_path(spark, "t-ml")
+    writers.export_gold_ml(gold, path, files=2)
+    parts = [f for f in os.listdir(_local(path)) if f.startswith("part-")]
+    assert len(parts) <= 2
+    back = spark.read.parquet(path)
+    assert back.columns == ["surrogate_id", "age", "ehr_system", "site_location", "lesion_label", "s3_dicom_path"]
+    assert back.count() == gold.count()
