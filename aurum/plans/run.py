@@ -143,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
                    help="dedup tiebreaker column (repeatable); must be in the extract schema")
     a = p.parse_args(argv)
 
-    spark = SparkSession.builder.appName("aurum-medallion").getOrCreate()
+    spark = SparkSession.builder.appName("aurum-medallion").config("spark.ui.enabled", "false").getOrCreate()
     schema = config.METADATA_RAW_SCHEMA
     if a.tiebreaker:
         from pyspark.sql.types import StringType, StructField

@@ -110,7 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--seed", type=int, default=DEFAULT_SEED)
     p.add_argument("--missing", choices=("exact", "bernoulli"), default="exact")
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("aurum-synthetic").getOrCreate()
+    spark = SparkSession.builder.appName("aurum-synthetic").config("spark.ui.enabled", "false").getOrCreate()
     pop = population(spark, a.participants, a.id_col) if a.participants else spark.read.parquet(a.population)
     print(write_synthetic_extracts(pop.select(a.id_col).withColumnRenamed(a.id_col, "c_custkey"),
                                    a.out, seed=a.seed, missing=a.missing))
