@@ -370,6 +370,14 @@ ORACLE.update({
                0::bigint as bronze_metadata_corrupt_rows,
                (select count(*) from fx_manifest) as bronze_manifest_rows,
                0::bigint as bronze_manifest_corrupt_rows,
+               (select count(*) from smq) as silver_metadata_rows,
+               (select count_if(lesion_label = 'Lesion Detected') from smq) as lesion_detected,
+               (select count_if(lesion_label = 'No Lesion Detected') from smq) as no_lesion_detected,
+               (select count_if(lesion_label = 'Pending Radiologist Review') from smq) as pending_review,
+               (select count_if(lesion_code_requires_review) from smq) as review_flagged,
+               (select count(*) from smq) - (select count(*) from sl) as dedup_dropped,
+               (select count(*) from sf) as silver_manifest_rows,
+               (select count_if(not uri_format_valid) from sf) as manifest_invalid_uri_rows,
                (select count(*) from sj) as silver_joined_rows,
                (select count(*) from sj where site_location is null) as silver_rows_without_site,
                (select count(distinct ssn) from sl) as metadata_ids,
@@ -442,6 +450,13 @@ ORACLE["synth_run_metrics"] = _q(f"""
     select '2026-06-23T13:18:04Z' as run_timestamp, '2026-06-23' as pipeline_run_date,
            count(*) as bronze_metadata_rows, 0::bigint as bronze_metadata_corrupt_rows,
            count(*) as bronze_manifest_rows, 0::bigint as bronze_manifest_corrupt_rows,
+           count(*) as silver_metadata_rows,
+           count_if({_label('lesion_status_code')} = 'Lesion Detected') as lesion_detected,
+           count_if({_label('lesion_status_code')} = 'No Lesion Detected') as no_lesion_detected,
+           count_if({_label('lesion_status_code')} = 'Pending Radiologist Review') as pending_review,
+           count_if({_review('lesion_status_code')}) as review_flagged,
+           0::bigint as dedup_dropped,
+           count(*) as silver_manifest_rows, 0::bigint as manifest_invalid_uri_rows,
            count(*) as silver_joined_rows, 0::bigint as silver_rows_without_site,
            count(distinct ssn) as metadata_ids, count(distinct ssn) as manifest_ids,
            0::bigint as silver_unmatched_count, 0::bigint as metadata_only_ids, 0::bigint as manifest_only_ids,

@@ -12,6 +12,7 @@ write, 1 ML export, 3 small summary writes, 1 metrics write.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ from aurum.plans import layers
 from aurum.sinks import writers
 from aurum.sources import csv
 
+log = logging.getLogger("aurum.run")
+
 
 @dataclass(frozen=True)
 class RunLayout:
@@ -44,10 +47,12 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                   metadata_schema: StructType = config.METADATA_RAW_SCHEMA,
                   manifest_schema: StructType = config.MANIFEST_RAW_SCHEMA,
                   tiebreakers: Sequence[str] = ("encounter_id",), salt: str | None = None,
-                  fmt: str = "parquet", site_spread: int | None = None) -> DataFrame:
+                  fmt: str = "parquet", site_spread: int | None = None, on_empty: str = "warn") -> DataFrame:
     """Run all layers and return the one-row metrics table (also written).
 
     ``site_spread`` bounds Silver files per site (see ``writers.write_table``).
+    ``on_empty`` is the zero-row policy for the Bronze ingest: ``"warn"`` or
+    ``"fail"`` (raise after the run's counts are known).
     """
     now = _dt.datetime.now(_dt.timezone.utc)
     run_ts = run_ts or now.strftime(config.RUN_TS_FORMAT)
@@ -66,11 +71,23 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     writers.write_bronze(bd, out.bronze_manifest, fmt)
 
     # Silver reads this run's Bronze partition only (partition pruning).
-    meta_b = csv.good_rows(writers.read_bronze(spark, out.bronze_metadata, fmt)
+    meta_b = csv.good_rows(writers.read_bronze(spark, out.bronze_metadata, fmt, bm.schema)
                            .where(F.col("pipeline_run_date") == run_date))
-    man_b = csv.good_rows(writers.read_bronze(spark, out.bronze_manifest, fmt)
+    man_b = csv.good_rows(writers.read_bronze(spark, out.bronze_manifest, fmt, bd.schema)
                           .where(F.col("pipeline_run_date") == run_date))
-    silver = layers.silver_joined(meta_b, man_b, tiebreakers)
+    # Cleaning stats ride along the Silver write as Observations (no extra job).
+    obs_meta = Observation("silver_metadata")
+    lab = F.col("lesion_label")
+    meta_stats = [F.count(F.lit(1)).alias("rows"),
+                  F.count_if(lab == config.LABEL_POSITIVE).alias("lesion"),
+                  F.count_if(lab == config.LABEL_NEGATIVE).alias("no_lesion"),
+                  F.count_if(lab == config.LABEL_PENDING).alias("pending"),
+                  F.count_if(F.col("lesion_code_requires_review")).alias("review")]
+    meta_clean = layers.silver_metadata(meta_b).observe(obs_meta, *meta_stats)
+    obs_man = Observation("silver_manifest")
+    man_stats = [F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("uri_format_valid")).alias("invalid_uri")]
+    man_clean = layers.silver_manifest(man_b).observe(obs_man, *man_stats)
+    silver = join.join_manifest(layers.silver_latest(meta_clean, tiebreakers), man_clean)
     obs_s = Observation("silver")
     silver = silver.withColumn("site_key", site_partition_key("site_location")).observe(
         obs_s, F.count(F.lit(1)).alias("rows"),
@@ -86,19 +103,21 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                                 metadata_deduplicated=True).first()
 
     # Gold from the written Silver table.
-    silver_r = spark.read.format(fmt).load(out.silver).drop("site_key")
+    silver_r = spark.read.format(fmt).schema(silver.schema).load(out.silver).drop("site_key")
     gold = layers.gold_dataset(silver_r, salt=salt, extra_drop=tiebreakers)
     obs_g = Observation("gold")
     gold = gold.observe(obs_g, F.count(F.lit(1)).alias("rows"),
                         F.count_if(F.col("lesion_code_requires_review")).alias("flagged"))
     writers.write_table(gold, out.gold_research, fmt)
-    gold_r = spark.read.format(fmt).load(out.gold_research)
+    gold_r = spark.read.format(fmt).schema(gold.schema).load(out.gold_research)
     writers.export_gold_ml(gold_r, out.gold_ml_export, fmt=fmt)
     writers.write_table(stats.cohort_summary(gold_r), out.gold_cohort_summary, fmt)
     writers.write_table(stats.label_distribution(gold_r), out.gold_label_distribution, fmt)
     writers.write_table(stats.age_distribution(gold_r), out.gold_age_distribution, fmt)
 
     bmv, bdv, sv, gv = obs_bm.get, obs_bd.get, obs_s.get, obs_g.get
+    mv = _observed(obs_meta, lambda: layers.silver_metadata(meta_b).agg(*meta_stats))
+    dv = _observed(obs_man, lambda: layers.silver_manifest(man_b).agg(*man_stats))
     row = {
         "run_timestamp": run_ts,
         "pipeline_run_date": run_date,
@@ -106,6 +125,14 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
         "bronze_metadata_corrupt_rows": int(bmv["corrupt_rows"]),
         "bronze_manifest_rows": int(bdv["rows"]),
         "bronze_manifest_corrupt_rows": int(bdv["corrupt_rows"]),
+        "silver_metadata_rows": int(mv["rows"]),
+        "lesion_detected": int(mv["lesion"]),
+        "no_lesion_detected": int(mv["no_lesion"]),
+        "pending_review": int(mv["pending"]),
+        "review_flagged": int(mv["review"]),
+        "dedup_dropped": int(mv["rows"]) - int(recon["metadata_ids"]),
+        "silver_manifest_rows": int(dv["rows"]),
+        "manifest_invalid_uri_rows": int(dv["invalid_uri"]),
         "silver_joined_rows": int(sv["rows"]),
         "silver_rows_without_site": int(sv["rows_without_site"]),
         "metadata_ids": int(recon["metadata_ids"]),
@@ -116,12 +143,44 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
         "gold_rows": int(gv["rows"]),
         "gold_flagged_for_review": int(gv["flagged"]),
     }
+    _report(row, on_empty)
     schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in row.items())
     metrics = spark.createDataFrame([tuple(row.values())], schema)
     writers.write_table(metrics.coalesce(1), out.run_metrics, fmt, mode="append")
     return spark.read.format(fmt).load(out.run_metrics).where(F.col("run_timestamp") == run_ts)
 
 
+def _observed(obs: Observation, fallback) -> dict:
+    """An Observation's metrics, or the same aggregate computed directly when
+    its node never ran (AQE can skip an operand of a join whose other side
+    turned out empty; only then is the extra job paid)."""
+    try:
+        return obs.get
+    except Exception:  # noqa: BLE001  (empty metrics row: the node did not execute)
+        return fallback().first().asDict()
+
+
+def _report(m: dict, on_empty: str) -> None:
+    """Log the run's counts; warn on corrupt rows, unmatched ids and bad URIs;
+    apply the zero-row policy."""
+    log.info("run %s: bronze metadata=%d manifest=%d, silver joined=%d, gold=%d (flagged %d)",
+             m["run_timestamp"], m["bronze_metadata_rows"], m["bronze_manifest_rows"],
+             m["silver_joined_rows"], m["gold_rows"], m["gold_flagged_for_review"])
+    for name in ("bronze_metadata_corrupt_rows", "bronze_manifest_corrupt_rows"):
+        if m[name]:
+            log.warning("%s: %d malformed rows kept in Bronze with their raw text", name, m[name])
+    if m["metadata_only_ids"] or m["manifest_only_ids"]:
+        log.warning("join: %d metadata ids without imaging, %d imaging ids without metadata",
+                    m["metadata_only_ids"], m["manifest_only_ids"])
+    if m["manifest_invalid_uri_rows"]:
+        log.warning("manifest: %d rows with a non-standard URI scheme", m["manifest_invalid_uri_rows"])
+    empty = [k for k in ("bronze_metadata_rows", "bronze_manifest_rows") if m[k] == 0]
+    if empty:
+        if on_empty == "fail":
+            raise RuntimeError(f"zero rows ingested: {empty}")
+        log.warning("zero rows ingested: %s", empty)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m aurum.plans.run --metadata <dir> --manifest <dir> --out <dir>``
 

@@ -55,9 +55,16 @@ def write_bronze(bronze: DataFrame, path: str, fmt: str = "parquet", table: str
     write_table(bronze, path, fmt, partition_by=["pipeline_run_date"], table=table)
 
 
-def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a Bronze table with the run date kept as text (no type inference)."""
-    df = spark.read.format(fmt).load(path)
+def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read a Bronze table with the run date kept as text (no type inference).
+
+    Pass the writer's ``schema`` to read back a table that may hold no files
+    (an empty extract writes no partition) and to skip footer inference.
+    """
+    r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
+    df = r.load(path)
     return df.withColumn("pipeline_run_date", F.col("pipeline_run_date").cast("string"))
 
 

@@ -233,3 +233,19 @@ def test_gold_ml_export_file_count(spark):
     back = spark.read.parquet(path)
     assert back.columns == ["surrogate_id", "age", "ehr_system", "site_location", "lesion_label", "s3_dicom_path"]
     assert back.count() == gold.count()
+
+
+def test_run_empty_policy(spark):
+    import pytest
+    from aurum.plans.run import run_medallion
+    root = scratch_path(spark, "t-empty")
+    os.makedirs(_local(f"{root}/metadata"))
+    os.makedirs(_local(f"{root}/dicom"))
+    with open(_local(f"{root}/metadata/x.csv"), "w") as f:
+        f.write("ssn,age,site_location,ehr_system,lesion_status_code,scan_date\n")
+    with open(_local(f"{root}/dicom/y.csv"), "w") as f:
+        f.write("ssn,dicom_s3_uri,modality,body_region\nP1,s3://b/1.dcm,MRI,Brain\n")
+    m = run_medallion(spark, f"{root}/metadata", f"{root}/dicom", f"{root}/lake", tiebreakers=()).first()
+    assert (m["bronze_metadata_rows"], m["bronze_manifest_rows"], m["gold_rows"]) == (0, 1, 0)
+    with pytest.raises(RuntimeError, match="zero rows"):
+        run_medallion(spark, f"{root}/metadata", f"{root}/dicom", f"{root}/lake2", tiebreakers=(), on_empty="fail")
