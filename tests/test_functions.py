@@ -239,3 +239,15 @@ def test_site_native_view_rady_headers(spark):
     out = headers.site_native_view(df, "Rady", order_cols=["ssn"])
     assert out.columns == ["epic_id", "ssn", "site_location", "age_in_years", "mri_date", "lesion_status"]
     assert out.first()["epic_id"] == "E00000"
+
+
+def test_harmonize_headers_with_affiliation_default(spark):
+    choc = spark.createDataFrame([("P1", "7", "2026-01-01", "1")],
+                                 "cerner_id string, age string, scan_date string, lesion_status_code string")
+    rady = spark.createDataFrame([("2026-02-02", "P2", "NA", "9", "Rady")],
+                                 "mri_date string, epic_id string, lesion_status string, age_in_years string, "
+                                 "site_location string")
+    out = headers.harmonize_headers([choc, rady], defaults={"site_location": "CHOC"})
+    assert out.columns == list(config.CANONICAL_UPLOAD_COLUMNS)
+    assert {tuple(r) for r in out.collect()} == {("P1", "CHOC", "7", "2026-01-01", "1"),
+                                                 ("P2", "Rady", "9", "2026-02-02", "NA")}
