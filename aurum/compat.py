@@ -1,0 +1,85 @@
+"""Drop-in names for code written against the reference's function API.
+
+Each function keeps the reference's name, parameters and defaults and runs
+the aurum operator underneath, so existing calls keep working while the work
+moves to distributed writes. Where the reference wrote through a driver-side
+client, the call takes a storage path instead.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from aurum import config
+from aurum.operators import clean, dedup, deid
+from aurum.plans.run import run_medallion
+from aurum.sinks import writers
+from aurum.sources import csv
+
+METADATA_RAW_SCHEMA = config.METADATA_RAW_SCHEMA
+DICOM_RAW_SCHEMA = config.MANIFEST_RAW_SCHEMA
+
+
+def apply_lesion_harmonization(df: DataFrame, col_name: str = "lesion_status_code") -> DataFrame:
+    return clean.harmonize_codes(df, col_name)
+
+
+def clean_metadata(df: DataFrame) -> DataFrame:
+    return clean.clean_metadata(df)
+
+
+def clean_dicom(df: DataFrame) -> DataFrame:
+    return clean.clean_manifest(df)
+
+
+def deduplicate_patients(df: DataFrame, partition_col: str = "ssn", order_col: str = "scan_date",
+                         tiebreakers: Sequence[str] = ()) -> DataFrame:
+    """Keep-latest per patient. Pass ``tiebreakers`` for a deterministic
+    choice among records with the same date."""
+    return dedup.keep_latest(df, partition_col, order_col, tiebreakers)
+
+
+def mask_ssn(df: DataFrame, id_col: str = "ssn") -> DataFrame:
+    return deid.mask_key(df, id_col)
+
+
+def reduce_date_precision(df: DataFrame, date_col: str = "scan_date") -> DataFrame:
+    return deid.generalize_date(df, date_col)
+
+
+def ingest_bronze(spark: SparkSession, input_path: str, schema: StructType, layer_name: str,
+                  output_base: str, pipeline_run_ts: str, pipeline_run_date: str) -> DataFrame:
+    """Read a landed CSV with lineage columns and write it as
+    ``<output_base>/bronze_<layer_name>`` (partitioned by run date); returns
+    the written rows without the corrupt-record column."""
+    bronze = csv.ingest_bronze(spark, input_path, schema, pipeline_run_ts, pipeline_run_date,
+                               recursive=True, glob="*.csv")
+    path = f"{output_base.rstrip('/')}/bronze_{layer_name}"
+    writers.write_bronze(bronze, path)
+    written = writers.read_bronze(spark, path, schema=bronze.schema)
+    return csv.good_rows(written.where(written.pipeline_run_date == pipeline_run_date))
+
+
+def write_silver(silver_joined_df: DataFrame, path: str) -> None:
+    """Site-partitioned Silver export (one folder per non-NULL site)."""
+    writers.export_by_site(silver_joined_df, path)
+
+
+def write_gold(gold_df: DataFrame, cohort_summary_df: DataFrame, base: str) -> dict[str, str]:
+    """ML export and cohort summary as flat Parquet; returns their locations."""
+    out = {"research_dataset": f"{base.rstrip('/')}/research_dataset",
+           "cohort_summary": f"{base.rstrip('/')}/cohort_summary"}
+    writers.export_gold_ml(gold_df, out["research_dataset"])
+    writers.write_table(cohort_summary_df, out["cohort_summary"])
+    return out
+
+
+def run_pipeline(spark: SparkSession, metadata_path: str, dicom_path: str, output_base: str,
+                 tiebreakers: Sequence[str] = (), metadata_schema: StructType = METADATA_RAW_SCHEMA) -> dict:
+    """Run every layer; returns the run metrics as a dict. Extracts that
+    carry a tiebreaker column need it in ``metadata_schema``."""
+    return run_medallion(spark, metadata_path, dicom_path, output_base, tiebreakers=tiebreakers,
+                         metadata_schema=metadata_schema).first().asDict()
