@@ -34,3 +34,17 @@ def test_ingest_and_run(spark):
     m = compat.run_pipeline(spark, dirs["metadata"], dirs["dicom"], scratch_path(spark, "t-compat-run"),
                             tiebreakers=["encounter_id"], metadata_schema=files.FIXTURE_METADATA_SCHEMA)
     assert m["silver_joined_rows"] == m["gold_rows"] > 0
+
+
+def test_writers(spark):
+    from aurum.operators import stats
+    from aurum.plans import layers
+    meta, man = files.load_fixtures(spark, SF_SMALL)
+    silver = layers.silver_joined(meta, man)
+    base = scratch_path(spark, "t-compat-w")
+    compat.write_silver(silver, f"{base}/silver")
+    assert spark.read.parquet(f"{base}/silver").count() == silver.where("site_location is not null").count()
+    gold = layers.gold_dataset(silver)
+    out = compat.write_gold(gold, stats.cohort_summary(gold), f"{base}/gold")
+    assert spark.read.parquet(out["research_dataset"]).count() == gold.count()
+    assert spark.read.parquet(out["cohort_summary"]).count() == stats.cohort_summary(gold).count()
