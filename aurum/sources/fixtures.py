@@ -56,7 +56,9 @@ def fx_metadata(orders: DataFrame) -> DataFrame:
 
 def fx_manifest(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
-    # Every customer not divisible by 13 has scan 1; multiples of 5 also scan 2.
+    # Not a sample: customers divisible by 13 model patients without imaging
+    # (the unmatched ids reconciliation must report). Every other customer
+    # has scan 1; multiples of 5 also scan 2 (manifest fan-out).
     scans = customer.where(c % 13 != 0).select(
         "c_custkey",
         F.explode(F.when(c % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("k"),
