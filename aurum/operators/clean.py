@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from aurum import config
 from aurum.functions import expressions as X
 
+# Vocabularies up to this many codes are broadcast to the harmonisation join.
+VOCAB_BROADCAST_LIMIT = 1_000_000
+
 
 def add_lineage(df: DataFrame, run_ts: str, run_date: str,
                 source_file: str | None = None) -> DataFrame:
@@ -72,16 +75,20 @@ def harmonize_codes(df: DataFrame, col_name: str = "lesion_status_code",
 
 
 def harmonize_codes_by_table(df: DataFrame, mapping: DataFrame, col_name: str = "lesion_status_code",
-                             blank_label: str = config.LABEL_NEGATIVE) -> DataFrame:
+                             blank_label: str = config.LABEL_NEGATIVE,
+                             broadcast_limit: int = VOCAB_BROADCAST_LIMIT) -> DataFrame:
     """Harmonise against a vocabulary table ``(code, label)`` instead of literals.
 
     For many vendors the vocabulary is data: codes are matched after
-    lower(trim(.)). The mapping is a dimension table; the join is left to
-    the optimizer (it broadcasts only when the table is under the size
-    threshold, otherwise shuffles).
+    lower(trim(.)). Codes are few and very unevenly used (one code can cover
+    a third of all rows), so a shuffle join on the code would funnel them
+    into one task: the vocabulary is broadcast after a count check, and only
+    an oversized vocabulary falls back to a shuffle join (AQE splits skew).
     """
     vocab = mapping.select(F.lower(F.trim("code")).alias("_code_norm"),
                            F.col("label").alias("_label")).dropDuplicates(["_code_norm"])
+    if vocab.count() <= broadcast_limit:
+        vocab = F.broadcast(vocab)
     joined = df.withColumn("_code_norm", F.lower(F.trim(F.col(col_name)))) \
         .join(vocab, "_code_norm", "left")
     blank = X.code_is_blank(col_name)
