@@ -34,7 +34,9 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir)
-    now = F.current_timestamp()
+    # Micro-batch time as UTC wall clock (the stamp says 'Z' whatever the
+    # session time zone is).
+    now = F.to_utc_timestamp(F.current_timestamp(), spark.conf.get("spark.sql.session.timeZone"))
     bronze = stream.withColumns({
         "ingested_at": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         "source_file": F.col("_metadata.file_path"),
