@@ -39,6 +39,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 def landing_catalog(listing: DataFrame, ledger: DataFrame | None = None, root: str | None = None) -> DataFrame:
     """Object catalog: key, submitter, affiliation, size in KB, last modified."""
     key = F.col("path") if root is None else relative_path(F.col("path"), root)
+    tz = listing.sparkSession.conf.get("spark.sql.session.timeZone")
     out = listing.select(key.alias("key"), "file_name", "length", "modificationTime")
     if ledger is not None:
         attrs = ledger.select("file_name", "submitter", "affiliation").dropDuplicates(["file_name"])
@@ -50,7 +51,8 @@ def landing_catalog(listing: DataFrame, ledger: DataFrame | None = None, root: s
         F.coalesce(F.col("submitter"), F.lit("Unknown")).alias("submitter"),
         F.coalesce(F.col("affiliation"), F.lit("Unknown")).alias("affiliation"),
         F.round(F.col("length") / 1024, 2).alias("size_kb"),
-        F.date_format(F.col("modificationTime"), "yyyy-MM-dd HH:mm:ss 'UTC'").alias("last_modified"),
+        F.date_format(F.to_utc_timestamp("modificationTime", tz), "yyyy-MM-dd HH:mm:ss 'UTC'")
+        .alias("last_modified"),
     )
 
 

@@ -249,3 +249,18 @@ def test_run_empty_policy(spark):
     assert (m["bronze_metadata_rows"], m["bronze_manifest_rows"], m["gold_rows"]) == (0, 1, 0)
     with pytest.raises(RuntimeError, match="zero rows"):
         run_medallion(spark, f"{root}/metadata", f"{root}/dicom", f"{root}/lake2", tiebreakers=(), on_empty="fail")
+
+
+def test_catalog_last_modified_is_utc(spark):
+    import datetime as dt
+    dirs = files.land_fixture(spark, SF_SMALL, "t-utc")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = landing.landing_catalog(landing.list_files(spark, dirs["root"]), root=dirs["root"]).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    for r in rows:
+        p = os.path.join(_local(dirs["root"]), r["key"])
+        want = dt.datetime.fromtimestamp(os.path.getmtime(p), dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
+        assert r["last_modified"] == want
