@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions.expressions import surrogate_key
+from aurum.operators.headers import rename_headers
 
 # Matching landed files up to this count become a filter pushed into the
 # Bronze scan; up to the second limit they are broadcast to a semi-join.
@@ -21,12 +22,18 @@ BROADCAST_FILE_LIMIT = 100_000
 
 
 def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame,
-                  key: str = "ssn", salt: str | None = None) -> DataFrame:
-    """Long table ``(stage, record_key, payload)``; payload is the row as JSON."""
+                  key: str = "ssn", salt: str | None = None, include_landed: bool = True) -> DataFrame:
+    """Long table ``(stage, record_key, payload)``; payload is the row as JSON.
+
+    Stages: ``landed`` (the uploaded file as sent, site headers mapped to the
+    canonical key; when the upload's files are few enough to list), then
+    ``bronze``, ``silver`` and ``gold``.
+    """
     # The files carrying this id: normally one, several for re-uploads of the
     # same bytes. Broadcast only after checking how many there are.
     files = ledger.where(F.col("tx_id") == tx_id).select("source_file").distinct()
     n_files = files.count()
+    paths = None
     if n_files <= PUSHDOWN_FILE_LIMIT:
         # A short, checked list: filter in the scan (Parquet skips row groups
         # whose source_file range excludes these files).
@@ -46,6 +53,16 @@ def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: Data
         return df.select(F.lit(stage).alias("stage"), F.col(key_col).cast("string").alias("record_key"),
                          F.to_json(F.struct(*cols)).alias("payload"))
 
-    return (longform(raw, "bronze", key)
-            .unionByName(longform(silver_rows, "silver", key))
-            .unionByName(longform(gold_rows, "gold", "subject_surrogate_id")))
+    out = (longform(raw, "bronze", key)
+           .unionByName(longform(silver_rows, "silver", key))
+           .unionByName(longform(gold_rows, "gold", "subject_surrogate_id")))
+    if include_landed and paths:
+        # The upload exactly as the site sent it: its own headers, all text.
+        landed = raw_csv_reader(bronze.sparkSession).csv(paths)
+        landed = rename_headers(landed)
+        out = longform(landed, "landed", key).unionByName(out)
+    return out
+
+
+def raw_csv_reader(spark):
+    return spark.read.option("header", True).option("inferSchema", False)

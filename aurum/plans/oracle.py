@@ -391,6 +391,8 @@ ORACLE.update({
                (select count(*) from g) as gold_rows,
                (select count(*) from g where lesion_code_requires_review) as gold_flagged_for_review"""),
     "lineage_trace": _q("""
+        select 'landed' as stage, ssn as record_key from fx_metadata where site_location = 'CHOC'
+        union all
         select 'bronze' as stage, ssn as record_key from fx_metadata where site_location = 'CHOC'
         union all
         select 'silver' as stage, ssn as record_key from sj
