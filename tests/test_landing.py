@@ -264,3 +264,12 @@ def test_catalog_last_modified_is_utc(spark):
         p = os.path.join(_local(dirs["root"]), r["key"])
         want = dt.datetime.fromtimestamp(os.path.getmtime(p), dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
         assert r["last_modified"] == want
+
+
+def test_write_table_registers_table(spark):
+    meta = files.load_fixtures(spark, SF_SMALL)[0]
+    path = scratch_path(spark, "t-saveas")
+    for _ in range(2):  # overwrite with schema replacement, twice
+        writers.write_table(meta, path, table="aurum_t_bronze")
+    assert spark.table("aurum_t_bronze").count() == meta.count()
+    assert spark.table("aurum_t_bronze").columns == meta.columns
