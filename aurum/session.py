@@ -100,3 +100,10 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, executor_cores_total
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the cluster's Hadoop file
+    system (works for HDFS, object stores and local paths alike)."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from aurum import config
 from aurum.functions import expressions as X
+from aurum.session import path_exists
 
 
 def upload_name(filename: str, when: _dt.datetime | None = None) -> str:
@@ -83,11 +84,8 @@ def newest_snapshot(spark: SparkSession, root: str, tokens: Sequence[str] = conf
     Only one value (a path) reaches the driver; the search is a distributed
     ``max_by`` over the listing.
     """
-    if fixed_path is not None:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(fixed_path)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(jvm_path):
-            return fixed_path
+    if fixed_path is not None and path_exists(spark, fixed_path):
+        return fixed_path
     listing = list_files(spark, root, glob)
     listing = listing.where(name_matches(relative_path(F.col("path"), root), tokens))
     row = listing.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
@@ -149,10 +147,8 @@ def append_ledger(spark: SparkSession, ledger: DataFrame, path: str, fmt: str =
     """
     from pyspark.sql import Observation
 
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     new = ledger
-    if fs.exists(jvm_path):
+    if path_exists(spark, path):
         known = spark.read.format(fmt).load(path).select("source_file")
         new = ledger.join(known, "source_file", "left_anti")
     obs = Observation("ledger_append")
