@@ -15,7 +15,9 @@ from pyspark.sql.types import StringType
 
 from aurum import config
 
-# Rounding applied to floating statistics so that engines agree on the value.
+# Decimals published for the sample standard deviation: engines accumulate the
+# variance differently in the last bits. Means are exact (integer sums) and
+# are published unrounded.
 STAT_DECIMALS = 6
 
 
@@ -39,7 +41,7 @@ def cohort_summary(gold: DataFrame, by: Sequence[str] = ("site_location", "lesio
         gold.groupBy(*by)
         .agg(
             F.count(key).alias("subject_count"),
-            F.round(F.avg("age"), STAT_DECIMALS).alias("mean_age"),
+            F.avg("age").alias("mean_age"),
             F.min("age").alias("min_age"),
             F.max("age").alias("max_age"),
             F.sum(F.col("lesion_code_requires_review").cast("int")).cast("bigint").alias("flagged_for_review"),
@@ -67,7 +69,7 @@ def age_distribution(gold: DataFrame, by: str = "site_location", value: str = "a
         gold.groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.round(F.avg(value), STAT_DECIMALS).alias("mean_age"),
+            F.avg(value).alias("mean_age"),
             F.round(F.stddev(value), STAT_DECIMALS).alias("stddev_age"),
             F.percentile_approx(value, 0.25, accuracy).alias("p25_age"),
             F.percentile_approx(value, 0.50, accuracy).alias("median_age"),

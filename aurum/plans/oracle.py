@@ -246,7 +246,7 @@ ORACLE: dict[str, str] = {
         from smq"""),
     "cohort_summary": _q("""
         select site_location, lesion_label, count(subject_surrogate_id) as subject_count,
-               round(avg(age), 6) as mean_age, min(age) as min_age, max(age) as max_age,
+               avg(age) as mean_age, min(age) as min_age, max(age) as max_age,
                sum(cast(lesion_code_requires_review as integer))::bigint as flagged_for_review
         from g group by site_location, lesion_label order by site_location, lesion_label"""),
     "label_distribution": _q("""
@@ -254,7 +254,7 @@ ORACLE: dict[str, str] = {
                round(count(*)::double / sum(count(*)) over () * 100, 2) as pct
         from g group by lesion_label"""),
     "age_distribution": _q("""
-        select site_location, count(*) as n, round(avg(age), 6) as mean_age,
+        select site_location, count(*) as n, avg(age) as mean_age,
                round(stddev_samp(age), 6) as stddev_age, quantile_disc(age, 0.25) as p25_age,
                quantile_disc(age, 0.5) as median_age, quantile_disc(age, 0.75) as p75_age
         from g group by site_location order by site_location"""),
@@ -298,7 +298,7 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["age_distribution_lineitem"] = """
-    select l_returnflag, count(*) as n, round(avg(l_quantity), 6) as mean_age,
+    select l_returnflag, count(*) as n, avg(l_quantity) as mean_age,
            round(stddev_samp(l_quantity), 6) as stddev_age, quantile_disc(l_quantity, 0.25) as p25_age,
            quantile_disc(l_quantity, 0.5) as median_age, quantile_disc(l_quantity, 0.75) as p75_age
     from lineitem group by l_returnflag"""
