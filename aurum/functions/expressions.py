@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from aurum import config
 
-# A decimal number as text: optional sign, digits, optional fraction.
-_DECIMAL_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
+# A decimal number as text: optional sign, integer digits, optional point and
+# fraction digits (either part may be empty: ".5", "5.", ".").
+_DECIMAL_TEXT = r"^[+-]?[0-9]*(\.[0-9]*)?\z"
+# What a non-ANSI string-to-number cast strips around a value: ASCII space and
+# control characters (0x00-0x20 and 0x7F).
+CAST_TRIM_CHARS = "".join(chr(c) for c in [*range(0x00, 0x21), 0x7F])
 # yyyy-MM-dd with exactly two-digit month and day.
 _ISO_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
@@ -23,14 +27,18 @@ def _col(c) -> Column:
 
 
 def safe_int(c) -> Column:
-    """Text -> int, NULL when malformed or out of range.
+    """Text -> int exactly as a non-ANSI cast reads it, but never throwing.
 
-    Truncates a decimal fraction (``"7.9"`` -> 7) the way a non-ANSI cast
-    does, but rejects exponent and type-suffix forms (``"1e1"``, ``"7d"``)
-    that a plain double cast would accept.
+    Surrounding spaces/control characters are ignored; the value is the
+    signed integer part (``"7.9"`` -> 7, ``"-.5"`` -> 0, ``"."`` -> 0), the
+    fraction must be digits; exponents, suffixes and overflow give NULL.
     """
-    t = F.trim(_col(c).cast("string"))
-    return F.when(t.rlike(_DECIMAL_TEXT), t.try_cast("double").try_cast("int"))
+    t = F.btrim(_col(c).cast("string"), F.lit(CAST_TRIM_CHARS))
+    sign = F.regexp_extract(t, r"^([+-]?)", 1)
+    digits = F.regexp_extract(t, r"^[+-]?([0-9]*)", 1)
+    well_formed = t.rlike(_DECIMAL_TEXT) & t.rlike(r"[0-9.]")
+    return F.when(well_formed, F.when(digits == "", F.lit(0))
+                  .otherwise(F.concat(sign, digits).try_cast("int")))
 
 
 def safe_date(c, fmt: str = "yyyy-MM-dd") -> Column:

@@ -9,9 +9,15 @@ the same column names as the Spark result.
 from __future__ import annotations
 
 # Spark semantics spelled out in DuckDB SQL.
+_CAST_TRIM = "chr(0)" + "".join(f" || chr({c})" for c in [*range(0x01, 0x21), 0x7F])
+
+
 def _safe_int(x: str) -> str:
-    return (f"case when regexp_matches(trim({x}), '^[+-]?[0-9]+(\\.[0-9]*)?$') "
-            f"then try_cast(trunc(try_cast(trim({x}) as double)) as integer) end")
+    t = f"trim({x}, {_CAST_TRIM})"
+    digits = f"regexp_extract({t}, '^[+-]?([0-9]*)', 1)"
+    return (f"case when regexp_matches({t}, '^[+-]?[0-9]*(\\.[0-9]*)?$') and regexp_matches({t}, '[0-9.]') "
+            f"then case when {digits} = '' then 0 "
+            f"else try_cast(regexp_extract({t}, '^([+-]?)', 1) || {digits} as integer) end end")
 
 
 def _safe_date(x: str) -> str:

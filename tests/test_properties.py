@@ -68,3 +68,31 @@ def test_harmonise_total(spark, codes):
         assert r["lesion_label"] in labels
         assert r["lesion_code_requires_review"] is not None
         assert r["lesion_code_requires_review"] == (r["lesion_label"] == config.LABEL_PENDING)
+
+
+EDGE_INTS = [".5", "5.", "+", "-", "", "1.2.3", "0x10", "١٢", "１２", "2147483648", "-2147483648",
+             "2147483647.9", "1,000", " +7 ", "-0", "007", "7.9", "-7.9", "1e1", "7d", "7f", "x", " ",
+             "\t7", "7\n", "+.5", "-.5", "5.e3", "\x007", "7\x85", "  7", "\x1f-3 ", None]
+
+
+def _non_ansi_int(spark, df):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        return {r[0]: r[1] for r in df.select("v", F.col("v").cast("int")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_safe_int_equals_non_ansi_cast_on_edges(spark):
+    df = spark.createDataFrame([(v,) for v in EDGE_INTS], "v string")
+    ours = {r[0]: r[1] for r in df.select("v", X.safe_int("v")).collect()}
+    assert ours == _non_ansi_int(spark, df)
+
+
+@SETTINGS
+@given(vals=st.lists(st.text(alphabet="0123456789+-. \teE,x", max_size=8), min_size=1, max_size=40))
+def test_safe_int_equals_non_ansi_cast(spark, vals):
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    ours = {r[0]: r[1] for r in df.select("v", X.safe_int("v")).collect()}
+    assert ours == _non_ansi_int(spark, df)
