@@ -18,8 +18,6 @@ _DECIMAL_TEXT = r"^[+-]?[0-9]*(\.[0-9]*)?\z"
 # What a non-ANSI string-to-number cast strips around a value: ASCII space and
 # control characters (0x00-0x20 and 0x7F).
 CAST_TRIM_CHARS = "".join(chr(c) for c in [*range(0x00, 0x21), 0x7F])
-# yyyy-MM-dd with exactly two-digit month and day.
-_ISO_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
 def _col(c) -> Column:
@@ -42,12 +40,13 @@ def safe_int(c) -> Column:
 
 
 def safe_date(c, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text -> date with ``fmt``; NULL for malformed or impossible dates."""
-    t = _col(c)
-    parsed = F.try_to_date(t, fmt)
-    if fmt == "yyyy-MM-dd":
-        return F.when(t.rlike(_ISO_DATE_TEXT), parsed)
-    return parsed
+    """Text -> date with ``fmt``; NULL for malformed or impossible dates.
+
+    Same result as the non-ANSI ``to_date`` under the default (corrected)
+    parser: the whole text must match ``fmt`` (``2026-2-3``, ``2026-02-30``
+    and trailing text give NULL), and it never throws.
+    """
+    return F.try_to_date(_col(c), fmt)
 
 
 def _normalised_code(c) -> Column:

@@ -96,3 +96,21 @@ def test_safe_int_equals_non_ansi_cast(spark, vals):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     ours = {r[0]: r[1] for r in df.select("v", X.safe_int("v")).collect()}
     assert ours == _non_ansi_int(spark, df)
+
+
+EDGE_DATES = ["2026-01-02", "2026-1-02", "2026-01-2", "20260-01-02", "0026-01-02", "-2026-01-02",
+              "+2026-01-02", "2026-01-02T00:00", "2026-01-02 10:00", "2026/01/02", "2026-02-29", "2024-02-29",
+              "9999-12-31", "10000-01-01", "2026-01-02\n", "2026-13-40", "bad", "", "2026-01-02 ", "026-01-02",
+              "2026-01", "2026-01-02Z", None]
+
+
+def test_safe_date_equals_non_ansi_to_date(spark):
+    df = spark.createDataFrame([(v,) for v in EDGE_DATES], "v string")
+    ours = {r[0]: r[1] for r in df.select("v", X.safe_date("v").cast("string")).collect()}
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        ref = {r[0]: r[1] for r in df.select("v", F.to_date("v", "yyyy-MM-dd").cast("string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
+    assert ours == ref
