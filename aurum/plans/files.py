@@ -59,6 +59,44 @@ def land_fixture(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
     return {"root": root, "metadata": f"{root}/raw/metadata", "dicom": f"{root}/raw/dicom"}
 
 
+META_HEADER = ",".join([*RAW_META_COLS, "encounter_id"])
+MANIFEST_HEADER = ",".join(f.name for f in config.MANIFEST_RAW_SCHEMA.fields)
+
+
+def _csv_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows as CSV lines (NULL -> empty field; the fixture has no commas/quotes)."""
+    return df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+                     .alias("value"))
+
+
+def land_text(lines: DataFrame, header: str, path: str) -> None:
+    """Write one upload as a single text file with reproducible bytes: the
+    header, then the lines in byte order (a global sort, then one file)."""
+    spark = lines.sparkSession
+    head = spark.range(1).select(F.lit(header).alias("value"), F.lit(0).alias("_h"))
+    body = lines.select("value", F.lit(1).alias("_h"))
+    head.unionByName(body).orderBy("_h", "value").coalesce(1).select("value").write.mode("overwrite").text(path)
+
+
+def land_fixture_text(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    """Land the fixture uploads (CHOC extract, other-site extract, manifest) as
+    byte-reproducible CSV text, so file hashes and sizes can be recomputed by
+    any engine from the tables."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, name)
+    stamp = _dt.datetime(2026, 6, 23, 13, 18, 4)
+    cols = [*RAW_META_COLS, "encounter_id"]
+    choc = meta.where(F.col("site_location") == "CHOC")
+    rest = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC")))
+    land_text(_csv_text(choc, cols), META_HEADER,
+              f"{root}/raw/metadata/{landing.upload_name('choc_extract.csv', stamp)}")
+    land_text(_csv_text(rest, cols), META_HEADER,
+              f"{root}/raw/metadata/{landing.upload_name('rady_extract.csv', stamp)}")
+    land_text(_csv_text(man, MANIFEST_HEADER.split(",")), MANIFEST_HEADER,
+              f"{root}/raw/dicom/{landing.upload_name('dicom_manifest.csv', stamp)}")
+    return {"root": root, "metadata": f"{root}/raw/metadata", "dicom": f"{root}/raw/dicom"}
+
+
 def _source_is_csv() -> F.Column:
     return F.col("source_file").endswith(".csv").alias("source_is_csv")
 
@@ -242,36 +280,37 @@ def q_landing_name_parts(spark, sf_dir):
                         X.upload_time("file_name").alias("uploaded_at"))
 
 
-def _ledger(spark, dirs) -> DataFrame:
-    listing = landing.list_files(spark, f"{dirs['root']}/raw", "*.csv")
+def _ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
+    listing = landing.list_files(spark, f"{dirs['root']}/raw", glob)
     kind = F.when(F.col("path").contains("/raw/dicom/"), F.lit("DICOM Imaging Manifest")) \
         .otherwise(F.lit("Clinical Metadata Extract"))
     site = F.when(F.col("file_name").startswith("choc_extract"), F.lit("CHOC")).otherwise(F.lit("Rady"))
     submissions = listing.select("file_name", F.lit("Site coordinator").alias("submitter"),
                                  site.alias("affiliation"), kind.alias("dataset_type"))
-    return landing.landing_ledger(spark, f"{dirs['root']}/raw", submissions)
+    return landing.landing_ledger(spark, f"{dirs['root']}/raw", submissions, glob=glob)
 
 
 @query("landing_ledger")
 def q_landing_ledger(spark, sf_dir):
-    dirs = land_fixture(spark, sf_dir, "ledger")
-    return _ledger(spark, dirs).drop("source_file")
+    dirs = land_fixture_text(spark, sf_dir, "ledger")
+    return _ledger(spark, dirs, glob=None).drop("source_file")
 
 
 @query("landing_catalog")
 def q_landing_catalog(spark, sf_dir):
-    dirs = land_fixture(spark, sf_dir, "catalog")
-    ledger = _ledger(spark, dirs)
+    dirs = land_fixture_text(spark, sf_dir, "catalog")
+    ledger = _ledger(spark, dirs, glob=None)
     listing = landing.list_files(spark, dirs["root"])
-    return landing.landing_catalog(listing, ledger, root=dirs["root"]).drop("last_modified")
+    cat = landing.landing_catalog(listing, ledger, root=dirs["root"])
+    return cat.select(X.landed_object_name("key").alias("object_name"), "submitter", "affiliation", "size_kb")
 
 
 @query("ledger_lookup")
 def q_ledger_lookup(spark, sf_dir):
     """Known ids resolve to their files; an unknown id falls back to the
     default (the first metadata upload)."""
-    dirs = land_fixture(spark, sf_dir, "lookup")
-    ledger = _ledger(spark, dirs).drop("source_file")
+    dirs = land_fixture_text(spark, sf_dir, "lookup")
+    ledger = _ledger(spark, dirs, glob=None).drop("source_file")
     default = ledger.where(F.col("object_prefix") == "metadata").agg(F.min("tx_id").alias("d"))
     requests = ledger.select("tx_id").unionByName(
         ledger.select(F.concat(F.lit("TX-UNKNOWN-"), F.col("tx_id")).alias("tx_id")))

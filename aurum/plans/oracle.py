@@ -498,3 +498,56 @@ def _bigint_count_if(sql: str) -> str:
 
 
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
+
+
+def _upload_text(rows_sql: str, header: str) -> str:
+    """The exact text of a landed upload: header, then the lines in byte order."""
+    return (f"(select '{header}' || chr(10) || coalesce(string_agg(line, chr(10) order by line), '') "
+            f"|| case when count(*) > 0 then chr(10) else '' end from ({rows_sql}) u)")
+
+
+_META_LINE = ("concat_ws(',', coalesce(ssn, ''), coalesce(age, ''), coalesce(site_location, ''), "
+              "coalesce(ehr_system, ''), coalesce(lesion_status_code, ''), coalesce(scan_date, ''), "
+              "cast(encounter_id as varchar))")
+_MAN_LINE = ("concat_ws(',', coalesce(ssn, ''), coalesce(dicom_s3_uri, ''), coalesce(modality, ''), "
+             "coalesce(body_region, ''))")
+_META_HDR = "ssn,age,site_location,ehr_system,lesion_status_code,scan_date,encounter_id"
+_MAN_HDR = "ssn,dicom_s3_uri,modality,body_region"
+
+_UPLOADS = f"""
+uploads as (
+  select 'choc_extract_20260623T131804Z.csv' as file_name, 'CHOC' as affiliation,
+         'Clinical Metadata Extract' as dataset_type, 'metadata' as object_prefix,
+         {_upload_text(f"select {_META_LINE} as line from fx_metadata where site_location = 'CHOC'", _META_HDR)}
+             as body
+  union all
+  select 'rady_extract_20260623T131804Z.csv', 'Rady', 'Clinical Metadata Extract', 'metadata',
+         {_upload_text(f"select {_META_LINE} as line from fx_metadata "
+                       "where site_location is null or site_location <> 'CHOC'", _META_HDR)}
+  union all
+  select 'dicom_manifest_20260623T131804Z.csv', 'Rady', 'DICOM Imaging Manifest', 'dicom',
+         {_upload_text(f"select {_MAN_LINE} as line from fx_manifest", _MAN_HDR)}),
+ledger as (
+  select 'TX-' || upper(substr(md5(body), 1, 6)) as tx_id, md5(body) as content_md5,
+         'Site coordinator' as submitter, affiliation, dataset_type, object_prefix,
+         timestamp '2026-06-23 13:18:04' as uploaded_at, file_name, strlen(body) as bytes
+  from uploads)"""
+
+
+def _ql(body: str) -> str:
+    return f"with {FIXTURE_CTES.strip()},{_UPLOADS.strip()}\n{body.strip()}"
+
+
+ORACLE.update({
+    "landing_ledger": _ql("""
+        select tx_id, content_md5, submitter, affiliation, dataset_type, object_prefix, uploaded_at, file_name
+        from ledger"""),
+    "landing_catalog": _ql("""
+        select file_name as object_name, submitter, affiliation, round(bytes / 1024, 2) as size_kb from ledger"""),
+    "ledger_lookup": _ql("""
+        select tx_id as requested_id, tx_id, true as found, file_name, affiliation from ledger
+        union all
+        select 'TX-UNKNOWN-' || l.tx_id as requested_id, d.tx_id, false as found, d.file_name, d.affiliation
+        from ledger l, (select * from ledger where tx_id = (select min(tx_id) from ledger
+                                                            where object_prefix = 'metadata')) d"""),
+})
