@@ -168,9 +168,9 @@ def upload_base_name(c) -> Column:
 def landed_object_name(path_col) -> Column:
     """Name of the landed object a file belongs to: the last path segment
     carrying an upload stamp (a stamped file, or a stamped folder of part
-    files), else the file name."""
+    files, also as a ``key=<name>`` partition folder), else the file name."""
     p = _col(path_col)
-    stamped = F.regexp_extract(p, r"([^/]*_\d{8}T\d{6}Z[^/]*)(/[^/]*)?$", 1)
+    stamped = F.regexp_extract(p, r"([^/=]*_\d{8}T\d{6}Z[^/]*)(/[^/]*)?$", 1)
     return F.when(stamped != "", stamped).otherwise(file_name_of(p))
 
 

@@ -38,65 +38,56 @@ RAW_META_COLS = [f.name for f in config.METADATA_RAW_SCHEMA.fields]
 _KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> str:
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(header=header, **_KEEP_SPACES).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
+    df.write.mode("overwrite").options(header=header, **_KEEP_SPACES).csv(path)
     return path
 
 
-def land_fixture(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
-    """Land the fixture as CSV: one extract per site plus the manifest, with
-    immutable upload names. Returns the folders."""
-    meta, man = load_fixtures(spark, sf_dir)
-    root = scratch_path(spark, name)
-    choc = meta.where(F.col("site_location") == "CHOC")
-    rest = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC")))
-    stamp = _dt.datetime(2026, 6, 23, 13, 18, 4)
-    # An upload is one file (a single-part folder named with the upload name).
-    write_csv(choc, f"{root}/raw/metadata/{landing.upload_name('choc_extract.csv', stamp)}", single_file=True)
-    write_csv(rest, f"{root}/raw/metadata/{landing.upload_name('rady_extract.csv', stamp)}", single_file=True)
-    write_csv(man, f"{root}/raw/dicom/{landing.upload_name('dicom_manifest.csv', stamp)}", single_file=True)
-    return {"root": root, "metadata": f"{root}/raw/metadata", "dicom": f"{root}/raw/dicom"}
-
+# Encounters / customers per landed upload: uploads stay bounded (one file
+# each, written by one task) while their number grows with the data.
+UPLOAD_KEY_SPAN = 100_000
+UPLOAD_STAMP = "20260623T131804Z"
+META_COLS = [*RAW_META_COLS, "encounter_id"]
+MANIFEST_COLS = [f.name for f in config.MANIFEST_RAW_SCHEMA.fields]
 
-META_HEADER = ",".join([*RAW_META_COLS, "encounter_id"])
-MANIFEST_HEADER = ",".join(f.name for f in config.MANIFEST_RAW_SCHEMA.fields)
 
+def _line(cols: list[str]) -> F.Column:
+    """A row as its CSV line (NULL -> empty field; the fixture has no
+    delimiters, quotes or line breaks in values)."""
+    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 
-def _csv_text(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows as CSV lines (NULL -> empty field; the fixture has no commas/quotes)."""
-    return df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-                     .alias("value"))
 
+def land_uploads(df: DataFrame, upload: F.Column, cols: list[str], path: str) -> None:
+    """Land rows as CSV uploads, one file per ``upload`` value, written in
+    parallel (``partitionBy``). Each file is the header then its lines in byte
+    order, so its bytes (and hash) are reproducible from the tables."""
+    (df.select(upload.alias("upload"), *cols, _line(cols).alias("_line"))
+       .repartition("upload")
+       .sortWithinPartitions("upload", "_line")
+       .drop("_line")
+       .write.mode("overwrite").partitionBy("upload").options(header=True, **_KEEP_SPACES).csv(path))
 
-def land_text(lines: DataFrame, header: str, path: str) -> None:
-    """Write one upload as a single text file with reproducible bytes: the
-    header, then the lines in byte order (a global sort, then one file)."""
-    spark = lines.sparkSession
-    head = spark.range(1).select(F.lit(header).alias("value"), F.lit(0).alias("_h"))
-    body = lines.select("value", F.lit(1).alias("_h"))
-    head.unionByName(body).orderBy("_h", "value").coalesce(1).select("value").write.mode("overwrite").text(path)
 
-
-def land_fixture_text(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
-    """Land the fixture uploads (CHOC extract, other-site extract, manifest) as
-    byte-reproducible CSV text, so file hashes and sizes can be recomputed by
-    any engine from the tables."""
+def land_fixture(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    """Land the fixture as a landing zone: metadata extracts per site and
+    manifests, each upload covering a bounded key range and carrying an
+    immutable upload name. Returns the folders."""
     meta, man = load_fixtures(spark, sf_dir)
     root = scratch_path(spark, name)
-    stamp = _dt.datetime(2026, 6, 23, 13, 18, 4)
-    cols = [*RAW_META_COLS, "encounter_id"]
-    choc = meta.where(F.col("site_location") == "CHOC")
-    rest = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC")))
-    land_text(_csv_text(choc, cols), META_HEADER,
-              f"{root}/raw/metadata/{landing.upload_name('choc_extract.csv', stamp)}")
-    land_text(_csv_text(rest, cols), META_HEADER,
-              f"{root}/raw/metadata/{landing.upload_name('rady_extract.csv', stamp)}")
-    land_text(_csv_text(man, MANIFEST_HEADER.split(",")), MANIFEST_HEADER,
-              f"{root}/raw/dicom/{landing.upload_name('dicom_manifest.csv', stamp)}")
+    site = F.when(F.col("site_location") == "CHOC", F.lit("choc")).otherwise(F.lit("rady"))
+    meta_upload = F.concat(site, F.lit("_extract_"), _bucket(F.col("encounter_id")),
+                           F.lit(f"_{UPLOAD_STAMP}.csv"))
+    custkey = F.element_at(F.split("ssn", "-"), 3).cast("bigint")
+    man_upload = F.concat(F.lit("dicom_manifest_"), _bucket(custkey), F.lit(f"_{UPLOAD_STAMP}.csv"))
+    land_uploads(meta, meta_upload, META_COLS, f"{root}/raw/metadata")
+    land_uploads(man, man_upload, MANIFEST_COLS, f"{root}/raw/dicom")
     return {"root": root, "metadata": f"{root}/raw/metadata", "dicom": f"{root}/raw/dicom"}
 
 
+def _bucket(key: F.Column) -> F.Column:
+    return F.lpad(F.floor(key / UPLOAD_KEY_SPAN).cast("string"), 4, "0")
+
+
 def _source_is_csv() -> F.Column:
     return F.col("source_file").endswith(".csv").alias("source_is_csv")
 
@@ -254,14 +245,14 @@ def q_landing_scan(spark, sf_dir):
 
 @query("newest_snapshot")
 def q_newest_snapshot(spark, sf_dir):
-    """Three snapshots land in turn, then an unrelated newer file; only the
-    newest matching snapshot is read."""
+    """Three metadata snapshots land in turn (each written in parallel), then
+    an unrelated newer upload; only the newest matching snapshot is read."""
     meta, man = load_fixtures(spark, sf_dir)
     root = scratch_path(spark, "snapshots")
-    write_csv(meta.where(F.col("encounter_id") % 2 == 0), f"{root}/metadata_a", single_file=True)
-    write_csv(meta.where(F.col("encounter_id") % 2 == 1), f"{root}/metadata_b", single_file=True)
-    write_csv(meta, f"{root}/metadata_c", single_file=True)
-    write_csv(man, f"{root}/zz_other", single_file=True)
+    e = F.col("encounter_id")
+    for tag, rows in (("a", meta.where(e % 2 == 0)), ("b", meta.where(e % 2 == 1)), ("c", meta)):
+        land_uploads(rows, F.lit(f"metadata_snapshot_{tag}_{UPLOAD_STAMP}.csv"), META_COLS, root)
+    land_uploads(man, F.lit(f"imaging_manifest_{UPLOAD_STAMP}.csv"), MANIFEST_COLS, f"{root}/other")
     newest = landing.newest_snapshot(spark, root, config.METADATA_NAME_TOKENS)
     return csv.read_csv(spark, newest, FIXTURE_METADATA_SCHEMA).drop(config.CORRUPT_COLUMN)
 
@@ -292,13 +283,13 @@ def _ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
 
 @query("landing_ledger")
 def q_landing_ledger(spark, sf_dir):
-    dirs = land_fixture_text(spark, sf_dir, "ledger")
+    dirs = land_fixture(spark, sf_dir, "ledger")
     return _ledger(spark, dirs, glob=None).drop("source_file")
 
 
 @query("landing_catalog")
 def q_landing_catalog(spark, sf_dir):
-    dirs = land_fixture_text(spark, sf_dir, "catalog")
+    dirs = land_fixture(spark, sf_dir, "catalog")
     ledger = _ledger(spark, dirs, glob=None)
     listing = landing.list_files(spark, dirs["root"])
     cat = landing.landing_catalog(listing, ledger, root=dirs["root"])
@@ -309,7 +300,7 @@ def q_landing_catalog(spark, sf_dir):
 def q_ledger_lookup(spark, sf_dir):
     """Known ids resolve to their files; an unknown id falls back to the
     default (the first metadata upload)."""
-    dirs = land_fixture_text(spark, sf_dir, "lookup")
+    dirs = land_fixture(spark, sf_dir, "lookup")
     ledger = _ledger(spark, dirs, glob=None).drop("source_file")
     default = ledger.where(F.col("object_prefix") == "metadata").agg(F.min("tx_id").alias("d"))
     requests = ledger.select("tx_id").unionByName(
@@ -352,10 +343,10 @@ def q_run_metrics(spark, sf_dir):
 
 @query("lineage_trace")
 def q_lineage_trace(spark, sf_dir):
-    """Trace the CHOC extract's confirmation id through every layer."""
+    """Trace the first CHOC upload's confirmation id through every layer."""
     dirs, base, _ = _run(spark, sf_dir, "lineage")
     ledger = _ledger(spark, dirs)
-    tx_id = ledger.where(F.col("file_name").startswith("choc_extract")).first()["tx_id"]
+    tx_id = ledger.where(F.col("file_name").startswith("choc_extract_0000_")).first()["tx_id"]
     bronze = writers.read_bronze(spark, f"{base}/bronze_metadata")
     silver = spark.read.parquet(f"{base}/silver").drop("site_key")
     gold = spark.read.parquet(f"{base}/gold_research")

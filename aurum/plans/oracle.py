@@ -397,16 +397,17 @@ ORACLE.update({
                (select count(*) from g) as gold_rows,
                (select count(*) from g where lesion_code_requires_review) as gold_flagged_for_review"""),
     "lineage_trace": _q("""
-        select 'landed' as stage, ssn as record_key from fx_metadata where site_location = 'CHOC'
+        , up0 as (select * from fx_metadata where site_location = 'CHOC' and encounter_id < 100000)
+        select 'landed' as stage, ssn as record_key from up0
         union all
-        select 'bronze' as stage, ssn as record_key from fx_metadata where site_location = 'CHOC'
+        select 'bronze' as stage, ssn as record_key from up0
         union all
         select 'silver' as stage, ssn as record_key from sj
-          where ssn in (select trim(ssn) from fx_metadata where site_location = 'CHOC' and ssn is not null)
+          where ssn in (select trim(ssn) from up0 where ssn is not null)
         union all
         select 'gold' as stage, subject_surrogate_id as record_key from g
-          where subject_surrogate_id in (select substr(sha256(trim(ssn)), 1, 16) from fx_metadata
-                                         where site_location = 'CHOC' and ssn is not null)"""),
+          where subject_surrogate_id in (select substr(sha256(trim(ssn)), 1, 16) from up0
+                                         where ssn is not null)"""),
 })
 
 
@@ -500,12 +501,6 @@ def _bigint_count_if(sql: str) -> str:
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
 
 
-def _upload_text(rows_sql: str, header: str) -> str:
-    """The exact text of a landed upload: header, then the lines in byte order."""
-    return (f"(select '{header}' || chr(10) || coalesce(string_agg(line, chr(10) order by line), '') "
-            f"|| case when count(*) > 0 then chr(10) else '' end from ({rows_sql}) u)")
-
-
 _META_LINE = ("concat_ws(',', coalesce(ssn, ''), coalesce(age, ''), coalesce(site_location, ''), "
               "coalesce(ehr_system, ''), coalesce(lesion_status_code, ''), coalesce(scan_date, ''), "
               "cast(encounter_id as varchar))")
@@ -514,19 +509,26 @@ _MAN_LINE = ("concat_ws(',', coalesce(ssn, ''), coalesce(dicom_s3_uri, ''), coal
 _META_HDR = "ssn,age,site_location,ehr_system,lesion_status_code,scan_date,encounter_id"
 _MAN_HDR = "ssn,dicom_s3_uri,modality,body_region"
 
+_BUCKET = "lpad(cast(({k}) // 100000 as varchar), 4, '0')"
+
 _UPLOADS = f"""
+meta_up as (
+  select case when site_location = 'CHOC' then 'choc' else 'rady' end as site,
+         {_BUCKET.format(k="encounter_id")} as b, {_META_LINE} as line
+  from fx_metadata),
+man_up as (
+  select {_BUCKET.format(k="cast(split_part(ssn, '-', 3) as bigint)")} as b, {_MAN_LINE} as line
+  from fx_manifest),
 uploads as (
-  select 'choc_extract_20260623T131804Z.csv' as file_name, 'CHOC' as affiliation,
+  select site || '_extract_' || b || '_20260623T131804Z.csv' as file_name,
+         case when site = 'choc' then 'CHOC' else 'Rady' end as affiliation,
          'Clinical Metadata Extract' as dataset_type, 'metadata' as object_prefix,
-         {_upload_text(f"select {_META_LINE} as line from fx_metadata where site_location = 'CHOC'", _META_HDR)}
-             as body
-  union all
-  select 'rady_extract_20260623T131804Z.csv', 'Rady', 'Clinical Metadata Extract', 'metadata',
-         {_upload_text(f"select {_META_LINE} as line from fx_metadata "
-                       "where site_location is null or site_location <> 'CHOC'", _META_HDR)}
+         '{_META_HDR}' || chr(10) || string_agg(line, chr(10) order by line) || chr(10) as body
+  from meta_up group by site, b
   union all
-  select 'dicom_manifest_20260623T131804Z.csv', 'Rady', 'DICOM Imaging Manifest', 'dicom',
-         {_upload_text(f"select {_MAN_LINE} as line from fx_manifest", _MAN_HDR)}),
+  select 'dicom_manifest_' || b || '_20260623T131804Z.csv', 'Rady', 'DICOM Imaging Manifest', 'dicom',
+         '{_MAN_HDR}' || chr(10) || string_agg(line, chr(10) order by line) || chr(10)
+  from man_up group by b),
 ledger as (
   select 'TX-' || upper(substr(md5(body), 1, 6)) as tx_id, md5(body) as content_md5,
          'Site coordinator' as submitter, affiliation, dataset_type, object_prefix,

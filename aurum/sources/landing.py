@@ -77,18 +77,24 @@ def name_matches(file_name_col, tokens: Sequence[str]):
 
 def newest_snapshot(spark: SparkSession, root: str, tokens: Sequence[str] = config.METADATA_NAME_TOKENS,
                     glob: str | None = "*.csv", fixed_path: str | None = None) -> str | None:
-    """Path of the newest file (modification time, then path) whose path
-    below ``root`` contains one of ``tokens``; a ``fixed_path`` that exists
-    wins.
+    """Path of the newest landed object (a file, or a stamped folder of part
+    files) whose path below ``root`` contains one of ``tokens``; newest means
+    the latest modification time of its files, then the path. A
+    ``fixed_path`` that exists wins.
 
     Only one value (a path) reaches the driver; the search is a distributed
-    ``max_by`` over the listing.
+    aggregation over the listing.
     """
     if fixed_path is not None and path_exists(spark, fixed_path):
         return fixed_path
     listing = list_files(spark, root, glob)
-    listing = listing.where(name_matches(relative_path(F.col("path"), root), tokens))
-    row = listing.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
+    own_file = F.regexp_extract("path", r"([^/]+)$", 1) == F.col("file_name")
+    objects = listing.select(
+        F.when(own_file, F.col("path")).otherwise(F.regexp_replace("path", r"/[^/]*$", "")).alias("object"),
+        "modificationTime",
+    ).groupBy("object").agg(F.max("modificationTime").alias("mtime"))
+    objects = objects.where(name_matches(relative_path(F.col("object"), root), tokens))
+    row = objects.agg(F.max_by("object", F.struct("mtime", "object")).alias("p")).first()
     return row["p"] if row else None
 
 

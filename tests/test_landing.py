@@ -38,7 +38,8 @@ def test_ledger_ids_equal_md5_of_file_bytes(spark):
     expected = {}
     for p in on_disk:
         data = open(p, "rb").read()
-        expected[os.path.basename(os.path.dirname(p))] = "TX-" + hashlib.md5(data).hexdigest()[:6].upper()
+        upload = os.path.basename(os.path.dirname(p)).split("=", 1)[-1]  # upload=<landed name>
+        expected[upload] = "TX-" + hashlib.md5(data).hexdigest()[:6].upper()
     assert {r["file_name"]: r["tx_id"] for r in ledger} == expected
     assert {r["object_prefix"] for r in ledger} == {"metadata", "dicom"}
     assert all(r["uploaded_at"].isoformat() == "2026-06-23T13:18:04" for r in ledger)
@@ -141,7 +142,7 @@ def test_incremental_ingest_is_exactly_once(spark):
     assert spark.read.parquet(out).count() == n1
     # A new upload is picked up on the next run, once.
     meta = files.load_fixtures(spark, SF_SMALL)[0].where(F.col("encounter_id") % 5 == 0)
-    files.write_csv(meta, f"{dirs['metadata']}/late_20260624T000000Z.csv", single_file=True)
+    files.land_uploads(meta, F.lit("late_20260624T000000Z.csv"), files.META_COLS, f"{dirs['metadata']}/late")
     incremental_ingest(spark, dirs["metadata"], files.FIXTURE_METADATA_SCHEMA, out, ckpt)
     assert spark.read.parquet(out).count() == n1 + meta.count()
 
@@ -173,7 +174,7 @@ def test_append_ledger_idempotent(spark):
     assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 3
     assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 0
     meta = files.load_fixtures(spark, SF_SMALL)[0].where(F.col("encounter_id") % 7 == 0)
-    files.write_csv(meta, f"{dirs['metadata']}/late_extract_20260624T000000Z.csv", single_file=True)
+    files.land_uploads(meta, F.lit("late_extract_20260624T000000Z.csv"), files.META_COLS, f"{dirs['metadata']}/late")
     assert landing.append_ledger(spark, files._ledger(spark, dirs), path) == 1
     assert spark.read.parquet(path).count() == 4
 
