@@ -6,7 +6,9 @@ layer) and replaces the repeated re-reads of the CSV. Row counts come from
 ``Observation``s attached to the writes instead of separate ``count()`` jobs.
 
 Jobs per run: 2 Bronze writes, 1 Silver write, 1 reconciliation, 1 Gold
-write, 1 ML export, 3 small summary writes, 1 metrics write.
+write, 1 ML export, 3 small summary writes, 1 metrics write. Independent
+writes (the two Bronze tables; the Gold exports and summaries) are submitted
+together so the scheduler overlaps them.
 """
 
 from __future__ import annotations
@@ -64,11 +66,12 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     # Landing prefixes hold one folder or file per upload: read them recursively.
     bm = csv.ingest_bronze(spark, metadata_path, metadata_schema, run_ts, run_date,
                            recursive=True, glob="*.csv").observe(obs_bm, *m)
-    writers.write_bronze(bm, out.bronze_metadata, fmt)
     obs_bd, m = csv.ingest_observation("bronze_manifest")
     bd = csv.ingest_bronze(spark, manifest_path, manifest_schema, run_ts, run_date,
                            recursive=True, glob="*.csv").observe(obs_bd, *m)
-    writers.write_bronze(bd, out.bronze_manifest, fmt)
+    # The two Bronze writes are independent jobs: submit them together.
+    _concurrently(lambda: writers.write_bronze(bm, out.bronze_metadata, fmt),
+                  lambda: writers.write_bronze(bd, out.bronze_manifest, fmt))
 
     # Silver reads this run's Bronze partition only (partition pruning).
     meta_b = csv.good_rows(writers.read_bronze(spark, out.bronze_metadata, fmt, bm.schema)
@@ -110,10 +113,13 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                         F.count_if(F.col("lesion_code_requires_review")).alias("flagged"))
     writers.write_table(gold, out.gold_research, fmt)
     gold_r = spark.read.format(fmt).schema(gold.schema).load(out.gold_research)
-    writers.export_gold_ml(gold_r, out.gold_ml_export, fmt=fmt)
-    writers.write_table(stats.cohort_summary(gold_r), out.gold_cohort_summary, fmt)
-    writers.write_table(stats.label_distribution(gold_r), out.gold_label_distribution, fmt)
-    writers.write_table(stats.age_distribution(gold_r), out.gold_age_distribution, fmt)
+    # Exports and summaries read the written Gold table independently.
+    _concurrently(
+        lambda: writers.export_gold_ml(gold_r, out.gold_ml_export, fmt=fmt),
+        lambda: writers.write_table(stats.cohort_summary(gold_r), out.gold_cohort_summary, fmt),
+        lambda: writers.write_table(stats.label_distribution(gold_r), out.gold_label_distribution, fmt),
+        lambda: writers.write_table(stats.age_distribution(gold_r), out.gold_age_distribution, fmt),
+    )
 
     bmv, bdv, sv, gv = obs_bm.get, obs_bd.get, obs_s.get, obs_g.get
     mv = _observed(obs_meta, lambda: layers.silver_metadata(meta_b).agg(*meta_stats))
@@ -150,6 +156,16 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     return spark.read.format(fmt).load(out.run_metrics).where(F.col("run_timestamp") == run_ts)
 
 
+def _concurrently(*jobs) -> None:
+    """Run independent Spark actions from threads so the scheduler can
+    overlap them (small jobs rarely fill a cluster); re-raise the first error."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def _observed(obs: Observation, fallback) -> dict:
     """An Observation's metrics, or the same aggregate computed directly when
     its node never ran (AQE can skip an operand of a join whose other side
