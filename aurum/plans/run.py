@@ -97,13 +97,16 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
         F.count_if(F.col("site_location").isNull()).alias("rows_without_site"))
     # The Silver table is partitioned by site (NULL sites land in the default
     # partition and are excluded from site reads by partition pruning).
-    writers.write_table(silver, out.silver, fmt, partition_by=["site_key"], dynamic=False,
-                        spread=site_spread)
-
     # Join reconciliation over the cleaned inputs: only key columns are read
-    # and the dedup is not re-run (it keeps exactly one row per id).
-    recon = join.reconcile_join(layers.silver_metadata(meta_b), layers.silver_manifest(man_b),
-                                metadata_deduplicated=True).first()
+    # and the dedup is not re-run (it keeps exactly one row per id). It is
+    # independent of the Silver write, so both jobs run together.
+    reconciliation = join.reconcile_join(layers.silver_metadata(meta_b), layers.silver_manifest(man_b),
+                                         metadata_deduplicated=True)
+    found: dict = {}
+    _concurrently(lambda: writers.write_table(silver, out.silver, fmt, partition_by=["site_key"],
+                                              dynamic=False, spread=site_spread),
+                  lambda: found.update(recon=reconciliation.first()))
+    recon = found["recon"]
 
     # Gold from the written Silver table.
     silver_r = spark.read.format(fmt).schema(silver.schema).load(out.silver).drop("site_key")
