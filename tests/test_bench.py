@@ -20,5 +20,5 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["metric"] and d["sf"] == 0.001
     assert set(d["queries"]) == {"cohort_summary", "dedup_latest"}
-    assert abs(d["value"] - sum(d["queries"].values())) < 1e-6
+    assert abs(d["value"] - sum(d["queries"].values())) < 0.01
     assert d["work_per_run"]["dedup_latest"]["stages"] >= 1
