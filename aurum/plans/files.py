@@ -378,3 +378,17 @@ def q_synth_run_metrics(spark, sf_dir):
     dirs = write_synthetic_extracts(read_table(spark, sf_dir, "customer"), f"{root}/raw")
     return run_medallion(spark, dirs["metadata"], dirs["dicom"], f"{root}/lake", run_ts=RUN_TS,
                          run_date=RUN_DATE, tiebreakers=())
+
+
+@query("dedup_incremental")
+def q_dedup_incremental(spark, sf_dir):
+    """Keep-latest applied in two increments (older orders first, then newer)
+    to a bucketed state; must equal the one-shot dedup over all rows."""
+    from aurum.plans import incremental
+    meta, _ = load_fixtures(spark, sf_dir)
+    silver = layers.silver_metadata(meta)
+    state = scratch_path(spark, "latest-state")
+    cutoff = F.col("encounter_id") % 2 == 0
+    for part in (silver.where(cutoff), silver.where(~cutoff)):
+        incremental.upsert_latest(spark, part, state, tiebreakers=["encounter_id"], buckets=64)
+    return incremental.read_latest(spark, state)

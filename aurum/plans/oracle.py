@@ -498,6 +498,8 @@ def _bigint_count_if(sql: str) -> str:
         i = k + 1
 
 
+ORACLE["dedup_incremental"] = ORACLE["dedup_latest"]
+
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
 
 
