@@ -392,3 +392,17 @@ def q_dedup_incremental(spark, sf_dir):
     for part in (silver.where(cutoff), silver.where(~cutoff)):
         incremental.upsert_latest(spark, part, state, tiebreakers=["encounter_id"], buckets=64)
     return incremental.read_latest(spark, state)
+
+
+@query("gold_incremental")
+def q_gold_incremental(spark, sf_dir):
+    """Gold built by two increments (even, then odd encounters, each with the
+    imaging records of its customers' halves); must equal the full Gold."""
+    from aurum.plans import incremental
+    meta, man = load_fixtures(spark, sf_dir)
+    base = scratch_path(spark, "incremental")
+    cust = F.element_at(F.split("ssn", "-"), 3).cast("bigint")
+    for half in (0, 1):
+        incremental.apply_increment(spark, meta.where(F.col("encounter_id") % 2 == half),
+                                    man.where(cust % 2 == half), base, buckets=64)
+    return spark.read.parquet(f"{base}/gold_research").drop(incremental.BUCKET_COLUMN)
