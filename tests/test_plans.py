@@ -109,3 +109,23 @@ def test_lineage_filter_reaches_bronze_scan(spark):
                         spark.read.parquet(f"{base}/gold_research"))
     plan = plan_of(out)
     assert re.search(r"PushedFilters: \[[^\]]*source_file", plan), plan
+
+
+def test_vocabulary_join_is_broadcast(spark):
+    from aurum.operators import clean
+    meta = files.load_fixtures(spark, SF_SMALL)[0]
+    vocab = spark.createDataFrame([(c, config.LABEL_NEGATIVE) for c in config.NEGATIVE_CODES]
+                                  + [(c, config.LABEL_POSITIVE) for c in config.POSITIVE_CODES],
+                                  "code string, label string")
+    plan = plan_of(clean.harmonize_codes_by_table(meta, vocab))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_apply_scale_conf_sets_session(spark):
+    from aurum.session import apply_scale_conf
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        conf = apply_scale_conf(spark, 10 * 2 ** 30, 16)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"] == "80"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
