@@ -251,3 +251,18 @@ def test_harmonize_headers_with_affiliation_default(spark):
     assert out.columns == list(config.CANONICAL_UPLOAD_COLUMNS)
     assert {tuple(r) for r in out.collect()} == {("P1", "CHOC", "7", "2026-01-01", "1"),
                                                  ("P2", "Rady", "9", "2026-02-02", "NA")}
+
+
+def test_synthetic_population_and_bernoulli_mode(spark):
+    from aurum.sources import synthetic
+    pop = synthetic.population(spark, 2000)
+    assert pop.count() == 2000 and pop.agg(F.min("c_custkey"), F.max("c_custkey")).first()[:] == (1, 2000)
+    exact = synthetic.synth_metadata(pop)
+    bern = synthetic.synth_metadata(pop, missing="bernoulli")
+    assert exact.where(F.col("lesion_status_code").isNull()).count() == 100          # exactly 5 %
+    n_missing = bern.where(F.col("lesion_status_code").isNull()).count()
+    assert 50 < n_missing < 160                                                        # about 5 %
+    # Everything but the missing draw is identical between the modes.
+    cols = ["ssn", "age", "site_location", "ehr_system", "scan_date"]
+    assert {tuple(r) for r in exact.select(*cols).collect()} == {tuple(r) for r in bern.select(*cols).collect()}
+    assert exact.select("ssn").distinct().count() == 2000
