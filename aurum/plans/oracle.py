@@ -395,7 +395,15 @@ ORACLE.update({
                (select count(distinct ssn) from sf
                  where not exists (select 1 from sl where sl.ssn = sf.ssn)) as manifest_only_ids,
                (select count(*) from g) as gold_rows,
-               (select count(*) from g where lesion_code_requires_review) as gold_flagged_for_review"""),
+               (select count(*) from g where lesion_code_requires_review) as gold_flagged_for_review,
+               (select count_if(regexp_matches(imaging_s3_uri, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(subject_surrogate_id, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(site_location, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(ehr_system, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(lesion_label, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(modality, '\d{3}-\d{2}-\d{4,}'))
+                  + count_if(regexp_matches(body_region, '\d{3}-\d{2}-\d{4,}'))
+                from g)::bigint as gold_identifier_values"""),
     "lineage_trace": _q("""
         , up0 as (select * from fx_metadata where site_location = 'CHOC' and encounter_id < 100000)
         select 'landed' as stage, ssn as record_key from up0
@@ -470,7 +478,9 @@ ORACLE["synth_run_metrics"] = _q(f"""
            count(distinct ssn) as metadata_ids, count(distinct ssn) as manifest_ids,
            0::bigint as silver_unmatched_count, 0::bigint as metadata_only_ids, 0::bigint as manifest_only_ids,
            count(*) as gold_rows,
-           count_if({_review('lesion_status_code')}) as gold_flagged_for_review
+           count_if({_review('lesion_status_code')}) as gold_flagged_for_review,
+           count_if(regexp_matches('s3://clinical-bronze/imaging/' || ssn || '_scan1.dcm',
+                                   '\d{3}-\d{2}-\d{4,}')) as gold_identifier_values
     from synth""")
 
 

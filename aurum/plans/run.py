@@ -116,8 +116,12 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                         F.count_if(F.col("lesion_code_requires_review")).alias("flagged"))
     writers.write_table(gold, out.gold_research, fmt)
     gold_r = spark.read.format(fmt).schema(gold.schema).load(out.gold_research)
-    # Exports and summaries read the written Gold table independently.
+    # Exports, summaries and the PHI audit read the written Gold table
+    # independently.
+    audit: dict = {}
     _concurrently(
+        lambda: audit.update(row=stats.phi_audit(gold_r).agg(
+            F.coalesce(F.sum("identifier_values"), F.lit(0)).alias("n")).first()),
         lambda: writers.export_gold_ml(gold_r, out.gold_ml_export, fmt=fmt),
         lambda: writers.write_table(stats.cohort_summary(gold_r), out.gold_cohort_summary, fmt),
         lambda: writers.write_table(stats.label_distribution(gold_r), out.gold_label_distribution, fmt),
@@ -151,6 +155,7 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
         "manifest_only_ids": int(recon["manifest_only_ids"]),
         "gold_rows": int(gv["rows"]),
         "gold_flagged_for_review": int(gv["flagged"]),
+        "gold_identifier_values": int(audit["row"]["n"]),
     }
     _report(row, on_empty)
     schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in row.items())
@@ -191,6 +196,9 @@ def _report(m: dict, on_empty: str) -> None:
     if m["metadata_only_ids"] or m["manifest_only_ids"]:
         log.warning("join: %d metadata ids without imaging, %d imaging ids without metadata",
                     m["metadata_only_ids"], m["manifest_only_ids"])
+    if m["gold_identifier_values"]:
+        log.warning("gold: %d values match the identifier pattern (e.g. keys inside imaging URIs); "
+                    "consider gold_research(pointer_base=...)", m["gold_identifier_values"])
     if m["manifest_invalid_uri_rows"]:
         log.warning("manifest: %d rows with a non-standard URI scheme", m["manifest_invalid_uri_rows"])
     empty = [k for k in ("bronze_metadata_rows", "bronze_manifest_rows") if m[k] == 0]
