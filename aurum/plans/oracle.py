@@ -480,7 +480,7 @@ ORACLE["synth_run_metrics"] = _q(f"""
            count(*) as gold_rows,
            count_if({_review('lesion_status_code')}) as gold_flagged_for_review,
            count_if(regexp_matches('s3://clinical-bronze/imaging/' || ssn || '_scan1.dcm',
-                                   '\d{3}-\d{2}-\d{4,}')) as gold_identifier_values
+                                   '\d{{3}}-\d{{2}}-\d{{4,}}')) as gold_identifier_values
     from synth""")
 
 
