@@ -404,5 +404,5 @@ def q_gold_incremental(spark, sf_dir):
     cust = F.element_at(F.split("ssn", "-"), 3).cast("bigint")
     for half in (0, 1):
         incremental.apply_increment(spark, meta.where(F.col("encounter_id") % 2 == half),
-                                    man.where(cust % 2 == half), base, buckets=64)
+                                    man.where(cust % 2 == half), base, increment_id=f"inc-{half}", buckets=64)
     return spark.read.parquet(f"{base}/gold_research").drop(incremental.BUCKET_COLUMN)

@@ -57,20 +57,26 @@ def read_latest(spark: SparkSession, state_path: str, fmt: str = "parquet") -> D
     return spark.read.format(fmt).load(state_path).drop(BUCKET_COLUMN)
 
 
+INCREMENT_COLUMN = "_increment"
+
+
 def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest: DataFrame, base: str,
-                    tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn", buckets: int = 1024,
-                    salt: str | None = None, fmt: str = "parquet") -> dict[str, int]:
+                    increment_id: str, tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn",
+                    buckets: int = 1024, salt: str | None = None, fmt: str = "parquet") -> dict[str, int]:
     """Apply one increment of Bronze rows to the Silver and Gold tables.
 
     * ``silver_latest``: keep-latest state (``upsert_latest``);
-    * ``silver_manifest``: cleaned imaging records, appended per bucket;
+    * ``silver_manifest``: cleaned imaging records, one partition per
+      ``increment_id`` (files sorted by key bucket, so bucket filters skip
+      row groups);
     * ``silver_joined`` and ``gold_research``: recomputed for the touched
       buckets only (both inputs pruned to them) and replaced with dynamic
       partition overwrite.
 
     After any sequence of increments the tables equal a full run over all
-    rows applied so far. Each increment must be applied once (imaging records
-    are appended); pair it with the exactly-once ``incremental_ingest``. Gold carries the bucket (a hash of the key modulo
+    rows applied so far. Re-applying an ``increment_id`` (a retried batch)
+    replaces that increment instead of adding it twice: keep-latest is
+    idempotent and the imaging partition of the increment is overwritten. Gold carries the bucket (a hash of the key modulo
     ``buckets``, less than the surrogate key itself reveals) as its partition.
     """
     from aurum.operators import join
@@ -84,17 +90,19 @@ def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest:
     touched = set()
     if upsert_latest(spark, meta, latest_path, key, "scan_date", tb, buckets, fmt):
         touched |= {r[0] for r in meta.select(key_bucket(key, buckets)).distinct().collect()}
-    man = layers.silver_manifest(new_manifest).withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
+    man = layers.silver_manifest(new_manifest).withColumns({
+        BUCKET_COLUMN: key_bucket(key, buckets), INCREMENT_COLUMN: F.lit(str(increment_id))})
     man_buckets = {r[0] for r in man.select(BUCKET_COLUMN).distinct().collect()}
     if man_buckets:
-        writers.write_table(man, man_path, fmt, mode="append", partition_by=[BUCKET_COLUMN])
+        writers.write_table(man.sortWithinPartitions(BUCKET_COLUMN), man_path, fmt,
+                            partition_by=[INCREMENT_COLUMN], dynamic=True)
     touched |= man_buckets
     if not touched or not path_exists(spark, latest_path) or not path_exists(spark, man_path):
         return {"buckets_rewritten": 0}
 
     hit = F.col(BUCKET_COLUMN).isin(sorted(touched))
     latest = spark.read.format(fmt).load(latest_path).where(hit)
-    scans = spark.read.format(fmt).load(man_path).where(hit).drop(BUCKET_COLUMN)
+    scans = spark.read.format(fmt).load(man_path).where(hit).drop(BUCKET_COLUMN, INCREMENT_COLUMN)
     joined = join.join_manifest(latest, scans, key)
     writers.write_table(joined, joined_path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
     gold = layers.gold_dataset(spark.read.format(fmt).load(joined_path).where(hit), salt=salt,
