@@ -406,3 +406,16 @@ def q_gold_incremental(spark, sf_dir):
         incremental.apply_increment(spark, meta.where(F.col("encounter_id") % 2 == half),
                                     man.where(cust % 2 == half), base, increment_id=f"inc-{half}", buckets=64)
     return spark.read.parquet(f"{base}/gold_research").drop(incremental.BUCKET_COLUMN)
+
+
+@query("gold_streaming")
+def q_gold_streaming(spark, sf_dir):
+    """Gold kept current by Structured Streaming over the landing zone: each
+    micro-batch (one landed file per trigger) is applied as an increment."""
+    from aurum.plans.incremental import BUCKET_COLUMN
+    from aurum.streaming.incremental import stream_increments
+    dirs = land_fixture(spark, sf_dir, "streaming")
+    base = scratch_path(spark, "streaming-lake")
+    stream_increments(spark, dirs["metadata"], dirs["dicom"], base, scratch_path(spark, "streaming-ckpt"),
+                      FIXTURE_METADATA_SCHEMA, config.MANIFEST_RAW_SCHEMA, buckets=64, max_files_per_trigger=1)
+    return spark.read.parquet(f"{base}/gold_research").drop(BUCKET_COLUMN)

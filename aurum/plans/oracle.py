@@ -510,6 +510,7 @@ def _bigint_count_if(sql: str) -> str:
 
 ORACLE["dedup_incremental"] = ORACLE["dedup_latest"]
 ORACLE["gold_incremental"] = ORACLE["gold_research"]
+ORACLE["gold_streaming"] = ORACLE["gold_research"]
 
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
 

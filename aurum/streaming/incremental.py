@@ -49,3 +49,60 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType
          .start(bronze_path))
     q.awaitTermination()
     return len(q.recentProgress)
+
+
+def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str, base: str,
+                      checkpoint_path: str, metadata_schema: StructType, manifest_schema: StructType,
+                      tiebreakers=("encounter_id",), buckets: int = 1024, glob: str = "*.csv",
+                      max_files_per_trigger: int | None = None) -> dict[str, int]:
+    """Keep Silver and Gold current from the landing zone with Structured
+    Streaming: every new landed file is read once (``availableNow``), and each
+    micro-batch is kept in Bronze and applied as one increment
+    (``plans.incremental.apply_increment``).
+
+    Micro-batches are idempotent by epoch (Bronze partition ``_batch`` and
+    the increment id are both derived from it), so a retried batch replaces
+    its own output. The metadata stream runs before the manifest stream:
+    increments must not update the same buckets concurrently.
+    """
+    from aurum.plans.incremental import apply_increment
+
+    counts = {"metadata_batches": 0, "manifest_batches": 0}
+
+    def empty(schema: StructType):
+        return spark.createDataFrame([], schema)
+
+    def run(side: str, directory: str, schema: StructType):
+        reader = (spark.readStream.schema(with_corrupt_column(schema)).option("header", True)
+                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", config.CORRUPT_COLUMN)
+                  .option("columnPruning", False).option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", glob))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        stream = reader.csv(directory).withColumn("source_file", F.col("_metadata.file_path"))
+
+        def apply(batch, epoch_id):
+            batch = batch.persist()
+            try:
+                (batch.withColumn("_batch", F.lit(int(epoch_id))).write.format("parquet")
+                 .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("_batch").save(f"{base}/bronze_{side}"))
+                good = batch.where(F.col(config.CORRUPT_COLUMN).isNull()).drop(config.CORRUPT_COLUMN)
+                if side == "metadata":
+                    meta, man = good, empty(manifest_schema)
+                else:
+                    meta, man = empty(metadata_schema), good
+                apply_increment(spark, meta, man, base, increment_id=f"{side}-{epoch_id}",
+                                tiebreakers=tiebreakers, buckets=buckets)
+                counts[f"{side}_batches"] += 1
+            finally:
+                batch.unpersist()
+
+        q = (stream.writeStream.foreachBatch(apply)
+             .option("checkpointLocation", f"{checkpoint_path}/{side}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run("metadata", metadata_dir, metadata_schema)
+    run("manifest", manifest_dir, manifest_schema)
+    return counts
