@@ -63,7 +63,9 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
     Micro-batches are idempotent by epoch (Bronze partition ``_batch`` and
     the increment id are both derived from it), so a retried batch replaces
     its own output. The metadata stream runs before the manifest stream:
-    increments must not update the same buckets concurrently.
+    increments must not update the same buckets concurrently. The stream
+    checkpoint belongs with the tables (both on shared storage): epochs
+    restart if it is discarded, so reset the tables with it.
     """
     from aurum.plans.incremental import apply_increment
 
