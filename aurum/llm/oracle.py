@@ -16,3 +16,23 @@ with t as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from k
 """
+
+ORACLE["op1_line_dedup"] = r"""
+with l as (
+    select doc_id, source, unnest(string_split(text, chr(10))) as line,
+           generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from documents where text is not null
+), b as (
+    select line, min(doc_id * 1000000000 + pos) as first from l
+    where trim(line, ' ') <> '' group by line having count(distinct source) >= 8
+), k as (
+    select l.doc_id, count(*) as n_lines,
+           count(*) filter (where b.line is not null and l.doc_id * 1000000000 + l.pos <> b.first) as n_removed,
+           coalesce(string_agg(l.line, chr(10) order by l.pos)
+                    filter (where b.line is null or l.doc_id * 1000000000 + l.pos = b.first), '') as kept
+    from l left join b on l.line = b.line group by l.doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join k on d.doc_id = k.doc_id
+"""

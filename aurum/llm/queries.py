@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aurum.llm import bpe, langid, naming
+from aurum.llm import bpe, decontaminate, html, langid, lines, naming, quality
 from aurum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +20,37 @@ def query(fn):
     return fn
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    cleaned = lines.dedup_lines(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col("lines_n").alias("n_lines"), F.col("lines_removed").alias("n_removed"),
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op3_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.ratings(read(spark, sf_dir, "labels")), 3)
+    scored = quality.score(docs, model, 3)
+    return scored.select("doc_id", "expected_grade", F.col("p_at_least")[0].alias("p_not_toxic"),
+                         F.col("p_at_least")[1].alias("p_good"), "kept")
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return naming.dedup(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_html_text(spark, sf_dir):
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_language_id(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents")).drop("text")
