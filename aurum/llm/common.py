@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove scratch tables that nothing reads any more, and let Spark drop the
+    shuffle files of plans that are gone (its cleaner waits for a collection on
+    the driver), so that one step's files don't add to the next one's."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if "/aurum-scratch/" in folder:
+                path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
+
+
 def document_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` only: extra columns, whatever their
     names, never meet the columns an operator adds."""

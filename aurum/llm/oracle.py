@@ -36,3 +36,51 @@ select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_re
        sha256(coalesce(kept, '')) as kept_sha256
 from documents d left join k on d.doc_id = k.doc_id
 """
+
+ORACLE["op2_substring_dedup"] = r"""
+with t as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), p as (
+    select doc_id, w, unnest(range(1, len(w) - 11)) as i from t where len(w) >= 13
+), g as (
+    select doc_id, i, array_to_string(w[i:i + 12], ' ') as g from p
+), r as (
+    select doc_id, i from (select doc_id, i, min(doc_id) over (partition by g) as low from g) where low < doc_id
+), gone as (
+    select distinct doc_id, unnest(range(i, i + 13)) as i from r
+), a as (
+    select doc_id, count(*) as n_removed from gone group by doc_id
+), e as (
+    select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from t
+), k as (
+    select doc_id, string_agg(word, ' ' order by i) as kept from e anti join gone using (doc_id, i) group by doc_id
+)
+select t.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from t left join a on t.doc_id = a.doc_id left join k on t.doc_id = k.doc_id
+"""
+
+ORACLE["op4_jaccard_join"] = r"""
+with recursive t as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), s as (
+    select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from t where len(w) > 0)
+), z as (
+    select doc_id, count(*) as n from s group by doc_id
+), p as (
+    select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+), l as (
+    select x, y from p join z a on a.doc_id = x join z b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)
+), r(doc_id, low) as (
+    select doc_id, doc_id from z
+    union
+    select y, low from r join l on x = r.doc_id where low < y
+)
+select t.doc_id, coalesce(n, 0) as n_shingles, coalesce(low, t.doc_id) as component_id
+from t left join z on t.doc_id = z.doc_id
+left join (select doc_id, min(low) as low from r group by doc_id) m on t.doc_id = m.doc_id
+"""

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import bpe, decontaminate, html, langid, lines, naming, quality
+from aurum.llm import bpe, decontaminate, html, jaccard, langid, lines, naming, passages, quality
 from aurum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def op1_line_dedup(spark, sf_dir):
                           F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    kept = passages.remove_passages(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_quality(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
@@ -36,6 +42,11 @@ def op3_quality(spark, sf_dir):
                          F.col("p_at_least")[1].alias("p_good"), "kept")
 
 
+@query
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return naming.dedup(read(spark, sf_dir, "documents"))
