@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
         .select("s1", "s2", "low", "r.doc_id", "r.print", F.monotonically_increasing_id().alias("node")), "classes")
 
     places = shared_places(own, _prefixes(ngram, percent, rank), least=False).dropDuplicates(["doc_id", "print"])
-    chosen = (own.dropDuplicates(["doc_id", "print"]).alias("d").join(classes.alias("c"), on_key("d", "c"))
+    chosen = (own.alias("d").join(classes.alias("c"), on_key("d", "c"))
               .select("c.node", "d.doc_id", "d.print", "d.text").alias("k")
               .join(places.alias("p"), on_key("k", "p")).select("k.node", "k.text", "p.at"))
     rows = materialize(chosen.mapInArrow(_matrix_rows(ngram, percent, rank), _ROWS), "rows")

@@ -89,8 +89,8 @@ def repeated_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PE
     own = keyed(docs)
     anchors = shared_places(own, _anchors(length, period, cover), least=False)
     anchors = anchors.dropDuplicates(["doc_id", "print"])  # once for the repeats of a row
-    with_anchors = own.dropDuplicates(["doc_id", "print"]).alias("d").join(anchors.alias("a"), on_key("d", "a")).select("d.doc_id", "d.print", "d.text", "a.at")
-    return shared_places(with_anchors, _extended(length, period), least=True)
+    with_anchors = own.alias("d").join(anchors.alias("a"), on_key("d", "a")).select("d.doc_id", "d.print", "d.text", "a.at")
+    return shared_places(with_anchors, _extended(length, period), least=True).dropDuplicates(["doc_id", "print"])
 
 
 def remove_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
