@@ -84,3 +84,29 @@ select t.doc_id, coalesce(n, 0) as n_shingles, coalesce(low, t.doc_id) as compon
 from t left join z on t.doc_id = z.doc_id
 left join (select doc_id, min(low) as low from r group by doc_id) m on t.doc_id = m.doc_id
 """
+
+ORACLE["op6_suffix_dedup"] = r"""
+with t as (
+    select doc_id, hex(encode(coalesce(text, ''))) as x from documents
+), w as (
+    select doc_id, i, x[2 * i + 1:2 * i + 100] as g
+    from (select doc_id, x, unnest(range(0, len(x) // 2 - 49)) as i from t where len(x) >= 100)
+), r as (
+    select doc_id, i from (select doc_id, i, min(doc_id) over (partition by g) as low from w) where low < doc_id
+), runs as (
+    select doc_id, min(i) as lo, max(i) + 50 as hi
+    from (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as k
+          from (select doc_id, i, case when i - lag(i) over (partition by doc_id order by i) <= 50 then 0 else 1 end as fresh from r))
+    group by doc_id, k
+), cut as (
+    select t.doc_id, lo, hi, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as before, x
+    from runs join t using (doc_id)
+), k as (
+    select doc_id, sum(hi - lo) as n_removed, count(*) as n_spans,
+           string_agg(x[2 * before + 1:2 * lo], '' order by lo) || max(x)[2 * max(hi) + 1:] as kept
+    from cut group by doc_id
+)
+select t.doc_id, cast(len(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+       coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256
+from t left join k on t.doc_id = k.doc_id
+"""

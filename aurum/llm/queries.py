@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aurum.llm import bpe, decontaminate, html, jaccard, langid, lines, naming, passages, quality
+from aurum.llm import bpe, decontaminate, html, jaccard, langid, lines, naming, passages, quality, substrings
 from aurum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op5_exact_dedup(spark, sf_dir):
     return naming.dedup(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_suffix_dedup(spark, sf_dir):
+    kept = substrings.remove_substrings(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_html_text(spark, sf_dir):
     return html.extract(read(spark, sf_dir, "pages"))
