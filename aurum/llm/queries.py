@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from aurum.llm import bpe, decontaminate, html, jaccard, langid, lines, naming, passages, quality, substrings
 from aurum.llm.common import read
 
@@ -76,3 +77,8 @@ def op9_language_id(spark, sf_dir):
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.digest_documents(bpe.encode_documents(read(spark, sf_dir, "documents")))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
