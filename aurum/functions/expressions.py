@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from aurum import config
 
 # A decimal number as text: optional sign, integer digits, optional point and
-# fraction digits (either part may be empty: ".5", "5.", ".").
-_DECIMAL_TEXT = r"^[+-]?[0-9]*(\.[0-9]*)?\z"
+# fraction digits (either part may be empty, but not without a point: ".5", "5.", ".").
+_DECIMAL_TEXT = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]*)\z"
 # What a non-ANSI string-to-number cast strips around a value: ASCII space and
 # control characters (0x00-0x20 and 0x7F).
 CAST_TRIM_CHARS = "".join(chr(c) for c in [*range(0x00, 0x21), 0x7F])
@@ -32,11 +32,9 @@ def safe_int(c) -> Column:
     fraction must be digits; exponents, suffixes and overflow give NULL.
     """
     t = F.btrim(_col(c).cast("string"), F.lit(CAST_TRIM_CHARS))
-    sign = F.regexp_extract(t, r"^([+-]?)", 1)
-    digits = F.regexp_extract(t, r"^[+-]?([0-9]*)", 1)
-    well_formed = t.rlike(_DECIMAL_TEXT) & t.rlike(r"[0-9.]")
-    return F.when(well_formed, F.when(digits == "", F.lit(0))
-                  .otherwise(F.concat(sign, digits).try_cast("int")))
+    # The integer part, with a zero in front of a bare sign or point.
+    whole = F.substring_index(t, ".", 1)
+    return F.when(t.rlike(_DECIMAL_TEXT), F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int")))
 
 
 def safe_date(c, fmt: str = "yyyy-MM-dd") -> Column:

@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from aurum import config
 from aurum.functions import expressions as X
-
-# Vocabularies up to this many codes are broadcast to the harmonisation join.
-VOCAB_BROADCAST_LIMIT = 1_000_000
+from aurum.session import written
 
 
 def add_lineage(df: DataFrame, run_ts: str, run_date: str,
@@ -75,20 +73,20 @@ def harmonize_codes(df: DataFrame, col_name: str = "lesion_status_code",
 
 
 def harmonize_codes_by_table(df: DataFrame, mapping: DataFrame, col_name: str = "lesion_status_code",
-                             blank_label: str = config.LABEL_NEGATIVE,
-                             broadcast_limit: int = VOCAB_BROADCAST_LIMIT) -> DataFrame:
+                             blank_label: str = config.LABEL_NEGATIVE) -> DataFrame:
     """Harmonise against a vocabulary table ``(code, label)`` instead of literals.
 
     For many vendors the vocabulary is data: codes are matched after
-    lower(trim(.)). Codes are few and very unevenly used (one code can cover
-    a third of all rows), so a shuffle join on the code would funnel them
-    into one task: the vocabulary is broadcast after a count check, and only
-    an oversized vocabulary falls back to a shuffle join (AQE splits skew).
+    lower(trim(.)). A vocabulary is small, so the optimizer broadcasts it by
+    its measured bytes; a larger one is joined by shuffle, where adaptive
+    execution splits a code that covers much of the data. A code with two
+    labels is an error.
     """
-    vocab = mapping.select(F.lower(F.trim("code")).alias("_code_norm"),
-                           F.col("label").alias("_label")).dropDuplicates(["_code_norm"])
-    if vocab.count() <= broadcast_limit:
-        vocab = F.broadcast(vocab)
+    norm = F.lower(F.trim("code"))
+    labels = mapping.groupBy(norm.alias("_code_norm")).agg(F.min("label").alias("_label"), F.max("label").alias("_other"))
+    clash = F.concat(F.lit("code with two labels: "), F.col("_code_norm"))
+    vocab = written(labels.select("_code_norm", F.when(F.col("_label") == F.col("_other"), F.col("_label"))
+                                  .when(F.col("_label").isNotNull(), F.raise_error(clash)).alias("_label")), "vocabulary")
     joined = df.withColumn("_code_norm", F.lower(F.trim(F.col(col_name)))) \
         .join(vocab, "_code_norm", "left")
     blank = X.code_is_blank(col_name)

@@ -38,7 +38,8 @@ def harmonize_headers(frames: Sequence[DataFrame], renames: Mapping[str, str] =
                       defaults: Mapping[str, object] | None = None,
                       columns: Sequence[str] = config.CANONICAL_UPLOAD_COLUMNS) -> DataFrame:
     """Rename each site frame, union by name, fill absent columns, project
-    the canonical columns (in order)."""
+    the canonical columns (in order), and the corrupt-record column if a frame
+    has one."""
     if not frames:
         raise ValueError("no input frames")
     out = None
@@ -53,7 +54,8 @@ def harmonize_headers(frames: Sequence[DataFrame], renames: Mapping[str, str] =
         # Defaults also replace NULLs in columns that only some sites carry.
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(out.schema[c].dataType))
                                for c, v in defaults.items() if v is not None})
-    return out.select(*columns)
+    kept = [c for c in (config.CORRUPT_COLUMN,) if c in out.columns and c not in columns]
+    return out.select(*columns, *kept)
 
 
 def native_ids(canonical: DataFrame, order_cols: Sequence[str] = ("ssn", "scan_date"),

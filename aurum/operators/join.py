@@ -2,9 +2,9 @@
 
 The join is a plain equi-join: the optimizer (with AQE) broadcasts a side only
 when its measured size is under the threshold, otherwise it sort-merges, and
-AQE splits skewed keys (a patient with many scans) at runtime. When the
-metadata side was deduplicated on the same key, the dedup shuffle is reused by
-the join (no second exchange on that side).
+AQE splits skewed keys (a patient with many scans) at runtime. It can only do
+so while both inputs are plain shuffles, so a side that was deduplicated on the
+same key is written as a table first (``layers.silver_joined``, the run).
 """
 
 from __future__ import annotations
@@ -85,13 +85,27 @@ def ledger_lookup(requests: DataFrame, ledger: DataFrame, default_id: str,
                   id_col: str = "tx_id") -> DataFrame:
     """Resolve requested confirmation ids against the ledger.
 
-    Unknown ids fall back to ``default_id``; the result carries the requested
-    id, the resolved id, whether it was found, and the ledger attributes.
+    A request may be the short id or the full ``content_md5``. Unknown ids
+    fall back to ``default_id``; the result carries the requested id, the
+    resolved id, whether it was found, whether it is ``ambiguous`` (files of
+    different content share the short id; each gives a row), and the ledger
+    attributes.
+
+    Unknown requests never meet on the default's key: its one entry is looked
+    up beforehand and attached as constants. A default that is unknown or
+    ambiguous is an error.
     """
-    known = ledger.select(F.col(id_col).alias("_known")).distinct()
-    resolved = requests.join(known, requests[id_col] == known["_known"], "left").select(
-        requests[id_col].alias("requested_id"),
-        F.coalesce(F.col("_known"), F.lit(default_id)).alias(id_col),
-        F.col("_known").isNotNull().alias("found"),
-    )
-    return resolved.join(ledger, id_col, "left")
+    files = ledger.columns
+    default = ledger.where(F.col(id_col) == default_id).limit(2).collect()
+    if len(default) != 1:
+        raise ValueError(f"default id {default_id!r} names {'no' if not default else 'more than one'} landed file")
+    contents = ledger.groupBy(id_col).agg((F.min("content_md5") != F.max("content_md5")).alias("ambiguous"))
+    known = ledger.join(contents, id_col)
+    by_id = known.select(F.col(id_col).alias("_asked"), "*")
+    by_hash = known.select(F.col("content_md5").alias("_asked"), "*").withColumn("ambiguous", F.lit(False))
+    asked = requests.select(F.col(id_col).alias("requested_id"))
+    found = asked.join(by_id.unionByName(by_hash), F.col("requested_id") == F.col("_asked"), "left")
+    attached = [F.when(F.col("_asked").isNull(), F.lit(default[0][c]).cast(ledger.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+                for c in files]
+    return found.select("requested_id", F.col("_asked").isNotNull().alias("found"),
+                        F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"), *attached)

@@ -111,15 +111,20 @@ def source_profile(raw_metadata: DataFrame, positives: Iterable[str] = ("1", "Po
 def dq_audit(silver_metadata: DataFrame, site: str = "site_location",
              code: str = "lesion_status_code") -> DataFrame:
     """Data-quality audit table: one row per (site, raw code) that needs
-    review or has a quality flag, with counts."""
-    flagged = silver_metadata.where(F.col("lesion_code_requires_review") | F.col("has_data_quality_flag"))
-    return flagged.groupBy(site, code).agg(
-        F.count(F.lit(1)).alias("rows"),
+    review or has a quality flag, with counts.
+
+    All rows are grouped and the flags counted; groups without any go
+    afterwards. A filter on the derived flags would repeat the cleaning
+    expressions below and above itself. (A missing age or date sets the
+    quality flag, so counting them over all rows is the same.)
+    """
+    return silver_metadata.groupBy(site, code).agg(
+        F.count_if(F.col("lesion_code_requires_review") | F.col("has_data_quality_flag")).alias("rows"),
         F.count_if(F.col("lesion_code_requires_review")).alias("review_rows"),
         F.count_if(F.col("has_data_quality_flag")).alias("quality_rows"),
         F.count_if(F.col("age").isNull()).alias("missing_age"),
         F.count_if(F.col("scan_date").isNull()).alias("missing_date"),
-    )
+    ).where("rows > 0")
 
 
 def phi_audit(published: DataFrame, forbidden: Iterable[str] = ("ssn", "scan_date"),

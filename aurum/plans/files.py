@@ -9,7 +9,7 @@ DataFrame, so the check covers the real file round trip.
 
 from __future__ import annotations
 
-import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,10 @@ from aurum.plans.run import run_medallion
 from aurum.session import scratch_path
 from aurum.sinks import writers
 from aurum.sources import csv, landing
-from aurum.sources.fixtures import load_fixtures, metadata_csv_lines, read_table
+from aurum.sources.fixtures import load_fixtures, metadata_csv_lines, read_table, zero_pad
 from aurum.streaming.incremental import incremental_ingest
-from aurum.operators import headers
+from aurum.operators import headers, stats
+from aurum.operators.deid import require_columns
 from aurum.operators.join import ledger_lookup
 
 # The fixture extract carries its encounter id (the dedup tiebreaker), typed.
@@ -85,7 +86,7 @@ def land_fixture(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
 
 
 def _bucket(key: F.Column) -> F.Column:
-    return F.lpad(F.floor(key / UPLOAD_KEY_SPAN).cast("string"), 4, "0")
+    return zero_pad(F.floor(key / UPLOAD_KEY_SPAN), 4)
 
 
 def _source_is_csv() -> F.Column:
@@ -157,17 +158,28 @@ def q_bronze_manifest(spark, sf_dir):
 
 @query("header_harmonize")
 def q_header_harmonize(spark, sf_dir):
-    """Two sites, two header dialects and column orders -> canonical columns."""
-    meta, _ = load_fixtures(spark, sf_dir)
+    """Two sites, two header dialects and column orders, some rows too short
+    or too long -> canonical columns, malformed rows with their text."""
     root = scratch_path(spark, "headers")
+    meta, _ = load_fixtures(spark, sf_dir)
     choc = meta.where(F.col("site_location") == "CHOC").select(
         F.col("lesion_status_code"), F.col("scan_date"), F.col("ssn").alias("cerner_id"), "age", "site_location")
     rady = meta.where(~F.col("site_location").eqNullSafe(F.lit("CHOC"))).select(
         "site_location", F.col("ssn").alias("epic_id"), F.col("age").alias("age_in_years"),
         F.col("scan_date").alias("mri_date"), F.col("lesion_status_code").alias("lesion_status"))
-    write_csv(choc, f"{root}/choc")
-    write_csv(rady, f"{root}/rady")
-    frames = [csv.read_csv(spark, f"{root}/{s}") for s in ("choc", "rady")]
+    for name, df in (("choc", choc), ("rady", rady)):
+        write_csv(df, f"{root}/{name}")
+        # Per encounter divisible by 101 a row of two fields, by 103 one of six,
+        # in files of their own under the same header.
+        e, own = F.col("encounter_id"), F.col("site_location").eqNullSafe(F.lit("CHOC"))
+        bad = meta.where(own if name == "choc" else ~own).where((e % 101 == 0) | (e % 103 == 0))
+        line = F.when(e % 101 == 0, F.concat(F.lit("short,"), e.cast("string"))).otherwise(
+            F.concat(F.lit("a,b,c,d,e,"), e.cast("string")))
+        lines = bad.select(F.pmod(e, F.lit(16)).alias("part"), F.lit(1).alias("rank"), line.alias("value"))
+        heads = spark.range(16).select(F.col("id").alias("part"), F.lit(0).alias("rank"), F.lit(",".join(df.columns)).alias("value"))
+        (heads.unionByName(lines).repartition("part").sortWithinPartitions("part", "rank").drop("rank")
+         .write.partitionBy("part").text(f"{root}/{name}/malformed"))
+    frames = [csv.read_headed(spark, f"{root}/{s}", recursive=True) for s in ("choc", "rady")]
     return headers.harmonize_headers(frames)
 
 
@@ -180,9 +192,7 @@ def q_bronze_roundtrip(spark, sf_dir):
     bronze = add_lineage(meta, RUN_TS, RUN_DATE, source_file="landing/metadata/fx_metadata.csv")
     path = scratch_path(spark, "bronze-table")
     writers.write_table(bronze, path)
-    # A session-scoped view (no catalog side effects in the caller's session).
-    spark.read.parquet(path).createOrReplaceTempView("aurum_bronze_metadata")
-    return spark.table("aurum_bronze_metadata")
+    return spark.read.parquet(path)
 
 
 @query("bronze_partition_overwrite")
@@ -245,14 +255,16 @@ def q_landing_scan(spark, sf_dir):
 
 @query("newest_snapshot")
 def q_newest_snapshot(spark, sf_dir):
-    """Three metadata snapshots land in turn (each written in parallel), then
-    an unrelated newer upload; only the newest matching snapshot is read."""
+    """Three metadata snapshots land in turn, each a stamped folder of part
+    files written in parallel, then an unrelated newer upload. The newest
+    matching snapshot, neither the first nor the last by name, is read."""
     meta, man = load_fixtures(spark, sf_dir)
     root = scratch_path(spark, "snapshots")
     e = F.col("encounter_id")
-    for tag, rows in (("a", meta.where(e % 2 == 0)), ("b", meta.where(e % 2 == 1)), ("c", meta)):
-        land_uploads(rows, F.lit(f"metadata_snapshot_{tag}_{UPLOAD_STAMP}.csv"), META_COLS, root)
-    land_uploads(man, F.lit(f"imaging_manifest_{UPLOAD_STAMP}.csv"), MANIFEST_COLS, f"{root}/other")
+    for tag, rows in (("a", meta.where(e % 2 == 0)), ("c", meta), ("b", meta.where(e % 2 == 1))):
+        write_csv(rows, f"{root}/metadata_snapshot_{tag}_{UPLOAD_STAMP}.csv")
+        time.sleep(1.1)  # modification times may be whole seconds
+    write_csv(man, f"{root}/other/imaging_manifest_{UPLOAD_STAMP}.csv")
     newest = landing.newest_snapshot(spark, root, config.METADATA_NAME_TOKENS)
     return csv.read_csv(spark, newest, FIXTURE_METADATA_SCHEMA).drop(config.CORRUPT_COLUMN)
 
@@ -276,11 +288,18 @@ def _ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
     kind = F.when(F.col("path").contains("/raw/dicom/"), F.lit("DICOM Imaging Manifest")) \
         .otherwise(F.lit("Clinical Metadata Extract"))
     site = F.when(F.col("file_name").startswith("choc_extract"), F.lit("CHOC")).otherwise(F.lit("Rady"))
-    submissions = listing.select("file_name", F.lit("Site coordinator").alias("submitter"),
+    submissions = listing.select("path", F.lit("Site coordinator").alias("submitter"),
                                  site.alias("affiliation"), kind.alias("dataset_type"))
     return landing.landing_ledger(spark, f"{dirs['root']}/raw", submissions, glob=glob)
 
 
+def _stored_ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
+    """The ledger as a table: every landed file is hashed once."""
+    path = f"{dirs['root']}/ledger"
+    landing.append_ledger(spark, _ledger(spark, dirs, glob), path)
+    return spark.read.parquet(path)
+
+
 @query("landing_ledger")
 def q_landing_ledger(spark, sf_dir):
     dirs = land_fixture(spark, sf_dir, "ledger")
@@ -301,7 +320,7 @@ def q_ledger_lookup(spark, sf_dir):
     """Known ids resolve to their files; an unknown id falls back to the
     default (the first metadata upload)."""
     dirs = land_fixture(spark, sf_dir, "lookup")
-    ledger = _ledger(spark, dirs, glob=None).drop("source_file")
+    ledger = _stored_ledger(spark, dirs, glob=None)
     default = ledger.where(F.col("object_prefix") == "metadata").agg(F.min("tx_id").alias("d"))
     requests = ledger.select("tx_id").unionByName(
         ledger.select(F.concat(F.lit("TX-UNKNOWN-"), F.col("tx_id")).alias("tx_id")))
@@ -341,16 +360,44 @@ def q_run_metrics(spark, sf_dir):
     return metrics
 
 
+@query("gold_two_dialects")
+def q_gold_two_dialects(spark, sf_dir):
+    """Gold of a run over two sites' own headers equals the single-dialect Gold."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, "dialects")
+    choc = F.col("site_location").eqNullSafe(F.lit("CHOC"))
+    first = meta.where(choc).withColumnsRenamed({"ssn": "cerner_id"}).select(
+        "lesion_status_code", "scan_date", "encounter_id", "cerner_id", "age", "ehr_system", "site_location")
+    second = meta.where(~choc).withColumnsRenamed({"ssn": "epic_id", "age": "age_in_years", "scan_date": "mri_date",
+                                                  "lesion_status_code": "lesion_status"})
+    dialects = {write_csv(first, f"{root}/raw/choc"): {"cerner_id": "ssn"},
+                write_csv(second, f"{root}/raw/rady"): {"epic_id": "ssn", "age_in_years": "age", "mri_date": "scan_date",
+                                                        "lesion_status": "lesion_status_code"}}
+    write_csv(man, f"{root}/raw/dicom")
+    run_medallion(spark, [], f"{root}/raw/dicom", f"{root}/lake", run_ts=RUN_TS, run_date=RUN_DATE,
+                  metadata_schema=FIXTURE_METADATA_SCHEMA, dialects=dialects)
+    return spark.read.parquet(f"{root}/lake/gold_research")
+
+
 @query("lineage_trace")
 def q_lineage_trace(spark, sf_dir):
     """Trace the first CHOC upload's confirmation id through every layer."""
     dirs, base, _ = _run(spark, sf_dir, "lineage")
-    ledger = _ledger(spark, dirs)
+    ledger = _stored_ledger(spark, dirs)
     tx_id = ledger.where(F.col("file_name").startswith("choc_extract_0000_")).first()["tx_id"]
     bronze = writers.read_bronze(spark, f"{base}/bronze_metadata")
     silver = spark.read.parquet(f"{base}/silver").drop("site_key")
     gold = spark.read.parquet(f"{base}/gold_research")
-    return lineage_trace(tx_id, ledger, bronze, silver, gold).select("stage", "record_key")
+    traced = lineage_trace(tx_id, ledger, bronze, silver, gold)
+    # The payload's values, as text, in one digest per stage's own fields.
+    fields = {"landed": [config.HEADER_RENAMES.get(c, c) for c in META_COLS], "bronze": META_COLS,
+              "silver": ["ssn", "age", "site_location", "scan_date", "lesion_label", "imaging_s3_uri"],
+              "gold": ["subject_surrogate_id", "age", "site_location", "enrollment_year", "lesion_label", "imaging_s3_uri"]}
+    digest = F.lit(None).cast("string")
+    for stage, names in fields.items():
+        values = F.concat_ws("|", *[F.get_json_object("payload", f"$.{c}") for c in names])
+        digest = F.when(F.col("stage") == stage, F.md5(values)).otherwise(digest)
+    return traced.select("stage", "record_key", digest.alias("payload_md5"))
 
 
 @query("output_locations")
@@ -367,7 +414,31 @@ def q_output_locations(spark, sf_dir):
     report = writers.output_locations(spark, [("bronze", "metadata", f"{root}/bronze_metadata"),
                                               ("silver", "clinical_imaging_joined", f"{root}/silver"),
                                               ("gold", "research_dataset", f"{root}/gold_research")])
-    return report.select("layer", "name", F.array_join("partitions", ",").alias("partitions"), "rows")
+    return report.select("layer", "name", F.substring_index("uri", "/", -1).alias("folder"), "partition", "rows",
+                         (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query("cohort_summary_export")
+def q_cohort_summary_export(spark, sf_dir):
+    """The cohort summary written as a table and read back."""
+    meta, man = load_fixtures(spark, sf_dir)
+    path = scratch_path(spark, "cohort-summary")
+    writers.write_table(stats.cohort_summary(layers.gold_dataset(layers.silver_joined(meta, man))), path)
+    return spark.read.parquet(path)
+
+
+@query("required_columns")
+def q_required_columns(spark, sf_dir):
+    """A complete Silver dataset passes; one without a required column is refused."""
+    meta, man = load_fixtures(spark, sf_dir)
+    silver = layers.silver_joined(meta, man)
+    require_columns(silver, ["ssn", "site_location"], "Silver dataset")
+    try:
+        require_columns(silver.drop("site_location"), ["ssn", "site_location"], "Silver dataset")
+        error = "none"
+    except ValueError as e:
+        error = "required columns missing from Silver dataset" if "site_location" in str(e) else str(e)
+    return silver.agg(F.count(F.lit(1)).alias("rows"), F.lit(error).alias("error"))
 
 
 @query("synth_run_metrics")

@@ -11,13 +11,14 @@ The result equals ``keep_latest`` over all rows ever applied.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.operators.dedup import keep_latest
-from aurum.session import ensure_checkpoint_dir, path_exists
+from aurum.session import delete_path, ensure_checkpoint_dir, path_exists
 from aurum.sinks import writers
 
 BUCKET_COLUMN = "_key_bucket"
@@ -27,14 +28,41 @@ def key_bucket(key: str, buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """The bucket count is part of a state's layout: stored beside it at first
+    use, and any other value is refused afterwards."""
+    beside = f"{path.rstrip('/')}.buckets"
+    if path_exists(spark, beside):
+        stored = spark.read.schema("buckets int").json(beside).first()["buckets"]
+        if stored != buckets:
+            raise ValueError(f"{path} is laid out in {stored} buckets, not {buckets}")
+    else:
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").json(beside)
+
+
+def _replace_buckets(spark: SparkSession, df: DataFrame, path: str, touched: Sequence[int], fmt: str) -> None:
+    """Write ``df`` as the whole content of the ``touched`` buckets; buckets
+    left without a row lose their partition."""
+    ensure_checkpoint_dir(spark)
+    # The touched partitions may be both read and replaced: the result is on
+    # shared storage (reliable checkpoint) before they are overwritten.
+    df = df.checkpoint(eager=True)
+    filled = {r[0] for r in df.select(BUCKET_COLUMN).distinct().collect()}
+    writers.write_table(df, path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
+    for b in set(touched) - filled:
+        delete_path(spark, f"{path}/{BUCKET_COLUMN}={b}")
+
+
 def upsert_latest(spark: SparkSession, new_rows: DataFrame, state_path: str, key: str = "ssn",
                   order_col: str = "scan_date", tiebreakers: Sequence[str] = (), buckets: int = 1024,
                   fmt: str = "parquet") -> int:
     """Merge ``new_rows`` into the keep-latest state at ``state_path``.
 
     Returns the number of buckets rewritten. ``buckets`` bounds the list of
-    touched buckets that reaches the driver.
+    touched buckets that reaches the driver; size it so that a bucket is some
+    hundred MB, for an increment of more keys than buckets touches them all.
     """
+    _check_buckets(spark, state_path, buckets)
     new = new_rows.withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
     touched = [r[0] for r in new.select(BUCKET_COLUMN).distinct().collect()]
     if not touched:
@@ -44,12 +72,7 @@ def upsert_latest(spark: SparkSession, new_rows: DataFrame, state_path: str, key
         old = (spark.read.format(fmt).schema(new.schema).load(state_path)
                .where(F.col(BUCKET_COLUMN).isin(touched)))
         combined = old.unionByName(new)
-    latest = keep_latest(combined, key, order_col, tiebreakers)
-    # The touched partitions are both read and replaced: materialise the
-    # result on shared storage first (reliable checkpoint), then overwrite.
-    ensure_checkpoint_dir(spark)
-    latest = latest.checkpoint(eager=True)
-    writers.write_table(latest, state_path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
+    _replace_buckets(spark, keep_latest(combined, key, order_col, tiebreakers), state_path, touched, fmt)
     return len(touched)
 
 
@@ -60,43 +83,66 @@ def read_latest(spark: SparkSession, state_path: str, fmt: str = "parquet") -> D
 INCREMENT_COLUMN = "_increment"
 
 
+def _put_version(spark: SparkSession, rows: DataFrame, path: str, increment_id: str, key: str, buckets: int,
+                 fmt: str) -> tuple[set[int], bool]:
+    """Store an increment's rows by bucket and increment, in place of an
+    earlier version of it. Returns the buckets of both versions and whether
+    there was an earlier one."""
+    rows = rows.withColumns({BUCKET_COLUMN: key_bucket(key, buckets), INCREMENT_COLUMN: F.lit(str(increment_id))})
+    old: set[int] = set()
+    if path_exists(spark, path):
+        mine = spark.read.format(fmt).schema(rows.schema).load(path).where(F.col(INCREMENT_COLUMN) == str(increment_id))
+        old = {r[0] for r in mine.select(BUCKET_COLUMN).distinct().collect()}
+    new = {r[0] for r in rows.select(BUCKET_COLUMN).distinct().collect()}
+    if new:
+        writers.write_table(rows, path, fmt, partition_by=[BUCKET_COLUMN, INCREMENT_COLUMN], dynamic=True)
+    for b in old - new:
+        delete_path(spark, f"{path}/{BUCKET_COLUMN}={b}/{INCREMENT_COLUMN}={increment_id}")
+    return old | new, bool(old)
+
+
 def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest: DataFrame, base: str,
                     increment_id: str, tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn",
                     buckets: int = 1024, salt: str | None = None, fmt: str = "parquet") -> dict[str, int]:
     """Apply one increment of Bronze rows to the Silver and Gold tables.
 
-    * ``silver_latest``: keep-latest state (``upsert_latest``);
-    * ``silver_manifest``: cleaned imaging records, one partition per
-      ``increment_id`` (files sorted by key bucket, so bucket filters skip
-      row groups);
+    * ``silver_metadata`` and ``silver_manifest``: cleaned records of each
+      increment, partitioned by key bucket and increment, so that the touched
+      buckets are read without the rest of the history;
+    * ``silver_latest``: keep-latest state, merged with a new increment
+      (``upsert_latest``);
     * ``silver_joined`` and ``gold_research``: recomputed for the touched
-      buckets only (both inputs pruned to them) and replaced with dynamic
-      partition overwrite.
+      buckets only (both inputs pruned to them) and replaced; a bucket left
+      without rows loses its partition.
 
     After any sequence of increments the tables equal a full run over all
-    rows applied so far. Re-applying an ``increment_id`` (a retried batch)
-    replaces that increment instead of adding it twice: keep-latest is
-    idempotent and the imaging partition of the increment is overwritten. Gold carries the bucket (a hash of the key modulo
-    ``buckets``, less than the surrogate key itself reveals) as its partition.
+    rows applied so far. Applying an ``increment_id`` again, with the same or
+    with corrected rows, replaces that increment: the buckets of both versions
+    are recomputed, the latest records from the stored increments. Gold
+    carries the bucket (a hash of the key modulo ``buckets``, less than the
+    surrogate key itself reveals) as its partition. ``increment_id`` names a
+    folder: letters, digits, ``-`` and ``_`` only.
     """
     from aurum.operators import join
     from aurum.plans import layers
 
-    latest_path, man_path = f"{base}/silver_latest", f"{base}/silver_manifest"
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", str(increment_id)):
+        raise ValueError(f"increment id {increment_id!r}: letters, digits, - and _ only")
+    meta_path, latest_path, man_path = f"{base}/silver_metadata", f"{base}/silver_latest", f"{base}/silver_manifest"
     joined_path, gold_path = f"{base}/silver_joined", f"{base}/gold_research"
     tb = [t for t in tiebreakers if t in new_metadata.columns]
 
+    _check_buckets(spark, latest_path, buckets)
     meta = layers.silver_metadata(new_metadata)
-    touched = set()
-    if upsert_latest(spark, meta, latest_path, key, "scan_date", tb, buckets, fmt):
-        touched |= {r[0] for r in meta.select(key_bucket(key, buckets)).distinct().collect()}
-    man = layers.silver_manifest(new_manifest).withColumns({
-        BUCKET_COLUMN: key_bucket(key, buckets), INCREMENT_COLUMN: F.lit(str(increment_id))})
-    man_buckets = {r[0] for r in man.select(BUCKET_COLUMN).distinct().collect()}
-    if man_buckets:
-        writers.write_table(man.sortWithinPartitions(BUCKET_COLUMN), man_path, fmt,
-                            partition_by=[INCREMENT_COLUMN], dynamic=True)
-    touched |= man_buckets
+    meta_buckets, again = _put_version(spark, meta, meta_path, increment_id, key, buckets, fmt)
+    if again:
+        rows = (spark.read.format(fmt).load(meta_path).where(F.col(BUCKET_COLUMN).isin(sorted(meta_buckets)))
+                .select(*meta.columns, BUCKET_COLUMN))
+        _replace_buckets(spark, keep_latest(rows, key, "scan_date", tb), latest_path, meta_buckets, fmt)
+    elif meta_buckets:
+        upsert_latest(spark, meta, latest_path, key, "scan_date", tb, buckets, fmt)
+    man = layers.silver_manifest(new_manifest)
+    touched = meta_buckets | _put_version(spark, man, man_path, increment_id, key, buckets, fmt)[0]
     if not touched or not path_exists(spark, latest_path) or not path_exists(spark, man_path):
         return {"buckets_rewritten": 0}
 
@@ -104,8 +150,8 @@ def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest:
     latest = spark.read.format(fmt).load(latest_path).where(hit)
     scans = spark.read.format(fmt).load(man_path).where(hit).drop(BUCKET_COLUMN, INCREMENT_COLUMN)
     joined = join.join_manifest(latest, scans, key)
-    writers.write_table(joined, joined_path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
-    gold = layers.gold_dataset(spark.read.format(fmt).load(joined_path).where(hit), salt=salt,
+    _replace_buckets(spark, joined, joined_path, touched, fmt)
+    gold = layers.gold_dataset(spark.read.format(fmt).schema(joined.schema).load(joined_path).where(hit), salt=salt,
                                extra_drop=tb)
-    writers.write_table(gold, gold_path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
+    _replace_buckets(spark, gold, gold_path, touched, fmt)
     return {"buckets_rewritten": len(touched)}

@@ -1,6 +1,7 @@
-"""Bronze -> Silver -> Gold compositions (lazy; no actions).
+"""Bronze -> Silver -> Gold compositions.
 
-These wire the operators in the order the medallion defines; the run driver
+All are lazy but ``silver_joined``, which writes the deduplicated metadata
+first (see there). These wire the operators in the order the medallion defines; the run driver
 in ``aurum.plans.run`` decides what is materialised and where.
 """
 
@@ -11,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from aurum.operators import clean, dedup, deid, join
+from aurum.session import written
 
 
 def silver_metadata(bronze_metadata: DataFrame, **kw) -> DataFrame:
@@ -30,8 +32,14 @@ def silver_latest(silver_meta: DataFrame, tiebreakers: Sequence[str] = ("encount
 
 def silver_joined(bronze_metadata: DataFrame, bronze_manifest: DataFrame,
                   tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn") -> DataFrame:
-    """Clean both sides, keep the latest record per patient, join imaging."""
-    meta = silver_latest(silver_metadata(bronze_metadata), tiebreakers, key)
+    """Clean both sides, keep the latest record per patient, join imaging.
+
+    The latest records are written to the shared scratch area before the join:
+    with the dedup's window between shuffle and join, adaptive execution could
+    not split a patient with very many scans; over a table both sides of the
+    join are plain shuffles, which it splits.
+    """
+    meta = written(silver_latest(silver_metadata(bronze_metadata), tiebreakers, key), "silver-latest")
     man = silver_manifest(bronze_manifest)
     return join.join_manifest(meta, man, key)
 

@@ -1,46 +1,50 @@
 """Record-level lineage: follow one upload through Bronze, Silver and Gold.
 
-The confirmation id selects the landed file(s) in the ledger; Bronze rows are
-those whose ``source_file`` is that file; Silver rows share their keys; Gold
-rows share the surrogate of those keys (recomputed, since Gold has no raw
-key). Each stage is a semi-join, so only matching rows are returned and no
-stage is gathered on the driver.
+The confirmation id (or the full content hash) selects the landed file(s) in
+the ledger; Bronze rows are those whose ``source_file`` is one of them; Silver
+rows share their keys; Gold rows share the surrogate of those keys (recomputed,
+since Gold has no raw key). Each stage is a semi-join, so only matching rows
+are returned and no stage is gathered on the driver.
 """
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aurum.functions.expressions import surrogate_key
 from aurum.operators.headers import rename_headers
+from aurum.session import written
 
-# Matching landed files up to this count become a filter pushed into the
-# Bronze scan; up to the second limit they are broadcast to a semi-join.
-PUSHDOWN_FILE_LIMIT = 1_000
-BROADCAST_FILE_LIMIT = 100_000
+# File names up to this count become a filter that the Bronze scan is pruned
+# by; more are a semi-join. The result is the same.
+PUSHDOWN_FILES = 1_000
 
 
 def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame,
                   key: str = "ssn", salt: str | None = None, include_landed: bool = True) -> DataFrame:
     """Long table ``(stage, record_key, payload)``; payload is the row as JSON.
 
-    Stages: ``landed`` (the uploaded file as sent, site headers mapped to the
-    canonical key; when the upload's files are few enough to list), then
-    ``bronze``, ``silver`` and ``gold``.
+    Stages: ``landed`` (the uploaded files as sent, site headers mapped to the
+    canonical key), then ``bronze``, ``silver`` and ``gold``. ``tx_id`` is a
+    short id or a full ``content_md5``; a short id that files of different
+    content share is an error (ask for the hash). ``ledger`` should be a stored
+    table (``append_ledger``): deriving ids reads every landed byte.
     """
+    asked = (F.col("tx_id") == tx_id) | (F.col("content_md5") == tx_id)
     # The files carrying this id: normally one, several for re-uploads of the
-    # same bytes. Broadcast only after checking how many there are.
-    files = ledger.where(F.col("tx_id") == tx_id).select("source_file").distinct()
-    n_files = files.count()
-    paths = None
-    if n_files <= PUSHDOWN_FILE_LIMIT:
-        # A short, checked list: filter in the scan (Parquet skips row groups
-        # whose source_file range excludes these files).
-        paths = [r["source_file"] for r in files.collect()]
-        raw = bronze.where(F.col("source_file").isin(paths))
-    elif n_files <= BROADCAST_FILE_LIMIT:
-        raw = bronze.join(F.broadcast(files), "source_file", "left_semi")
+    # same bytes. Written once; only the first few names reach the driver.
+    files = written(ledger.where(asked).select("source_file", "content_md5"), "traced-files")
+    found = files.agg(F.count_distinct("content_md5").alias("contents"), F.count_distinct("source_file").alias("n"),
+                      F.min("source_file").alias("first"), F.max("source_file").alias("last")).first()
+    if found["contents"] > 1:
+        raise ValueError(f"{tx_id} names {found['contents']} different files; trace one by its content_md5")
+    files = files.select("source_file").distinct()
+    few = found["n"] <= PUSHDOWN_FILES
+    if few:  # row groups whose source_file range excludes them are skipped
+        raw = bronze.where(F.col("source_file").isin([r["source_file"] for r in files.collect()]))
     else:
         raw = bronze.join(files, "source_file", "left_semi")
     keys = raw.select(F.trim(F.col(key)).alias(key)).where(F.col(key).isNotNull()).distinct()
@@ -56,13 +60,19 @@ def lineage_trace(tx_id: str, ledger: DataFrame, bronze: DataFrame, silver: Data
     out = (longform(raw, "bronze", key)
            .unionByName(longform(silver_rows, "silver", key))
            .unionByName(longform(gold_rows, "gold", "subject_surrogate_id")))
-    if include_landed and paths:
-        # The upload exactly as the site sent it: its own headers, all text.
-        landed = raw_csv_reader(bronze.sparkSession).csv(paths)
-        landed = rename_headers(landed)
-        out = longform(landed, "landed", key).unionByName(out)
+    if include_landed and found["n"]:
+        out = longform(_landed(bronze.sparkSession, files, found, few), "landed", key).unionByName(out)
     return out
 
 
-def raw_csv_reader(spark):
-    return spark.read.option("header", True).option("inferSchema", False)
+def _landed(spark, files: DataFrame, found, few: bool) -> DataFrame:
+    """The rows of the landed files as the site sent them: its own headers,
+    all text. The files have one content, so the first one's header is theirs."""
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    if few:
+        return rename_headers(reader.csv([r["source_file"] for r in files.collect()]))
+    # All below the folder that the names share, cut down to these files.
+    root = commonprefix([found["first"], found["last"]]).rpartition("/")[0]
+    every = reader.schema(reader.csv(found["first"]).schema).option("recursiveFileLookup", True).csv(root)
+    own = every.withColumn("_file", F.col("_metadata.file_path")).join(files, F.col("_file") == F.col("source_file"), "left_semi")
+    return rename_headers(own.drop("_file"))

@@ -222,7 +222,7 @@ ORACLE: dict[str, str] = {
           from fx_metadata) z where rn = 1"""),
     "silver_join": _q("""
         select m.*, f.dicom_s3_uri as imaging_s3_uri, f.modality, f.body_region, f.uri_format_valid
-        from smq m join sf f on m.ssn = f.ssn"""),
+        from sl m join sf f on m.ssn = f.ssn"""),
     "silver_joined": _q("select * from sj"),
     "join_reconcile": _q("""
         select (select count(distinct ssn) from sl)::bigint as metadata_ids,
@@ -341,7 +341,20 @@ ORACLE.update({
                true as source_is_csv, cast(null as varchar) as _corrupt_record
         from fx_manifest"""),
     "header_harmonize": _q("""
-        select ssn, site_location, age, scan_date, lesion_status_code as raw_lesion_status from fx_metadata"""),
+        , bad as (
+          select encounter_id % 101 = 0 as short, coalesce(site_location = 'CHOC', false) as choc,
+                 cast(encounter_id as varchar) as e
+          from fx_metadata where encounter_id % 101 = 0 or encounter_id % 103 = 0)
+        select ssn, site_location, age, scan_date, lesion_status_code as raw_lesion_status,
+               cast(null as varchar) as _corrupt_record from fx_metadata
+        union all
+        select case when short then case when choc then null else e end when choc then 'c' else 'b' end,
+               case when short then case when choc then null else 'short' end when choc then 'e' else 'a' end,
+               case when short then null when choc then 'd' else 'c' end,
+               case when short then case when choc then e end when choc then 'b' else 'd' end,
+               case when short then case when choc then 'short' end when choc then 'a' else 'e' end,
+               case when short then 'short,' || e else 'a,b,c,d,e,' || e end
+        from bad"""),
     "bronze_roundtrip": ORACLE["lineage_append"],
     "bronze_partition_overwrite": _q("""
         select *, '2026-06-22' as pipeline_run_date from fx_metadata
@@ -356,7 +369,7 @@ ORACLE.update({
         select subject_surrogate_id as surrogate_id, age, ehr_system, site_location, lesion_label,
                imaging_s3_uri as s3_dicom_path from g"""),
     "landing_scan": _q("select * from fx_metadata"),
-    "newest_snapshot": _q("select * from fx_metadata"),
+    "newest_snapshot": _q("select * from fx_metadata where encounter_id % 2 = 1"),
     "landing_name_parts": f"""
         select o_orderkey, file_name,
                regexp_replace(regexp_replace(file_name, '{_UPLOAD_TS}', ''), '\\.[^./]+$', '') as base_name,
@@ -370,7 +383,7 @@ ORACLE.update({
     "incremental_ingest": _q("""
         select ssn, age, site_location, ehr_system, lesion_status_code, scan_date, encounter_id,
                true as source_is_csv, cast(null as varchar) as _corrupt_record from fx_metadata"""),
-    "run_metrics": _q("""
+    "run_metrics": _q(r"""
         select '2026-06-23T13:18:04Z' as run_timestamp, '2026-06-23' as pipeline_run_date,
                (select count(*) from fx_metadata) as bronze_metadata_rows,
                0::bigint as bronze_metadata_corrupt_rows,
@@ -406,14 +419,22 @@ ORACLE.update({
                 from g)::bigint as gold_identifier_values"""),
     "lineage_trace": _q("""
         , up0 as (select * from fx_metadata where site_location = 'CHOC' and encounter_id < 100000)
-        select 'landed' as stage, ssn as record_key from up0
+        select 'landed' as stage, ssn as record_key,
+               md5(concat_ws('|', ssn, age, site_location, ehr_system, lesion_status_code, scan_date,
+                             cast(encounter_id as varchar))) as payload_md5 from up0
         union all
-        select 'bronze' as stage, ssn as record_key from up0
+        select 'bronze' as stage, ssn as record_key,
+               md5(concat_ws('|', ssn, age, site_location, ehr_system, lesion_status_code, scan_date,
+                             cast(encounter_id as varchar))) from up0
         union all
-        select 'silver' as stage, ssn as record_key from sj
+        select 'silver' as stage, ssn as record_key,
+               md5(concat_ws('|', ssn, cast(age as varchar), site_location, cast(scan_date as varchar),
+                             lesion_label, imaging_s3_uri)) from sj
           where ssn in (select trim(ssn) from up0 where ssn is not null)
         union all
-        select 'gold' as stage, subject_surrogate_id as record_key from g
+        select 'gold' as stage, subject_surrogate_id as record_key,
+               md5(concat_ws('|', subject_surrogate_id, cast(age as varchar), site_location,
+                             cast(enrollment_year as varchar), lesion_label, imaging_s3_uri)) from g
           where subject_surrogate_id in (select substr(sha256(trim(ssn)), 1, 16) from up0
                                          where ssn is not null)"""),
 })
@@ -452,18 +473,20 @@ ORACLE.update({
                'MRI' as modality, 'Brain' as body_region
         from ssj"""),
     "output_locations": _q("""
-        select 'bronze' as layer, 'metadata' as name, '2026-06-23' as partitions, count(*) as rows from fx_metadata
+        select 'bronze' as layer, 'metadata' as name, 'bronze_metadata' as folder, '2026-06-23' as partition,
+               count(*) as rows, true as has_bytes from fx_metadata
         union all
-        select 'silver', 'clinical_imaging_joined',
-               (select string_agg(k, ',' order by k) from (select distinct
-                    replace(replace(site_location, ' ', '_'), '/', '-') as k from sj where site_location is not null) t),
-               (select count(*) from sj where site_location is not null)
+        select 'silver', 'clinical_imaging_joined', 'silver', replace(replace(site_location, ' ', '_'), '/', '-') as k,
+               count(*), true
+        from sj where site_location is not null group by k
         union all
-        select 'gold', 'research_dataset', '', count(*) from g"""),
+        select 'gold', 'research_dataset', 'gold_research', null, count(*), true from g"""),
+    "cohort_summary_export": ORACLE["cohort_summary"],
+    "required_columns": _q("select count(*) as rows, 'required columns missing from Silver dataset' as error from sj"),
 })
 
 
-ORACLE["synth_run_metrics"] = _q(f"""
+ORACLE["synth_run_metrics"] = _q(rf"""
     select '2026-06-23T13:18:04Z' as run_timestamp, '2026-06-23' as pipeline_run_date,
            count(*) as bronze_metadata_rows, 0::bigint as bronze_metadata_corrupt_rows,
            count(*) as bronze_manifest_rows, 0::bigint as bronze_manifest_corrupt_rows,
@@ -510,6 +533,7 @@ def _bigint_count_if(sql: str) -> str:
 
 ORACLE["dedup_incremental"] = ORACLE["dedup_latest"]
 ORACLE["gold_incremental"] = ORACLE["gold_research"]
+ORACLE["gold_two_dialects"] = ORACLE["gold_research"]
 ORACLE["gold_streaming"] = ORACLE["gold_research"]
 
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
@@ -523,7 +547,7 @@ _MAN_LINE = ("concat_ws(',', coalesce(ssn, ''), coalesce(dicom_s3_uri, ''), coal
 _META_HDR = "ssn,age,site_location,ehr_system,lesion_status_code,scan_date,encounter_id"
 _MAN_HDR = "ssn,dicom_s3_uri,modality,body_region"
 
-_BUCKET = "lpad(cast(({k}) // 100000 as varchar), 4, '0')"
+_BUCKET = "printf('%04d', ({k}) // 100000)"
 
 _UPLOADS = f"""
 meta_up as (

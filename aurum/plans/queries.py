@@ -19,6 +19,7 @@ from aurum.operators import clean, dedup, deid, headers, join, stats
 from aurum.plans import layers
 from aurum.sources.fixtures import load_fixtures, read_table
 from aurum.sources import synthetic
+from aurum.session import written
 
 RUN_TS = "2026-06-23T13:18:04Z"
 RUN_DATE = "2026-06-23"
@@ -236,8 +237,10 @@ def q_dedup_latest_str(spark, sf_dir):
 
 @query("silver_join")
 def q_silver_join(spark, sf_dir):
-    """The join alone (no dedup): fan-out from both sides is kept."""
-    return join.join_manifest(_silver_meta(spark, sf_dir), _silver_manifest(spark, sf_dir))
+    """The join alone, of the latest record per patient (read from a table)
+    with all its scans."""
+    latest = written(layers.silver_latest(_silver_meta(spark, sf_dir)), "latest")
+    return join.join_manifest(latest, _silver_manifest(spark, sf_dir))
 
 
 @query("silver_joined")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +28,7 @@ from aurum.operators import join, stats
 from aurum.plans import layers
 from aurum.sinks import writers
 from aurum.sources import csv
+from aurum.session import written
 
 log = logging.getLogger("aurum.run")
 
@@ -49,8 +50,18 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                   metadata_schema: StructType = config.METADATA_RAW_SCHEMA,
                   manifest_schema: StructType = config.MANIFEST_RAW_SCHEMA,
                   tiebreakers: Sequence[str] = ("encounter_id",), salt: str | None = None,
-                  fmt: str = "parquet", site_spread: int | None = None, on_empty: str = "warn") -> DataFrame:
-    """Run all layers and return the one-row metrics table (also written).
+                  fmt: str = "parquet", site_spread: int | None = None, on_empty: str = "warn",
+                  dialects: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
+    """Run all layers and return the one-row metrics table (also written; a
+    repeated ``run_ts`` replaces its row).
+
+    Bronze keeps every run date; Silver, Gold and the exports hold this run's
+    date only, as the reference's overwrite does. Land all extracts again, or
+    use ``plans.incremental``, for tables over several dates.
+
+    ``dialects`` reads the metadata of sites whose headers differ, instead of
+    ``metadata_path``: per landing folder the map from its headers to the
+    schema's column names. Malformed rows are captured in each.
 
     ``site_spread`` bounds Silver files per site (see ``writers.write_table``).
     ``on_empty`` is the zero-row policy for the Bronze ingest: ``"warn"`` or
@@ -64,8 +75,11 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     # Bronze: full-width read (corrupt rows captured), lineage, partitioned by run date.
     obs_bm, m = csv.ingest_observation("bronze_metadata")
     # Landing prefixes hold one folder or file per upload: read them recursively.
-    bm = csv.ingest_bronze(spark, metadata_path, metadata_schema, run_ts, run_date,
-                           recursive=True, glob="*.csv").observe(obs_bm, *m)
+    if dialects:
+        bm = csv.ingest_dialects(spark, dialects, metadata_schema, run_ts, run_date, recursive=True, glob="*.csv")
+    else:
+        bm = csv.ingest_bronze(spark, metadata_path, metadata_schema, run_ts, run_date, recursive=True, glob="*.csv")
+    bm = bm.observe(obs_bm, *m)
     obs_bd, m = csv.ingest_observation("bronze_manifest")
     bd = csv.ingest_bronze(spark, manifest_path, manifest_schema, run_ts, run_date,
                            recursive=True, glob="*.csv").observe(obs_bd, *m)
@@ -90,18 +104,19 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     obs_man = Observation("silver_manifest")
     man_stats = [F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("uri_format_valid")).alias("invalid_uri")]
     man_clean = layers.silver_manifest(man_b).observe(obs_man, *man_stats)
-    silver = join.join_manifest(layers.silver_latest(meta_clean, tiebreakers), man_clean)
+    # Written before the join, so that a patient with very many scans is split (see layers).
+    latest = written(layers.silver_latest(meta_clean, tiebreakers), "silver-latest")
+    silver = join.join_manifest(latest, man_clean)
     obs_s = Observation("silver")
     silver = silver.withColumn("site_key", site_partition_key("site_location")).observe(
         obs_s, F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("site_location").isNull()).alias("rows_without_site"))
     # The Silver table is partitioned by site (NULL sites land in the default
     # partition and are excluded from site reads by partition pruning).
-    # Join reconciliation over the cleaned inputs: only key columns are read
-    # and the dedup is not re-run (it keeps exactly one row per id). It is
-    # independent of the Silver write, so both jobs run together.
-    reconciliation = join.reconcile_join(layers.silver_metadata(meta_b), layers.silver_manifest(man_b),
-                                         metadata_deduplicated=True)
+    # Join reconciliation from the latest records (one row per id); only key
+    # columns are read. It is independent of the Silver write, so both jobs
+    # run together.
+    reconciliation = join.reconcile_join(latest, layers.silver_manifest(man_b))
     found: dict = {}
     _concurrently(lambda: writers.write_table(silver, out.silver, fmt, partition_by=["site_key"],
                                               dynamic=False, spread=site_spread),
@@ -160,8 +175,10 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     _report(row, on_empty)
     schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in row.items())
     metrics = spark.createDataFrame([tuple(row.values())], schema)
-    writers.write_table(metrics.coalesce(1), out.run_metrics, fmt, mode="append")
-    return spark.read.format(fmt).load(out.run_metrics).where(F.col("run_timestamp") == run_ts)
+    # One partition per run: a repeated run replaces its row.
+    writers.write_table(metrics.coalesce(1), out.run_metrics, fmt, partition_by=["run_timestamp"])
+    back = spark.read.format(fmt).schema(metrics.schema).load(out.run_metrics)
+    return back.where(F.col("run_timestamp") == run_ts).select(*metrics.columns)
 
 
 def _concurrently(*jobs) -> None:
@@ -169,8 +186,11 @@ def _concurrently(*jobs) -> None:
     overlap them (small jobs rarely fill a cluster); re-raise the first error."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark import inheritable_thread_target
+
+    # Threads that inherit the caller's job group and local properties.
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
+        for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]:
             f.result()
 
 

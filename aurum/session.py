@@ -64,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/aurum-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """Write ``df`` to the shared scratch area and read it back: what follows
+    is planned from the table (its size is known, its shuffles are over)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
     try:
@@ -102,8 +110,24 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, executor_cores_total
     return conf
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it doesn't exist."""
+    jvm_path, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm_path, fs = _file_system(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, through the cluster's Hadoop file
     system (works for HDFS, object stores and local paths alike)."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
+    jvm_path, fs = _file_system(spark, path)
+    return bool(fs.exists(jvm_path))

@@ -107,20 +107,25 @@ def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def output_locations(spark: SparkSession, entries: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """Report ``(layer, name, uri, partitions, rows)`` for written outputs.
+def output_locations(spark: SparkSession, entries: Iterable[tuple[str, str, str]], fmt: str = "parquet") -> DataFrame:
+    """Report ``(layer, name, uri, partition, rows, bytes)`` for written
+    outputs, one row per partition value (NULL for an unpartitioned table).
 
-    Rows and partition values are read back from the written data itself.
+    Rows and partition values are read back from the written data itself, sizes
+    from its files.
     """
     frames = []
     for layer, name, uri in entries:
-        df = spark.read.parquet(uri)
+        df = spark.read.format(fmt).load(uri)
         part_cols = [c for c in ("pipeline_run_date", "site_key") if c in df.columns]
-        summary = df.agg(F.count(F.lit(1)).alias("rows"),
-                         *( [F.array_sort(F.collect_set(F.col(part_cols[0]).cast("string"))).alias("partitions")]
-                            if part_cols else [F.array().cast("array<string>").alias("partitions")]))
-        frames.append(summary.select(F.lit(layer).alias("layer"), F.lit(name).alias("name"),
-                                     F.lit(uri).alias("uri"), "partitions", "rows"))
+        value = F.col(part_cols[0]).cast("string") if part_cols else F.lit(None).cast("string")
+        rows = df.groupBy(value.alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(uri)
+        folder = F.nullif(F.regexp_extract("path", f"/{part_cols[0]}=([^/]*)/", 1), F.lit("")) if part_cols else F.lit(None)
+        sizes = files.groupBy(F.url_decode(folder.cast("string")).alias("partition")).agg(F.sum("length").alias("bytes"))
+        both = rows.alias("r").join(sizes.alias("s"), F.col("r.partition").eqNullSafe(F.col("s.partition")), "left")
+        frames.append(both.select(F.lit(layer).alias("layer"), F.lit(name).alias("name"), F.lit(uri).alias("uri"),
+                                  "r.partition", "rows", "bytes"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

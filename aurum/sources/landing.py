@@ -8,8 +8,6 @@ derive the confirmation id. Landed names are immutable:
 
 from __future__ import annotations
 
-import datetime as _dt
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +18,6 @@ from aurum.functions import expressions as X
 from aurum.session import path_exists
 
 
-def upload_name(filename: str, when: _dt.datetime | None = None) -> str:
-    """Immutable landing name: the upload UTC time inserted before the extension."""
-    when = when or _dt.datetime.now(_dt.timezone.utc)
-    name, ext = os.path.splitext(filename)
-    return f"{name}_{when.strftime('%Y%m%dT%H%M%SZ')}{ext}"
-
-
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Every file under ``root`` (recursive): path, landed object name,
     length, modificationTime."""
@@ -41,10 +32,11 @@ def landing_catalog(listing: DataFrame, ledger: DataFrame | None = None, root: s
     """Object catalog: key, submitter, affiliation, size in KB, last modified."""
     key = F.col("path") if root is None else relative_path(F.col("path"), root)
     tz = listing.sparkSession.conf.get("spark.sql.session.timeZone")
-    out = listing.select(key.alias("key"), "file_name", "length", "modificationTime")
+    out = listing.select("path", key.alias("key"), "file_name", "length", "modificationTime")
     if ledger is not None:
-        attrs = ledger.select("file_name", "submitter", "affiliation").dropDuplicates(["file_name"])
-        out = out.join(attrs, "file_name", "left")
+        # By landed path: two uploads may share a name.
+        attrs = ledger.select(F.col("source_file").alias("path"), "submitter", "affiliation")
+        out = out.join(attrs, "path", "left")
     else:
         out = out.withColumns({"submitter": F.lit(None).cast("string"), "affiliation": F.lit(None).cast("string")})
     return out.select(
@@ -105,14 +97,19 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     file name.
 
     ``submissions`` carries what the uploader declared:
-    ``(file_name, submitter, affiliation, dataset_type)``, keyed by the
-    landed object name (see ``landed_object_name``). A landed file with
-    no submitter is an error (provenance is mandatory).
-
-    ``id_from="content"`` hashes each file's bytes (one task per file; the
-    ``binaryFile`` source caps a file at 2 GiB). ``id_from="metadata"``
-    hashes (path, size, modification time) instead and reads no content,
-    for landing zones with very large files.
+    ``(path, submitter, affiliation, dataset_type)``, keyed by the landed path.
+    Keyed by ``file_name`` (the landed object name, see
+    ``landed_object_name``) instead, a name that several landed files or
+    submissions share is an error: whose upload it is can't be told. A landed
+    file with no submitter is an error (provenance is mandatory).
+
+    ``tx_id`` is for display; ``content_md5`` tells files apart.
+    ``id_from="content"`` hashes each file's bytes (one task per file); a file
+    over 2 GiB, which the ``binaryFile`` source can't read, is an error.
+    ``id_from="metadata"`` hashes (path, size, modification time) instead and
+    reads no content. The two give different ids: choose one per landing zone.
+    ``append_ledger`` never derives the id of a recorded file again, so a
+    stored ledger keeps its ids.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
@@ -130,19 +127,27 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     prefix = F.lit(None).cast("string")
     for dtype, pfx in dataset_prefixes.items():
         prefix = F.when(F.col("dataset_type") == dtype, F.lit(pfx)).otherwise(prefix)
-    ledger = files.join(submissions, "file_name", "left").select(
+    if "path" in submissions.columns:
+        files = files.join(submissions.drop("file_name"), "path", "left").withColumn("_shared", F.lit(False))
+    else:
+        twice = (files.select("file_name", F.lit(1).alias("f"), F.lit(0).alias("s"))
+                 .unionByName(submissions.select("file_name", F.lit(0).alias("f"), F.lit(1).alias("s")))
+                 .groupBy("file_name").agg(((F.sum("f") > 1) | (F.sum("s") > 1)).alias("_shared")))
+        files = files.join(submissions, "file_name", "left").join(twice, "file_name", "left")
+    ledger = files.select(
         F.concat(F.lit("TX-"), F.upper(F.substring("content_md5", 1, 6))).alias("tx_id"),
         "content_md5", "submitter", "affiliation", "dataset_type",
         prefix.alias("object_prefix"),
         X.upload_time("file_name").alias("uploaded_at"),
-        "file_name", F.col("path").alias("source_file"),
+        "file_name", F.col("path").alias("source_file"), "_shared",
     )
     return ledger.withColumn(
         "submitter",
-        F.when(F.col("submitter").isNull() | (F.trim("submitter") == ""),
+        F.when(F.col("_shared"), F.raise_error(F.concat(F.lit("name of several uploads, give submissions by path: "), F.col("file_name"))))
+        .when(F.col("submitter").isNull() | (F.trim("submitter") == ""),
                F.raise_error(F.concat(F.lit("landed file without submitter: "), F.col("file_name"))))
         .otherwise(F.col("submitter")),
-    )
+    ).drop("_shared")
 
 
 def append_ledger(spark: SparkSession, ledger: DataFrame, path: str, fmt: str = "parquet") -> int:

@@ -13,42 +13,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aurum import config
-from aurum.sources.csv import with_corrupt_column
+from aurum.session import child_names
+from aurum.sources.csv import reader_options
 
 
 def incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType, bronze_path: str,
                        checkpoint_path: str, glob: str = "*.csv", header: bool = True,
                        max_files_per_trigger: int | None = None) -> int:
-    """Ingest new landed files into a Bronze table; returns files-processed batches.
+    """Ingest new landed files into a Bronze table; returns the number of
+    micro-batches committed by this call (from the checkpoint's commit log).
 
-    Lineage: ``source_file`` is the per-row input file; ``ingested_at`` and
+    A file whose header is not the schema's fails the stream. Lineage: ``source_file`` is the per-row input file; ``ingested_at`` and
     ``pipeline_run_date`` come from the micro-batch time.
     """
-    reader = (spark.readStream.schema(with_corrupt_column(schema))
-              .option("header", header)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", config.CORRUPT_COLUMN)
-              .option("columnPruning", False)
+    reader = (reader_options(spark.readStream, schema, header)
               .option("recursiveFileLookup", True)
               .option("pathGlobFilter", glob))
+    before = _last_batch(spark, checkpoint_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir)
     # Micro-batch time as UTC wall clock (the stamp says 'Z' whatever the
     # session time zone is).
-    now = F.to_utc_timestamp(F.current_timestamp(), spark.conf.get("spark.sql.session.timeZone"))
-    bronze = stream.withColumns({
-        "ingested_at": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        "source_file": F.col("_metadata.file_path"),
-        "pipeline_run_date": F.date_format(now, "yyyy-MM-dd"),
-    })
+    bronze = stream.withColumns(_batch_lineage(spark))
     q = (bronze.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_path)
          .partitionBy("pipeline_run_date")
          .trigger(availableNow=True)
          .start(bronze_path))
     q.awaitTermination()
-    return len(q.recentProgress)
+    return _last_batch(spark, checkpoint_path) - before
+
+
+def _batch_lineage(spark: SparkSession) -> dict:
+    now = F.to_utc_timestamp(F.current_timestamp(), spark.conf.get("spark.sql.session.timeZone"))
+    return {"ingested_at": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+            "source_file": F.col("_metadata.file_path"),
+            "pipeline_run_date": F.date_format(now, "yyyy-MM-dd")}
+
+
+def _last_batch(spark: SparkSession, checkpoint_path: str) -> int:
+    """The last committed batch of a stream's checkpoint; -1 if none."""
+    return max([int(n) for n in child_names(spark, f"{checkpoint_path}/commits") if n.isdigit()], default=-1)
 
 
 def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str, base: str,
@@ -75,13 +81,12 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
         return spark.createDataFrame([], schema)
 
     def run(side: str, directory: str, schema: StructType):
-        reader = (spark.readStream.schema(with_corrupt_column(schema)).option("header", True)
-                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", config.CORRUPT_COLUMN)
-                  .option("columnPruning", False).option("recursiveFileLookup", True)
+        reader = (reader_options(spark.readStream, schema).option("recursiveFileLookup", True)
                   .option("pathGlobFilter", glob))
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        stream = reader.csv(directory).withColumn("source_file", F.col("_metadata.file_path"))
+        # The same lineage columns as a batch ingest's Bronze.
+        stream = reader.csv(directory).withColumns(_batch_lineage(spark))
 
         def apply(batch, epoch_id):
             batch = batch.persist()
@@ -89,7 +94,7 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
                 (batch.withColumn("_batch", F.lit(int(epoch_id))).write.format("parquet")
                  .mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("_batch").save(f"{base}/bronze_{side}"))
-                good = batch.where(F.col(config.CORRUPT_COLUMN).isNull()).drop(config.CORRUPT_COLUMN)
+                good = batch.where(F.col(config.CORRUPT_COLUMN).isNull()).select(*schema.fieldNames())
                 if side == "metadata":
                     meta, man = good, empty(manifest_schema)
                 else:

@@ -114,3 +114,52 @@ def test_streaming_increments_follow_new_uploads(spark):
     files.land_uploads(late, F.lit("late_extract_20260602T000000Z.csv"), files.META_COLS, f"{root}/meta/b")
     stream_increments(*args, buckets=16)
     assert gold_rows() == full(meta)
+
+
+def test_another_bucket_count_is_refused(spark):
+    import pytest
+    df = spark.createDataFrame([(f"P{i}", dt.date(2026, 1, 1), i) for i in range(100)], "ssn string, scan_date date, enc int")
+    state = scratch_path(spark, "t-buckets")
+    incremental.upsert_latest(spark, df, state, tiebreakers=["enc"], buckets=64)
+    with pytest.raises(ValueError, match="64 buckets"):
+        incremental.upsert_latest(spark, df, state, tiebreakers=["enc"], buckets=100)
+    assert incremental.read_latest(spark, state).count() == 100
+
+
+def test_corrected_increment_replaces_its_first_version(spark):
+    """Increment x comes again with other metadata (an earlier date, a patient
+    less) and other imaging: the tables equal a full run over what holds now."""
+    from collections import Counter
+
+    from aurum.plans import layers
+    from aurum.plans.incremental import BUCKET_COLUMN, apply_increment
+
+    def meta(rows):
+        return spark.createDataFrame([(s, "7", "CHOC", "Cerner", "1", d, e) for s, d, e in rows],
+                                     "ssn string, age string, site_location string, ehr_system string, "
+                                     "lesion_status_code string, scan_date string, encounter_id long")
+
+    def man(ids):
+        return spark.createDataFrame([(s, f"s3://b/{s}/{k}", "MRI", "Brain") for s, k in ids],
+                                     "ssn string, dicom_s3_uri string, modality string, body_region string")
+
+    base = scratch_path(spark, "t-corrected")
+    a = ([("P1", "2026-01-05", 1), ("P2", "2026-01-05", 2), ("P9", "2026-01-05", 8)], [("P1", 1), ("P2", 1), ("P9", 1)])
+    x1 = ([("P1", "2026-03-01", 3), ("P3", "2026-03-01", 4)], [("P3", 1), ("P1", 2)])
+    x2 = ([("P1", "2026-01-01", 3)], [("P2", 5)])
+    for name, (m, i) in (("a", a), ("x", x1), ("x", x2)):
+        apply_increment(spark, meta(m), man(i), base, name, buckets=16)
+    full = layers.gold_dataset(layers.silver_joined(meta(a[0] + x2[0]), man(a[1] + x2[1])))
+    want = Counter(tuple(r) for r in full.select(*sorted(full.columns)).collect())
+    got = Counter(tuple(r) for r in spark.read.parquet(f"{base}/gold_research").drop(BUCKET_COLUMN).select(*sorted(full.columns)).collect())
+    assert got == want
+    assert {r["ssn"] for r in spark.read.parquet(f"{base}/silver_latest").collect()} == {"P1", "P2", "P9"}
+
+
+def test_vocabulary_with_two_labels_is_refused(spark):
+    import pytest
+
+    from aurum.operators import clean
+    rows = spark.createDataFrame([("x",)], "lesion_status_code string")
+    with pytest.raises(Exception, match="two labels"):
+        clean.harmonize_codes_by_table(rows, spark.createDataFrame([("X", "Yes"), (" x", "No")], "code string, label string")).collect()

@@ -7,6 +7,8 @@ import os
 import time
 from urllib.parse import urlparse
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from aurum import config
@@ -160,7 +162,8 @@ def test_output_locations(spark):
     path = scratch_path(spark, "t-loc")
     writers.write_bronze(meta.withColumn("pipeline_run_date", F.lit("2026-06-23")), path)
     r = writers.output_locations(spark, [("bronze", "metadata", path)]).first()
-    assert (r["layer"], r["rows"], r["partitions"]) == ("bronze", meta.count(), ["2026-06-23"])
+    assert (r["layer"], r["rows"], r["partition"], r["uri"]) == ("bronze", meta.count(), "2026-06-23", path)
+    assert r["bytes"] == sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(_local(path)) for f in fs if f.startswith("part-"))
 
 
 def test_create_namespace(spark):
@@ -191,6 +194,8 @@ def test_run_rerun_same_date_is_idempotent(spark):
     assert {k: v for k, v in m1.asDict().items() if k != "run_timestamp"} == \
         {k: v for k, v in m2.asDict().items() if k != "run_timestamp"}
     assert spark.read.parquet(f"{base}/run_metrics").count() == 2
+    m3 = run_medallion(spark, dirs["metadata"], dirs["dicom"], base, **kw)
+    assert m3.collect() == [m1] and spark.read.parquet(f"{base}/run_metrics").count() == 2
     assert spark.read.parquet(f"{base}/gold_research").count() == m1["gold_rows"]
 
 
@@ -274,3 +279,107 @@ def test_write_table_registers_table(spark):
         writers.write_table(meta, path, table="aurum_t_bronze")
     assert spark.table("aurum_t_bronze").count() == meta.count()
     assert spark.table("aurum_t_bronze").columns == meta.columns
+
+
+def test_equal_names_keep_their_own_submitter(spark):
+    """Two uploads of one name under two prefixes: by path each has its own
+    submitter; by name alone whose is whose is an error."""
+    root = scratch_path(spark, "t-same-name")
+    for folder, text in (("metadata", "a"), ("dicom", "b")):
+        os.makedirs(f"{_local(root)}/raw/{folder}")
+        with open(f"{_local(root)}/raw/{folder}/x_20260101T000000Z.csv", "w") as f:
+            f.write(f"h\n{text}\n")
+    listing = landing.list_files(spark, f"{root}/raw", "*.csv")
+    who = F.when(F.col("path").contains("/dicom/"), "D").otherwise("M").alias("submitter")
+    rest = [F.lit("CHOC").alias("affiliation"), F.lit("Clinical Metadata Extract").alias("dataset_type")]
+    led = landing.landing_ledger(spark, f"{root}/raw", listing.select("path", who, *rest))
+    rows = {("dicom" if "/dicom/" in r["source_file"] else "metadata"): r["submitter"] for r in led.collect()}
+    assert rows == {"dicom": "D", "metadata": "M"} and led.count() == 2
+    cat = landing.landing_catalog(listing, led, root=root).collect()
+    assert {(r["key"].split("/")[1], r["submitter"]) for r in cat} == {("dicom", "D"), ("metadata", "M")}
+    with pytest.raises(Exception, match="submissions by path"):
+        landing.landing_ledger(spark, f"{root}/raw", listing.select("file_name", who, *rest)).collect()
+
+
+def test_colliding_short_ids(spark):
+    """Two contents under one short id: lookup reports it, a trace refuses the
+    short id and takes the full hash."""
+    from aurum.operators.join import ledger_lookup
+    from aurum.plans.lineage import lineage_trace
+    led = spark.createDataFrame([("TX-AAAAAA", "aaaaaa1", "f1"), ("TX-AAAAAA", "aaaaaa2", "f2"), ("TX-BBBBBB", "bbbbbb1", "f3")],
+                                "tx_id string, content_md5 string, source_file string")
+    asked = spark.createDataFrame([("TX-AAAAAA",), ("aaaaaa2",), ("nope",), ("nope2",)], "tx_id string")
+    got = sorted((r["requested_id"], r["found"], r["ambiguous"], r["source_file"]) for r in ledger_lookup(asked, led, "TX-BBBBBB").collect())
+    assert got == [("TX-AAAAAA", True, True, "f1"), ("TX-AAAAAA", True, True, "f2"), ("aaaaaa2", True, False, "f2"),
+                   ("nope", False, False, "f3"), ("nope2", False, False, "f3")]
+    with pytest.raises(ValueError, match="more than one"):
+        ledger_lookup(asked, led, "TX-AAAAAA")
+    bronze = spark.createDataFrame([("k1", "f1"), ("k2", "f2")], "ssn string, source_file string")
+    silver = spark.createDataFrame([("k1",), ("k2",)], "ssn string")
+    gold = spark.createDataFrame([("g",)], "subject_surrogate_id string")
+    with pytest.raises(ValueError, match="different files"):
+        lineage_trace("TX-AAAAAA", led, bronze, silver, gold, include_landed=False)
+    out = lineage_trace("aaaaaa2", led, bronze, silver, gold, include_landed=False).collect()
+    assert [(r["stage"], r["record_key"]) for r in out] == [("bronze", "k2"), ("silver", "k2")]
+
+
+def test_trace_of_more_files_than_the_filter_takes(spark, monkeypatch):
+    """The landed stage is whole on either side of the pushed-down list."""
+    from aurum.plans import lineage
+    root = scratch_path(spark, "t-many-files")
+    os.makedirs(f"{_local(root)}/raw/other")
+    for i in range(1001):
+        with open(f"{_local(root)}/raw/u{i}_20260101T000000Z.csv", "w") as f:
+            f.write("epic_id,age\nk,1\n")
+    with open(f"{_local(root)}/raw/other/z_20260101T000000Z.csv", "w") as f:
+        f.write("age,epic_id\n1,other\n")
+    names = landing.list_files(spark, f"{root}/raw", "*.csv").select(F.col("path").alias("source_file"))
+    md5 = F.when(F.col("source_file").contains("/other/"), "b").otherwise("a")
+    led = names.select(F.concat(F.lit("TX-"), md5).alias("tx_id"), md5.alias("content_md5"), "source_file")
+    bronze = names.select(F.when(F.col("source_file").contains("/other/"), "other").otherwise("k").alias("ssn"), "source_file")
+    silver = spark.createDataFrame([("k",)], "ssn string")
+    gold = spark.createDataFrame([("g",)], "subject_surrogate_id string")
+    for limit in (1_000, 2_000):
+        monkeypatch.setattr(lineage, "PUSHDOWN_FILES", limit)
+        out = lineage.lineage_trace("TX-a", led, bronze, silver, gold)
+        got = {(r["stage"], r["record_key"]): r["n"] for r in out.groupBy("stage", "record_key").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert got == {("landed", "k"): 1001, ("bronze", "k"): 1001, ("silver", "k"): 1}
+
+
+def test_upload_buckets_are_not_cut(spark):
+    got = spark.createDataFrame([(5,), (12345 * files.UPLOAD_KEY_SPAN,), (1234 * files.UPLOAD_KEY_SPAN,)], "k long").select(files._bucket(F.col("k")))
+    assert [r[0] for r in got.collect()] == ["0000", "12345", "1234"]
+
+
+def test_newest_snapshot_is_by_time_not_name(spark):
+    rows = files.q_newest_snapshot(spark, SF_SMALL)
+    meta = files.load_fixtures(spark, SF_SMALL)[0]
+    assert rows.count() == meta.where("encounter_id % 2 = 1").count() not in (meta.count(), meta.where("encounter_id % 2 = 0").count())
+
+
+def test_stream_refuses_a_reordered_header(spark):
+    from aurum import config
+    from aurum.streaming.incremental import incremental_ingest, stream_increments
+    root = scratch_path(spark, "t-bad-header")
+    meta = files.load_fixtures(spark, SF_SMALL)[0].select(*reversed(files.META_COLS))
+    files.write_csv(meta, f"{root}/meta")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        incremental_ingest(spark, f"{root}/meta", files.FIXTURE_METADATA_SCHEMA, f"{root}/bronze", f"{root}/ckpt")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        stream_increments(spark, f"{root}/meta", f"{root}/meta", f"{root}/lake", f"{root}/ckpt2",
+                          files.FIXTURE_METADATA_SCHEMA, config.MANIFEST_RAW_SCHEMA, buckets=4)
+
+
+def test_stream_counts_every_batch(spark):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from aurum.streaming.incremental import incremental_ingest
+    root = scratch_path(spark, "t-batches")
+    os.makedirs(f"{_local(root)}/in")
+    for i in range(104):
+        with open(f"{_local(root)}/in/{i}.csv", "w") as f:
+            f.write(f"v\n{i}\n")
+    schema = StructType([StructField("v", StringType())])
+    assert incremental_ingest(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1) == 104
+    assert spark.read.parquet(f"{root}/out").count() == 104
+    assert incremental_ingest(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1) == 0

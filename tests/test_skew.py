@@ -89,3 +89,35 @@ def test_hot_site_aggregates_exact(spark):
         ages = [int(x[1]) for x in meta if x[2].upper() == site]
         assert rows[site]["n"] == len(ages)
         assert abs(rows[site]["mean_age"] - sum(ages) / len(ages)) < 1e-6
+
+
+def test_hot_patient_is_split_in_the_join(spark):
+    """A third of the manifest on one patient, no broadcast: adaptive execution
+    splits the hot key, and no task reads far more than the others."""
+    n = 60_000
+    meta = spark.range(n // 10).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), F.col("id").cast("string"))).alias("ssn"),
+        F.lit("7").alias("age"), F.lit("CHOC").alias("site_location"), F.lit("Cerner").alias("ehr_system"),
+        F.lit("1").alias("lesion_status_code"), F.lit("2026-01-01").alias("scan_date"), F.col("id").alias("encounter_id"))
+    man = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 6000).cast("string"))).alias("ssn"),
+        F.concat(F.lit("s3://b/"), F.sha2(F.col("id").cast("string"), 512)).alias("dicom_s3_uri"), F.lit("MRI").alias("modality"),
+        F.lit("Brain").alias("body_region"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = layers.silver_joined(meta, man.repartition(9)).select("ssn", F.spark_partition_id().alias("task"))
+        per_task = [r["n"] for r in out.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect()]
+        joined = layers.silver_joined(meta, man.repartition(9))
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan, plan
+    assert max(per_task) < n // 3 / 2
