@@ -5,9 +5,12 @@ feature, shared by all grades, and ordered thresholds:
 ``P(grade >= k) = sigmoid(w . x - threshold_k)``. The model gives each document
 its expected grade and the tail probability used for selection.
 
-Features of a whole text are its lower-cased words and the shapes of its words
-(letters, capitals, digits, other signs), hashed to ``2**bits`` places; counts
-are damped by a logarithm and the vector is scaled to length one.
+Features of a whole text are its words (lower-cased letters and digits), their
+first four letters, and their shapes (letters, capitals, digits, other signs),
+hashed to ``2**bits`` places. Counts are damped by a logarithm and weighted by
+rarity among the training rows; places that fewer than ``min_rows`` of them
+hold count nothing, so no weight rests on a handful of texts. The vector is
+scaled to length one.
 
 The model is fitted on a bounded sample of the labelled rows: the
 ``max_training_rows`` of smallest hashed id, a choice that does not depend on
@@ -31,6 +34,8 @@ from aurum.llm.common import text_slices
 
 BITS = 18
 MAX_TRAINING_ROWS = 6_000
+MIN_ROWS = 5
+_OTHER = re.compile(r"[\W_]+")
 _CLASSES = ((re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile(r"[^\W\dX_]+"), "x"), (re.compile(r"\d+"), "9"))
 
 
@@ -45,13 +50,13 @@ class Features:
 
     def __init__(self, bits: int = BITS, limit: int = 300_000):
         self._mask, self._limit = (1 << bits) - 1, limit
-        self._known: dict[str, int] = {}
+        self._known: dict[str, tuple[int, int, int]] = {}
 
-    def _codes(self, word: str) -> int:
-        """Places of the word and of its shape, in one number."""
-        w = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & self._mask
-        s = xxhash.xxh3_64_intdigest(shape(word).encode("utf-8", "surrogatepass"), 1) & self._mask
-        return w << 32 | s
+    def _codes(self, word: str) -> tuple[int, int, int]:
+        """Places of the word, its beginning and its shape."""
+        core = _OTHER.sub("", word.lower())
+        return tuple(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"), k) & self._mask
+                     for k, x in enumerate((core, core[:4], shape(word))))
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         if not text:
@@ -63,32 +68,43 @@ class Features:
             c = known.get(w)
             if c is None:
                 c = known[w] = self._codes(w)
-            out.append(c)
-        both = np.array(out, dtype=np.int64)
-        places, counts = np.unique(np.concatenate([both >> 32, both & 0xFFFFFFFF]), return_counts=True)
-        values = 1 + np.log(counts)
-        return places.astype(np.int32), (values / max(np.linalg.norm(values), 1e-12)).astype(np.float32)
+            out += c
+        if not out:
+            return np.empty(0, np.int32), np.empty(0, np.float32)
+        places, counts = np.unique(np.array(out, dtype=np.int32), return_counts=True)
+        return places, (1 + np.log(counts)).astype(np.float32)
 
 
 @dataclass
 class Model:
     weights: np.ndarray
+    rarity: np.ndarray  # per place; 0 where too few training rows hold it
     thresholds: np.ndarray  # ascending; one less than grades
     bits: int
 
+    def score(self, places: np.ndarray, values: np.ndarray) -> float:
+        v = values * self.rarity[places]
+        return float(self.weights[places] @ v) / max(float(np.linalg.norm(v)), 1e-12)
+
     def tails(self, score: float) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..."""
         return 1 / (1 + np.exp(-np.clip(score - self.thresholds, -30, 30)))
 
 
 def fit(rows: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, n_grades: int, *, bits: int = BITS,
-        steps: int = 150, rate: float = 0.3, penalty: float = 1e-5) -> Model:
+        min_rows: int = MIN_ROWS, steps: int = 200, rate: float = 0.3, penalty: float = 1e-4) -> Model:
     """Maximum likelihood by full-batch Adam; each grade counts the same in all."""
     size = 1 << bits
     lengths = np.array([len(r) for r in rows])
     index, x = np.concatenate(rows), np.concatenate(values).astype(np.float64)
-    used, local = np.unique(index, return_inverse=True)
     owner = np.repeat(np.arange(len(rows)), lengths)
+    held = np.bincount(index, minlength=size)
+    rarity = np.where(held >= min_rows, np.log((len(rows) + 1) / np.maximum(held, 1)), 0).astype(np.float32)
+    x *= rarity[index]
+    x /= np.maximum(np.sqrt(np.bincount(owner, x * x, minlength=len(rows))), 1e-12)[owner]
+    some = x != 0
+    index, x, owner = index[some], x[some], owner[some]
+    used, local = np.unique(index, return_inverse=True)
     counts = np.bincount(grades, minlength=n_grades)
     weight = (1 / np.maximum(counts, 1))[grades] / max((counts > 0).sum(), 1)
     w = np.zeros(len(used))
@@ -119,11 +135,11 @@ def fit(rows: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, n_
             param += rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
     weights = np.zeros(size, np.float32)
     weights[used] = w
-    return Model(weights, raw[0] + np.concatenate([[0], np.cumsum(np.exp(raw[1:]))]), bits)
+    return Model(weights, rarity, raw[0] + np.concatenate([[0], np.cumsum(np.exp(raw[1:]))]), bits)
 
 
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int, *, bits: int = BITS,
-          max_training_rows: int = MAX_TRAINING_ROWS) -> Model | None:
+          max_training_rows: int = MAX_TRAINING_ROWS, min_rows: int = MIN_ROWS) -> Model | None:
     """Fit on a bounded sample of ``ratings`` (``doc_id, grade``); None if no
     rated document has a text. Ratings of one document that differ count as the
     lowest; null grades and grades out of range teach nothing."""
@@ -152,10 +168,10 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, *, bits: int = BIT
     if not rows:
         return None
     return fit([np.frombuffer(r["places"], np.int32) for r in rows], [np.frombuffer(r["x"], np.float32) for r in rows],
-               np.array([r["grade"] for r in rows]), n_grades, bits=bits)
+               np.array([r["grade"] for r in rows]), n_grades, bits=bits, min_rows=min_rows)
 
 
-def score(docs: DataFrame, model: Model | None, n_grades: int, *, keep_grade: int = 1, keep_probability: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, n_grades: int, *, keep_grade: int = 2, keep_probability: float = 0.25) -> DataFrame:
     """``doc_id, expected_grade, p_at_least array<double>`` (for grades 1, 2,
     ...) ``, kept`` for every row.
 
@@ -163,7 +179,7 @@ def score(docs: DataFrame, model: Model | None, n_grades: int, *, keep_grade: in
     ``keep_probability``. Null and empty texts, and every text where there is no
     model, have expected grade and probabilities null and are not kept.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 x 2**bits numbers
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +194,7 @@ def score(docs: DataFrame, model: Model | None, n_grades: int, *, keep_grade: in
                     if not len(places):
                         grades.append(None), tails.append(None), kept.append(False)
                         continue
-                    p = m.tails(float(m.weights[places] @ x))
+                    p = m.tails(m.score(places, x))
                     grades.append(float(p.sum()))
                     tails.append(p.tolist())
                     kept.append(bool(p[keep_grade - 1] >= keep_probability))
