@@ -110,8 +110,9 @@ def test_hot_patient_is_split_in_the_join(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = layers.silver_joined(meta, man.repartition(9)).select("ssn", F.spark_partition_id().alias("task"))
-        per_task = [r["n"] for r in out.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect()]
+        out = layers.silver_joined(meta, man.repartition(9)).withColumn("task", F.spark_partition_id())
+        sizes = out.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.max("imaging_s3_uri"))  # whole rows are joined
+        per_task = [r["n"] for r in sizes.collect()]
         joined = layers.silver_joined(meta, man.repartition(9))
         joined.write.format("noop").mode("overwrite").save()
         joined.collect()
