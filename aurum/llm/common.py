@@ -83,29 +83,106 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHasher:
-    """64-bit hashes of words (bytes), with a bounded memory of past words."""
-
-    def __init__(self, seed: int = 0, limit: int = 400_000):
-        import xxhash
-
-        self._digest, self._seed, self._limit = xxhash.xxh3_64_intdigest, seed, limit
-        self._known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, digest, seed = self._known, self._digest, self._seed
-        if len(known) > self._limit:
-            known.clear()
-        out = [known.get(w) for w in words]
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    w = words[i]
-                    h = known.get(w)
-                    if h is None:
-                        known[w] = h = digest(w, seed)
-                    out[i] = h
-        return np.array(out, dtype=np.uint64)
+_IS_WHITE = np.zeros(256, bool)
+_IS_WHITE[list(WHITE.encode())] = True
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes hashed at a time (cut between words).
+_HASH_BLOCK = 1 << 20
+_tables: dict = {}
+
+
+def _byte_values(fold: bool) -> np.ndarray:
+    """A random 64-bit value for each byte; with ``fold`` A-Z have those of a-z."""
+    if fold not in _tables:
+        with np.errstate(over="ignore"):
+            v = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+        if fold:
+            v[65:91] = v[97:123]
+        _tables[fold] = v
+    return _tables[fold]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    have = _tables.get("powers")
+    if have is None or len(have[0]) < n:
+        size = max(n, _HASH_BLOCK + 1)
+        with np.errstate(over="ignore"):
+            have = tuple(np.concatenate([[np.uint64(1)], np.full(size - 1, np.uint64(x))]).cumprod(dtype=np.uint64)
+                         for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+        if size <= 2 * _HASH_BLOCK:
+            _tables["powers"] = have
+    return have
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Runs of characters other than ASCII white space, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
+def folded(text: str | None) -> bytes:
+    """The words of a text in lower case (A-Z only), joined by one space."""
+    return b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) if text else b""
+
+
+def word_hashes(text: str | None, fold: bool = False) -> np.ndarray:
+    """A 64-bit hash per word of the whole text, in order.
+
+    Prefix sums of byte values times powers give each word's polynomial at
+    once; dividing by the power of its start makes it independent of its place.
+    """
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8) if text else np.empty(0, np.uint8)
+    out, at = [], 0
+    while at < len(data):
+        end = at + _HASH_BLOCK
+        if end < len(data):
+            white = np.flatnonzero(_IS_WHITE[data[at:end]])
+            if len(white):
+                end = at + int(white[-1]) + 1
+            else:  # a word longer than a block
+                while end < len(data) and not _IS_WHITE[data[end]]:
+                    end += 1
+        part = data[at:end]
+        edges = np.flatnonzero(np.diff(_IS_WHITE[part].view(np.int8), prepend=1, append=1))
+        starts, ends = edges[::2], edges[1::2]
+        if len(starts):
+            power, inverse = _powers(len(part))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            with np.errstate(over="ignore"):
+                np.cumsum(_byte_values(fold)[part] * power[:len(part)], out=sums[1:])
+                h = (sums[ends] - sums[starts]) * inverse[starts]
+                out.append(mix64(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def word_windows(texts: list, n: int, *, fold: bool = False, seeds: tuple[int, ...] = (0,)) -> Iterator[list[np.ndarray]]:
+    """For each text the hashes of its words and, per seed, of its runs of
+    ``n`` words. Short texts are hashed together, a block at a time."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo + 1, len(texts[lo] or "")
+        while hi < len(texts) and size + len(texts[hi] or "") < _HASH_BLOCK // 4:
+            size += len(texts[hi] or "") + 1
+            hi += 1
+        group = [t or "" for t in texts[lo:hi]]
+        words = word_hashes("\n".join(group), fold)
+        if len(group) == 1:
+            counts = [len(words)]
+        else:
+            # Words up to the end of each text: those that start before it ends.
+            data = "\n".join(group).encode("utf-8", "surrogatepass")
+            white = _IS_WHITE[np.frombuffer(data, np.uint8)]
+            before = np.cumsum(~white & np.concatenate([[True], white[:-1]]))
+            ends = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 for t in group]) - 1
+            counts = np.diff(np.concatenate([[0], np.concatenate([[0], before])[ends]])).tolist()
+        windows = [window_hashes(words, n, s) for s in seeds]
+        at = 0
+        for c in counts:
+            last = at + max(0, c - n + 1)
+            yield [words[at:at + c], *(w[at:last] for w in windows)]
+            at += c
+        lo = hi
 
 
 def window_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:

@@ -119,14 +119,15 @@ class _Flush:
         yield pa.RecordBatch.from_pydict({k: pa.array(v, types.get(k, pa.binary())) for k, v in columns.items()})
 
 
-def _pack(entries: Callable, buckets: int, least: bool, flush: int):
+def _pack(entries: Callable, prepare: Callable, buckets: int, least: bool, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = _Flush(buckets, least)
         make = entries()
         for b in batches:
             extra = [b.column(i).to_pylist() for i in range(3, b.num_columns)]
-            for i, (doc_id, print_, text) in enumerate(zip(*(b.column(k).to_pylist() for k in range(3)))):
-                f.add(doc_id, print_, *make(text, *(x[i] for x in extra)))
+            ids, prints, texts = (b.column(i).to_pylist() for i in range(3))
+            for i, made in enumerate(prepare(texts)):
+                f.add(ids[i], prints[i], *make(made, *(x[i] for x in extra)))
                 if f.size >= flush:
                     yield from f.rows()
         yield from f.rows()
@@ -157,7 +158,7 @@ def _answer(least: bool):
     return run
 
 
-def _places(least: bool, later: bool):
+def _places(least: bool):
     """A flush's table with the answers for its hashes: places by document."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         out: dict[str, list] = {"doc_id": [], "print": [], "at": []}
@@ -174,7 +175,7 @@ def _places(least: bool, later: bool):
                 sizes = [int(n) for n in told["n"]]
                 bits = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8))[:n] for x, n in zip(told["answer"], sizes)])
                 hit = bits[entry] > 0
-            at, owner = np.sort(at[hit]), None
+            at = np.sort(at[hit])
             owner = np.searchsorted(starts, at, side="right") - 1
             cuts = np.flatnonzero(np.diff(owner, prepend=-1))
             prints = np.frombuffer(t["prints"], np.int64)
@@ -187,7 +188,7 @@ def _places(least: bool, later: bool):
     return run
 
 
-def shared_places(rows: DataFrame, entries: Callable, *, least: bool, flush: int = FLUSH) -> DataFrame:
+def shared_places(rows: DataFrame, entries: Callable, *, least: bool, prepare: Callable = iter, flush: int = FLUSH) -> DataFrame:
     """``doc_id, print, at binary`` (ascending 64-bit places) for each row that
     holds an entry of which
 
@@ -195,19 +196,20 @@ def shared_places(rows: DataFrame, entries: Callable, *, least: bool, flush: int
     * ``least=True``: a document with a smaller id holds the hash.
 
     ``rows`` starts with ``doc_id, print, text``; further columns are passed on.
-    ``entries()`` gives a function of a text (and the further columns) that
-    returns its length in places, the hashes, second hashes or None, and the
-    places. Written to the shared folder before it is returned.
+    ``prepare`` turns a batch's texts into what the next function takes.
+    ``entries()`` gives a function of a prepared text (and the further columns)
+    that returns its length in places, the hashes, second hashes or None, and
+    the places. Written to the shared folder before it is returned.
     """
     spark = rows.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = materialize(rows.mapInArrow(_pack(entries, buckets, least, flush), _PACKED), "packed")
+    packed = materialize(rows.mapInArrow(_pack(entries, prepare, buckets, least, flush), _PACKED), "packed")
     answers = (packed.where("bucket >= 0").select("uid", "bucket", "h1", "h2", "docs")
                .groupBy("bucket").applyInArrow(_answer(least), _ANSWER))
     if not least:  # bits don't tell how many hashes they stand for
         sizes = packed.where("bucket >= 0").select("uid", "bucket", F.expr("cast(length(h1) div 8 as int)").alias("n"))
         answers = materialize(answers, "answers").join(sizes, ["uid", "bucket"]).select("uid", "bucket", "answer", "n")
     tables = packed.where("bucket = -1").drop("bucket", "h2")
-    out = materialize(tables.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(_places(least, True), PLACES), "places")
+    out = materialize(tables.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(_places(least), PLACES), "places")
     release(packed)
     return out

@@ -15,15 +15,14 @@ by word.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from aurum.llm.common import WordHasher, materialize, window_hashes
+from aurum.llm.common import word_windows, words_of
 from aurum.llm.exchange import keyed, on_key, shared_places
 
 LENGTH = 13
@@ -31,44 +30,32 @@ LENGTH = 13
 PERIOD, COVER = 7, (0, 1, 3)
 
 
-def words(text: str | None) -> list[bytes]:
-    """Runs of characters other than ASCII white space, as UTF-8."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
-
-
 def _anchors(length: int, period: int, cover: tuple[int, ...]):
-    size = length - period + 1
-
     def make():
-        hasher = WordHasher()
         phase = np.zeros(period, bool)
         phase[list(cover)] = True
 
-        def entries(text):
-            w = words(text)
+        def entries(hashed):
+            w, runs = hashed
             if len(w) < length:
                 return 0, (), None, ()
-            h = window_hashes(hasher(w), size)
-            at = np.flatnonzero(np.resize(phase, len(h)))
-            return len(w), h[at], None, at
+            at = np.flatnonzero(np.resize(phase, len(runs)))
+            return len(w), runs[at], None, at
         return entries
     return make
 
 
 def _extended(length: int, period: int):
     def make():
-        hasher = WordHasher()
-
-        def entries(text, anchors):
-            w = words(text)
-            n = len(w) - length + 1
+        def entries(hashed, anchors):
+            w, h1, h2 = hashed
+            n = len(h1)
             a = np.frombuffer(anchors, np.int64)
             touched = np.zeros(n + 1, np.int64)
             np.add.at(touched, np.maximum(a - period + 1, 0), 1)
             np.add.at(touched, np.minimum(a, n - 1) + 1, -1)
             at = np.flatnonzero(np.cumsum(touched[:n]) > 0)
-            h = hasher(w)
-            return len(w), window_hashes(h, length, 1)[at], window_hashes(h, length, 2)[at], at
+            return len(w), h1[at], h2[at], at
         return entries
     return make
 
@@ -87,10 +74,12 @@ def repeated_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PE
     if not 0 < period <= length or {(a - b) % period for a in cover for b in cover} != set(range(period)):
         raise ValueError("cover is not a difference cover of period, or period is over length")
     own = keyed(docs)
-    anchors = shared_places(own, _anchors(length, period, cover), least=False)
+    anchors = shared_places(own, _anchors(length, period, cover), least=False,
+                            prepare=partial(word_windows, n=length - period + 1))
     anchors = anchors.dropDuplicates(["doc_id", "print"])  # once for the repeats of a row
     with_anchors = own.alias("d").join(anchors.alias("a"), on_key("d", "a")).select("d.doc_id", "d.print", "d.text", "a.at")
-    return shared_places(with_anchors, _extended(length, period), least=True).dropDuplicates(["doc_id", "print"])
+    return shared_places(with_anchors, _extended(length, period), least=True,
+                         prepare=partial(word_windows, n=length, seeds=(1, 2))).dropDuplicates(["doc_id", "print"])
 
 
 def remove_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
@@ -110,7 +99,7 @@ def remove_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PERI
         for b in batches:
             total, removed, kept = [], [], []
             for text, at in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                w = words(text)
+                w = words_of(text)
                 total.append(len(w))
                 if at is None:
                     removed.append(0)
