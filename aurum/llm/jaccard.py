@@ -12,7 +12,8 @@ it that can reach the threshold is formed:
    any error of it costs time and never a pair.
 3. Columns that one class holds alone are dropped (``exchange``).
 4. First product, against one row per column and size class (its smallest):
-   linear in the entries. Verified pairs are merged into components.
+   linear in the entries. Each row is verified against the one it shares most
+   with, and the pairs that link are merged into components.
 5. Second product, of what is left: for each column that still joins different
    components, the rows outside the column's largest component against all
    rows of the other components. Overlap counts are accumulated per pair over
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import WordHasher, materialize, release, window_hashes
+from aurum.llm.common import folded, materialize, release, window_hashes, word_windows
 from aurum.llm.components import components
 from aurum.llm.exchange import keyed, on_key, shared_places
 
@@ -44,20 +46,17 @@ NGRAM = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Counters of the sketch of common columns (4 bytes each).
-SKETCH_BITS = 20
+SKETCH_BITS = 21
 _CHUNKS = 64
 
 
-def words(text: str | None) -> list[bytes]:
-    """Runs of characters other than ASCII white space, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
-def shingles(w: list[bytes], hasher: WordHasher, n: int) -> np.ndarray:
-    """Distinct n-gram hashes, ascending; fewer words than n are one n-gram."""
-    if not w:
-        return np.empty(0, np.uint64)
-    return np.unique(window_hashes(hasher(w), n) if len(w) >= n else window_hashes(hasher(w), len(w), len(w) + 100))
+def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
+    """Per text the distinct n-gram hashes of its words, A-Z lower-cased,
+    ascending; fewer words than n are one n-gram."""
+    for w, runs in word_windows(texts, n, fold=True):
+        if 0 < len(w) < n:
+            runs = window_hashes(w, len(w), len(w) + 100)
+        yield np.unique(runs)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -76,16 +75,14 @@ _PROFILE = "doc_id long, print long, s1 long, s2 long, n long, chunk int, counts
 def _profile(n: int, bits: int):
     """Each row's sequence digest and set size, and the task's sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, sketch = WordHasher(), np.zeros(1 << bits, np.int64)
+        sketch = np.zeros(1 << bits, np.int64)
         mask = np.uint64((1 << bits) - 1)
         for b in batches:
             digests, sizes = [], []
             pending, held = [], 0
-            for text in b.column(2).to_pylist():
-                w = words(text)
-                d = xxhash.xxh3_128(b" ".join(w)).digest()
-                digests.append(d)
-                s = shingles(w, hasher, n)
+            texts = b.column(2).to_pylist()
+            for text, s in zip(texts, shingle_sets(texts, n)):
+                digests.append(xxhash.xxh3_128_digest(folded(text)))
                 sizes.append(len(s))
                 pending.append(s)
                 held += len(s)
@@ -112,52 +109,71 @@ def _sum(table: pa.Table) -> pa.Table:
 
 
 def _ranks(profile: DataFrame, bits: int) -> np.ndarray:
-    """How common each column's counter is: the logarithm of its count over the
-    mean. ``2**bits`` bytes, whatever the corpus."""
+    """How common each column's counter is: the logarithm of its excess over the
+    mean, in units of the mean's own scatter (the counters of columns that are
+    rare differ by about the mean's root). ``2**bits`` bytes, whatever the
+    corpus."""
     rows = profile.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInArrow(_sum, "chunk int, counts binary").collect()
     if not rows:
         return np.zeros(1 << bits, np.uint8)
     total = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["chunk"])])
-    return np.floor(np.log2(np.maximum(total, 1) / max(total.mean(), 1)).clip(0, 40)).astype(np.uint8)
+    mean = max(float(total.mean()), 1.0)
+    return np.log2(1 + np.maximum(total - mean, 0) / np.sqrt(mean)).astype(np.uint8)
 
 
-def _prefixes(n: int, percent: int, rank):
+def _prefixes(percent: int, rank):
     def make():
-        hasher, table = WordHasher(), rank.value
+        table = rank.value
 
-        def entries(text):
-            p = prefix(shingles(words(text), hasher, n), table, percent) if text else np.empty(0, np.uint64)
+        def entries(s):
+            p = prefix(s, table, percent) if len(s) else s
             return len(p), p, None, np.arange(len(p))
         return entries
     return make
 
 
-_ROWS = "node long, n long, columns array<long>, shingles binary"
+_ROWS = "node long, n long, columns array<long>, text string"
 
 
 def _matrix_rows(n: int, percent: int, rank):
-    """A class's columns in the product, and its whole set."""
+    """A class's columns in the product (those that others hold, too)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = WordHasher(), rank.value
+        table = rank.value
         for b in batches:
-            sizes, columns, sets = [], [], []
-            for text, at in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                s = shingles(words(text), hasher, n)
+            sizes, columns = [], []
+            for s, at in zip(shingle_sets(b.column(1).to_pylist(), n), b.column(2).to_pylist()):
                 sizes.append(len(s))
-                columns.append(prefix(s, table, percent)[np.frombuffer(at, np.int64)].view(np.int64))
-                sets.append(s.tobytes())
+                columns.append(np.sort(prefix(s, table, percent)[np.frombuffer(at, np.int64)].view(np.int64)))
             yield pa.RecordBatch.from_pydict({"node": b.column(0), "n": pa.array(sizes, pa.int64()),
-                                              "columns": pa.array(columns, pa.list_(pa.int64())), "shingles": pa.array(sets, pa.binary())})
+                                              "columns": pa.array(columns, pa.list_(pa.int64())), "text": b.column(1)})
     return run
 
 
-def _overlap(percent: int):
-    """Rows of two whole sets: the pairs that link."""
+def _reachable(c, n, m, percent: int):
+    """Whether rows of sizes n, m whose prefixes share c columns can link: what
+    the prefixes leave out adds no more than the larger row's rest."""
+    need = F.ceil((n + m) * percent / (100 + percent))
+    rest = F.ceil(F.greatest(n, m) * percent / 100) - 1
+    fits = (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    return fits & (c + rest >= need)
+
+
+def _overlap(ngram: int, percent: int):
+    """Rows of two whole texts: the pairs that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            keep, known = [], {}
+
+            def of(node, text):
+                # The star of a node comes in a row: its set is made once.
+                if node not in known:
+                    if len(known) > 64:
+                        known.clear()
+                    known[node] = next(shingle_sets([text.as_py()], ngram))
+                return known[node]
+
+            for a, c, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                x, y = of(a, x), of(c, y)
                 at = np.searchsorted(x, y)
                 both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -165,12 +181,14 @@ def _overlap(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, rows: DataFrame, percent: int, name: str) -> DataFrame:
+def _verify(pairs: DataFrame, rows: DataFrame, ngram: int, percent: int, name: str) -> DataFrame:
     """The pairs ``a, b`` whose whole sets reach the threshold."""
-    sets = rows.select("node", "shingles")
-    both = (pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a")
-            .join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b").select("a", "b", "x", "y"))
-    return materialize(both.mapInArrow(_overlap(percent), "a long, b long"), name)
+    texts = rows.select("node", "text")
+    both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "x"}), "a")
+            .join(texts.withColumnsRenamed({"node": "b", "text": "y"}), "b").select("a", "b", "x", "y"))
+    out = materialize(both.mapInArrow(_overlap(ngram, percent), "a long, b long"), name)
+    release(pairs)
+    return out
 
 
 def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -191,11 +209,12 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
         sized.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "print")).alias("r"))
         .select("s1", "s2", "low", "r.doc_id", "r.print", F.monotonically_increasing_id().alias("node")), "classes")
 
-    places = shared_places(own, _prefixes(ngram, percent, rank), least=False).dropDuplicates(["doc_id", "print"])
+    places = shared_places(own, _prefixes(percent, rank), least=False, prepare=partial(shingle_sets, n=ngram)).dropDuplicates(["doc_id", "print"])
     chosen = (own.alias("d").join(classes.alias("c"), on_key("d", "c"))
               .select("c.node", "d.doc_id", "d.print", "d.text").alias("k")
               .join(places.alias("p"), on_key("k", "p")).select("k.node", "k.text", "p.at"))
     rows = materialize(chosen.mapInArrow(_matrix_rows(ngram, percent, rank), _ROWS), "rows")
+    release(places)
 
     # Entries of the matrix, without columns that one class holds alone.
     step = math.log(100 / percent)
@@ -203,7 +222,16 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     first = entries.groupBy("h", "size_class").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b <> top")
     pairs = (entries.join(first.select("h", "size_class", "b"), ["h", "size_class"]).where("node <> b")
              .select(F.col("node").alias("a"), "b").distinct())
-    links = _verify(pairs, rows, percent, "links")
+    # The whole overlap of two prefixes decides which pairs are worth their texts.
+    sides = rows.select("node", "n", "columns")
+    counted = (pairs.join(sides.withColumnsRenamed({"node": "a", "n": "n", "columns": "x"}), "a")
+               .join(sides.withColumnsRenamed({"node": "b", "n": "m", "columns": "y"}), "b"))
+    counted = counted.withColumn("c", F.size(F.array_intersect("x", "y")))
+    counted = counted.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent))
+    # Each row is tried with the likeliest of its columns' first rows only: the
+    # second product takes up every pair that this leaves in two components.
+    pairs = materialize(counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")), "pairs")
+    links = _verify(pairs, rows, ngram, percent, "links")
     merged = components(links)
 
     several = entries.alias("e").join(merged.alias("m"), F.col("e.node") == F.col("m.node"), "left").select(
@@ -216,11 +244,9 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     product = (x.join(y, F.col("x.h") == F.col("y.h")).where((F.col("x.comp") != F.col("y.comp")) & fits & once)
                .groupBy(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
-               .agg(F.count(F.lit(1)).alias("c"), F.first(F.col("x.n") + F.col("y.n")).alias("total"), F.max(F.greatest("x.n", "y.n")).alias("larger")))
-    # What the prefixes leave out can add no more than the larger row's rest.
-    need = F.ceil(F.col("total") * percent / (100 + percent))
-    rest = F.ceil(F.col("larger") * percent / 100) - 1
-    more = _verify(product.where(F.col("c") + rest >= need).select("a", "b"), rows, percent, "more-links")
+               .agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("n"), F.first("y.n").alias("m")))
+    pairs = materialize(product.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent)).select("a", "b"), "pairs")
+    more = _verify(pairs, rows, ngram, percent, "more-links")
     final = components(links.unionByName(more))
 
     named = classes.alias("c").join(final.alias("f"), F.col("c.node") == F.col("f.node"), "left").select(
