@@ -24,18 +24,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage with a table that every executor can read, so losing an
-    executor never recomputes what came before.
+    executor never recomputes what came before. The shuffle files behind it are
+    of no more use; Spark's cleaner drops them once the driver collects its
+    garbage, which is asked for here, so that one step's files don't add to the
+    next one's.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path, schema = scratch_path(spark, name), df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    _collect(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _collect(spark: SparkSession) -> None:
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def release(*tables: DataFrame) -> None:
-    """Remove scratch tables that nothing reads any more, and let Spark drop the
-    shuffle files of plans that are gone (its cleaner waits for a collection on
-    the driver), so that one step's files don't add to the next one's."""
+    """Remove scratch tables that nothing reads any more."""
     for df in tables:
         jvm = df.sparkSession._jvm
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
@@ -43,8 +51,7 @@ def release(*tables: DataFrame) -> None:
             if "/aurum-scratch/" in folder:
                 path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
     if tables:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+        _collect(tables[0].sparkSession)
 
 
 def document_columns(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize, release
+from aurum.llm.common import materialize, mix64, release
 
 FLUSH = 1_500_000
 #: A null doc_id counts as the largest.
@@ -88,7 +88,8 @@ class _Flush:
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        h1, h2 = np.concatenate(self.h1), np.concatenate(self.h2) if self.h2 else None
+        # Mixed again (one-to-one): hashes chosen for being small still fill all buckets alike.
+        h1, h2 = mix64(np.concatenate(self.h1)), np.concatenate(self.h2) if self.h2 else None
         at, ids, starts = np.concatenate(self.at), np.array(self.ids, np.int64), np.array(self.starts, np.int64)
         order = _order(h1, h2)
         h1, h2, at = h1[order], h2[order] if h2 is not None else None, at[order]

@@ -106,7 +106,8 @@ def dedup(docs: DataFrame, *, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """
     named = materialize(name_documents(docs, block_chars=block_chars), "identities")
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id")))
-    groups = named.groupBy("n_blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    # Written, so that the join is over two plain shuffles and a large group is split.
+    groups = materialize(named.groupBy("n_blocks", "name").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "groups")
     out = named.join(groups, ["n_blocks", "name"])
     kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_chars") == -F.col("best.n"))
     return out.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")

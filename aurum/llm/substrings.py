@@ -4,7 +4,9 @@ Every string of ``length`` bytes that also starts in a document with a smaller
 id is removed. Suffix arrays find the equal strings; what they sort is cut down
 and dealt out first, without losing a string:
 
-1. Each window of ``length`` bytes has one anchor, its byte 16-gram of smallest
+0. Of documents with the same text only the one with the smallest id takes
+   part; the others consist of its strings.
+1. Each window of ``length`` bytes has one anchor, its byte 24-gram of smallest
    hash (the leftmost of equals). Equal windows have equal anchors at equal
    offsets, so a window whose anchor no other document holds is unique.
 2. The windows of an anchor that several documents hold form a chunk, the
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,25 +40,41 @@ from aurum.llm.common import materialize, mix64, release
 from aurum.llm.exchange import NO_ID, keyed, on_key, shared_places
 from aurum.llm.suffixes import scratch, suffix_order
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 24
 SEPARATOR = 0xFF
+#: Shards per shuffle partition: smaller ones sort faster and hold less at a time.
+SHARDS = 4
 #: Bytes of chunks in a flush.
 FLUSH_BYTES = 32 << 20
 
 
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each ``gram``-byte string: those of powers of two from two
+    neighbours of half the size, put together as the bits of ``gram`` say."""
+    part, size, base = data.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+    whole, done = None, 0
+    with np.errstate(over="ignore"):
+        while True:
+            if gram & size:
+                if whole is None:
+                    whole = part
+                else:
+                    n = len(part) - done
+                    whole = whole[:n] * np.uint64(base) + part[done:]
+                done += size
+            if 2 * size > gram:
+                return mix64(whole)
+            part = part[:-size] * np.uint64(base) + part[size:]
+            base, size = base * base & (1 << 64) - 1, 2 * size
+
+
 def window_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """The anchor's place of each window of ``length`` bytes, and the hashes of
-    all ``gram``-byte strings (a power of two)."""
+    all ``gram``-byte strings."""
     n = len(data) - length + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = data.astype(np.uint64) + np.uint64(1)
-    base, size = 0x9E3779B97F4A7C15, 1
-    with np.errstate(over="ignore"):
-        while size < gram:  # hashes of twice the length from two neighbours
-            h = h[:-size] * np.uint64(base) + h[size:]
-            base, size = base * base & (1 << 64) - 1, 2 * size
-        h = mix64(h)
+    h = _gram_hashes(data, gram)
     width = length - gram + 1
     best, size = np.arange(len(h)), 1
     while size < width:
@@ -101,7 +120,8 @@ class _Flush:
         end = np.append(begin[1:], len(best))
         wanted = np.isin(best[begin], anchors)
         begin, end = begin[wanted], end[wanted]
-        buckets = ((h[best[begin]] >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).tolist()
+        # Anchors have small hashes: mixed again, they fill all shards alike.
+        buckets = ((mix64(h[best[begin]]) >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).tolist()
         known, docs, entries = self.known, self.docs, []
         for lo, hi, b in zip(begin.tolist(), end.tolist(), buckets):
             chunk = data[lo:hi + length - 1]
@@ -136,7 +156,7 @@ class _Flush:
         for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(order)).tolist()):
             own = order[lo:hi]
             parts = [chunks[i] for i in own.tolist()]
-            row = (uid, int(bucket[own[0]]), b"".join(parts), np.array([len(p) for p in parts], np.uint32).tobytes(),
+            row = (uid, int(bucket[own[0]]), zstandard.compress(b"".join(parts), 1), np.array([len(p) for p in parts], np.uint32).tobytes(),
                    b"".join(map(digest, parts)), docs[own].tobytes(), None, None, None, None, None)
             for c, v in zip(columns, row):
                 c.append(v)
@@ -173,7 +193,7 @@ class Shard:
         self.uids, self.sizes, self.digests, self.docs = [], [], [], []
 
     def add(self, uid: int, text: bytes, sizes: bytes, digests: bytes, docs: bytes) -> None:
-        self._file.write(text)
+        self._file.write(zstandard.decompress(text))
         self.uids.append(uid)
         self.sizes.append(np.frombuffer(sizes, np.uint32).astype(np.int64))
         self.digests.append(np.frombuffer(digests, np.uint64).reshape(-1, 2))
@@ -190,6 +210,11 @@ class Shard:
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(first) - 1
         least, chosen = np.minimum.reduceat(docs[order], begin), order[begin]
+        # In order of their documents, so that the smaller chunk has the smaller document.
+        by_doc = np.argsort(least, kind="stable")
+        rank = np.empty(len(by_doc), np.int64)
+        rank[by_doc] = np.arange(len(by_doc))
+        least, chosen, number = least[by_doc], chosen[by_doc], rank[number]
         offsets, size = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
         self._file.flush()
         source = np.memmap(self._file, np.uint8, "r")
@@ -215,7 +240,7 @@ class Shard:
             n = (size + 1)[lo:lo + (1 << 16)]
             a = int(starts[lo])
             owner[a:a + int(n.sum())] = np.repeat(np.arange(lo, lo + len(n)), n)
-        low = scratch(len(text), np.int64)
+        low = scratch(len(text), np.int32)  # the smallest chunk of each position's run
         tail = np.empty(0, np.int64)
         for at, lcp in suffix_order(text, self.length):
             if len(tail) and lcp[0] >= self.length:  # the run goes on from the section before
@@ -226,7 +251,7 @@ class Shard:
             begin = np.flatnonzero(lcp < self.length)
             if not len(begin) or begin[0]:
                 begin = np.concatenate([[0], begin])
-            run = np.minimum.reduceat(least[owner[at]], begin)
+            run = np.minimum.reduceat(owner[at], begin)
             low[at] = np.repeat(run, np.diff(np.append(begin, len(at))))
             tail = np.array(at[begin[-1]:])
         done = 0
@@ -235,7 +260,7 @@ class Shard:
             done += len(sizes)
             windows = sizes - self.length + 1
             ends = np.cumsum(windows)
-            values = low[np.repeat(starts[own] - (ends - windows), windows) + np.arange(ends[-1])]
+            values = least[low[np.repeat(starts[own] - (ends - windows), windows) + np.arange(ends[-1])]]
             change = np.empty(len(values), bool)
             change[1:] = values[1:] != values[:-1]
             change[np.concatenate([[0], ends[:-1]])] = True
@@ -313,20 +338,37 @@ def _spans(length: int):
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, flush_bytes: int = FLUSH_BYTES) -> DataFrame:
     """``doc_id, print, spans`` (pairs of 64-bit integers: first byte, end) of
     the bytes to remove, for the documents that have any."""
-    if not 0 < gram <= length or gram & (gram - 1):
-        raise ValueError("gram must be a power of two, at most length")
-    own = keyed(docs)
-    buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if not 0 < gram <= length:
+        raise ValueError("gram must be at most length")
+    every = keyed(docs)
+    least = F.coalesce("doc_id", F.lit(NO_ID))
+    # Copies of a text, but for its smallest document: all their bytes go.
+    same = every.where(F.octet_length("text") >= length).select(
+        least.alias("least"), "doc_id", "print", F.xxhash64(F.lit(1), F.col("text")).alias("print2"), F.octet_length("text").alias("n"))
+    same = materialize(same, "texts")
+    first = same.groupBy("print", "print2", "n").agg(F.min("least").alias("first"))
+    copies = materialize(same.join(first, ["print", "print2", "n"]).where("least > first").select("doc_id", "print", "n"), "copies")
+    own = every.alias("e").join(copies.alias("c"), on_key("e", "c"), "left_anti")
+    partitions = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     anchors = shared_places(own, _anchors(length, gram), least=False).dropDuplicates(["doc_id", "print"])
     some = own.alias("d").join(anchors.alias("a"), on_key("d", "a")).select("d.doc_id", "d.print", "d.text", "a.at")
-    chunks = materialize(some.mapInArrow(_pack(length, gram, buckets, flush_bytes), _CHUNKS), "chunks")
+    chunks = materialize(some.mapInArrow(_pack(length, gram, SHARDS * partitions, flush_bytes), _CHUNKS), "chunks")
+    release(anchors)
     shards = (chunks.where("bucket >= 0").select("uid", "bucket", "text", "sizes", "digests", "docs")
-              .repartition(buckets, "bucket").sortWithinPartitions("bucket", "uid"))
+              .repartition(partitions, "bucket").sortWithinPartitions("bucket", "uid"))
     answers = materialize(shards.mapInArrow(_sort_shards(length), _ANSWERS), "answers")
     tables = chunks.where("bucket = -1").select("uid", "sizes", "ids", "prints", "owners", "starts", "entries")
     out = materialize(tables.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(_spans(length), _SPANS), "spans")
-    release(chunks, answers)
-    return out.dropDuplicates(["doc_id", "print"])
+    release(chunks, answers, same)
+    whole = copies.select("doc_id", "print", F.concat(_eight_bytes(F.lit(0)), _eight_bytes("n")).alias("spans"))
+    return out.unionByName(whole).dropDuplicates(["doc_id", "print"])
+
+
+def _eight_bytes(number):
+    """A small integer as little-endian 64 bits."""
+    number = F.col(number) if isinstance(number, str) else number
+    return F.unhex(F.concat_ws("", *[F.lpad(F.hex(F.shiftright(number.cast("long"), 8 * k).bitwiseAND(F.lit(255).cast("long"))), 2, "0")
+                                     for k in range(8)]))
 
 
 def remove_substrings(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

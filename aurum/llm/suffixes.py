@@ -34,7 +34,7 @@ import numpy as np
 #: up to which a recursion's string is sorted in memory.
 BATCH, IN_MEMORY, BASE = 1 << 20, 1 << 22, 1 << 22
 #: Bytes of an array that isn't worth a file.
-SMALL = 1 << 22
+SMALL = 1 << 24
 
 
 def scratch(shape: int, dtype) -> np.ndarray:
