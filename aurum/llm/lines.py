@@ -94,6 +94,8 @@ def boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES) -> DataFrame:
     found = materialize(rows.join(F.broadcast(spread) if few else spread, ["h1", "h2"]), "occurrences")
     exact = (found.where("near and site is not null").select("h1", "h2", "site").distinct()
              .groupBy("h1", "h2").count().where(F.col("count") >= min_sites).select("h1", "h2"))
+    # A table of known size: broadcast if small, else a join whose hot lines are split.
+    exact = materialize(exact, "exact")
     sure = found.where("not near").select("doc_id", "print", "pos", "h1", "h2")
     return sure.unionByName(found.where("near").select("doc_id", "print", "pos", "h1", "h2").join(exact, ["h1", "h2"], "left_semi"))
 
@@ -113,7 +115,7 @@ def dedup_lines(docs: DataFrame, *, min_sites: int = MIN_SITES, keep_first: bool
     if keep_first:
         hits = materialize(hits, "boilerplate")
         # By id and place, the same for the repeats of a row.
-        first = hits.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "print", "pos")).alias("f"))
+        first = materialize(hits.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "print", "pos")).alias("f")), "first-places")
         hits = hits.join(first, ["h1", "h2"]).where(
             ~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("print") == F.col("f.print")) & (F.col("pos") == F.col("f.pos"))))
     out = hits.groupBy("doc_id", "print").agg(F.collect_set("pos").alias("places"))  # the lines of one document
