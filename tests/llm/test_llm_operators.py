@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import sys
+from functools import partial
 
 import numpy as np
 import pytest
@@ -120,12 +121,28 @@ def test_passages_and_substrings_of_null_id_and_empty_table(spark):
     assert passages.remove_passages(table(spark, [])).count() == substrings.remove_substrings(table(spark, [])).count() == 0
 
 
+def test_words_hash_alike_alone_and_together():
+    """A text's hashes do not depend on its neighbours or on the block's cuts."""
+    rng = random.Random(0)
+    texts = [prose(rng, rng.randrange(0, 40)) + rng.choice(["", " ", "\n\t"]) for _ in range(50)] + [None, "", "  ", "x" * 3000]
+    texts += ["É a\x0bB " * 200_000, "y" * (1 << 21)]
+    for t, (w, runs) in zip(texts, common.word_windows(texts, 3, fold=True)):
+        alone = common.word_hashes(t, fold=True)
+        assert np.array_equal(w, alone) and len(w) == len(common.words_of(t))
+        assert np.array_equal(runs, common.window_hashes(alone, 3))
+    known = {}
+    for t in texts:
+        for w, h in zip(common.words_of(t), common.word_hashes(t).tolist()):
+            assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+
+
 def test_packed_flushes_agree(spark):
     """The answers do not depend on how documents fall into flushes."""
     rows = exchange.keyed(table(spark, corpus(6, 60)))
-    make = passages._anchors(13, 7, (0, 1, 3))
-    one = exchange.shared_places(rows, make, least=True)
-    many = exchange.shared_places(rows.repartition(5), make, least=True, flush=40)
+    make, hashed = passages._anchors(13, 7, (0, 1, 3)), partial(common.word_windows, n=7)
+    one = exchange.shared_places(rows, make, least=True, prepare=hashed)
+    many = exchange.shared_places(rows.repartition(5), make, least=True, prepare=hashed, flush=40)
     assert ids(one, "at") == ids(many, "at")
 
 
