@@ -12,7 +12,7 @@ it that can reach the threshold is formed:
    any error of it costs time and never a pair.
 3. Columns that one class holds alone are dropped (``exchange``).
 4. First product, against one row per column and size class (its smallest):
-   linear in the entries. Each row is verified against the one it shares most
+   linear in the entries. Each row is verified against the few it shares most
    with, and the pairs that link are merged into components.
 5. Second product, of what is left: for each column that still joins different
    components, the rows outside the column's largest component against all
@@ -48,6 +48,8 @@ PERCENT = 80
 #: Counters of the sketch of common columns (4 bytes each).
 SKETCH_BITS = 21
 _CHUNKS = 64
+#: Rows of the first product that each row is verified against.
+TRIES = 5
 
 
 def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
@@ -230,7 +232,9 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     counted = counted.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent))
     # Each row is tried with the likeliest of its columns' first rows only: the
     # second product takes up every pair that this leaves in two components.
-    pairs = materialize(counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b")), "pairs")
+    likely = F.slice(F.sort_array(F.collect_list(F.struct("c", "b")), asc=False), 1, TRIES)
+    pairs = counted.groupBy("a").agg(likely.alias("t")).select("a", F.explode("t").alias("t")).select("a", "t.b")
+    pairs = materialize(pairs, "pairs")
     links = _verify(pairs, rows, ngram, percent, "links")
     merged = components(links)
 
