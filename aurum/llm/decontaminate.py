@@ -1,13 +1,13 @@
 """Benchmark decontamination by rare n-gram seeds and local alignment (operator 8).
 
 Every word n-gram of the test items is looked for in every document; the
-document frequency of each over all documents says how rare it is. The rarer
-half of an item's n-grams (all that are no more frequent than its median, so
-at least half of any item) are its seeds, however frequent the item itself is
-in the corpus. Where a document holds a seed, the passage around it is aligned
-with the whole item by Smith-Waterman, so copies with words changed, added or
-left out are scored too. A pair is reported when the best local alignment
-reaches ``min_score`` of the item's alignment with itself.
+document frequency of each over all documents says how rare it is. Where a
+document holds any of an item's n-grams, the passage around it is aligned with
+the whole item by Smith-Waterman, so copies with words changed, added or left
+out are scored too. Passages around the rarest n-grams come first; a later one
+is left out only where the words it shares with the item are too few for a
+better score. A pair is reported when the best local alignment reaches
+``min_score`` of the item's alignment with itself.
 
 The items are a stated query set: they are taken in blocks of a fixed number
 of words, each block's n-grams go to the tasks, and every document is compared
@@ -159,11 +159,11 @@ def _find(block, at: int):
     return run
 
 
-def _score(block, seeds, min_score: float):
-    """Align the passages around the seeds of each item."""
+def _score(block, frequency, min_score: float):
+    """Align the passages around the n-grams of each item, the rarest first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b: Block = block.value
-        allowed: set = seeds.value
+        found_in: list[int] = frequency.value
         for batch in batches:
             rows = []
             for doc_id, grams, starts, gaps, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -175,8 +175,6 @@ def _score(block, seeds, min_score: float):
                     local = int(cuts[r]) + p - int(firsts[r])
                     run_lo, run_hi = int(cuts[r]), int(cuts[r + 1]) if r + 1 < len(cuts) else len(w)
                     for k, j in b.places[g]:
-                        if (k, j) not in allowed:
-                            continue
                         size = len(b.items[k][1])
                         slack = size // 2 + 8
                         lo, hi = max(run_lo, local - j - slack), min(run_hi, local - j + size + slack)
@@ -184,20 +182,21 @@ def _score(block, seeds, min_score: float):
                         if own and lo <= own[-1][1] and own[-1][2] == r:
                             own[-1][1] = max(own[-1][1], hi)
                             own[-1][0] = min(own[-1][0], lo)
+                            own[-1][3] = min(own[-1][3], found_in[g])
                         else:
-                            own.append([lo, hi, r])
+                            own.append([lo, hi, r, found_in[g]])
                 for k, own in spans.items():
                     item_id, item = b.items[k]
                     most = MATCH * len(item)
                     best = (0, 0, 0)
-                    for lo, hi, r in own:
+                    for lo, hi, r, _ in sorted(own, key=lambda span: span[3]):
                         passage = w[lo:hi]
                         # No more words can match than the passage has of the item's.
                         if MATCH * min(len(item), int(np.isin(passage, item).sum())) < max(min_score * most, best[0]):
                             continue
                         s, first, end = align(item, passage)
-                        if s > best[0]:
-                            shift = int(firsts[r]) - int(cuts[r]) + lo
+                        shift = int(firsts[r]) - int(cuts[r]) + lo
+                        if s > best[0] or s == best[0] and first + shift < best[1]:
                             best = (s, first + shift, end + shift)
                     if best[0] >= min_score * most:
                         rows.append((doc_id, item_id, best[0] / most, best[1], best[2]))
@@ -234,16 +233,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, ngram: int = NGRAM, min_sco
         block = spark.sparkContext.broadcast(b)
         hits = materialize(own.mapInArrow(_find(block, 0), _HITS), "hits")
         counts = {r["g"]: r["n"] for r in hits.select(F.explode(F.array_distinct("grams")).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
-        frequency = np.array([counts.get(g, 0) for g in range(len(b.places))], dtype=np.int64)
-        by_item: dict[int, list[tuple[int, int]]] = {}
-        for g, places in enumerate(b.places):
-            for k, j in places:
-                by_item.setdefault(k, []).append((int(frequency[g]), j))
-        seeds = set()
-        for k, own_grams in by_item.items():
-            median = sorted(f for f, _ in own_grams)[(len(own_grams) - 1) // 2]
-            seeds |= {(k, j) for f, j in own_grams if f <= median}
-        pairs = hits.mapInArrow(_score(block, spark.sparkContext.broadcast(seeds), min_score), _PAIRS)
+        frequency = [counts.get(g, 0) for g in range(len(b.places))]
+        pairs = hits.mapInArrow(_score(block, spark.sparkContext.broadcast(frequency), min_score), _PAIRS)
         out = pairs if out is None else out.unionByName(pairs)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("f"), "end_word")).alias("b")
     return (out.groupBy("doc_id", "item_id").agg(best)

@@ -283,6 +283,27 @@ def test_leaks_equal_alignment_of_everything(spark, block_words):
     assert len(set(expected) - set(got)) <= 0.05 * len(expected)
 
 
+@pytest.mark.parametrize("edit,score", [
+    (lambda i: i % 4 == 3, 0.64), (lambda i: i % 5 == 4, 0.71), (lambda i: i >= 20 and i % 3 == 2, 0.74)])
+def test_leaks_of_a_single_edited_copy(spark, edit, score):
+    items = [(k, " ".join(f"e{k}w{i}" for i in range(40))) for k in range(10)]
+    copies = [(k, f"before {k} " + " ".join("zz" if edit(i) else w for i, w in enumerate(t.split())) + " after") for k, t in items]
+    found = decontaminate.find_leaks(table(spark, copies), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(k, k) for k in range(10)]
+    assert all(abs(r["score"] - score) < 0.02 for r in found)
+
+
+def test_leaks_of_an_edited_copy_of_common_words(spark):
+    # The copy's n-grams are in many documents, those of a fragment of the same item in one.
+    item = [f"c{i}" for i in range(40)]
+    copy = " ".join("zz" if i >= 30 or i % 4 == 3 and i < 24 else w for i, w in enumerate(item))
+    far = " ".join(f"far{i}" for i in range(200))
+    docs = [(0, f"{' '.join(item[30:])} {far} {copy}")] + [(k, copy) for k in range(1, 20)]
+    found = decontaminate.find_leaks(table(spark, docs), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(20))
+    assert len({r["score"] for r in found}) == 1 and {r["first_word"] for r in found} == {0, 210}
+
+
 def test_leaks_of_a_hot_item_and_empty_tables(spark):
     item = " ".join(f"h{i}" for i in range(20))
     docs = table(spark, [(i, f"x{i} {item} y{i}") for i in range(200)] + [(999, "clean text here")])
