@@ -9,6 +9,12 @@ like part of the same article; page furniture (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) is left
 out before scoring. Nothing else is dropped or cut.
 
+A class or id names furniture only as a whole: ``sidebar``, ``sidebar-left``
+and ``cookie-notice`` do, ``with-sidebar`` and ``related-work`` don't. An element
+that holds most of the page's paragraph points, its only article or its main
+part is no furniture whatever its name (for reader comments only the main part
+counts), and a page of which the names leave nothing is read without them.
+
 One page is one row, so the work is a map over the table's partitions; a task
 holds one Arrow batch and one page's tree at a time.
 """
@@ -38,6 +44,12 @@ sponsored sponsors promo promos promotion sidebar sidebars aside nav navbar navi
 breadcrumbs pagination pager header masthead footer footnav copyright cookie cookies consent gdpr notice notices notification
 alert popup modal overlay newsletter subscribe subscription signup login register comment comments commentlist disqus respond
 reply replies share sharing social related recommended recommendations trending widget widgets skip hidden""".split())
+#: Names of readers' comments, which may well be longer than the article.
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: What may stand beside a furniture name in one class or id: places, boxes and their number.
+QUALIFIERS = frozenset("""left right top bottom upper lower main site page global primary secondary mobile desktop inner outer
+wrap wrapper container box bar block area section panel slot unit zone row column list item items link links button buttons
+btn icon icons form title text body x posts articles stories message bookmark trail""".split())
 _CONTENT = frozenset(("article", "main"))
 #: An open element that a start tag closes, and where the search for it ends.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -54,36 +66,47 @@ _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "points", "text", "links", "content", "names")
+    __slots__ = ("tag", "parent", "children", "skip", "points", "text", "links", "content", "names", "named")
 
-    def __init__(self, tag: str, parent: "Node | None", skip: bool = False, names: str = ""):
-        self.tag, self.parent, self.skip, self.names = tag, parent, skip, names
+    def __init__(self, tag: str, parent: "Node | None", skip: bool = False, names: str = "", named: frozenset = frozenset()):
+        self.tag, self.parent, self.skip, self.names, self.named = tag, parent, skip, names, named
         self.children: list = []  # nodes and strings
         self.points = 0.0
         self.text = self.links = 0
         self.content = tag in _CONTENT or (parent is not None and parent.content)
 
 
-def _furniture(tag: str, attributes: str, parent: Node) -> tuple[bool, str]:
-    """Whether an element is page furniture, and its class names."""
+def _furniture_names(tokens: list[str], header: bool) -> frozenset:
+    """The furniture names among class names and ids that say nothing else."""
+    out: set[str] = set()
+    for token in tokens:
+        parts = _NAME.findall(token)
+        own = {x for x in parts if x in FURNITURE_NAMES and (header or x != "header")}
+        if own and all(x in own or x in QUALIFIERS or x.isdigit() for x in parts):
+            out |= own
+    return frozenset(out)
+
+
+def _furniture(tag: str, attributes: str, parent: Node) -> tuple[bool, str, frozenset]:
+    """Whether an element is page furniture, its class names, and the
+    furniture names among them and its id."""
+    none: frozenset = frozenset()
     if tag in FURNITURE_TAGS:
-        return True, ""
+        return True, "", none
     if tag == "header" and not parent.content:
-        return True, ""
+        return True, "", none
     if not attributes.strip(" /"):
-        return False, ""
+        return False, "", none
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     names = found.get("class", "")
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _NO_DISPLAY.search(found.get("style", "")):
-        return True, names
+        return True, names, none
     if tag in ("body", "html", "article", "main"):
-        return False, names
+        return False, names, none
     if found.get("role", "").lower() in FURNITURE_ROLES:
-        return True, names
-    parts = set(_NAME.findall(f"{names} {found.get('id', '')}".lower()))
-    if tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p") or parent.content:
-        parts -= {"header"}
-    return bool(parts & FURNITURE_NAMES), names
+        return True, names, none
+    header = tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "p") and not parent.content
+    return False, names, _furniture_names(f"{names} {found.get('id', '')}".lower().split(), header)
 
 
 def parse(page: str) -> Node:
@@ -133,8 +156,8 @@ def parse(page: str) -> Node:
             top = close_upto(("p",), top)
         if tag in _CLOSES:
             top = close_upto(_CLOSES[tag], top)
-        skip, names = _furniture(tag, m[3] or "", top)
-        node = Node(tag, top, skip, names)
+        skip, names, named = _furniture(tag, m[3] or "", top)
+        node = Node(tag, top, skip, names, named)
         top.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -177,6 +200,40 @@ def _blocks(node: Node) -> list[str]:
     return out
 
 
+def _points(length: int, commas: int) -> float:
+    return min(3.0, length / 100) + commas + length / 1000
+
+
+def _skip_named(root: Node) -> bool:
+    """Leaves out the elements named as furniture, but for those that hold the
+    page's article by all other signs. Whether there are any."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, in_link = stack.pop()
+        if node.skip:
+            continue
+        in_link = in_link or node.tag == "a"
+        order.append((node, in_link))
+        stack.extend((c, in_link) for c in node.children if not isinstance(c, str))
+    if not any(n.named for n, _ in order):
+        return False
+    points, mains, articles = {}, {}, {}
+    for node, in_link in reversed(order):
+        texts = [] if in_link else [c for c in node.children if isinstance(c, str) and c.strip()]
+        below = [c for c in node.children if not isinstance(c, str) and not c.skip]
+        points[node] = (_points(sum(len(c.strip()) for c in texts), sum(c.count(",") for c in texts)) if texts else 0.0) + sum(points[c] for c in below)
+        mains[node] = (node.tag == "main") + sum(mains[c] for c in below)
+        articles[node] = (node.tag == "article") + sum(articles[c] for c in below)
+    any_skipped = False
+    for node, _ in order:
+        if node.named:
+            holds = mains[node] > 0 or not node.named & COMMENT_NAMES and (
+                articles[node] == articles[root] == 1 or points[node] > points[root] / 2)
+            node.skip = not holds
+            any_skipped |= node.skip
+    return any_skipped
+
+
 def _score(root: Node) -> list[Node]:
     """Points of all containers; text and link lengths of all nodes."""
     order: list[Node] = []
@@ -201,7 +258,7 @@ def _score(root: Node) -> list[Node]:
             block = node
             while block.tag not in BLOCKS and block.parent is not None:
                 block = block.parent
-            points, share, up = min(3.0, own / 100) + commas + own / 1000, 1.0, block.parent
+            points, share, up = _points(own, commas), 1.0, block.parent
             level = 1
             if block.parent is None or block.tag not in ("p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6"):
                 up = block  # loose text in a container
@@ -238,6 +295,16 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    text = ""
+    if _skip_named(root):
+        text = _article(root)
+        if not text:
+            root = parse(page)
+    return text or _article(root)
+
+
+def _article(root: Node) -> str:
+    """The blocks of the best container and of the siblings like it."""
     order = _score(root)
     containers = [n for n in order if n.points > 0 and n.tag in BLOCKS]
     if not containers:

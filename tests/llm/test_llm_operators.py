@@ -394,6 +394,28 @@ def test_html_article(page):
                                     "Second bold text here. Line")
 
 
+@pytest.mark.parametrize("name", ["with-sidebar", "has-sidebar", "content-no-sidebar", "site-header-fixed", "skip-lazy", "related-work",
+                                  "social-science", "layout sidebar-right", "widget"])
+def test_html_wrapper_that_mentions_furniture(name):
+    whole = "Title & more\nFirst, long paragraph with several, commas, and words enough.\nSecond bold text here. Line"
+    for page in (f"<div id=page class='{name}'>{ARTICLE}</div>",
+                 f"<body><div id=page class='{name}'><div id=content>{ARTICLE}</div></div><div class='footer'><p>foot</p></div>",
+                 f"<div id=page class='{name}'><article>{ARTICLE}</article></div><div id=comments><p>{'reader, comment, ' * 20}</p></div>"):
+        assert html.main_text(page) == whole
+
+
+@pytest.mark.parametrize("name", ["related-work", "social-science", "skip-lazy"])
+def test_html_section_that_mentions_furniture(name):
+    page = f"<article>{ARTICLE}<div class='{name}'><p>Its section</p></div><div class='share-buttons'><p>Share</p></div></article>"
+    assert html.main_text(page).split("\n")[-1] == "Its section"
+
+
+@pytest.mark.parametrize("name", ["sidebar-left", "cookie-notice", "site-footer", "related-posts", "ad-300x250", "comment-list"])
+def test_html_furniture_by_whole_name(name):
+    page = f"<body>{ARTICLE * 3}<div class='{name}'><article><p>other, text</p></article><article><p>more</p></article></div>"
+    assert "other" not in html.main_text(page)
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("   ", ""), ("plain text", "plain text"), ("<p>", ""), ("<p>a<p>b", "a\nb"), ("a < b &lt; c", "a < b < c"),
     ("<div><p>x</div></p></div><p>y", "x\ny"), ("<script>only", ""), ("<!-- open", ""), ("<p title='a>b'>t</p>", "t"), ("<P>Caps</P>", "Caps"),
