@@ -16,8 +16,9 @@ and dealt out first, without losing a string:
    per flush.
 3. A shard writes its distinct chunks, separated by a byte that no UTF-8 text
    holds, to scratch files and sorts all their suffixes with common prefixes
-   (``suffixes``: external induced sorting with disk-backed queues, in memory
-   bounded whatever the shard's size). Runs of suffixes that share ``length``
+   (``suffixes``: induced sorting with disk-backed queues; names, ranks and
+   sections are held in memory, so a shard must be small, see the README's known
+   limits). Runs of suffixes that share ``length``
    bytes are equal windows; the smallest document of a run answers each.
 4. The answers go back to the flushes, run-length coded, and become spans of
    removed bytes by document.

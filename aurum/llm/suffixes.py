@@ -1,6 +1,8 @@
 """External induced suffix sorting with common prefixes.
 
-Sorts the suffixes of a text that may be far larger than memory. The smallest
+Sorts the suffixes of a text. Queues, text, types and output are in scratch
+files; arrays over the whole text (numbers, names, ranks, the section at hand)
+are not, so the text is limited by memory (README, known limits). The smallest
 local suffixes (those of type S whose predecessor is of type L) are sorted
 first: their pieces by one round of induction, then, where pieces repeat, the
 string of their names by recursion. All other suffixes are induced from them:
@@ -12,8 +14,7 @@ per symbol: tuples (position, common prefix with the tuple before it) stay in
 memory up to a limit and are written to a task-private scratch file beyond it.
 A common prefix is induced like the suffix itself: one more than the smallest
 common prefix passed in the scan since the queue's last tuple. The text, the
-types and the sorted output are memory-mapped scratch files too, so a step's
-memory is a batch, the 256 queue heads and the output's current section.
+types and the sorted output are memory-mapped scratch files too.
 
 Scratch files live in the task's own temporary folder while it runs, as
 Spark's spill files do; nothing reads them afterwards, and a repeated task
