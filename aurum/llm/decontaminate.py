@@ -77,40 +77,51 @@ class Block:
         self.items = [(i, np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words(t)], dtype=np.int32)) for i, t in items]
         grams: dict[bytes, list[tuple[int, int]]] = {}
         for k, (_, w) in enumerate(self.items):
-            for j in range(len(w) - n + 1):
-                grams.setdefault(w[j:j + n].tobytes(), []).append((k, j))
+            size = min(n, len(w))  # a shorter item is its own only seed
+            for j in range(len(w) - size + 1 if size else 0):
+                grams.setdefault(w[j:j + size].tobytes(), []).append((k, j))
         self.gram_keys = sorted(grams)
         self.places = [grams[g] for g in self.gram_keys]
-        self.hashes = np.array([self._hash(np.frombuffer(g, np.int32)[None, :])[0] for g in self.gram_keys], dtype=np.uint64)
-        order = np.argsort(self.hashes, kind="stable")
-        self.sorted, self.order = self.hashes[order], order
+        by_size: dict[int, list[int]] = {}
+        for g, key in enumerate(self.gram_keys):
+            by_size.setdefault(len(key) // 4, []).append(g)
+        #: Per number of words: hashes of the grams in ascending order, and which those are.
+        self.tables = []
+        for size, own in sorted(by_size.items()):
+            hashes = np.array([self._hash(np.frombuffer(self.gram_keys[g], np.int32)[None, :])[0] for g in own], dtype=np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            self.tables.append((size, hashes[order], np.array(own)[order]))
 
     def _hash(self, w: np.ndarray) -> np.ndarray:
         """A polynomial of the word numbers; equal hashes are compared in full."""
         h = np.zeros(len(w), np.uint64)
         with np.errstate(over="ignore"):
-            for k in range(self.n):
+            for k in range(w.shape[1]):
                 h = h * np.uint64(0x9E3779B97F4A7C15) + w[:, k].astype(np.uint64) + np.uint64(1)
         return h
 
     def hits(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a document where one of the n-grams starts, and which."""
         known = w >= 0
-        m = len(w) - self.n + 1
-        if m <= 0 or not len(self.sorted):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        ok = known[:m].copy()
-        for k in range(1, self.n):
-            ok &= known[k:k + m]
-        at = np.flatnonzero(ok)
-        grams = w[at[:, None] + np.arange(self.n)]
-        h = self._hash(grams)
-        s = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        found = self.sorted[s] == h
-        at, s, grams = at[found], s[found], grams[found]
-        which = self.order[s]
-        same = np.fromiter((self.gram_keys[g] == x.tobytes() for g, x in zip(which, grams)), bool, len(which))
-        return at[same], which[same]
+        places, seen = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for size, hashes, own in self.tables:
+            m = len(w) - size + 1
+            if m <= 0:
+                continue
+            ok = known[:m].copy()
+            for k in range(1, size):
+                ok &= known[k:k + m]
+            at = np.flatnonzero(ok)
+            grams = w[at[:, None] + np.arange(size)]
+            h = self._hash(grams)
+            s = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            found = hashes[s] == h
+            at, s, grams = at[found], s[found], grams[found]
+            which = own[s]
+            same = np.fromiter((self.gram_keys[g] == x.tobytes() for g, x in zip(which, grams)), bool, len(which))
+            places.append(at[same])
+            seen.append(which[same])
+        return np.concatenate(places), np.concatenate(seen)
 
     def reach(self, gram: int) -> tuple[int, int]:
         """Words before and after a hit that an alignment over it may cover."""
@@ -213,8 +224,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, ngram: int = NGRAM, min_sco
     test item its best alignment, where that reaches ``min_score`` (1.0: the
     whole item word for word). Words count from 0 in the document.
 
-    Null and empty texts on either side, and items shorter than an n-gram,
-    match nothing. Rows that repeat a doc_id or item_id count as one, with the
+    Null and empty texts on either side match nothing; an item shorter than an
+    n-gram is looked for as a whole. Rows that repeat a doc_id or item_id count as one, with the
     best of their alignments (ties: the first in the document). An empty table
     on either side gives an empty result.
     """

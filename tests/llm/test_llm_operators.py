@@ -283,6 +283,14 @@ def test_leaks_equal_alignment_of_everything(spark, block_words):
     assert len(set(expected) - set(got)) <= 0.05 * len(expected)
 
 
+def test_leaks_of_short_items(spark):
+    docs = table(spark, [(1, "so Two, words stand"), (2, "words two"), (3, "one"), (4, "three words here, one"), (5, "two x words"), (6, "")])
+    items = spark.createDataFrame([(1, "two words"), (2, "One!"), (3, "three words here"), (4, "?"), (5, None)], "item_id long, text string")
+    found = decontaminate.find_leaks(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["score"], r["first_word"]) for r in found) == [
+        (1, 1, 1.0, 1), (3, 2, 1.0, 0), (4, 2, 1.0, 3), (4, 3, 1.0, 0)]
+
+
 @pytest.mark.parametrize("edit,score", [
     (lambda i: i % 4 == 3, 0.64), (lambda i: i % 5 == 4, 0.71), (lambda i: i >= 20 and i % 3 == 2, 0.74)])
 def test_leaks_of_a_single_edited_copy(spark, edit, score):
