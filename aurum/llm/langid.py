@@ -27,8 +27,9 @@ from aurum.llm.common import mix64, text_slices
 DIMENSIONS = 1024
 #: Trigrams whose bound vectors a task keeps (16,384 x 1,024 x 4 bytes = 64 MB).
 BANK = 16_384
-#: Each training text counts this much in all, dealt out over its trigrams.
-TEXT_WEIGHT = 1 << 16
+#: Each training text counts this much in all, dealt out over its trigrams: more than
+#: any text has of them, and two billion texts stay within 64 bits.
+TEXT_WEIGHT = 1 << 32
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None

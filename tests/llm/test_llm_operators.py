@@ -489,6 +489,14 @@ def test_language_equals_brute_force(spark):
     assert all(abs(a[3] - b[3]) < 1e-4 for a, b in zip(got, sorted(expected, key=repr)))
 
 
+def test_language_learns_rare_trigrams_of_a_long_text(spark):
+    text = "ab " * 40_000 + "xyz"
+    keys, counts = langid.trigrams(text)
+    got = langid.learn(spark.createDataFrame([(text, "xx")], "text string, lang string"))["xx"]
+    exact = sum(x * langid.Bank().bind(k).astype(np.int64) for k, x in zip(keys.tolist(), counts.tolist()))
+    assert np.abs(got * counts.sum() / langid.TEXT_WEIGHT - exact).max() < 0.5
+
+
 def test_language_held_out_accuracy(spark):
     docs = common.read(spark, "/root/testdata/sf0.01", "documents")
     r = langid.identify(docs).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").selectExpr(
