@@ -93,7 +93,9 @@ class _Flush:
         at, ids, starts = np.concatenate(self.at), np.array(self.ids, np.int64), np.array(self.starts, np.int64)
         order = _order(h1, h2)
         h1, h2, at = h1[order], h2[order] if h2 is not None else None, at[order]
-        owner = ids[np.searchsorted(starts, at, side="right") - 1]
+        # Rows that share a doc_id are documents of their own, unless only the smallest id counts.
+        who = ids if self.least else np.unique(np.stack([ids, np.array(self.prints, np.int64)], 1), axis=0, return_inverse=True)[1].reshape(-1)
+        owner = who[np.searchsorted(starts, at, side="right") - 1]
         first = _runs(h1, h2)
         begin = np.flatnonzero(first)
         low = np.minimum.reduceat(owner, begin)
@@ -193,7 +195,7 @@ def shared_places(rows: DataFrame, entries: Callable, *, least: bool, prepare: C
     """``doc_id, print, at binary`` (ascending 64-bit places) for each row that
     holds an entry of which
 
-    * ``least=False``: several documents hold the hash;
+    * ``least=False``: several documents, told apart by ``doc_id, print``, hold the hash;
     * ``least=True``: a document with a smaller id holds the hash.
 
     ``rows`` starts with ``doc_id, print, text``; further columns are passed on.

@@ -189,6 +189,17 @@ def test_near_duplicates_find_links_at_the_bound(spark):
     assert ids(jaccard.near_duplicates(table(spark, rows)), "n_shingles", "component_id") == sorted(brute.near(rows), key=repr)
 
 
+def test_texts_under_one_id_share_places_in_one_flush(spark):
+    rows = exchange.keyed(table(spark, [(5, "a"), (5, "b")])).coalesce(1)
+
+    def make():
+        return lambda text: (2, np.array([7, ord(text)], np.uint64), None, np.array([0, 1]))
+
+    for flush in (1, 1000):
+        found = exchange.shared_places(rows, make, least=False, flush=flush).collect()
+        assert [(r["doc_id"], np.frombuffer(r["at"], np.int64).tolist()) for r in found] == [(5, [0]), (5, [0])]
+
+
 def test_near_duplicates_of_null_id_and_empty_table(spark):
     text = "one two three four five six seven"
     assert ids(jaccard.near_duplicates(table(spark, [(None, text), (3, text), (None, None)])), "component_id") == sorted(
