@@ -54,6 +54,18 @@ def release(*tables: DataFrame) -> None:
         _collect(tables[0].sparkSession)
 
 
+def columns_of(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns alone, whatever the other columns are called. A name
+    means the column of just that name, or the one that differs in case only."""
+    found = []
+    for name in names:
+        at = [i for i, c in enumerate(docs.columns) if c == name] or [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()]
+        if len(at) != 1:
+            raise ValueError(f"{len(at)} columns named {name} among {docs.columns}")
+        found.append(at[0])
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip(found, names)])
+
+
 def document_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` only: extra columns, whatever their
     names, never meet the columns an operator adds."""

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aurum.llm import bpe, decontaminate, html, jaccard, langid, lines, naming, passages, quality, substrings
+from aurum.llm import (bpe, decontaminate, divergence, fim, html, jaccard, langid, lines, naming, passages, quality, rules,
+                       substrings)
 from aurum.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,21 @@ def op10_bpe(spark, sf_dir):
     return bpe.digest_documents(bpe.encode_documents(read(spark, sf_dir, "documents")))
 
 
+@query
+def op11_fill_in_middle(spark, sf_dir):
+    return fim.transform(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_quality_rules(spark, sf_dir):
+    return rules.apply_rules(read(spark, sf_dir, "documents")).drop("broken_rules")
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
