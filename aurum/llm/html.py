@@ -2,8 +2,8 @@
 
 Each page is parsed into a small tree. Every block with text of its own is a
 paragraph; it passes points for its length and its commas to its ancestors
-(the parent all of them, the grandparent half, each further ancestor a third,
-a quarter, ...). A container's points are discounted by its link density. The
+(the parent all of them, each further ancestor half of what the one below it
+got). A container's points are discounted by its link density. The
 container with the most points is kept, with those of its siblings that look
 like part of the same article; page furniture (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) is left
@@ -11,18 +11,24 @@ out before scoring. Nothing else is dropped or cut.
 
 A class or id names furniture only as a whole: ``sidebar``, ``sidebar-left``
 and ``cookie-notice`` do, ``with-sidebar`` and ``related-work`` don't. An element
-that holds most of the page's paragraph points, its only article or its main
-part is no furniture whatever its name (for reader comments only the main part
-counts), and a page of which the names leave nothing is read without them.
+that holds the page's only article or its main part is no furniture whatever
+its name. Where the page marks no article or main part at all, an element that
+holds most of the page's paragraph points is none either, unless it is named
+after reader comments or adverts. A page of which the names leave nothing is
+read without them. Within an article or main part only adverts, comments, forms,
+menus and the like are furniture: its header, footer, notices and lists of
+links are its own text.
 
 One page is one row, so the work is a map over the table's partitions; a task
-holds one Arrow batch and one page's tree at a time.
+holds one Arrow batch and one page's tree at a time. Reading a page takes time
+in proportion to its length, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,6 +52,11 @@ alert popup modal overlay newsletter subscribe subscription signup login registe
 reply replies share sharing social related recommended recommendations trending widget widgets skip hidden""".split())
 #: Names of readers' comments, which may well be longer than the article.
 COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Names of adverts, which may be longer than a short article.
+ADVERT_NAMES = frozenset("""ad ads adv advert adverts advertisement advertisements advertising adsense banner banners sponsor
+sponsored sponsors promo promos promotion""".split())
+#: Names that say furniture about the page's parts, not about an article's.
+PAGE_NAMES = frozenset("header masthead footer copyright notice notices notification alert".split())
 #: What may stand beside a furniture name in one class or id: places, boxes and their number.
 QUALIFIERS = frozenset("""left right top bottom upper lower main site page global primary secondary mobile desktop inner outer
 wrap wrapper container box bar block area section panel slot unit zone row column list item items link links button buttons
@@ -66,22 +77,22 @@ _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "points", "text", "links", "content", "names", "named")
+    __slots__ = ("tag", "parent", "children", "skip", "points", "text", "links", "anchors", "content", "names", "named")
 
     def __init__(self, tag: str, parent: "Node | None", skip: bool = False, names: str = "", named: frozenset = frozenset()):
         self.tag, self.parent, self.skip, self.names, self.named = tag, parent, skip, names, named
         self.children: list = []  # nodes and strings
         self.points = 0.0
-        self.text = self.links = 0
+        self.text = self.links = self.anchors = 0
         self.content = tag in _CONTENT or (parent is not None and parent.content)
 
 
-def _furniture_names(tokens: list[str], header: bool) -> frozenset:
+def _furniture_names(tokens: list[str], ignored: frozenset) -> frozenset:
     """The furniture names among class names and ids that say nothing else."""
     out: set[str] = set()
     for token in tokens:
         parts = _NAME.findall(token)
-        own = {x for x in parts if x in FURNITURE_NAMES and (header or x != "header")}
+        own = {x for x in parts if x in FURNITURE_NAMES and x not in ignored}
         if own and all(x in own or x in QUALIFIERS or x.isdigit() for x in parts):
             out |= own
     return frozenset(out)
@@ -91,7 +102,7 @@ def _furniture(tag: str, attributes: str, parent: Node) -> tuple[bool, str, froz
     """Whether an element is page furniture, its class names, and the
     furniture names among them and its id."""
     none: frozenset = frozenset()
-    if tag in FURNITURE_TAGS:
+    if tag in FURNITURE_TAGS and not (tag == "footer" and parent.content):
         return True, "", none
     if tag == "header" and not parent.content:
         return True, "", none
@@ -103,17 +114,34 @@ def _furniture(tag: str, attributes: str, parent: Node) -> tuple[bool, str, froz
         return True, names, none
     if tag in ("body", "html", "article", "main"):
         return False, names, none
-    if found.get("role", "").lower() in FURNITURE_ROLES:
+    role = found.get("role", "").lower()
+    if role in FURNITURE_ROLES and not (parent.content and role in ("alert", "banner", "contentinfo")):
         return True, names, none
-    header = tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "p") and not parent.content
-    return False, names, _furniture_names(f"{names} {found.get('id', '')}".lower().split(), header)
+    heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p")
+    ignored = PAGE_NAMES if parent.content else frozenset(("header",)) if heading else none
+    return False, names, _furniture_names(f"{names} {found.get('id', '')}".lower().split(), ignored)
 
 
 def parse(page: str) -> Node:
     root = Node("html", None)
     top, at, n = root, 0, len(page)
+    # How many elements of each name are open, all in all and (inline ones)
+    # since the nearest open block: what isn't open isn't searched for.
+    opened: Counter = Counter()
+    inline: list[Counter] = [Counter()]
+
+    def leave(node: Node, upto: Node) -> None:
+        while node is not upto:
+            opened[node.tag] -= 1
+            if node.tag in BLOCKS:
+                inline.pop()
+            else:
+                inline[-1][node.tag] -= 1
+            node = node.parent
 
     def close_upto(names, start: Node) -> Node:
+        if not any(opened[x] for x in names):
+            return start
         node = start
         while node.parent is not None:
             if node.tag in names:
@@ -141,31 +169,34 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:
-            node = top
-            while node.parent is not None and node.tag != tag:
-                if tag not in BLOCKS and node.tag in BLOCKS:
-                    node = root  # an inline end tag doesn't close blocks
-                    break
-                node = node.parent
-            if node.parent is not None:
+            # An inline end tag doesn't close blocks.
+            if (opened if tag in BLOCKS else inline[-1])[tag] > 0:
+                node = top
+                while node.tag != tag:
+                    node = node.parent
+                leave(top, node.parent)
                 top = node.parent
             continue
         if tag == "html":
             continue
-        if tag in _LEAVES_P:
-            top = close_upto(("p",), top)
-        if tag in _CLOSES:
-            top = close_upto(_CLOSES[tag], top)
+        for names_closed in (("p",) if tag in _LEAVES_P else (), _CLOSES.get(tag, ())):
+            if names_closed:
+                upto = close_upto(names_closed, top)
+                leave(top, upto)
+                top = upto
         skip, names, named = _furniture(tag, m[3] or "", top)
         node = Node(tag, top, skip, names, named)
         top.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
-        elif tag not in VOID and not (m[3] or "").endswith("/"):
-            top = node
-        elif tag not in VOID and tag in BLOCKS:
+        elif tag not in VOID and (tag in BLOCKS or not (m[3] or "").endswith("/")):
             top = node
+            opened[tag] += 1
+            if tag in BLOCKS:
+                inline.append(Counter())
+            else:
+                inline[-1][tag] += 1
     return root
 
 
@@ -227,23 +258,31 @@ def _skip_named(root: Node) -> bool:
     any_skipped = False
     for node, _ in order:
         if node.named:
+            marked = articles[root] or mains[root]
             holds = mains[node] > 0 or not node.named & COMMENT_NAMES and (
-                articles[node] == articles[root] == 1 or points[node] > points[root] / 2)
+                articles[node] == articles[root] == 1
+                or not marked and not node.named & ADVERT_NAMES and points[node] > points[root] / 2)
             node.skip = not holds
             any_skipped |= node.skip
     return any_skipped
 
 
+_PARAGRAPHS = frozenset("p pre blockquote li td dd h1 h2 h3 h4 h5 h6".split())
+
+
 def _score(root: Node) -> list[Node]:
-    """Points of all containers; text and link lengths of all nodes."""
+    """Points of all containers; text, link text and number of links of all nodes."""
     order: list[Node] = []
-    stack = [(root, False)]
+    given: dict[Node, float] = {}  # a paragraph's own points, for its parent
+    stack = [(root, False, root)]
     while stack:
-        node, in_link = stack.pop()
+        node, in_link, block = stack.pop()
         if node.skip:
             continue
         order.append(node)
         in_link = in_link or node.tag == "a"
+        if node.tag in BLOCKS:
+            block = node
         own, commas = 0, 0
         for c in node.children:
             if isinstance(c, str):
@@ -251,26 +290,21 @@ def _score(root: Node) -> list[Node]:
                     own += len(c.strip())
                     commas += c.count(",")
             else:
-                stack.append((c, in_link))
-        node.text, node.links = own, own if in_link else 0
+                stack.append((c, in_link, block))
+        node.text, node.links, node.anchors = own, own if in_link else 0, int(node.tag == "a")
         if own and not in_link:
-            # The nearest block is the paragraph; its ancestors get the points.
-            block = node
-            while block.tag not in BLOCKS and block.parent is not None:
-                block = block.parent
-            points, share, up = _points(own, commas), 1.0, block.parent
-            level = 1
-            if block.parent is None or block.tag not in ("p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6"):
-                up = block  # loose text in a container
-            while up is not None:
-                up.points += points * share
-                level += 1
-                share = 1.0 / level
-                up = up.parent
+            # The nearest block is the paragraph; loose text counts for its container.
+            if block.parent is None or block.tag not in _PARAGRAPHS:
+                block.points += _points(own, commas)
+            else:
+                given[block] = given.get(block, 0.0) + _points(own, commas)
     for node in reversed(order):
-        if node.parent is not None:
-            node.parent.text += node.text
-            node.parent.links += node.links
+        up = node.parent
+        if up is not None:
+            up.text += node.text
+            up.links += node.links
+            up.anchors += node.anchors
+            up.points += given.get(node, 0.0) + node.points / 2
     return order
 
 
@@ -279,15 +313,9 @@ def _density(node: Node) -> float:
 
 
 def _is_menu(node: Node) -> bool:
-    """A list or box of links."""
-    if node.tag not in ("ul", "ol", "div", "section", "table", "dl") or _density(node) <= 0.66:
-        return False
-    links, stack = 0, [node]
-    while stack:
-        x = stack.pop()
-        links += x.tag == "a"
-        stack.extend(c for c in x.children if not isinstance(c, str))
-    return links >= 3
+    """A list or box of links outside an article."""
+    return (not node.content and node.anchors >= 3 and node.tag in ("ul", "ol", "div", "section", "table", "dl")
+            and _density(node) > 0.66)
 
 
 def main_text(page: str | None) -> str:
