@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.session import scratch_path
 
+#: glibc's release of free heap memory, where there is one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: ASCII white space, the characters that separate words in the contracts.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -42,6 +46,15 @@ def _collect(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system: workers stay for other
+    tasks, beside those of the next step."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    if _TRIM:
+        _TRIM(0)
+
+
 def release(*tables: DataFrame) -> None:
     """Remove scratch tables that nothing reads any more."""
     for df in tables:

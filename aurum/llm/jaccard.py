@@ -16,10 +16,17 @@ it that can reach the threshold is formed:
    with, and the pairs that link are merged into components.
 5. Second product, of what is left: for each column that still joins different
    components, the rows outside the column's largest component against all
-   rows of the other components. Overlap counts are accumulated per pair over
+   rows of the other components, the smaller row with the short prefix that
+   it needs beside a larger one. Overlap counts are accumulated per pair over
    the columns, and pairs below the bound that their sizes and prefixes set
    are discarded. Two rows of one component are never paired again, so a group
    of near copies costs one star, not all its pairs.
+
+   In both products a pair is formed only at columns where it can link if it
+   shares none of those before: all that comes from there on, on the shorter
+   side, must reach the overlap that the two sizes need. Every pair that links
+   is formed at the first column it shares; rows that have a common passage
+   behind rarer text of their own are not paired for it.
 6. Every surviving pair is verified on whole sets, in blocks of an Arrow batch.
 
 A pair of different texts at or above the threshold is therefore either
@@ -38,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import folded, materialize, release, window_hashes, word_windows
+from aurum.llm.common import folded, give_back, materialize, release, window_hashes, word_windows
 from aurum.llm.components import components
 from aurum.llm.exchange import keyed, on_key, shared_places
 
@@ -134,27 +141,42 @@ def _prefixes(percent: int, rank):
     return make
 
 
-_ROWS = "node long, n long, columns array<long>, text string"
+_ROWS = "node long, n long, columns array<long>, at array<int>, text string"
 
 
 def _matrix_rows(n: int, percent: int, rank):
-    """A class's columns in the product (those that others hold, too)."""
+    """A class's columns in the product (those that others hold, too) and their
+    places in the order of its columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rank.value
         for b in batches:
-            sizes, columns = [], []
+            sizes, columns, places = [], [], []
             for s, at in zip(shingle_sets(b.column(1).to_pylist(), n), b.column(2).to_pylist()):
+                at = np.frombuffer(at, np.int64)
                 sizes.append(len(s))
-                columns.append(np.sort(prefix(s, table, percent)[np.frombuffer(at, np.int64)].view(np.int64)))
-            yield pa.RecordBatch.from_pydict({"node": b.column(0), "n": pa.array(sizes, pa.int64()),
-                                              "columns": pa.array(columns, pa.list_(pa.int64())), "text": b.column(1)})
+                columns.append(prefix(s, table, percent)[at].view(np.int64))
+                places.append(at.astype(np.int32))
+            yield pa.RecordBatch.from_pydict({"node": b.column(0), "n": pa.array(sizes, pa.int64()), "columns": pa.array(columns, pa.list_(pa.int64())),
+                                              "at": pa.array(places, pa.list_(pa.int32())), "text": b.column(1)})
+        give_back()
     return run
 
 
+def _need(n, m, percent: int):
+    """The overlap at which sets of these sizes link."""
+    return F.ceil((n + m) * percent / (100 + percent))
+
+
+def _from_here(n, i, m, j, percent: int):
+    """Whether rows whose first shared column is the i-th of n in one and the
+    j-th of m in the other can link."""
+    return F.least(n - i, m - j) >= _need(n, m, percent)
+
+
 def _reachable(c, n, m, percent: int):
     """Whether rows of sizes n, m whose prefixes share c columns can link: what
     the prefixes leave out adds no more than the larger row's rest."""
-    need = F.ceil((n + m) * percent / (100 + percent))
+    need = _need(n, m, percent)
     rest = F.ceil(F.greatest(n, m) * percent / 100) - 1
     fits = (n * 100 >= m * percent) & (m * 100 >= n * percent)
     return fits & (c + rest >= need)
@@ -193,6 +215,17 @@ def _verify(pairs: DataFrame, rows: DataFrame, ngram: int, percent: int, name: s
     return out
 
 
+def _pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Rows of different components that can link from a column on: the smaller
+    one as ``a, n``, the larger as ``b, m``, per column."""
+    x, y = small.alias("x"), large.alias("y")
+    n, m = F.col("x.n"), F.col("y.n")
+    ordered = ((n < m) | (n == m) & (F.col("x.node") < F.col("y.node"))) & (n * 100 >= m * percent)
+    fits = ordered & (F.col("x.comp") != F.col("y.comp")) & _from_here(n, F.col("x.i"), m, F.col("y.i"), percent)
+    return x.join(y, (F.col("x.h") == F.col("y.h")) & fits).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"), n.alias("n"), m.alias("m"))
+
+
 def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCENT, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per row of ``docs``.
 
@@ -220,9 +253,11 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
 
     # Entries of the matrix, without columns that one class holds alone.
     step = math.log(100 / percent)
-    entries = rows.select("node", "n", F.explode("columns").alias("h")).withColumn("size_class", F.floor(F.log("n") / step))
-    first = entries.groupBy("h", "size_class").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b <> top")
-    pairs = (entries.join(first.select("h", "size_class", "b"), ["h", "size_class"]).where("node <> b")
+    entries = rows.select("node", "n", F.explode(F.arrays_zip("columns", "at")).alias("e")).select(
+        "node", "n", F.col("e.columns").alias("h"), F.col("e.at").alias("i")).withColumn("size_class", F.floor(F.log("n") / step))
+    first = entries.groupBy("h", "size_class").agg(F.min(F.struct("node", "n", "i")).alias("f"), F.max("node").alias("top")).where("f.node <> top")
+    pairs = (entries.join(first.select("h", "size_class", F.col("f.node").alias("b"), F.col("f.n").alias("m"), F.col("f.i").alias("j")), ["h", "size_class"])
+             .where((F.col("node") != F.col("b")) & _from_here(F.col("n"), F.col("i"), F.col("m"), F.col("j"), percent))
              .select(F.col("node").alias("a"), "b").distinct())
     # The whole overlap of two prefixes decides which pairs are worth their texts.
     sides = rows.select("node", "n", "columns")
@@ -239,16 +274,17 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     merged = components(links)
 
     several = entries.alias("e").join(merged.alias("m"), F.col("e.node") == F.col("m.node"), "left").select(
-        "e.h", "e.node", "e.n", F.coalesce("m.comp", "e.node").alias("comp"))
+        "e.h", "e.node", "e.n", "e.i", F.coalesce("m.comp", "e.node").alias("comp"))
     counts = several.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("h").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     several = materialize(several.join(mixed.select("h", F.col("m.comp").alias("main")), "h"), "entries")
-    x, y = several.where("comp <> main").alias("x"), several.alias("y")
-    fits = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
-    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    product = (x.join(y, F.col("x.h") == F.col("y.h")).where((F.col("x.comp") != F.col("y.comp")) & fits & once)
-               .groupBy(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
-               .agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("n"), F.first("y.n").alias("m")))
+    # The smaller row of a pair (of equal ones the lower node) shares its first
+    # column before the place that a pair of its own size would allow.
+    small, outside = several.where(F.col("n") - F.col("i") >= _need(F.col("n"), F.col("n"), percent)), F.col("comp") != F.col("main")
+    product = _pairs(small.where(outside), several, percent).unionByName(_pairs(small.where(~outside), several.where(outside), percent))
+    product = product.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"))
+    product = product.join(rows.select(F.col("node").alias("a"), F.col("columns").alias("x")), "a").join(
+        rows.select(F.col("node").alias("b"), F.col("columns").alias("y")), "b").withColumn("c", F.size(F.array_intersect("x", "y")))
     pairs = materialize(product.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent)).select("a", "b"), "pairs")
     more = _verify(pairs, rows, ngram, percent, "more-links")
     final = components(links.unionByName(more))
