@@ -3,13 +3,16 @@
 The join is a plain equi-join: the optimizer (with AQE) broadcasts a side only
 when its measured size is under the threshold, otherwise it sort-merges, and
 AQE splits skewed keys (a patient with many scans) at runtime. It can only do
-so while both inputs are plain shuffles, so a side that was deduplicated on the
-same key is written as a table first (``layers.silver_joined``, the run).
+so while both inputs are plain shuffles, which a side that was deduplicated on
+the same key is not: ``salted_join_manifest`` joins on the key and a salt, so
+that such a side is dealt out anew, and splits heavy keys by itself besides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MANIFEST_JOIN_COLUMNS = {
@@ -35,6 +38,60 @@ def join_manifest(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
     return joined.select(*metadata.columns, *[c for c in columns.values()])
 
 
+#: Counters of the key sketch: a fixed size, whatever the number of keys.
+SKETCH_SLOTS = 1 << 16
+#: Scans of one patient that one task joins; more are split.
+ROWS_PER_SPLIT = 500_000
+
+
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(SKETCH_SLOTS)).cast("int")
+
+
+def key_copies(manifest: DataFrame, key: str = "ssn", rows_per_split: int = ROWS_PER_SPLIT) -> Column:
+    """Replication table of a salted join, as a scalar subquery: per hash slot
+    of the key, over how many salts its manifest rows are spread.
+
+    A sketch of ``SKETCH_SLOTS`` counters, summed on the map side, finds the
+    slots of heavy keys: those with more rows than twice the average and
+    ``rows_per_split`` besides. Keys that share a slot with a heavy one are
+    spread as well, which costs copies and changes nothing else. Only the key
+    column is read, in the same job that runs the join.
+    """
+    spark = manifest.sparkSession
+    rows = manifest.select(_slot(key).alias("slot"), F.lit(1).cast("bigint").alias("n")).unionByName(
+        spark.range(SKETCH_SLOTS, numPartitions=1).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("bigint").alias("n")))
+    counts = rows.groupBy("slot").agg(F.sum("n").alias("n"))
+    sketch = counts.agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("s"), F.sum("n").alias("rows"))
+    spare = lambda x: x["n"] - 2 * F.col("rows") / SKETCH_SLOTS
+    copies = F.transform("s", lambda x: F.greatest(F.lit(1), F.ceil(spare(x) / rows_per_split).cast("int")))
+    return sketch.select(copies.alias("copies")).scalar()
+
+
+def salted_join_manifest(metadata: DataFrame, manifest: DataFrame, key: str = "ssn", columns: dict[str, str] | None = None,
+                         spread_by: Sequence[str] = ("dicom_s3_uri",), rows_per_split: int = ROWS_PER_SPLIT,
+                         counted: DataFrame | None = None) -> DataFrame:
+    """``join_manifest`` with heavy keys split over several tasks, planned
+    lazily: nothing runs or is written until the result is used, and columns
+    that the caller drops are pruned through it.
+
+    A patient's scans get a salt below the patient's entry in the replication
+    table (``key_copies``), and the patient's one metadata row a copy per salt.
+    The salt is a hash of ``spread_by``, so a task that runs again deals the
+    same rows to the same salts. ``metadata`` must hold a key once. ``counted``
+    is the manifest that the sketch reads, if not ``manifest`` itself (one that
+    carries no Observation).
+    """
+    columns = columns or MANIFEST_JOIN_COLUMNS
+    copies = key_copies(manifest if counted is None else counted, key, rows_per_split)
+    salt, own = "_salt", metadata.columns
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.get(copies, _slot(key))).cast("int")
+    scans = manifest.select(key, spread.alias(salt), *[F.col(src).alias(dst) for src, dst in columns.items()])
+    dealt = metadata.withColumn(salt, F.explode(F.sequence(F.lit(0), F.get(copies, _slot(key)) - 1)))
+    joined = scans.join(dealt, on=[key, salt], how="inner")
+    return joined.select(*own, *columns.values())
+
+
 def reconcile_join(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
                    metadata_deduplicated: bool = False) -> DataFrame:
     """One-row reconciliation of an inner join on ``key``.
@@ -72,6 +129,15 @@ def reconcile_join(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
     )
 
 
+def reconciliation(metadata_ids: int, manifest_ids: int, joined_rows: int, matched_ids: int) -> dict[str, int]:
+    """``reconcile_join``'s row from counts taken on the way: ids of the
+    deduplicated metadata, distinct ids of the manifest, rows of the join and
+    distinct ids in it."""
+    return {"metadata_ids": metadata_ids, "manifest_ids": manifest_ids, "joined_rows": joined_rows,
+            "unmatched_min_formula": max(0, min(metadata_ids, manifest_ids) - joined_rows),
+            "metadata_only_ids": metadata_ids - matched_ids, "manifest_only_ids": manifest_ids - matched_ids}
+
+
 def unmatched_ids(metadata: DataFrame, manifest: DataFrame, key: str = "ssn") -> DataFrame:
     """The ids present on exactly one side, with the side they are on."""
     m = metadata.select(key).where(F.col(key).isNotNull()).distinct()

@@ -159,3 +159,26 @@ def key_leak_count(silver: DataFrame, key: str = "ssn", cols: Iterable[str] = ("
     masking, since the Gold key is no longer comparable)."""
     return silver.agg(*[F.count_if(F.col(c).contains(F.col(key))).alias(f"{c}_contains_key")
                         for c in cols])
+
+
+def raw_key_leaks(published: DataFrame, raw: DataFrame, key: str = "ssn", pattern: str = config.IDENTIFIER_PATTERN) -> DataFrame:
+    """Raw keys of any patient found in the text columns of a published
+    dataset: ``column_name, leaked_keys, leaked_values`` for the columns that
+    hold some, with the distinct keys and how often they occur.
+
+    ``key_leak_count`` compares a row with its own key only. Here the
+    identifier-shaped tokens of all text columns make an index (column, token,
+    occurrences), built with partial aggregation, so that a token on a third of
+    all rows is one row per task; the index is joined to the set of raw keys
+    (trimmed, without NULLs). A token that is no patient's key doesn't count.
+    """
+    texts = [f.name for f in published.schema.fields if isinstance(f.dataType, StringType)]
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.regexp_extract_all(F.col(f"`{c}`"), F.lit(pattern), 0).alias("tokens")) for c in texts]
+    if not pairs:
+        return published.sparkSession.createDataFrame([], "column_name string, leaked_keys bigint, leaked_values bigint")
+    tokens = (published.select(F.explode(F.array(*pairs)).alias("p"))
+              .select("p.column_name", F.explode("p.tokens").alias("token")))
+    index = tokens.groupBy("column_name", "token").agg(F.count(F.lit(1)).alias("n"))
+    keys = raw.select(F.trim(F.col(key)).alias("token")).where(F.col("token").isNotNull()).distinct()
+    return index.join(keys, "token", "left_semi").groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("leaked_keys"), F.sum("n").alias("leaked_values"))

@@ -10,6 +10,7 @@ DataFrame, so the check covers the real file round trip.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -283,14 +284,18 @@ def q_landing_name_parts(spark, sf_dir):
                         X.upload_time("file_name").alias("uploaded_at"))
 
 
-def _ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
+def _submissions(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
+    """What the uploaders declared, by landed path."""
     listing = landing.list_files(spark, f"{dirs['root']}/raw", glob)
     kind = F.when(F.col("path").contains("/raw/dicom/"), F.lit("DICOM Imaging Manifest")) \
         .otherwise(F.lit("Clinical Metadata Extract"))
     site = F.when(F.col("file_name").startswith("choc_extract"), F.lit("CHOC")).otherwise(F.lit("Rady"))
-    submissions = listing.select("path", F.lit("Site coordinator").alias("submitter"),
-                                 site.alias("affiliation"), kind.alias("dataset_type"))
-    return landing.landing_ledger(spark, f"{dirs['root']}/raw", submissions, glob=glob)
+    return listing.select("path", F.lit("Site coordinator").alias("submitter"),
+                          site.alias("affiliation"), kind.alias("dataset_type"))
+
+
+def _ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
+    return landing.landing_ledger(spark, f"{dirs['root']}/raw", _submissions(spark, dirs, glob), glob=glob)
 
 
 def _stored_ledger(spark, dirs, glob: str | None = "*.csv") -> DataFrame:
@@ -346,14 +351,26 @@ def q_incremental_ingest(spark, sf_dir):
 
 # ---------------------------------------------------------------- full run and lineage
 
-def _run(spark, sf_dir, name):
+#: Key buckets that a traced run's Silver and Gold are laid out in.
+TRACE_BUCKETS = 16
+
+
+def _run(spark, sf_dir, name, **options):
     dirs = land_fixture(spark, sf_dir, name)
     base = f"{dirs['root']}/lake"
     metrics = run_medallion(spark, dirs["metadata"], dirs["dicom"], base, run_ts=RUN_TS, run_date=RUN_DATE,
-                            metadata_schema=FIXTURE_METADATA_SCHEMA)
+                            metadata_schema=FIXTURE_METADATA_SCHEMA, **options)
     return dirs, base, metrics
 
 
+def _run_with_ledger(spark, sf_dir, name, **options):
+    dirs = land_fixture(spark, sf_dir, name)
+    base = f"{dirs['root']}/lake"
+    run_medallion(spark, dirs["metadata"], dirs["dicom"], base, run_ts=RUN_TS, run_date=RUN_DATE, metadata_schema=FIXTURE_METADATA_SCHEMA,
+                  submissions=_submissions(spark, dirs), landing_root=f"{dirs['root']}/raw", **options)
+    return dirs, base
+
+
 @query("run_metrics")
 def q_run_metrics(spark, sf_dir):
     _, _, metrics = _run(spark, sf_dir, "run")
@@ -379,16 +396,48 @@ def q_gold_two_dialects(spark, sf_dir):
     return spark.read.parquet(f"{root}/lake/gold_research")
 
 
+@query("registered_gold")
+def q_registered_gold(spark, sf_dir):
+    """A run that registers its outputs as tables of a namespace: Gold, read by
+    its table's name."""
+    namespace = f"aurum_{uuid.uuid4().hex[:12]}"
+    _run(spark, sf_dir, "registered", namespace=namespace)
+    return spark.table(f"{namespace}.gold_research")
+
+
+@query("run_ledger")
+def q_run_ledger(spark, sf_dir):
+    """The ledger that a run leaves of the uploads it was given."""
+    _, base = _run_with_ledger(spark, sf_dir, "run-ledger")
+    return spark.read.parquet(f"{base}/landing_ledger").drop("source_file")
+
+
+@query("newest_run_metrics")
+def q_newest_run_metrics(spark, sf_dir):
+    """A run over the newest snapshots of a landing zone that also holds older
+    ones (half of the rows, landed first)."""
+    meta, man = load_fixtures(spark, sf_dir)
+    root = scratch_path(spark, "newest-run")
+    for stamp, part in (("20260101T000000Z", True), (UPLOAD_STAMP, False)):
+        old = lambda key: F.pmod(F.xxhash64(key), F.lit(2)) == 0 if part else F.lit(True)
+        write_csv(meta.where(old("encounter_id")), f"{root}/raw/metadata/metadata_extract_{stamp}.csv")
+        write_csv(man.where(old("dicom_s3_uri")), f"{root}/raw/dicom/dicom_manifest_{stamp}.csv")
+        time.sleep(1.1)  # landing times are told apart by the second
+    return run_medallion(spark, f"{root}/raw/metadata", f"{root}/raw/dicom", f"{root}/lake", run_ts=RUN_TS, run_date=RUN_DATE,
+                         metadata_schema=FIXTURE_METADATA_SCHEMA, newest=True)
+
+
 @query("lineage_trace")
 def q_lineage_trace(spark, sf_dir):
-    """Trace the first CHOC upload's confirmation id through every layer."""
-    dirs, base, _ = _run(spark, sf_dir, "lineage")
-    ledger = _stored_ledger(spark, dirs)
+    """Trace the first CHOC upload's confirmation id through every layer: the
+    run's own ledger, and Silver and Gold laid out by key buckets."""
+    _, base = _run_with_ledger(spark, sf_dir, "lineage", trace_buckets=TRACE_BUCKETS)
+    ledger = spark.read.parquet(f"{base}/landing_ledger")
     tx_id = ledger.where(F.col("file_name").startswith("choc_extract_0000_")).first()["tx_id"]
     bronze = writers.read_bronze(spark, f"{base}/bronze_metadata")
     silver = spark.read.parquet(f"{base}/silver").drop("site_key")
     gold = spark.read.parquet(f"{base}/gold_research")
-    traced = lineage_trace(tx_id, ledger, bronze, silver, gold)
+    traced = lineage_trace(tx_id, ledger, bronze, silver, gold, trace_buckets=TRACE_BUCKETS)
     # The payload's values, as text, in one digest per stage's own fields.
     fields = {"landed": [config.HEADER_RENAMES.get(c, c) for c in META_COLS], "bronze": META_COLS,
               "silver": ["ssn", "age", "site_location", "scan_date", "lesion_label", "imaging_s3_uri"],
@@ -451,16 +500,33 @@ def q_synth_run_metrics(spark, sf_dir):
                          run_date=RUN_DATE, tiebreakers=())
 
 
+def _increments(spark, sf_dir):
+    """Silver metadata in two increments: even orders, then odd ones."""
+    meta, _ = load_fixtures(spark, sf_dir)
+    silver = layers.silver_metadata(meta)
+    even = F.col("encounter_id") % 2 == 0
+    return silver.where(even), silver.where(~even)
+
+
 @query("dedup_incremental")
 def q_dedup_incremental(spark, sf_dir):
-    """Keep-latest applied in two increments (older orders first, then newer)
-    to a bucketed state; must equal the one-shot dedup over all rows."""
+    """Keep-latest applied in two increments to a log of deltas, one of them
+    folded into the base; must equal the one-shot dedup over all rows."""
+    from aurum.plans import latest_log
+    state = scratch_path(spark, "latest-log")
+    for i, part in enumerate(_increments(spark, sf_dir)):
+        latest_log.append(spark, part, state, f"part-{i}", tiebreakers=["encounter_id"])
+    latest_log.compact(spark, state)
+    return latest_log.read(spark, state)
+
+
+@query("dedup_bucketed")
+def q_dedup_bucketed(spark, sf_dir):
+    """The same increments applied to a state laid out in key buckets, of which
+    the touched ones are rewritten."""
     from aurum.plans import incremental
-    meta, _ = load_fixtures(spark, sf_dir)
-    silver = layers.silver_metadata(meta)
     state = scratch_path(spark, "latest-state")
-    cutoff = F.col("encounter_id") % 2 == 0
-    for part in (silver.where(cutoff), silver.where(~cutoff)):
+    for part in _increments(spark, sf_dir):
         incremental.upsert_latest(spark, part, state, tiebreakers=["encounter_id"], buckets=64)
     return incremental.read_latest(spark, state)
 

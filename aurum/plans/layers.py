@@ -1,8 +1,7 @@
 """Bronze -> Silver -> Gold compositions.
 
-All are lazy but ``silver_joined``, which writes the deduplicated metadata
-first (see there). These wire the operators in the order the medallion defines; the run driver
-in ``aurum.plans.run`` decides what is materialised and where.
+All are lazy. These wire the operators in the order the medallion defines; the
+run driver in ``aurum.plans.run`` decides what is materialised and where.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from aurum.operators import clean, dedup, deid, join
-from aurum.session import written
 
 
 def silver_metadata(bronze_metadata: DataFrame, **kw) -> DataFrame:
@@ -34,14 +32,13 @@ def silver_joined(bronze_metadata: DataFrame, bronze_manifest: DataFrame,
                   tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn") -> DataFrame:
     """Clean both sides, keep the latest record per patient, join imaging.
 
-    The latest records are written to the shared scratch area before the join:
-    with the dedup's window between shuffle and join, adaptive execution could
-    not split a patient with very many scans; over a table both sides of the
-    join are plain shuffles, which it splits.
+    The join is salted: a patient with very many scans is spread over several
+    tasks by a sketch of the manifest's keys, and since the deduplicated side
+    is dealt out anew by key and salt, adaptive execution can split both sides
+    of the join further.
     """
-    meta = written(silver_latest(silver_metadata(bronze_metadata), tiebreakers, key), "silver-latest")
-    man = silver_manifest(bronze_manifest)
-    return join.join_manifest(meta, man, key)
+    meta = silver_latest(silver_metadata(bronze_metadata), tiebreakers, key)
+    return join.salted_join_manifest(meta, silver_manifest(bronze_manifest), key)
 
 
 def gold_dataset(silver: DataFrame, salt: str | None = None,

@@ -463,6 +463,10 @@ ORACLE.update({
         + [f"select '{c}' as column_name, false as forbidden_name, 0::bigint as identifier_values"
            for c in ("age", "enrollment_year", "lesion_code_requires_review")])),
     "phi_key_leak": _qs("select count_if(contains(imaging_s3_uri, ssn)) as imaging_s3_uri_contains_key from ssj"),
+    "phi_raw_keys": _qs(r"""
+        select 'imaging_s3_uri' as column_name, count(distinct t.token) as leaked_keys, count(*) as leaked_values
+        from (select unnest(regexp_extract_all(imaging_s3_uri, '\d{3}-\d{2}-\d{4,}')) as token from ssj) t
+        where t.token in (select trim(ssn) from ssj) having count(*) > 0"""),
     "gold_pointer_rewrite": _qs(f"""
         select substr(sha256(ssn), 1, 16) as subject_surrogate_id, age, site_location,
                case when site_location = 'CHOC' then 'Cerner' else 'Epic' end as ehr_system,
@@ -532,9 +536,12 @@ def _bigint_count_if(sql: str) -> str:
 
 
 ORACLE["dedup_incremental"] = ORACLE["dedup_latest"]
+ORACLE["dedup_bucketed"] = ORACLE["dedup_incremental"]
 ORACLE["gold_incremental"] = ORACLE["gold_research"]
 ORACLE["gold_two_dialects"] = ORACLE["gold_research"]
 ORACLE["gold_streaming"] = ORACLE["gold_research"]
+ORACLE["registered_gold"] = ORACLE["gold_research"]
+ORACLE["newest_run_metrics"] = ORACLE["run_metrics"]
 
 ORACLE = {k: _bigint_count_if(v) for k, v in ORACLE.items()}
 
@@ -591,3 +598,4 @@ ORACLE.update({
         from ledger l, (select * from ledger where tx_id = (select min(tx_id) from ledger
                                                             where object_prefix = 'metadata')) d"""),
 })
+ORACLE["run_ledger"] = ORACLE["landing_ledger"]

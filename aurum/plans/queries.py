@@ -378,6 +378,13 @@ def q_phi_key_leak(spark, sf_dir):
     return stats.key_leak_count(_synth_silver(spark, sf_dir))
 
 
+@query("phi_raw_keys")
+def q_phi_raw_keys(spark, sf_dir):
+    """Raw keys of any patient within the text columns of Gold."""
+    silver = _synth_silver(spark, sf_dir)
+    return stats.raw_key_leaks(layers.gold_dataset(silver, extra_drop=()), silver)
+
+
 @query("gold_pointer_rewrite")
 def q_gold_pointer_rewrite(spark, sf_dir):
     """Gold with identifier-bearing URIs replaced by hash pointers."""

@@ -5,16 +5,18 @@ cuts lineage on shared storage (a lost executor costs at most the current
 layer) and replaces the repeated re-reads of the CSV. Row counts come from
 ``Observation``s attached to the writes instead of separate ``count()`` jobs.
 
-Jobs per run: 2 Bronze writes, 1 Silver write, 1 reconciliation, 1 Gold
-write, 1 ML export, 3 small summary writes, 1 metrics write. Independent
-writes (the two Bronze tables; the Gold exports and summaries) are submitted
-together so the scheduler overlaps them.
+Jobs per run: 2 Bronze writes, 1 Silver write, 2 counts of ids (for the
+reconciliation), 1 Gold write, 1 ML export, 3 small summary writes, 1 metrics
+write. Independent jobs (the two Bronze tables; a write and a count; the Gold
+exports and summaries) are submitted together so the scheduler overlaps them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -26,23 +28,52 @@ from aurum import config
 from aurum.functions.expressions import site_partition_key
 from aurum.operators import join, stats
 from aurum.plans import layers
-from aurum.sinks import writers
-from aurum.sources import csv
-from aurum.session import written
+from aurum.plans.lineage import TRACE_BUCKET, trace_bucket
+from aurum.session import child_names, delete_path
+from aurum.sinks import commits, writers
+from aurum.sources import csv, landing
 
 log = logging.getLogger("aurum.run")
 
+#: What a run writes below its base folder, by the tables' names.
+OUTPUTS = ("bronze_metadata", "bronze_manifest", "silver", "gold_research", "gold_ml_export", "gold_cohort_summary",
+           "gold_label_distribution", "gold_age_distribution", "run_metrics")
+#: Outputs that runs add to, by date, file or run; the others hold one run.
+ACCUMULATED = ("bronze_metadata", "bronze_manifest", "landing_ledger", "run_metrics")
+#: Commits that name the published run.
+PUBLISHED = "_published"
+
 
 @dataclass(frozen=True)
 class RunLayout:
-    """Where each output of a run lives (all under one base folder)."""
+    """Where each output of a run lives: all under one base folder, or, for a
+    published run, what belongs to one run only under a folder of its own."""
 
     base: str
+    own: str | None = None
 
     def __getattr__(self, name: str) -> str:  # e.g. layout.bronze_metadata
         if name.startswith("_"):
             raise AttributeError(name)
-        return f"{self.base.rstrip('/')}/{name}"
+        base = self.base if self.own is None or name in ACCUMULATED else self.own
+        return f"{base.rstrip('/')}/{name}"
+
+
+def published(spark: SparkSession, base: str) -> RunLayout | None:
+    """The outputs of the last run published below ``base``: Silver, Gold and
+    exports of one run, whatever a later run has begun. None before the first."""
+    state = commits.newest(spark, f"{base.rstrip('/')}/{PUBLISHED}")[1]
+    return RunLayout(base, f"{base.rstrip('/')}/{state['run']}") if state else None
+
+
+def remove_superseded(spark: SparkSession, base: str) -> int:
+    """Delete the folders of runs other than the published one; returns how
+    many. Only when no run is being written and no reader is left on an old one."""
+    root, layout = base.rstrip("/"), published(spark, base)
+    gone = [n for n in child_names(spark, f"{root}/runs") if layout is None or layout.own != f"{root}/runs/{n}"]
+    for n in gone:
+        delete_path(spark, f"{root}/runs/{n}")
+    return len(gone)
 
 
 def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_path: str | list[str],
@@ -51,7 +82,9 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
                   manifest_schema: StructType = config.MANIFEST_RAW_SCHEMA,
                   tiebreakers: Sequence[str] = ("encounter_id",), salt: str | None = None,
                   fmt: str = "parquet", site_spread: int | None = None, on_empty: str = "warn",
-                  dialects: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
+                  dialects: Mapping[str, Mapping[str, str]] | None = None, defaults: Mapping[str, object] | None = None,
+                  namespace: str | None = None, newest: bool = False, submissions: DataFrame | None = None,
+                  landing_root: str | None = None, trace_buckets: int | None = None, publish: bool = False) -> DataFrame:
     """Run all layers and return the one-row metrics table (also written; a
     repeated ``run_ts`` replaces its row).
 
@@ -61,7 +94,26 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
 
     ``dialects`` reads the metadata of sites whose headers differ, instead of
     ``metadata_path``: per landing folder the map from its headers to the
-    schema's column names. Malformed rows are captured in each.
+    schema's column names. Malformed rows are captured in each. ``defaults``
+    gives the value of a column that a site's extracts lack.
+
+    ``newest`` reads only the newest landed snapshot below each of the two
+    paths instead of all extracts there.
+
+    ``submissions`` (see ``landing.landing_ledger``) records the uploads below
+    ``landing_root`` in the run's ledger, ``landing_ledger``; files already in
+    it are not hashed again.
+
+    ``namespace`` registers every output as a table there (created if missing).
+
+    ``publish`` writes Silver, Gold and the exports to a folder of this run and
+    makes them current by one commit at the end (``published``): no reader sees
+    Silver of one run beside Gold of another, and a run that stops leaves the
+    published set as it was. Registered tables then point to the new set.
+
+    ``trace_buckets`` lays Silver and Gold out by that many buckets of their
+    keys besides, with Bloom filters, so that ``lineage_trace`` reads only the
+    buckets of the keys it follows (``read_layer`` hides the bucket column).
 
     ``site_spread`` bounds Silver files per site (see ``writers.write_table``).
     ``on_empty`` is the zero-row policy for the Bronze ingest: ``"warn"`` or
@@ -70,22 +122,30 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     now = _dt.datetime.now(_dt.timezone.utc)
     run_ts = run_ts or now.strftime(config.RUN_TS_FORMAT)
     run_date = run_date or now.strftime(config.RUN_DATE_FORMAT)
-    out = RunLayout(base)
+    run = f"runs/{re.sub('[^A-Za-z0-9]', '', run_ts)}-{uuid.uuid4().hex[:12]}"
+    out = RunLayout(base, f"{base.rstrip('/')}/{run}") if publish else RunLayout(base)
+    before = commits.newest(spark, f"{base.rstrip('/')}/{PUBLISHED}")[0] if publish else None
+    if submissions is not None and landing_root is None:
+        raise ValueError("submissions need the landing_root that holds their files")
+    if newest:
+        metadata_path = _newest(spark, metadata_path, config.METADATA_NAME_TOKENS)
+        manifest_path = _newest(spark, manifest_path, config.MANIFEST_NAME_TOKENS)
 
     # Bronze: full-width read (corrupt rows captured), lineage, partitioned by run date.
     obs_bm, m = csv.ingest_observation("bronze_metadata")
     # Landing prefixes hold one folder or file per upload: read them recursively.
     if dialects:
-        bm = csv.ingest_dialects(spark, dialects, metadata_schema, run_ts, run_date, recursive=True, glob="*.csv")
+        bm = csv.ingest_dialects(spark, dialects, metadata_schema, run_ts, run_date, defaults, recursive=True, glob="*.csv")
     else:
         bm = csv.ingest_bronze(spark, metadata_path, metadata_schema, run_ts, run_date, recursive=True, glob="*.csv")
     bm = bm.observe(obs_bm, *m)
     obs_bd, m = csv.ingest_observation("bronze_manifest")
     bd = csv.ingest_bronze(spark, manifest_path, manifest_schema, run_ts, run_date,
                            recursive=True, glob="*.csv").observe(obs_bd, *m)
-    # The two Bronze writes are independent jobs: submit them together.
+    # The two Bronze writes and the ledger are independent jobs: submit them together.
+    ledger = [] if submissions is None else [lambda: landing.append_new_uploads(spark, landing_root, submissions, out.landing_ledger, fmt)]
     _concurrently(lambda: writers.write_bronze(bm, out.bronze_metadata, fmt),
-                  lambda: writers.write_bronze(bd, out.bronze_manifest, fmt))
+                  lambda: writers.write_bronze(bd, out.bronze_manifest, fmt), *ledger)
 
     # Silver reads this run's Bronze partition only (partition pruning).
     meta_b = csv.good_rows(writers.read_bronze(spark, out.bronze_metadata, fmt, bm.schema)
@@ -104,33 +164,38 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     obs_man = Observation("silver_manifest")
     man_stats = [F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("uri_format_valid")).alias("invalid_uri")]
     man_clean = layers.silver_manifest(man_b).observe(obs_man, *man_stats)
-    # Written before the join, so that a patient with very many scans is split (see layers).
-    latest = written(layers.silver_latest(meta_clean, tiebreakers), "silver-latest")
-    silver = join.join_manifest(latest, man_clean)
+    obs_latest = Observation("silver_latest")
+    latest = layers.silver_latest(meta_clean, tiebreakers).observe(obs_latest, F.count("ssn").alias("ids"))
+    # Salted: a patient with very many scans is split. The sketch of the keys
+    # reads the manifest without the Observation.
+    silver = join.salted_join_manifest(latest, man_clean, counted=layers.silver_manifest(man_b))
     obs_s = Observation("silver")
     silver = silver.withColumn("site_key", site_partition_key("site_location")).observe(
         obs_s, F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("site_location").isNull()).alias("rows_without_site"))
     # The Silver table is partitioned by site (NULL sites land in the default
     # partition and are excluded from site reads by partition pruning).
-    # Join reconciliation from the latest records (one row per id); only key
-    # columns are read. It is independent of the Silver write, so both jobs
-    # run together.
-    reconciliation = join.reconcile_join(latest, layers.silver_manifest(man_b))
+    # The join is reconciled from counts: the ids of the manifest, counted
+    # while Silver is written, and those that joined, read back from Silver.
     found: dict = {}
-    _concurrently(lambda: writers.write_table(silver, out.silver, fmt, partition_by=["site_key"],
-                                              dynamic=False, spread=site_spread),
-                  lambda: found.update(recon=reconciliation.first()))
-    recon = found["recon"]
+    by_key = [TRACE_BUCKET] if trace_buckets else []
+    if trace_buckets:
+        silver = silver.withColumn(TRACE_BUCKET, trace_bucket("ssn", trace_buckets))
+    _concurrently(lambda: writers.write_table(silver, out.silver, fmt, partition_by=["site_key", *by_key], dynamic=False,
+                                              spread=site_spread, bloom=["ssn"] if by_key else ()),
+                  lambda: found.update(manifest_ids=layers.silver_manifest(man_b).agg(F.count_distinct("ssn")).first()[0]))
 
     # Gold from the written Silver table.
-    silver_r = spark.read.format(fmt).schema(silver.schema).load(out.silver).drop("site_key")
+    silver_r = spark.read.format(fmt).schema(silver.schema).load(out.silver).drop("site_key", *by_key)
     gold = layers.gold_dataset(silver_r, salt=salt, extra_drop=tiebreakers)
     obs_g = Observation("gold")
     gold = gold.observe(obs_g, F.count(F.lit(1)).alias("rows"),
                         F.count_if(F.col("lesion_code_requires_review")).alias("flagged"))
-    writers.write_table(gold, out.gold_research, fmt)
-    gold_r = spark.read.format(fmt).schema(gold.schema).load(out.gold_research)
+    kept = gold.withColumn(TRACE_BUCKET, trace_bucket("subject_surrogate_id", trace_buckets)) if trace_buckets else gold
+    _concurrently(lambda: writers.write_table(kept, out.gold_research, fmt, partition_by=by_key, dynamic=False,
+                                              bloom=["subject_surrogate_id"] if by_key else ()),
+                  lambda: found.update(matched=silver_r.agg(F.count_distinct("ssn")).first()[0]))
+    gold_r = spark.read.format(fmt).schema(kept.schema).load(out.gold_research).drop(*by_key)
     # Exports, summaries and the PHI audit read the written Gold table
     # independently.
     audit: dict = {}
@@ -146,6 +211,8 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     bmv, bdv, sv, gv = obs_bm.get, obs_bd.get, obs_s.get, obs_g.get
     mv = _observed(obs_meta, lambda: layers.silver_metadata(meta_b).agg(*meta_stats))
     dv = _observed(obs_man, lambda: layers.silver_manifest(man_b).agg(*man_stats))
+    lv = _observed(obs_latest, lambda: layers.silver_metadata(meta_b).agg(F.count_distinct("ssn").alias("ids")))
+    recon = join.reconciliation(int(lv["ids"]), int(found["manifest_ids"]), int(sv["rows"]), int(found["matched"]))
     row = {
         "run_timestamp": run_ts,
         "pipeline_run_date": run_date,
@@ -177,10 +244,28 @@ def run_medallion(spark: SparkSession, metadata_path: str | list[str], manifest_
     metrics = spark.createDataFrame([tuple(row.values())], schema)
     # One partition per run: a repeated run replaces its row.
     writers.write_table(metrics.coalesce(1), out.run_metrics, fmt, partition_by=["run_timestamp"])
+    if publish:
+        commits.commit(spark, f"{base.rstrip('/')}/{PUBLISHED}", before + 1, {"run": run, "run_timestamp": run_ts, "pipeline_run_date": run_date})
+    if namespace:
+        writers.create_namespace(spark, namespace)
+        for name in OUTPUTS + (("landing_ledger",) if submissions is not None else ()):
+            writers.register_table(spark, namespace, name, getattr(out, name), fmt)
     back = spark.read.format(fmt).schema(metrics.schema).load(out.run_metrics)
     return back.where(F.col("run_timestamp") == run_ts).select(*metrics.columns)
 
 
+def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A layer that a run wrote, without the columns of its layout."""
+    return spark.read.format(fmt).load(path).drop("site_key", TRACE_BUCKET)
+
+
+def _newest(spark: SparkSession, root: str | list[str], tokens: Sequence[str]) -> str | list[str]:
+    """The newest landed snapshot below ``root``; ``root`` itself if it holds none."""
+    if not isinstance(root, str):
+        raise ValueError("the newest snapshot is looked for below one folder")
+    return landing.newest_snapshot(spark, root, tokens) or root
+
+
 def _concurrently(*jobs) -> None:
     """Run independent Spark actions from threads so the scheduler can
     overlap them (small jobs rarely fill a cluster); re-raise the first error."""

@@ -23,9 +23,13 @@ from aurum.operators.deid import project_rename, require_columns
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Iterable[str] = (), table: str | None = None,
-                compression: str = "snappy", dynamic: bool = True, spread: int | None = None) -> None:
+                compression: str = "snappy", dynamic: bool = True, spread: int | None = None,
+                bloom: Iterable[str] = ()) -> None:
     """Write ``df`` to ``path`` (and register it as ``table`` if given).
 
+    ``bloom`` names columns that get a Parquet Bloom filter, by which a scan
+    for some of their values skips row groups.
+
     ``dynamic`` overwrites only the partitions present in ``df``.
 
     ``spread`` (partitioned writes only) shuffles rows to
@@ -40,6 +44,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
         df = df.repartition(*[F.col(c) for c in parts], salt)
     w = df.write.format(fmt).mode(mode).option("compression", compression)
+    if fmt == "parquet":
+        for c in bloom:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     if parts:
         w = w.partitionBy(*parts)
         if dynamic and mode == "overwrite":
@@ -107,6 +114,18 @@ def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+def register_table(spark: SparkSession, namespace: str, name: str, path: str, fmt: str = "parquet") -> str:
+    """Make the data at ``path`` the external table ``namespace.name``, with
+    the schema and partitions found there; an earlier registration is replaced
+    and no data is touched. Returns the table's full name."""
+    table = f"`{namespace}`.`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source=fmt)
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+    return table
+
+
 def output_locations(spark: SparkSession, entries: Iterable[tuple[str, str, str]], fmt: str = "parquet") -> DataFrame:
     """Report ``(layer, name, uri, partition, rows, bytes)`` for written
     outputs, one row per partition value (NULL for an unpartitioned table).

@@ -88,14 +88,19 @@ def ingest_bronze(spark: SparkSession, path: str | list[str], schema: StructType
 
 
 def ingest_dialects(spark: SparkSession, dialects: Mapping[str, Mapping[str, str]], schema: StructType,
-                    run_ts: str, run_date: str, **options) -> DataFrame:
+                    run_ts: str, run_date: str, defaults: Mapping[str, object] | None = None, **options) -> DataFrame:
     """Bronze frame over sites whose headers differ: per folder the map from
-    its headers to the schema's names. A column that a site lacks is NULL; two
-    headers that map to one name are an error."""
+    its headers to the schema's names. A column that a site lacks holds the
+    caller's default, or NULL without one; two headers that map to one name are
+    an error."""
+    absent = {**dict.fromkeys(schema.fieldNames()), **(defaults or {})}
+    unknown = sorted(set(absent) - set(schema.fieldNames()))
+    if unknown:
+        raise ValueError(f"defaults for columns that the schema lacks: {unknown}")
     frames = []
     for path, renames in dialects.items():
         df = add_lineage(read_headed(spark, path, **options), run_ts, run_date)
-        df = fill_missing_columns(rename_headers(df, renames), dict.fromkeys(schema.fieldNames()))
+        df = fill_missing_columns(rename_headers(df, renames), absent)
         typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
         frames.append(df.select(*typed, config.CORRUPT_COLUMN, "ingested_at", "source_file", "pipeline_run_date"))
     return reduce(DataFrame.unionByName, frames)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aurum import config
@@ -106,8 +106,10 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     ``tx_id`` is for display; ``content_md5`` tells files apart.
     ``id_from="content"`` hashes each file's bytes (one task per file); a file
     over 2 GiB, which the ``binaryFile`` source can't read, is an error.
-    ``id_from="metadata"`` hashes (path, size, modification time) instead and
-    reads no content. The two give different ids: choose one per landing zone.
+    ``id_from="tree"`` hashes the content of files of any size, each in many
+    tasks (``content_tree``). ``id_from="metadata"`` hashes (path, size,
+    modification time) instead and reads no content. The three give different
+    ids: choose one per landing zone.
     ``append_ledger`` never derives the id of a recorded file again, so a
     stored ledger keeps its ids.
     """
@@ -120,6 +122,9 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     elif id_from == "metadata":
         digest = F.md5(F.concat_ws("|", "path", F.col("length").cast("string"),
                                    F.col("modificationTime").cast("string")))
+    elif id_from == "tree":
+        listing = listing.join(content_tree(spark, root, glob).select("path", "content_md5"), "path")
+        digest = F.col("content_md5")
     else:
         raise ValueError(f"unknown id_from {id_from!r}")
     files = listing.select("path", X.landed_object_name("path").alias("file_name"),
@@ -150,6 +155,50 @@ def landing_ledger(spark: SparkSession, root: str, submissions: DataFrame, glob:
     ).drop("_shared")
 
 
+#: Lines of a leaf of the content tree. Part of the id: files hashed with
+#: another value get other ids.
+LEAF_LINES = 1 << 16
+
+
+def content_tree(spark: SparkSession, root: str, glob: str | None = "*.csv", leaf_lines: int = LEAF_LINES) -> DataFrame:
+    """``path, length, content_md5`` of every file below ``root``: a hash of its
+    content as a tree, which files of any size get from many tasks.
+
+    The leaves are runs of ``leaf_lines`` lines, whatever the splits that the
+    files are read in: lines are numbered by their place in their split and the
+    number of lines in the splits before it. A leaf is the MD5 of its lines'
+    MD5s in order, the root that of the leaves' and the length in bytes (which
+    tells a last line with a line feed from one without). Equal bytes have equal
+    ids, under any split size. What one group collects is a leaf, or one hash
+    per leaf of a file. A file without a byte is in no listing of Spark's file
+    sources, so it has no id, as in the other kinds.
+    """
+    r = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        r, listing = r.option("pathGlobFilter", glob), listing.option("pathGlobFilter", glob)
+    lines = r.text(root).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                                F.monotonically_increasing_id().alias("at"), F.md5(F.col("value").cast("binary")).alias("h"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lines.groupBy("path", "block").agg(F.count(F.lit(1)).alias("n")).select(
+        "path", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("path", "block").orderBy("at")) - 1
+    numbered = lines.withColumn("place", place).join(offsets, ["path", "block"]).select(
+        "path", "h", (F.col("before") + F.col("place")).alias("line"))
+
+    def chain(order: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "h"))), lambda x: x["h"]), "")
+
+    leaves = numbered.groupBy("path", F.expr(f"line div {leaf_lines}").alias("leaf")).agg(F.md5(chain("line").cast("binary")).alias("h"))
+    roots = leaves.groupBy("path").agg(chain("leaf").alias("chain"))
+    # The two sources may write a path's scheme and spaces differently.
+    name = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\+", "%2B")), "^file:/+", "/")
+    files = listing.load(root).select("path", "length")
+    both = files.join(roots.select(name("path").alias("_name"), "chain"), name(F.col("path")) == F.col("_name"), "left")
+    return both.select("path", "length", F.md5(F.concat(F.coalesce("chain", F.lit("")), F.lit("|"), F.col("length").cast("string")).cast("binary"))
+                       .alias("content_md5"))
+
+
 def append_ledger(spark: SparkSession, ledger: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Append ledger rows for files not yet recorded (by landed path).
 
@@ -165,3 +214,10 @@ def append_ledger(spark: SparkSession, ledger: DataFrame, path: str, fmt: str =
     obs = Observation("ledger_append")
     new.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("append").save(path)
     return int(obs.get["rows"])
+
+
+def append_new_uploads(spark: SparkSession, root: str, submissions: DataFrame, path: str, fmt: str = "parquet",
+                       glob: str | None = "*.csv") -> int:
+    """Record the landed files below ``root`` that the ledger at ``path`` does
+    not hold yet; returns how many."""
+    return append_ledger(spark, landing_ledger(spark, root, submissions, glob=glob), path, fmt)

@@ -266,3 +266,15 @@ def test_synthetic_population_and_bernoulli_mode(spark):
     cols = ["ssn", "age", "site_location", "ehr_system", "scan_date"]
     assert {tuple(r) for r in exact.select(*cols).collect()} == {tuple(r) for r in bern.select(*cols).collect()}
     assert exact.select("ssn").distinct().count() == 2000
+
+
+def test_raw_keys_of_other_patients_are_found(spark):
+    """Another patient's id within a URI is reported; an id of nobody is not."""
+    from aurum.operators import stats
+    gold = spark.createDataFrame(
+        [("a1", "s3://b/999-10-000002/x.dcm", "note 999-10-000001, 999-10-000002"), ("a2", "s3://b/123-45-6789.dcm", None),
+         ("a3", "s3://b/999-10-000002.dcm", "999-10-00000")], "subject_surrogate_id string, imaging_s3_uri string, `free.text` string")
+    raw = spark.createDataFrame([("999-10-000001",), (" 999-10-000002 ",), (None,)], "ssn string")
+    found = {tuple(r) for r in stats.raw_key_leaks(gold, raw).collect()}
+    assert found == {("imaging_s3_uri", 1, 2), ("free.text", 2, 2)}
+    assert stats.raw_key_leaks(gold.select(F.lit(1).alias("n")), raw).count() == 0

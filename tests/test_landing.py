@@ -384,3 +384,40 @@ def test_stream_counts_every_batch(spark):
     assert incremental_ingest(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1) == 104
     assert spark.read.parquet(f"{root}/out").count() == 104
     assert incremental_ingest(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1) == 0
+
+
+def test_content_tree_is_of_the_bytes_whatever_the_splits(spark):
+    """Ids of files read in many splits, by many tasks: the same under any
+    split size, and changed by any change of the bytes."""
+    root = scratch_path(spark, "t-tree")
+    os.makedirs(f"{_local(root)}/raw/sub dir")
+    long = "".join(f"line {i},{'x' * (i % 90)}\n" for i in range(20_000))
+    contents = {"a.csv": long, "sub dir/same+.csv": long, "unended.csv": long[:-1], "swapped.csv": long[7:] + long[:7], "cr.csv": long.replace("\n", "\r\n", 1),
+                "blank.csv": "\n", "blanks.csv": "\n\n"}
+    for name, text in contents.items():
+        with open(f"{_local(root)}/raw/{name}", "wb") as f:
+            f.write(text.encode() + (b"\xff\xfe" if name == "cr.csv" else b""))
+    seen = {}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in ("64k", "100k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            tree = landing.content_tree(spark, f"{root}/raw", leaf_lines=1000)
+            seen[split] = {r["path"].split("/raw/")[1].replace("%20", " "): r["content_md5"] for r in tree.collect()}
+            if split == "64k":
+                assert spark.read.text(f"{root}/raw/a.csv").rdd.getNumPartitions() > 8
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen["64k"] == seen["100k"] == seen["128m"] and set(seen["64k"]) == set(contents)
+    by_id = seen["64k"]
+    assert by_id["a.csv"] == by_id["sub dir/same+.csv"] and len(set(by_id.values())) == len(contents) - 1
+
+
+def test_ledger_by_content_tree(spark):
+    dirs = files.land_fixture(spark, SF_SMALL, "t-tree-ledger")
+    led = landing.landing_ledger(spark, f"{dirs['root']}/raw", files._submissions(spark, dirs), id_from="tree")
+    by_content = files._ledger(spark, dirs)
+    rows = {r["source_file"]: r for r in led.collect()}
+    assert set(rows) == {r["source_file"] for r in by_content.collect()}
+    assert all(r["tx_id"] == f"TX-{r['content_md5'][:6].upper()}" for r in rows.values())
+    assert {r["content_md5"] for r in rows.values()}.isdisjoint(r["content_md5"] for r in by_content.collect())

@@ -4,6 +4,7 @@ site holds most rows. Results must stay whole and exact (brute force)."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -122,3 +123,49 @@ def test_hot_patient_is_split_in_the_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan, plan
     assert max(per_task) < n // 3 / 2
+
+
+def test_salted_join_splits_a_heavy_key_without_adaptive_execution(spark):
+    """The sketch alone spreads a patient of a third of all scans, and the
+    result is the plain join's."""
+    n = 30_000
+    latest = spark.range(1000).select(F.when(F.col("id") == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), F.col("id").cast("string"))).alias("ssn"),
+                                      F.col("id").alias("encounter_id"))
+    man = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 997 == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("P"), (F.col("id") % 2000).cast("string"))).alias("ssn"),
+        F.concat(F.lit("s3://b/"), F.col("id").cast("string")).alias("dicom_s3_uri"), F.lit("MRI").alias("modality"),
+        F.lit("Brain").alias("body_region"), F.lit(True).alias("uri_format_valid"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = join.salted_join_manifest(latest, man, rows_per_split=1000)
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        plain = join.join_manifest(latest, man)
+        assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+        assert out.columns == plain.columns
+        copies = spark.range(1).select(join.key_copies(man, rows_per_split=1000).alias("c")).first()["c"]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert max(r["count"] for r in sizes) < n // 3 / 2
+    assert len(copies) == join.SKETCH_SLOTS and max(copies) in (10, 11) and sum(c > 1 for c in copies) == 1
+
+
+def test_silver_joined_is_planned_without_a_job_and_prunes_columns(spark):
+    _, _, m, d = _skewed(spark)
+    m_path, d_path = scratch_path(spark, "t-lazy-meta"), scratch_path(spark, "t-lazy-man")
+    m.write.parquet(m_path)
+    d.write.parquet(d_path)
+    meta, man = spark.read.schema(m.schema).parquet(m_path), spark.read.schema(d.schema).parquet(d_path)
+    spark.sparkContext.setJobGroup("t-lazy", "t-lazy")
+    try:
+        summary = stats.label_distribution(layers.gold_dataset(layers.silver_joined(meta, man)))
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("t-lazy")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    scanned = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
+    assert scanned and not any("ehr_system" in s or "modality" in s for s in scanned), scanned
