@@ -13,7 +13,8 @@ it that can reach the threshold is formed:
 3. Columns that one class holds alone are dropped (``exchange``).
 4. First product, against one row per column and size class (its smallest):
    linear in the entries. Each row is verified against the few it shares most
-   with, and the pairs that link are merged into components.
+   with, and the pairs that link are merged into components; then again, for
+   rows outside a column's largest component, against other rows of that one.
 5. Second product, of what is left: for each column that still joins different
    components, the rows outside the column's largest component against all
    rows of the other components, the smaller row with the short prefix that
@@ -22,11 +23,11 @@ it that can reach the threshold is formed:
    are discarded. Two rows of one component are never paired again, so a group
    of near copies costs one star, not all its pairs.
 
-   In both products a pair is formed only at columns where it can link if it
-   shares none of those before: all that comes from there on, on the shorter
-   side, must reach the overlap that the two sizes need. Every pair that links
-   is formed at the first column it shares; rows that have a common passage
-   behind rarer text of their own are not paired for it.
+   A pair is formed only at columns where it can link if it shares none of
+   those before: all that comes from there on, on the shorter side, must reach
+   the overlap that the two sizes need. Every pair that links is formed at the
+   first column it shares; rows that have a common passage behind rarer text of
+   their own are not paired for it.
 6. Every surviving pair is verified on whole sets, in blocks of an Arrow batch.
 
 A pair of different texts at or above the threshold is therefore either
@@ -55,8 +56,11 @@ PERCENT = 80
 #: Counters of the sketch of common columns (4 bytes each).
 SKETCH_BITS = 21
 _CHUNKS = 64
-#: Rows of the first product that each row is verified against.
-TRIES = 5
+#: Rows of a turn of the first product that each row is verified against, and
+#: further turns of it with other first rows: an order of work, not a limit of
+#: what is found, since the second product takes up what they leave.
+TRIES = 8
+TURNS = 2
 
 
 def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
@@ -210,9 +214,30 @@ def _verify(pairs: DataFrame, rows: DataFrame, ngram: int, percent: int, name: s
     texts = rows.select("node", "text")
     both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "x"}), "a")
             .join(texts.withColumnsRenamed({"node": "b", "text": "y"}), "b").select("a", "b", "x", "y"))
-    out = materialize(both.mapInArrow(_overlap(ngram, percent), "a long, b long"), name)
-    release(pairs)
-    return out
+    return materialize(both.mapInArrow(_overlap(ngram, percent), "a long, b long"), name)
+
+
+def _likely(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` those whose prefixes overlap enough to link, and of
+    these the likeliest few of each ``a``: the second product takes up every
+    pair that this leaves in two components."""
+    sides = rows.select("node", "n", "columns")
+    counted = (pairs.join(sides.withColumnsRenamed({"node": "a", "n": "n", "columns": "x"}), "a")
+               .join(sides.withColumnsRenamed({"node": "b", "n": "m", "columns": "y"}), "b"))
+    counted = counted.withColumn("c", F.size(F.array_intersect("x", "y")))
+    counted = counted.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent))
+    likely = F.slice(F.sort_array(F.collect_list(F.struct("c", "b")), asc=False), 1, TRIES)
+    return counted.groupBy("a").agg(likely.alias("t")).select("a", F.explode("t").alias("t")).select("a", "t.b")
+
+
+def _components_of(entries: DataFrame, merged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The entries with their rows' components, and the columns that several
+    components hold, with the largest (``h, main``)."""
+    several = entries.alias("e").join(merged.alias("m"), F.col("e.node") == F.col("m.node"), "left").select(
+        "e.h", "e.node", "e.n", "e.i", F.coalesce("m.comp", "e.node").alias("comp"))
+    counts = several.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
+    mixed = counts.groupBy("h").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    return several, mixed.select("h", F.col("m.comp").alias("main"))
 
 
 def _pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
@@ -255,29 +280,28 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     step = math.log(100 / percent)
     entries = rows.select("node", "n", F.explode(F.arrays_zip("columns", "at")).alias("e")).select(
         "node", "n", F.col("e.columns").alias("h"), F.col("e.at").alias("i")).withColumn("size_class", F.floor(F.log("n") / step))
-    first = entries.groupBy("h", "size_class").agg(F.min(F.struct("node", "n", "i")).alias("f"), F.max("node").alias("top")).where("f.node <> top")
-    pairs = (entries.join(first.select("h", "size_class", F.col("f.node").alias("b"), F.col("f.n").alias("m"), F.col("f.i").alias("j")), ["h", "size_class"])
-             .where((F.col("node") != F.col("b")) & _from_here(F.col("n"), F.col("i"), F.col("m"), F.col("j"), percent))
+    first = entries.groupBy("h", "size_class").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b <> top")
+    pairs = (entries.join(first.select("h", "size_class", "b"), ["h", "size_class"]).where("node <> b")
              .select(F.col("node").alias("a"), "b").distinct())
-    # The whole overlap of two prefixes decides which pairs are worth their texts.
-    sides = rows.select("node", "n", "columns")
-    counted = (pairs.join(sides.withColumnsRenamed({"node": "a", "n": "n", "columns": "x"}), "a")
-               .join(sides.withColumnsRenamed({"node": "b", "n": "m", "columns": "y"}), "b"))
-    counted = counted.withColumn("c", F.size(F.array_intersect("x", "y")))
-    counted = counted.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent))
-    # Each row is tried with the likeliest of its columns' first rows only: the
-    # second product takes up every pair that this leaves in two components.
-    likely = F.slice(F.sort_array(F.collect_list(F.struct("c", "b")), asc=False), 1, TRIES)
-    pairs = counted.groupBy("a").agg(likely.alias("t")).select("a", F.explode("t").alias("t")).select("a", "t.b")
-    pairs = materialize(pairs, "pairs")
-    links = _verify(pairs, rows, ngram, percent, "links")
-    merged = components(links)
-
-    several = entries.alias("e").join(merged.alias("m"), F.col("e.node") == F.col("m.node"), "left").select(
-        "e.h", "e.node", "e.n", "e.i", F.coalesce("m.comp", "e.node").alias("comp"))
-    counts = several.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
-    mixed = counts.groupBy("h").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    several = materialize(several.join(mixed.select("h", F.col("m.comp").alias("main")), "h"), "entries")
+    tried, links = None, None
+    for turn in range(TURNS + 1):
+        if tried is not None:
+            # Again, with other rows of each column's largest component, for the rows outside it.
+            now, mixed = _components_of(entries, merged)
+            order = F.xxhash64("e.node", F.lit(turn))
+            rows_in = now.alias("e").join(mixed.alias("x"), "h")
+            centre = rows_in.where("e.comp = x.main").groupBy("h").agg(F.min_by("e.node", order).alias("b"))
+            pairs = (rows_in.where("e.comp <> x.main").select("h", F.col("e.node").alias("a")).join(centre, "h").select("a", "b").distinct()
+                     .join(tried, ["a", "b"], "left_anti"))
+        pairs = materialize(_likely(pairs, rows, percent), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = _verify(pairs, rows, ngram, percent, "links")
+        links = found if links is None else links.unionByName(found)
+        merged = components(links)
+    release(tried)
+
+    several, mixed = _components_of(entries, merged)
+    several = materialize(several.join(mixed, "h"), "entries")
     # The smaller row of a pair (of equal ones the lower node) shares its first
     # column before the place that a pair of its own size would allow.
     small, outside = several.where(F.col("n") - F.col("i") >= _need(F.col("n"), F.col("n"), percent)), F.col("comp") != F.col("main")
@@ -287,6 +311,7 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
         rows.select(F.col("node").alias("b"), F.col("columns").alias("y")), "b").withColumn("c", F.size(F.array_intersect("x", "y")))
     pairs = materialize(product.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent)).select("a", "b"), "pairs")
     more = _verify(pairs, rows, ngram, percent, "more-links")
+    release(pairs)
     final = components(links.unionByName(more))
 
     named = classes.alias("c").join(final.alias("f"), F.col("c.node") == F.col("f.node"), "left").select(
