@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,22 +67,37 @@ def release(*tables: DataFrame) -> None:
         _collect(tables[0].sparkSession)
 
 
+def neutral(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``docs`` with the named columns under these names and every other column
+    under a name of its place, so that none meets a column that an operator
+    adds; and a function that gives a result of it the given names again, in the
+    given order, followed by columns that it is told to keep (which stand in for
+    given ones of the same name)."""
+    at = {}
+    for name in names:
+        found = [i for i, c in enumerate(docs.columns) if c == name] or [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()]
+        if len(found) != 1:
+            raise ValueError(f"{len(found)} columns named {name} among {docs.columns}")
+        at[found[0]] = name
+    own = [at.get(i, f"given {i}") for i in range(len(docs.columns))]
+
+    def restore(df: DataFrame, *added: str) -> DataFrame:
+        new = {a.lower() for a in added}
+        given = [F.col(f"`{o}`").alias(c) for o, c in zip(own, docs.columns) if c.lower() not in new]
+        return df.select(*given, *added)
+    return docs.toDF(*own), restore
+
+
 def columns_of(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, whatever the other columns are called. A name
     means the column of just that name, or the one that differs in case only."""
-    found = []
-    for name in names:
-        at = [i for i, c in enumerate(docs.columns) if c == name] or [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()]
-        if len(at) != 1:
-            raise ValueError(f"{len(at)} columns named {name} among {docs.columns}")
-        found.append(at[0])
-    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip(found, names)])
+    return neutral(docs, *names)[0].select(*names)
 
 
 def document_columns(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` only: extra columns, whatever their
     names, never meet the columns an operator adds."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def text_slices(texts: list, max_chars: int = 8 << 20) -> Iterator[tuple[int, int]]:

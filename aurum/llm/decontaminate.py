@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize, text_slices
+from aurum.llm.common import columns_of, document_columns, materialize, text_slices
 
 NGRAM = 3
 MIN_SCORE = 0.5
@@ -230,8 +230,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, ngram: int = NGRAM, min_sco
     on either side gives an empty result.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    asked = (items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    own = document_columns(docs)
+    asked = (columns_of(items, "item_id", "text").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
              .where(F.trim("text") != ""))
     total = asked.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize, mix64, release
+from aurum.llm.common import document_columns, give_back, materialize, mix64, release
 
 FLUSH = 1_500_000
 #: A null doc_id counts as the largest.
@@ -35,8 +35,8 @@ PLACES = "doc_id long, print long, at binary"
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, print, text``: the print tells apart rows that share a doc_id."""
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    own = document_columns(docs)
+    return own.select("doc_id", F.xxhash64("text").alias("print"), "text")
 
 
 def on_key(left: str, right: str):
@@ -134,6 +134,7 @@ def _pack(entries: Callable, prepare: Callable, buckets: int, least: bool, flush
                 if f.size >= flush:
                     yield from f.rows()
         yield from f.rows()
+        give_back()
     return run
 
 

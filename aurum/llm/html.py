@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aurum.llm.common import columns_of
+
 # Element names of the HTML standard and usual names of page furniture.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary
@@ -368,8 +370,8 @@ def extract(pages: DataFrame) -> DataFrame:
     A null or empty page and one without any text give an empty text; repeated
     rows are extracted one by one; other columns are ignored.
     """
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                       F.col("html").cast("string").alias("html"))
+    own = columns_of(pages, "page_id", "url", "html").select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

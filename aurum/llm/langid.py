@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import mix64, text_slices
+from aurum.llm.common import columns_of, give_back, mix64, neutral, text_slices
 
 DIMENSIONS = 1024
 #: Trigrams whose bound vectors a task keeps (16,384 x 1,024 x 4 bytes = 64 MB).
@@ -148,6 +148,7 @@ def learn(training: DataFrame, *, dimensions: int = DIMENSIONS, max_languages: i
                 rows = np.array([bank.bind(k) for k in keys[i:i + 4096].tolist()], dtype=np.int64)
                 total += sums[i:i + 4096] @ rows
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang]), "vector": pa.array([total.tolist()], pa.list_(pa.int64()))})
+        give_back()
 
     parts = (training.where("lang is not null").select("text", "lang")
              .mapInArrow(bundles, "lang string, vector array<long>"))
@@ -166,11 +167,13 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, dimensions: i
 
     A null text, a text without letters and an empty model give ``und`` with
     score 0. Equal cosines give the language first in alphabetical order.
-    ``docs`` must not hold columns of those two names; select them away first.
+    Columns of ``docs`` with those two names are replaced; any other, whatever
+    its name, is unchanged.
     """
     langs = sorted(prototypes)
     matrix = np.array([prototypes[k] / max(np.linalg.norm(prototypes[k]), 1e-12) for k in langs], dtype=np.float32)
-    at = docs.columns.index("text")
+    own, restore = neutral(docs, "text")
+    at = own.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bank = Bank(dimensions)
@@ -192,9 +195,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, dimensions: i
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best, pa.string()), pa.array(scores, pa.float64())],
                                                  names=[*part.schema.names, "lang_pred", "score"])
+        give_back()
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    fields = ", ".join(f"`{c}` {t}" for c, t in own.dtypes)
+    return restore(own.mapInArrow(run, f"{fields}, lang_pred string, score double"), "lang_pred", "score")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -208,7 +212,7 @@ def identify(docs: DataFrame, *, dimensions: int = DIMENSIONS) -> DataFrame:
     (columns ``doc_id, text, lang``; others are ignored), learned from the rows
     that are not held out. An empty table gives an empty result; repeated rows
     are predicted one by one."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                      F.col("lang").cast("string").alias("lang"))
+    own = columns_of(docs, "doc_id", "text", "lang").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                                            F.col("lang").cast("string").alias("lang"))
     prototypes = learn(own.where(F.col("doc_id").isNotNull() & ~held_out()), dimensions=dimensions)
     return predict(own.select("doc_id", "text", held_out().alias("held_out")), prototypes, dimensions=dimensions)

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import materialize
+from aurum.llm.common import columns_of, materialize, neutral
 
 MIN_SITES = 8
 REGISTERS, RANKS = 64, 16
@@ -60,8 +60,8 @@ def _estimate():
 def line_rows(docs: DataFrame) -> DataFrame:
     """``doc_id, print, site, pos, h1, h2`` for each line that isn't blank.
     ``print`` tells apart rows that share a doc_id."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                      F.col("source").cast("string").alias("site"))
+    own = columns_of(docs, "doc_id", "text", "source").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                                              F.col("source").cast("string").alias("site"))
     lines = own.select("doc_id", F.xxhash64("text").alias("print"), "site", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     return (lines.where(F.trim("line") != "")
             .select("doc_id", "print", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2")))
@@ -108,8 +108,8 @@ def dedup_lines(docs: DataFrame, *, min_sites: int = MIN_SITES, keep_first: bool
     doc_id, then place) stays. Lines are compared as they are; blank lines are
     never boilerplate. A null text stays null with 0 lines; an empty text is
     one line. Rows repeating doc_id and text are changed alike. A null doc_id
-    comes before all others. ``docs`` must not already hold columns named
-    ``lines_n``, ``lines_removed``.
+    comes before all others. A column of ``docs`` named ``lines_n`` or
+    ``lines_removed`` is replaced; any other, whatever its name, is unchanged.
     """
     hits = boilerplate(docs, min_sites=min_sites)
     if keep_first:
@@ -119,12 +119,17 @@ def dedup_lines(docs: DataFrame, *, min_sites: int = MIN_SITES, keep_first: bool
         hits = hits.join(first, ["h1", "h2"]).where(
             ~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("print") == F.col("f.print")) & (F.col("pos") == F.col("f.pos"))))
     out = hits.groupBy("doc_id", "print").agg(F.collect_set("pos").alias("places"))  # the lines of one document
-    d, r = docs.withColumn("_print", F.xxhash64(F.col("text").cast("string"))).alias("d"), out.alias("r")
-    joined = d.join(r, F.col("d.doc_id").cast("long").eqNullSafe(F.col("r.doc_id")) & (F.col("d._print") == F.col("r.print")), "left")
-    lines = F.split(F.col("d.text"), "\n")
-    places = F.col("r.places")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(places, i)), "\n")
+    own, restore = neutral(docs, "doc_id", "text", "source")
+    d, r = own.withColumn("print", F.xxhash64(F.col("text").cast("string"))).alias("d"), out.alias("r")
+    joined = d.join(r, F.col("d.doc_id").cast("long").eqNullSafe(F.col("r.doc_id")) & (F.col("d.print") == F.col("r.print")), "left")
+    joined = joined.withColumn("lines", F.split(F.col("d.text"), "\n"))
+    lines, places = F.col("lines"), F.col("r.places")
+    # The lines between one removed place and the next, in linear time.
+    cuts = F.concat(F.array(F.lit(-1)), F.array_sort(places), F.array(F.size(lines)))
+    runs = F.transform(F.slice(cuts, 1, F.size(cuts) - 1), lambda x, i: F.slice(lines, x + 2, F.get(cuts, i + 1) - x - 1))
+    kept = F.array_join(F.flatten(runs), "\n")
     text = F.when(places.isNull(), F.col("d.text")).otherwise(kept)
-    cols = [(text.alias("text") if c == "text" else F.col(f"d.`{c}`")) for c in docs.columns]
-    return joined.select(*cols, F.when(F.col("d.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("lines_n"),
-                         F.coalesce(F.size(places), F.lit(0)).cast("long").alias("lines_removed"))
+    cols = [(text.alias("text") if c == "text" else F.col(f"d.`{c}`")) for c in own.columns]
+    counted = joined.select(*cols, F.when(F.col("d.text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("lines_n"),
+                            F.coalesce(F.size(places), F.lit(0)).cast("long").alias("lines_removed"))
+    return restore(counted, "lines_n", "lines_removed")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import text_slices
+from aurum.llm.common import document_columns, text_slices
 
 BITS = 18
 MAX_TRAINING_ROWS = 6_000
@@ -150,7 +150,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, *, bits: int = BIT
     if not ids:
         return None
     chosen = spark.createDataFrame([(r["doc_id"], r["grade"]) for r in ids], "doc_id long, grade int")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = document_columns(docs)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Features(bits)
@@ -180,7 +180,7 @@ def score(docs: DataFrame, model: Model | None, n_grades: int, *, keep_grade: in
     model, have expected grade and probabilities null and are not kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 x 2**bits numbers
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = document_columns(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -235,6 +235,21 @@ def test_lines_equal_brute_force(spark):
     assert lines.dedup_lines(table(spark, [])).count() == 0
 
 
+def test_lines_leave_columns_of_internal_names_alone(spark):
+    docs = spark.createDataFrame([(1, "x\ny", "s", 0.5, 7, "t")], "doc_id long, text string, source string, _print double, print int, Text string")
+    row = lines.dedup_lines(docs).collect()[0]
+    assert tuple(row) == (1, "x\ny", "s", 0.5, 7, "t", 2, 0)
+
+
+def test_lines_of_a_text_with_many_removed_lines(spark):
+    many = [f"boilerplate {i}" for i in range(300)]
+    rows = [(d, "\n".join([f"own {d}", *many, "", "end"]) if d else "\n".join(many), f"s{d}") for d in range(9)]
+    found = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    # "end" stands in the other eight documents, of eight sites: its first place is document 1.
+    assert found[0] == ("\n".join(many), 0) and found[1] == ("own 1\n\nend", 300)
+    assert all(found[d] == (f"own {d}\n", 301) for d in range(2, 9))
+
+
 def test_line_sketch_is_close(spark):
     """Estimates over many sites stay within four standard errors."""
     rows = [(i, f"line {k}", None, f"site{i}") for k, n in enumerate((1, 7, 40, 300)) for i in range(n)]

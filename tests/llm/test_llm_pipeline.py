@@ -73,3 +73,30 @@ def test_stages_take_awkward_rows(spark, tmp_path):
         for name, f in P.STAGES:
             docs = materialize(f(spark, docs, str(tmp_path)), f"awkward-{name}")
         assert sorted((r["doc_id"] for r in docs.collect()), key=repr) == ([4, 4, 5, 7, None] if given else [])
+
+
+CLASHING = ["_print", "lines_n", "lines_removed", "score", "lang_pred", "a.b", "Text", "DOC_ID", "print", "component_id", "places", "c0", "`x`"]
+
+
+@pytest.mark.parametrize("name, stage", P.STAGES[:-1])
+def test_stages_leave_other_columns_alone(spark, tmp_path, name, stage):
+    """Columns named like those that operators add, in other cases or with dots."""
+    spark.createDataFrame([(0, "an item of the benchmark, long enough to be found")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    own = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = [(i, t, "en", f"s{i}", len(t)) for i, t in enumerate(["first document of words", "another text altogether", "line\ntwo"])]
+    given = [(*r, *[f"{r[0]}-{c}" for c in CLASHING]) for r in rows]
+    docs = spark.createDataFrame(given, [f"x{i}" for i in range(len(own) + len(CLASHING))]).toDF(*own, *CLASHING)
+    out = stage(spark, docs, str(tmp_path))
+    assert out.columns == [*own, *CLASHING]
+    assert sorted(tuple(r) for r in out.collect()) == given
+
+
+def test_language_stage_fills_languages_and_keeps_a_corpus_without_any(spark):
+    rows = [(i, "the words of this text are these and those", "en", "s", 1) for i in range(30)]
+    rows += [(90, "the words of that text", None, "s", 1), (91, "123 !!", None, "s", 1), (92, None, None, "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    kept = {r["doc_id"]: r["lang"] for r in P.language_id(spark, spark.createDataFrame(rows, schema), SF).collect()}
+    assert kept == {**{i: "en" for i in range(30)}, 90: "en"}
+    bare = [(d, t, None, s, n) for d, t, _, s, n in rows]
+    kept = {r["doc_id"]: r["lang"] for r in P.language_id(spark, spark.createDataFrame(bare, schema), SF).collect()}
+    assert kept == {i: None for i in [*range(30), 90]}
