@@ -210,10 +210,12 @@ def shared_places(rows: DataFrame, entries: Callable, *, least: bool, prepare: C
     packed = materialize(rows.mapInArrow(_pack(entries, prepare, buckets, least, flush), _PACKED), "packed")
     answers = (packed.where("bucket >= 0").select("uid", "bucket", "h1", "h2", "docs")
                .groupBy("bucket").applyInArrow(_answer(least), _ANSWER))
+    # Written, so that the shuffle of the hashes is gone before the next one.
+    answered = answers = materialize(answers, "answers")
     if not least:  # bits don't tell how many hashes they stand for
         sizes = packed.where("bucket >= 0").select("uid", "bucket", F.expr("cast(length(h1) div 8 as int)").alias("n"))
-        answers = materialize(answers, "answers").join(sizes, ["uid", "bucket"]).select("uid", "bucket", "answer", "n")
+        answers = answered.join(sizes, ["uid", "bucket"]).select("uid", "bucket", "answer", "n")
     tables = packed.where("bucket = -1").drop("bucket", "h2")
     out = materialize(tables.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(_places(least), PLACES), "places")
-    release(packed)
+    release(packed, answered)
     return out
