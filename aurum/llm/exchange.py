@@ -211,7 +211,7 @@ def shared_places(rows: DataFrame, entries: Callable, *, least: bool, prepare: C
     answers = (packed.where("bucket >= 0").select("uid", "bucket", "h1", "h2", "docs")
                .groupBy("bucket").applyInArrow(_answer(least), _ANSWER))
     # Written, so that the shuffle of the hashes is gone before the next one.
-    answered = answers = materialize(answers, "answers")
+    answers = answered = materialize(answers, "answers")
     if not least:  # bits don't tell how many hashes they stand for
         sizes = packed.where("bucket >= 0").select("uid", "bucket", F.expr("cast(length(h1) div 8 as int)").alias("n"))
         answers = answered.join(sizes, ["uid", "bucket"]).select("uid", "bucket", "answer", "n")

@@ -60,7 +60,7 @@ _CHUNKS = 64
 #: further turns of it with other first rows: an order of work, not a limit of
 #: what is found, since the second product takes up what they leave.
 TRIES = 8
-TURNS = 2
+TURNS = 1
 
 
 def shingle_sets(texts: list, n: int) -> Iterator[np.ndarray]:
