@@ -142,7 +142,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, *, bits: int = BIT
           max_training_rows: int = MAX_TRAINING_ROWS, min_rows: int = MIN_ROWS) -> Model | None:
     """Fit on a bounded sample of ``ratings`` (``doc_id, grade``); None if no
     rated document has a text. Ratings of one document that differ count as the
-    lowest; null grades and grades out of range teach nothing."""
+    lowest; null grades and grades out of range teach nothing; of several rows
+    with one doc_id the text of the smallest hash teaches."""
     spark = docs.sparkSession
     rated = (ratings.where(F.col("grade").between(0, n_grades - 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min("grade").cast("int").alias("grade")).where("doc_id is not null"))
@@ -160,9 +161,11 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, *, bits: int = BIT
                 "doc_id": b.column("doc_id"), "grade": b.column("grade"), "places": pa.array([p.tobytes() for p, _ in made], pa.binary()),
                 "x": pa.array([v.tobytes() for _, v in made], pa.binary())})
 
-    # The ids are at most max_training_rows: a bounded broadcast.
-    rows = (own.where("text is not null and text != ''").join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
-            .mapInArrow(features, "doc_id long, grade int, places binary, x binary").collect())
+    # The ids are at most max_training_rows: a bounded broadcast. An id that many
+    # rows carry teaches by one of them, so what is collected is bounded, too.
+    one = (own.where("text is not null and text != ''").join(F.broadcast(chosen), "doc_id")
+           .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "grade")).alias("r")))
+    rows = (one.select("doc_id", "r.grade", "r.text").mapInArrow(features, "doc_id long, grade int, places binary, x binary").collect())
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["places"])))
     rows = [r for r in rows if len(r["places"])]
     if not rows:
