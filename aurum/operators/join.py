@@ -39,7 +39,7 @@ def join_manifest(metadata: DataFrame, manifest: DataFrame, key: str = "ssn",
 
 
 #: Counters of the key sketch: a fixed size, whatever the number of keys.
-SKETCH_SLOTS = 1 << 16
+SKETCH_SLOTS = 1 << 12
 #: Scans of one patient that one task joins; more are split.
 ROWS_PER_SPLIT = 500_000
 
