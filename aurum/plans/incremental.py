@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aurum.operators.dedup import keep_latest
-from aurum.session import delete_path, ensure_checkpoint_dir, path_exists
+from aurum.session import child_names, delete_path, ensure_checkpoint_dir, make_folder, path_exists
 from aurum.sinks import writers
 
 BUCKET_COLUMN = "_key_bucket"
@@ -40,7 +40,19 @@ def _check_buckets(spark: SparkSession, path: str, buckets: int) -> None:
         spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").json(beside)
 
 
-def _replace_buckets(spark: SparkSession, df: DataFrame, path: str, touched: Sequence[int], fmt: str) -> None:
+def _by_bucket(spark: SparkSession, df: DataFrame, buckets: int) -> DataFrame:
+    """The rows of a bucket in one task, so that a bucket is one file and not
+    one per task of the step before."""
+    return df.repartition(min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), BUCKET_COLUMN)
+
+
+def _put_buckets(spark: SparkSession, df: DataFrame, path: str, buckets: int, fmt: str) -> None:
+    """Write ``df`` as the whole content of the buckets that it has rows of. It
+    may be read from these: their files are replaced when all tasks are done."""
+    writers.write_table(_by_bucket(spark, df, buckets), path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
+
+
+def _replace_buckets(spark: SparkSession, df: DataFrame, path: str, touched: Sequence[int], buckets: int, fmt: str) -> None:
     """Write ``df`` as the whole content of the ``touched`` buckets; buckets
     left without a row lose their partition."""
     ensure_checkpoint_dir(spark)
@@ -48,7 +60,7 @@ def _replace_buckets(spark: SparkSession, df: DataFrame, path: str, touched: Seq
     # shared storage (reliable checkpoint) before they are overwritten.
     df = df.checkpoint(eager=True)
     filled = {r[0] for r in df.select(BUCKET_COLUMN).distinct().collect()}
-    writers.write_table(df, path, fmt, partition_by=[BUCKET_COLUMN], dynamic=True)
+    _put_buckets(spark, df, path, buckets, fmt)
     for b in set(touched) - filled:
         delete_path(spark, f"{path}/{BUCKET_COLUMN}={b}")
 
@@ -72,7 +84,8 @@ def upsert_latest(spark: SparkSession, new_rows: DataFrame, state_path: str, key
         old = (spark.read.format(fmt).schema(new.schema).load(state_path)
                .where(F.col(BUCKET_COLUMN).isin(touched)))
         combined = old.unionByName(new)
-    _replace_buckets(spark, keep_latest(combined, key, order_col, tiebreakers), state_path, touched, fmt)
+    # Every touched bucket has a row, one of the new ones if no other.
+    _put_buckets(spark, keep_latest(combined, key, order_col, tiebreakers), state_path, buckets, fmt)
     return len(touched)
 
 
@@ -85,31 +98,55 @@ INCREMENT_COLUMN = "_increment"
 
 def _put_version(spark: SparkSession, rows: DataFrame, path: str, increment_id: str, key: str, buckets: int,
                  fmt: str) -> tuple[set[int], bool]:
-    """Store an increment's rows by bucket and increment, in place of an
-    earlier version of it. Returns the buckets of both versions and whether
-    there was an earlier one."""
+    """Store an increment's rows in a folder of the increment, sorted by bucket,
+    in place of an earlier version of it. Returns the buckets of both versions
+    and whether there was an earlier one."""
     rows = rows.withColumns({BUCKET_COLUMN: key_bucket(key, buckets), INCREMENT_COLUMN: F.lit(str(increment_id))})
+    mine = f"{path}/{INCREMENT_COLUMN}={increment_id}"
     old: set[int] = set()
-    if path_exists(spark, path):
-        mine = spark.read.format(fmt).schema(rows.schema).load(path).where(F.col(INCREMENT_COLUMN) == str(increment_id))
-        old = {r[0] for r in mine.select(BUCKET_COLUMN).distinct().collect()}
+    if path_exists(spark, mine):
+        old = {r[0] for r in spark.read.format(fmt).schema(f"{BUCKET_COLUMN} int").load(mine).distinct().collect()}
     new = {r[0] for r in rows.select(BUCKET_COLUMN).distinct().collect()}
     if new:
-        writers.write_table(rows, path, fmt, partition_by=[BUCKET_COLUMN, INCREMENT_COLUMN], dynamic=True)
-    for b in old - new:
-        delete_path(spark, f"{path}/{BUCKET_COLUMN}={b}/{INCREMENT_COLUMN}={increment_id}")
+        # As many files as the increment's size asks for, not one per bucket.
+        rows = rows.hint("rebalance", BUCKET_COLUMN).sortWithinPartitions(BUCKET_COLUMN)
+        writers.write_table(rows, path, fmt, partition_by=[INCREMENT_COLUMN], dynamic=True)
+    elif old:
+        delete_path(spark, mine)
     return old | new, bool(old)
 
 
-def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest: DataFrame, base: str,
+def _pending(latest_path: str) -> str:
+    """The folder that names the stored increments not merged into the state."""
+    return f"{latest_path}.pending"
+
+
+def merge_pending(spark: SparkSession, base: str, tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn",
+                  buckets: int = 1024, fmt: str = "parquet") -> int:
+    """Merge the increments that ``apply_increment`` stored and left pending
+    into ``silver_latest``, in one step; returns how many. A merge that stops
+    half-way is done again by the next one, with the same result."""
+    meta_path, latest_path = f"{base}/silver_metadata", f"{base}/silver_latest"
+    ids = child_names(spark, _pending(latest_path))
+    # One replaced by nothing since has no folder.
+    stored = [p for p in (f"{meta_path}/{INCREMENT_COLUMN}={i}" for i in ids) if path_exists(spark, p)]
+    if stored:
+        rows = spark.read.format(fmt).load(stored).drop(BUCKET_COLUMN)
+        upsert_latest(spark, rows, latest_path, key, "scan_date", [t for t in tiebreakers if t in rows.columns], buckets, fmt)
+    for i in ids:
+        delete_path(spark, f"{_pending(latest_path)}/{i}")
+    return len(ids)
+
+
+def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest: DataFrame | None, base: str,
                     increment_id: str, tiebreakers: Sequence[str] = ("encounter_id",), key: str = "ssn",
-                    buckets: int = 1024, salt: str | None = None, fmt: str = "parquet") -> dict[str, int]:
+                    buckets: int = 1024, salt: str | None = None, fmt: str = "parquet", merge_after: int = 1) -> dict[str, int]:
     """Apply one increment of Bronze rows to the Silver and Gold tables.
 
     * ``silver_metadata`` and ``silver_manifest``: cleaned records of each
-      increment, partitioned by key bucket and increment, so that the touched
-      buckets are read without the rest of the history;
-    * ``silver_latest``: keep-latest state, merged with a new increment
+      increment, partitioned by increment and sorted by key bucket, so that the
+      touched buckets are read without most of the other pages;
+    * ``silver_latest``: keep-latest state, merged with new increments
       (``upsert_latest``);
     * ``silver_joined`` and ``gold_research``: recomputed for the touched
       buckets only (both inputs pruned to them) and replaced; a bucket left
@@ -122,6 +159,13 @@ def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest:
     carries the bucket (a hash of the key modulo ``buckets``, less than the
     surrogate key itself reveals) as its partition. ``increment_id`` names a
     folder: letters, digits, ``-`` and ``_`` only.
+
+    Without a manifest (None) the increment's imaging is as it was.
+
+    ``merge_after`` above 1 lets that many increments wait, stored in
+    ``silver_metadata``, before ``silver_latest`` is rewritten with all of them;
+    they never wait once there is imaging to join. ``merge_pending`` merges
+    those that are left.
     """
     from aurum.operators import join
     from aurum.plans import layers
@@ -134,24 +178,33 @@ def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest:
 
     _check_buckets(spark, latest_path, buckets)
     meta = layers.silver_metadata(new_metadata)
+    bucketed = meta.withColumn(BUCKET_COLUMN, key_bucket(key, buckets)).schema
     meta_buckets, again = _put_version(spark, meta, meta_path, increment_id, key, buckets, fmt)
     if again:
-        rows = (spark.read.format(fmt).load(meta_path).where(F.col(BUCKET_COLUMN).isin(sorted(meta_buckets)))
+        rows = (spark.read.format(fmt).schema(bucketed).load(meta_path).where(F.col(BUCKET_COLUMN).isin(sorted(meta_buckets)))
                 .select(*meta.columns, BUCKET_COLUMN))
-        _replace_buckets(spark, keep_latest(rows, key, "scan_date", tb), latest_path, meta_buckets, fmt)
+        _replace_buckets(spark, keep_latest(rows, key, "scan_date", tb), latest_path, meta_buckets, buckets, fmt)
     elif meta_buckets:
-        upsert_latest(spark, meta, latest_path, key, "scan_date", tb, buckets, fmt)
-    man = layers.silver_manifest(new_manifest)
-    touched = meta_buckets | _put_version(spark, man, man_path, increment_id, key, buckets, fmt)[0]
+        make_folder(spark, f"{_pending(latest_path)}/{increment_id}")
+    man_buckets, man_again = set(), False
+    if new_manifest is not None:
+        man = layers.silver_manifest(new_manifest)
+        man_buckets, man_again = _put_version(spark, man, man_path, increment_id, key, buckets, fmt)
+    touched = meta_buckets | man_buckets
+    if path_exists(spark, man_path) or len(child_names(spark, _pending(latest_path))) >= merge_after:
+        merge_pending(spark, base, tiebreakers, key, buckets, fmt)
     if not touched or not path_exists(spark, latest_path) or not path_exists(spark, man_path):
         return {"buckets_rewritten": 0}
 
     hit = F.col(BUCKET_COLUMN).isin(sorted(touched))
-    latest = spark.read.format(fmt).load(latest_path).where(hit)
+    latest = spark.read.format(fmt).schema(bucketed).load(latest_path).where(hit)
     scans = spark.read.format(fmt).load(man_path).where(hit).drop(BUCKET_COLUMN, INCREMENT_COLUMN)
     joined = join.join_manifest(latest, scans, key)
-    _replace_buckets(spark, joined, joined_path, touched, fmt)
-    gold = layers.gold_dataset(spark.read.format(fmt).schema(joined.schema).load(joined_path).where(hit), salt=salt,
-                               extra_drop=tb)
-    _replace_buckets(spark, gold, gold_path, touched, fmt)
+    stored = spark.read.format(fmt).schema(joined.schema)
+    # Rows only come with a new increment, and go with a corrected one: then
+    # buckets may be left without any.
+    put = (lambda df, path: _replace_buckets(spark, df, path, touched, buckets, fmt)) if again or man_again else (
+        lambda df, path: _put_buckets(spark, df, path, buckets, fmt))
+    put(joined, joined_path)
+    put(layers.gold_dataset(stored.load(joined_path).where(hit), salt=salt, extra_drop=tb), gold_path)
     return {"buckets_rewritten": len(touched)}

@@ -121,6 +121,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm_path, fs = _file_system(spark, path)
+    fs.mkdirs(jvm_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path, fs = _file_system(spark, path)
     fs.delete(jvm_path, True)

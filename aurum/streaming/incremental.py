@@ -17,6 +17,11 @@ from aurum.session import child_names
 from aurum.sources.csv import reader_options
 
 
+#: Metadata batches that wait for one rewrite of the keep-latest state, while
+#: there is no imaging to join yet.
+MERGE_AFTER = 16
+
+
 def incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType, bronze_path: str,
                        checkpoint_path: str, glob: str = "*.csv", header: bool = True,
                        max_files_per_trigger: int | None = None) -> int:
@@ -73,12 +78,13 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
     checkpoint belongs with the tables (both on shared storage): epochs
     restart if it is discarded, so reset the tables with it.
     """
-    from aurum.plans.incremental import apply_increment
+    from aurum.plans.incremental import apply_increment, merge_pending
 
     counts = {"metadata_batches": 0, "manifest_batches": 0}
 
     def empty(schema: StructType):
-        return spark.createDataFrame([], schema)
+        # A relation known to be empty when it is planned: no job runs for it.
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).where(F.lit(False))
 
     def run(side: str, directory: str, schema: StructType):
         reader = (reader_options(spark.readStream, schema).option("recursiveFileLookup", True)
@@ -89,21 +95,19 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
         stream = reader.csv(directory).withColumns(_batch_lineage(spark))
 
         def apply(batch, epoch_id):
-            batch = batch.persist()
-            try:
-                (batch.withColumn("_batch", F.lit(int(epoch_id))).write.format("parquet")
-                 .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("_batch").save(f"{base}/bronze_{side}"))
-                good = batch.where(F.col(config.CORRUPT_COLUMN).isNull()).select(*schema.fieldNames())
-                if side == "metadata":
-                    meta, man = good, empty(manifest_schema)
-                else:
-                    meta, man = empty(metadata_schema), good
-                apply_increment(spark, meta, man, base, increment_id=f"{side}-{epoch_id}",
-                                tiebreakers=tiebreakers, buckets=buckets)
-                counts[f"{side}_batches"] += 1
-            finally:
-                batch.unpersist()
+            # Silver is made from what Bronze keeps, read with the caller's
+            # session: a stream's own plans every shuffle without adaptation.
+            kept = f"{base}/bronze_{side}/_batch={int(epoch_id)}"
+            batch.write.mode("overwrite").parquet(kept)
+            rows = spark.read.schema(batch.schema).parquet(kept)
+            good = rows.where(F.col(config.CORRUPT_COLUMN).isNull()).select(*schema.fieldNames())
+            if side == "metadata":
+                meta, man = good, None
+            else:
+                meta, man = empty(metadata_schema), good
+            apply_increment(spark, meta, man, base, increment_id=f"{side}-{epoch_id}",
+                            tiebreakers=tiebreakers, buckets=buckets, merge_after=MERGE_AFTER)
+            counts[f"{side}_batches"] += 1
 
         q = (stream.writeStream.foreachBatch(apply)
              .option("checkpointLocation", f"{checkpoint_path}/{side}")
@@ -111,5 +115,6 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
         q.awaitTermination()
 
     run("metadata", metadata_dir, metadata_schema)
+    merge_pending(spark, base, tiebreakers, buckets=buckets)
     run("manifest", manifest_dir, manifest_schema)
     return counts

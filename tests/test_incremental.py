@@ -163,3 +163,64 @@ def test_vocabulary_with_two_labels_is_refused(spark):
     rows = spark.createDataFrame([("x",)], "lesion_status_code string")
     with pytest.raises(Exception, match="two labels"):
         clean.harmonize_codes_by_table(rows, spark.createDataFrame([("X", "Yes"), (" x", "No")], "code string, label string")).collect()
+
+
+def test_small_increments_write_few_files_and_rewrite_the_state_rarely(spark, monkeypatch):
+    """One file per trigger: a batch's rows are not scattered over a file per
+    bucket and task, and the state is rewritten for many batches at once; the
+    tables are those of a full run, and nothing is left pending."""
+    import glob
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from aurum import config
+    from aurum.plans import files, layers
+    from aurum.streaming.incremental import stream_increments
+    from conftest import SF_SMALL
+
+    meta, man = files.load_fixtures(spark, SF_SMALL)
+    root = scratch_path(spark, "t-stream-few")
+    files.land_uploads(meta, F.concat(F.lit("part_"), F.col("encounter_id") % 6, F.lit("_20260601T000000Z.csv")), files.META_COLS, f"{root}/meta")
+    files.land_uploads(man, F.lit("dicom_manifest_20260601T000000Z.csv"), files.MANIFEST_COLS, f"{root}/man")
+    merged, upsert = [], incremental.upsert_latest
+    monkeypatch.setattr(incremental, "upsert_latest", lambda *a, **k: merged.append(1) or upsert(*a, **k))
+    base = f"{root}/lake"
+    done = stream_increments(spark, f"{root}/meta", f"{root}/man", base, f"{root}/ckpt", files.FIXTURE_METADATA_SCHEMA,
+                             config.MANIFEST_RAW_SCHEMA, buckets=16, max_files_per_trigger=1)
+    assert done == {"metadata_batches": 6, "manifest_batches": 1} and len(merged) == 1
+    own = _local(base)
+    assert len(glob.glob(f"{own}/silver_metadata/**/part-*", recursive=True)) <= 12
+    assert len(glob.glob(f"{own}/silver_latest/*/part-*")) <= 16 and not os.listdir(f"{own}/silver_latest.pending")
+    assert spark.read.parquet(f"{base}/bronze_metadata").select("_batch").distinct().count() == 6
+    latest = layers.silver_latest(layers.silver_metadata(meta))
+    got = spark.read.parquet(f"{base}/silver_latest").select(*latest.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, latest.collect()))
+    full = layers.gold_dataset(layers.silver_joined(meta, man))
+    got = spark.read.parquet(f"{base}/gold_research").select(*full.columns)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, full.collect()))
+
+
+def test_increments_left_pending_are_merged_by_the_next(spark):
+    from aurum.plans.incremental import apply_increment, merge_pending
+    base = scratch_path(spark, "t-pending")
+
+    def meta(*rows):
+        return spark.createDataFrame([(s, "7", "CHOC", "Cerner", "1", d, e) for s, d, e in rows],
+                                     "ssn string, age string, site_location string, ehr_system string, "
+                                     "lesion_status_code string, scan_date string, encounter_id long")
+
+    none = spark.createDataFrame([], "ssn string, dicom_s3_uri string, modality string, body_region string")
+
+    def latest():
+        return {(r["ssn"], r["encounter_id"]) for r in spark.read.parquet(f"{base}/silver_latest").collect()}
+
+    apply_increment(spark, meta(("P1", "2026-01-01", 1), ("P2", "2026-05-01", 2)), none, base, "1", buckets=8, merge_after=3)
+    apply_increment(spark, meta(("P1", "2026-02-01", 3)), none, base, "2", buckets=8, merge_after=3)
+    assert not os.path.exists(f"{_local(base)}/silver_latest")
+    apply_increment(spark, meta(("P2", "2026-02-01", 4), (None, "2026-02-01", 5)), none, base, "3", buckets=8, merge_after=3)
+    assert latest() == {("P1", 3), ("P2", 2)}
+    apply_increment(spark, meta(("P3", "2026-02-01", 6)), none, base, "4", buckets=8, merge_after=3)
+    apply_increment(spark, meta(("P1", "2026-01-15", 3)), none, base, "2", buckets=8, merge_after=3)
+    assert merge_pending(spark, base, buckets=8) == 1 and merge_pending(spark, base, buckets=8) == 0
+    assert latest() == {("P1", 3), ("P2", 2), ("P3", 6)}
