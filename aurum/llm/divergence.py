@@ -45,40 +45,29 @@ TOP_TERMS = 200
 UNIT = 1_000_000_000
 
 #: Byte values within terms: letters and all bytes of non-ASCII characters; A-Z are lower-cased.
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_IN_TERM = np.zeros(256, bool)
-_IN_TERM[65:91] = _IN_TERM[97:123] = _IN_TERM[128:] = True
+_FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_IN_TERM = bytes(97 <= b < 123 or b >= 128 for b in _FOLD)
+#: The first k bytes of an integer of eight.
+_FIRST = np.array([(1 << 64) - (1 << 8 * (8 - k)) for k in range(9)], np.uint64)
 
 _LEVEL = "hash long, docs long, goes_on boolean"
 _COUNTS = "lang string, source string, term binary, occurrences long, docs long"
 
 
-def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the terms of the texts begin and how many bytes they have."""
-    inside = _IN_TERM[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    borders = offsets[(offsets > 0) & (offsets < len(data))]
-    first[borders] = inside[borders]  # a term ends with its text
-    last = inside.copy()
-    last[:-1] &= ~inside[1:] | first[1:]
-    begin = np.flatnonzero(first)
-    return begin, np.flatnonzero(last) - begin + 1
+def _terms(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the terms begin and how many bytes they have; the first and last
+    byte are of none."""
+    inside = np.frombuffer(data.translate(_IN_TERM), np.uint8)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    return edges[::2], edges[1::2] - edges[::2]
 
 
-def _cells(data: np.ndarray, begin: np.ndarray, length: np.ndarray, level: int) -> list[np.ndarray]:
+def _cells(words: np.ndarray, begin: np.ndarray, length: np.ndarray, level: int) -> list[np.ndarray]:
     """The first ``level`` bytes of each term, eight to an integer, filled with
-    zero bytes (which terms don't hold)."""
-    cells = []
-    for at in range(0, level, 8):
-        cell = np.zeros(len(begin), np.uint64)
-        for k in range(at, min(at + 8, level)):
-            has = length > k
-            byte = np.where(has, data[np.minimum(begin + k, len(data) - 1)], 0).astype(np.uint64)
-            cell |= byte << np.uint64(8 * (at + 7 - k))
-        cells.append(cell)
-    return cells
+    zero bytes (which terms don't hold). ``words`` are the eight bytes from each
+    place on."""
+    length, last = np.minimum(length, level), len(words) - 1
+    return [words[np.minimum(begin + at, last)].astype(np.uint64) & _FIRST[np.clip(length - at, 0, 8)] for at in range(0, level, 8)]
 
 
 def _hashes(langs: np.ndarray, cells: list[np.ndarray], goes_on) -> np.ndarray:
@@ -137,10 +126,13 @@ class _Block:
 
     def __init__(self, langs: list, texts: list):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        offsets = np.cumsum([0] + [len(r) for r in raw])
-        self.data = _FOLD[np.frombuffer(b"".join(raw), np.uint8)]
-        self.begin, self.length = _terms(self.data, offsets)
-        self.doc = np.repeat(np.arange(len(raw)), np.diff(np.searchsorted(self.begin, offsets)))
+        # A zero byte before each text, so that a term ends with its text, and eight behind the last.
+        data = b"".join([x for r in raw for x in (b"\0", r)] + [bytes(8)]).translate(_FOLD)
+        starts = np.cumsum([0] + [len(r) + 1 for r in raw])
+        self.data = np.frombuffer(data, np.uint8)
+        self.words = np.ndarray(len(data) - 7, ">u8", data, strides=(1,))
+        self.begin, self.length = _terms(data)
+        self.doc = np.repeat(np.arange(len(raw)), np.diff(np.searchsorted(self.begin, starts)))
         hashes = {x: _lang_hash(x) for x in set(langs)}
         self.langs = np.array([hashes[x] for x in langs], np.uint64)
 
@@ -152,13 +144,13 @@ def _level_counts(block: _Block, level: int, before: int, known, bits: int) -> d
     """Documents per hash of the block's terms and prefixes of one level."""
     begin, length, doc = block.of(block.length > before)
     if before and len(begin):
-        cells = _cells(block.data, begin, np.minimum(length, before), before)
+        cells = _cells(block.words, begin, np.minimum(length, before), before)
         some = _alive(known, _hashes(block.langs[doc], cells, True), bits)
         begin, length, doc = begin[some], length[some], doc[some]
     if not len(begin):
         return None
     goes_on = length > level
-    hashes = _hashes(block.langs[doc], _cells(block.data, begin, np.minimum(length, level), level), goes_on)
+    hashes = _hashes(block.langs[doc], _cells(block.words, begin, np.minimum(length, level), level), goes_on)
     order = _order(hashes, goes_on, [hashes])
     hashes, doc, goes_on = hashes[order], doc[order], goes_on[order]
     new = _changes(goes_on, [hashes])
@@ -177,7 +169,7 @@ def _term_counts(block: _Block, names: list, levels: list[int], known, bits: int
         begin, length, doc = block.of((block.length > low) & (block.length <= level))
         if not len(begin):
             continue
-        cells = _cells(block.data, begin, length, level)
+        cells = _cells(block.words, begin, length, level)
         hashes = _hashes(block.langs[doc], cells, False)
         some = _alive(known, hashes, bits)
         if not some.any():

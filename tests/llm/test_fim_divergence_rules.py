@@ -136,6 +136,22 @@ def test_divergence_equals_counting_all(spark, first, bits):
     assert set(found) == plain_audit(rows, top=5)
 
 
+def test_divergence_blocks_read_eight_bytes_at_once():
+    """The terms of a block and their first bytes, as whole integers, are those
+    of its texts one by one; none crosses from a text to the next."""
+    import re
+    texts = ["", "Ab c", "d", "", "é漢字x\x00Y", "abcdefgh", "ABCDEFGHi jklmnopqrstuvwxyzab", "1", "z"]
+    block = divergence._Block([""] * len(texts), texts)
+    want = [(i, m.lower()) for i, t in enumerate(texts) for m in re.findall(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.encode())]
+    assert [(int(d), block.data[b:b + n].tobytes()) for b, n, d in zip(block.begin, block.length, block.doc)] == want
+    for level in (1, 3, 8, 16, 24):
+        cells = divergence._cells(block.words, block.begin, block.length, level)
+        assert len(cells) == -(-level // 8)
+        got = [b"".join(int(c[i]).to_bytes(8, "big") for c in cells) for i in range(len(want))]
+        assert got == [w[:level].ljust(8 * len(cells), b"\0") for _, w in want]
+    assert not len(divergence._Block([""], [""]).begin)
+
+
 def test_divergence_of_long_terms_that_share_beginnings(spark):
     rnd = random.Random(5)
     stems = ["w" * k for k in (3, 4, 5, 8, 9, 16, 31, 32, 33, 64, 70)]
