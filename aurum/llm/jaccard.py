@@ -26,7 +26,8 @@ it that can reach the threshold is formed:
    A pair is formed only at columns where it can link if it shares none of
    those before: all that comes from there on, on the shorter side, must reach
    the overlap that the two sizes need. Every pair that links is formed at the
-   first column it shares; rows that have a common passage behind rarer text of
+   first column it shares, and not again at a column that follows a shared one
+   in both rows, so near copies meet a few times instead of at all columns; rows that have a common passage behind rarer text of
    their own are not paired for it.
 6. Every surviving pair is verified on whole sets, in blocks of an Arrow batch.
 
@@ -234,7 +235,7 @@ def _components_of(entries: DataFrame, merged: DataFrame) -> tuple[DataFrame, Da
     """The entries with their rows' components, and the columns that several
     components hold, with the largest (``h, main``)."""
     several = entries.alias("e").join(merged.alias("m"), F.col("e.node") == F.col("m.node"), "left").select(
-        "e.h", "e.node", "e.n", "e.i", F.coalesce("m.comp", "e.node").alias("comp"))
+        "e.h", "e.node", "e.n", "e.i", "e.before", F.coalesce("m.comp", "e.node").alias("comp"))
     counts = several.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = counts.groupBy("h").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     return several, mixed.select("h", F.col("m.comp").alias("main"))
@@ -242,11 +243,15 @@ def _components_of(entries: DataFrame, merged: DataFrame) -> tuple[DataFrame, Da
 
 def _pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Rows of different components that can link from a column on: the smaller
-    one as ``a, n``, the larger as ``b, m``, per column."""
+    one as ``a, n``, the larger as ``b, m``, per run of columns that both have.
+
+    Rows that share the column before this one, too, were paired at that one:
+    they could link from there on, if they can from here."""
     x, y = small.alias("x"), large.alias("y")
     n, m = F.col("x.n"), F.col("y.n")
     ordered = ((n < m) | (n == m) & (F.col("x.node") < F.col("y.node"))) & (n * 100 >= m * percent)
-    fits = ordered & (F.col("x.comp") != F.col("y.comp")) & _from_here(n, F.col("x.i"), m, F.col("y.i"), percent)
+    starts = F.coalesce(F.col("x.before") != F.col("y.before"), F.lit(True))
+    fits = ordered & starts & (F.col("x.comp") != F.col("y.comp")) & _from_here(n, F.col("x.i"), m, F.col("y.i"), percent)
     return x.join(y, (F.col("x.h") == F.col("y.h")) & fits).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b"), n.alias("n"), m.alias("m"))
 
@@ -278,8 +283,9 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
 
     # Entries of the matrix, without columns that one class holds alone.
     step = math.log(100 / percent)
-    entries = rows.select("node", "n", F.explode(F.arrays_zip("columns", "at")).alias("e")).select(
-        "node", "n", F.col("e.columns").alias("h"), F.col("e.at").alias("i")).withColumn("size_class", F.floor(F.log("n") / step))
+    entries = rows.select("node", "n", "columns", F.posexplode(F.arrays_zip("columns", "at")).alias("k", "e")).select(
+        "node", "n", F.col("e.columns").alias("h"), F.col("e.at").alias("i"), F.get("columns", F.col("k") - 1).alias("before")).withColumn(
+        "size_class", F.floor(F.log("n") / step))
     first = entries.groupBy("h", "size_class").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b <> top")
     pairs = (entries.join(first.select("h", "size_class", "b"), ["h", "size_class"]).where("node <> b")
              .select(F.col("node").alias("a"), "b").distinct())
@@ -306,7 +312,7 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     # column before the place that a pair of its own size would allow.
     small, outside = several.where(F.col("n") - F.col("i") >= _need(F.col("n"), F.col("n"), percent)), F.col("comp") != F.col("main")
     product = _pairs(small.where(outside), several, percent).unionByName(_pairs(small.where(~outside), several.where(outside), percent))
-    product = product.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"))
+    product = product.distinct()
     product = product.join(rows.select(F.col("node").alias("a"), F.col("columns").alias("x")), "a").join(
         rows.select(F.col("node").alias("b"), F.col("columns").alias("y")), "b").withColumn("c", F.size(F.array_intersect("x", "y")))
     pairs = materialize(product.where(_reachable(F.col("c"), F.col("n"), F.col("m"), percent)).select("a", "b"), "pairs")

@@ -207,6 +207,35 @@ def test_near_duplicates_of_null_id_and_empty_table(spark):
     assert jaccard.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_meet_once_per_run_of_shared_columns(spark):
+    """Rows of 100 columns each that share their first 11 are paired at the
+    first, not at all 11; a pair that parts and meets again is paired twice,
+    and one whose first columns are the only ones alike is paired there."""
+    def row(node, columns):
+        return [(h, node, 100, i, columns[i - 1] if i else None, node) for i, h in enumerate(columns)]
+
+    same = list(range(11))
+    parts = [*range(4), 77, *range(5, 11)]
+    late = [*range(50, 58), 8, 61, 62]
+    rows = spark.createDataFrame(row(1, same) + row(2, same) + row(3, parts) + row(4, late), "h long, node long, n long, i int, before long, comp long")
+    met = sorted((r["a"], r["b"]) for r in jaccard._pairs(rows, rows, 80).collect())
+    assert met == [(1, 2), (1, 3), (1, 3), (1, 4), (2, 3), (2, 3), (2, 4), (3, 4)]
+
+
+def test_near_duplicates_of_one_long_passage_with_other_ends(spark):
+    """Many near copies, each with a few words of its own at several places."""
+    import random
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for d in range(60):
+        words = list(base)
+        for k in rnd.sample(range(150), d % 5):
+            words[k] = f"own{d}x{k}"
+        rows.append((d, " ".join(words)))
+    assert ids(jaccard.near_duplicates(table(spark, rows)), "n_shingles", "component_id") == sorted(brute.near(rows), key=repr)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40) if i % 10] + [(rng.randrange(100, 130), 100) for _ in range(20)] + [(7, 7)]
