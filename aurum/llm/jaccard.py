@@ -14,7 +14,8 @@ it that can reach the threshold is formed:
 4. First product, against one row per column and size class (its smallest):
    linear in the entries. Each row is verified against the few it shares most
    with, and the pairs that link are merged into components; then again, for
-   rows outside a column's largest component, against other rows of that one.
+   columns that several components hold, against the most central row of each
+   column, the one whose columns are held by the most rows for its size.
 5. Second product, of what is left: for each column that still joins different
    components, the rows outside the column's largest component against all
    rows of the other components, the smaller row with the short prefix that
@@ -241,6 +242,18 @@ def _components_of(entries: DataFrame, merged: DataFrame) -> tuple[DataFrame, Da
     return several, mixed.select("h", F.col("m.comp").alias("main"))
 
 
+def _centres(entries: DataFrame, rows_in: DataFrame) -> DataFrame:
+    """Of each column of ``rows_in`` the row whose columns are held by the most
+    rows for its size (``h, b``), and that row's component (``its``).
+
+    The original of many near copies holds what they share and nothing of its
+    own, so that copies too far from each other still link with it."""
+    held = entries.groupBy("h").agg(F.count(F.lit(1)).alias("held"))
+    weights = entries.join(held, "h").groupBy("node").agg((F.sum("held") / F.first("n")).alias("weight"))
+    best = F.max_by(F.struct("node", "comp"), F.struct("weight", "node"))
+    return rows_in.join(weights, "node").groupBy("h").agg(best.alias("c")).select("h", F.col("c.node").alias("b"), F.col("c.comp").alias("its"))
+
+
 def _pairs(small: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Rows of different components that can link from a column on: the smaller
     one as ``a, n``, the larger as ``b, m``, per run of columns that both have.
@@ -292,12 +305,11 @@ def near_duplicates(docs: DataFrame, *, ngram: int = NGRAM, percent: int = PERCE
     tried, links = None, None
     for turn in range(TURNS + 1):
         if tried is not None:
-            # Again, with other rows of each column's largest component, for the rows outside it.
+            # Again, with the most central row of each column that several components hold.
             now, mixed = _components_of(entries, merged)
-            order = F.xxhash64("e.node", F.lit(turn))
-            rows_in = now.alias("e").join(mixed.alias("x"), "h")
-            centre = rows_in.where("e.comp = x.main").groupBy("h").agg(F.min_by("e.node", order).alias("b"))
-            pairs = (rows_in.where("e.comp <> x.main").select("h", F.col("e.node").alias("a")).join(centre, "h").select("a", "b").distinct()
+            rows_in = now.join(mixed, "h")
+            centre = _centres(entries, rows_in)
+            pairs = (rows_in.join(centre, "h").where(F.col("comp") != F.col("its")).select(F.col("node").alias("a"), "b").distinct()
                      .join(tried, ["a", "b"], "left_anti"))
         pairs = materialize(_likely(pairs, rows, percent), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)

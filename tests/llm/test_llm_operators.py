@@ -236,6 +236,31 @@ def test_near_duplicates_of_one_long_passage_with_other_ends(spark):
     assert ids(jaccard.near_duplicates(table(spark, rows)), "n_shingles", "component_id") == sorted(brute.near(rows), key=repr)
 
 
+def test_near_duplicates_meet_at_their_original(spark, monkeypatch):
+    """Copies with one to seven changed words link with their original, not
+    with most other copies: few pairs are left after the star turns."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(500, " ".join(base))]
+    for d in range(240):
+        words = list(base)
+        for k in rng.sample(range(150), 1 + d % 7):
+            words[k] = f"own{d}x{k}"
+        rows.append((d, " ".join(words)))
+    counts, write = [], jaccard.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    got = jaccard.near_duplicates(table(spark, rows))
+    assert ids(got, "n_shingles", "component_id") == sorted(brute.near(rows), key=repr)
+    assert counts[-1] < len(rows), counts
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40) if i % 10] + [(rng.randrange(100, 130), 100) for _ in range(20)] + [(7, 7)]
