@@ -114,6 +114,14 @@ def text_slices(texts: list, max_chars: int = 8 << 20) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that few rows are
+    Python objects at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 _MASK = (1 << 64) - 1
 
 

@@ -4,7 +4,7 @@ A task turns its documents into entries (hash, place) and packs them a flush
 at a time, some million entries: the distinct hashes of a flush, sorted and cut
 into buckets by range, and a table of where each occurs in its documents. Only
 the distinct hashes travel, one row of bytes per flush and bucket. A bucket's
-task merges them and answers each flush, hash by hash; the answers go back to
+task merges them and answers each flush, one bit a hash; the answers go back to
 the flush's table and become places in documents.
 
 A hash held by a third of all documents is one entry per flush, so no bucket
@@ -22,14 +22,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import document_columns, give_back, materialize, mix64, release
+from aurum.llm.common import document_columns, give_back, materialize, mix64, release, row_slices
 
 FLUSH = 1_500_000
+#: Entries worked on at a time where an array's temporaries would be as long as it.
+_BLOCK = 1 << 17
 #: A null doc_id counts as the largest.
 NO_ID = np.iinfo(np.int64).max
 
 _PACKED = "uid long, bucket int, h1 binary, h2 binary, docs binary, flags binary, prints binary, starts binary, at binary"
-_ANSWER = "uid long, bucket int, answer binary"
+_ANSWER = "uid long, bucket int, n int, answer binary"
 PLACES = "doc_id long, print long, at binary"
 
 
@@ -78,7 +80,7 @@ class _Flush:
         self.h1.append(h1)
         if h2 is not None:
             self.h2.append(h2)
-        self.at.append(at.astype(np.int64) + self.words)
+        self.at.append((at.astype(np.int64) + self.words).astype(np.uint32 if self.words + length <= 1 << 32 else np.int64))
         self.ids.append(NO_ID if doc_id is None else doc_id)
         self.prints.append(print_)
         self.starts.append(self.words)
@@ -88,45 +90,68 @@ class _Flush:
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        # Mixed again (one-to-one): hashes chosen for being small still fill all buckets alike.
-        h1, h2 = mix64(np.concatenate(self.h1)), np.concatenate(self.h2) if self.h2 else None
-        at, ids, starts = np.concatenate(self.at), np.array(self.ids, np.int64), np.array(self.starts, np.int64)
+        batch = self._packed()
+        give_back()
+        yield batch
+
+    def _packed(self) -> pa.RecordBatch:
+        # Of the arrays as long as the flush few are held at a time.
+        parts, seconds, places = self.h1, self.h2, self.at
+        ids, prints, starts = np.array(self.ids, np.int64), np.array(self.prints, np.int64), np.array(self.starts, np.int64)
+        self._clear()
+        h1 = _joined(parts)
+        for lo in range(0, len(h1), _BLOCK):  # Mixed again (one-to-one): hashes chosen for being small still fill all buckets alike.
+            h1[lo:lo + _BLOCK] = mix64(h1[lo:lo + _BLOCK])
+        h2, at = _joined(seconds) if seconds else None, _joined(places)
         order = _order(h1, h2)
-        h1, h2, at = h1[order], h2[order] if h2 is not None else None, at[order]
+        h1 = h1[order]
+        h2 = h2[order] if h2 is not None else None
+        at = at[order]
+        del order
         # Rows that share a doc_id are documents of their own, unless only the smallest id counts.
-        who = ids if self.least else np.unique(np.stack([ids, np.array(self.prints, np.int64)], 1), axis=0, return_inverse=True)[1].reshape(-1)
-        owner = who[np.searchsorted(starts, at, side="right") - 1]
+        who = ids if self.least else np.unique(np.stack([ids, prints], 1), axis=0, return_inverse=True)[1].reshape(-1)
+        owner = np.empty(len(at), who.dtype)
+        for lo in range(0, len(at), _BLOCK):
+            owner[lo:lo + _BLOCK] = who[np.searchsorted(starts, at[lo:lo + _BLOCK], side="right") - 1]
         first = _runs(h1, h2)
         begin = np.flatnonzero(first)
         low = np.minimum.reduceat(owner, begin)
         if not self.least:  # only whether more than one document holds it
             low = (low != np.maximum.reduceat(owner, begin)).astype(np.uint8)
-        u1, u2 = h1[begin], h2[begin] if h2 is not None else None
+        del owner
+        h1 = h1[begin]
+        h2 = h2[begin] if h2 is not None else None
+        del begin
         uid = (TaskContext.get().partitionId() << 24) | self.number
         self.number += 1
-        wide = at.max() >= 1 << 32
         columns: dict[str, list] = {k: [] for k in ("uid", "bucket", "h1", "h2", "docs", "flags", "prints", "starts", "at")}
 
         def put(**row) -> None:
             for k, v in columns.items():
                 v.append(row.get(k))
 
-        cuts = _cuts(u1, self.buckets)
+        cuts = _cuts(h1, self.buckets)
         for b, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
             if hi > lo:
-                put(uid=uid, bucket=b, h1=u1[lo:hi].tobytes(), h2=u2[lo:hi].tobytes() if u2 is not None else None, docs=low[lo:hi].tobytes())
-        put(uid=uid, bucket=-1, docs=ids.tobytes(), flags=np.packbits(first).tobytes(), prints=np.array(self.prints, np.int64).tobytes(),
-            starts=starts.tobytes(), at=at.tobytes() if wide else at.astype(np.uint32).tobytes(), h1=b"8" if wide else b"4")
-        self._clear()
+                put(uid=uid, bucket=b, h1=h1[lo:hi].tobytes(), h2=h2[lo:hi].tobytes() if h2 is not None else None, docs=low[lo:hi].tobytes())
+        put(uid=uid, bucket=-1, docs=ids.tobytes(), flags=np.packbits(first).tobytes(), prints=prints.tobytes(), starts=starts.tobytes(),
+            at=at.tobytes(), h1=b"4" if at.dtype == np.uint32 else b"8")
         types = {"uid": pa.int64(), "bucket": pa.int32()}
-        yield pa.RecordBatch.from_pydict({k: pa.array(v, types.get(k, pa.binary())) for k, v in columns.items()})
+        return pa.RecordBatch.from_pydict({k: pa.array(v, types.get(k, pa.binary())) for k, v in columns.items()})
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts in one array; the list is emptied."""
+    whole = np.concatenate(parts)
+    parts.clear()
+    return whole
 
 
 def _pack(entries: Callable, prepare: Callable, buckets: int, least: bool, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = _Flush(buckets, least)
         make = entries()
-        for b in batches:
+        for b in row_slices(batches):
             extra = [b.column(i).to_pylist() for i in range(3, b.num_columns)]
             ids, prints, texts = (b.column(i).to_pylist() for i in range(3))
             for i, made in enumerate(prepare(texts)):
@@ -139,46 +164,61 @@ def _pack(entries: Callable, prepare: Callable, buckets: int, least: bool, flush
 
 
 def _answer(least: bool):
-    """Per hash of each flush: the smallest document of all, or whether there
-    are several."""
+    """Per hash of each flush: whether another flush has a smaller document, or
+    whether there are several."""
     def run(table: pa.Table) -> pa.Table:
+        out = told(table)
+        give_back()
+        return out
+
+    def told(table: pa.Table) -> pa.Table:
         rows = table.select(["uid", "bucket", "h1", "h2", "docs"]).to_pydict()
         parts = [np.frombuffer(x, np.uint64) for x in rows["h1"]]
+        cuts = np.cumsum([0] + [len(p) for p in parts])
         h1 = np.concatenate(parts)
         h2 = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["h2"]]) if rows["h2"][0] is not None else None
         docs = np.concatenate([np.frombuffer(x, np.int64 if least else np.uint8) for x in rows["docs"]])
+        del parts, rows["h1"], rows["h2"], rows["docs"]
         order = _order(h1, h2)
         begin = np.flatnonzero(_runs(h1[order], h2[order] if h2 is not None else None))
+        del h1, h2
         sizes = np.diff(np.append(begin, len(order)))
+        answer = np.empty(len(order), bool)
         if least:
-            out = np.minimum.reduceat(docs[order], begin)
+            answer[order] = np.repeat(np.minimum.reduceat(docs[order], begin), sizes) < docs[order]
         else:
-            out = ((sizes > 1) | (np.maximum.reduceat(docs[order], begin) > 0)).astype(np.uint8)
-        answer = np.empty(len(order), out.dtype)
-        answer[order] = np.repeat(out, sizes)
-        cuts = np.cumsum([0] + [len(p) for p in parts])
-        data = [answer[a:b].tobytes() if least else np.packbits(answer[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-        return pa.table({"uid": pa.array(rows["uid"], pa.int64()), "bucket": pa.array(rows["bucket"], pa.int32()), "answer": pa.array(data, pa.binary())})
+            answer[order] = np.repeat((sizes > 1) | (np.maximum.reduceat(docs[order], begin) > 0), sizes)
+        data = [np.packbits(answer[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.table({"uid": pa.array(rows["uid"], pa.int64()), "bucket": pa.array(rows["bucket"], pa.int32()),
+                         "n": pa.array(np.diff(cuts), pa.int32()), "answer": pa.array(data, pa.binary())})
     return run
 
 
 def _places(least: bool):
     """A flush's table with the answers for its hashes: places by document."""
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        out = found(table, answers)
+        give_back()
+        return out
+
+    def found(table: pa.Table, answers: pa.Table) -> pa.Table:
         out: dict[str, list] = {"doc_id": [], "print": [], "at": []}
         told = answers.sort_by("bucket").to_pydict()
         for t in table.to_pylist():
             ids, starts = np.frombuffer(t["docs"], np.int64), np.frombuffer(t["starts"], np.int64)
-            at = np.frombuffer(t["at"], np.int64 if t["h1"] == b"8" else np.uint32).astype(np.int64)
-            entry = np.cumsum(np.unpackbits(np.frombuffer(t["flags"], np.uint8))[:len(at)].astype(np.int64)) - 1
-            owner = np.searchsorted(starts, at, side="right") - 1
-            if least:
-                low = np.concatenate([np.frombuffer(x, np.int64) for x in told["answer"]])[entry]
-                hit = low < ids[owner]
-            else:
-                sizes = [int(n) for n in told["n"]]
-                bits = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8))[:n] for x, n in zip(told["answer"], sizes)])
-                hit = bits[entry] > 0
+            at = np.frombuffer(t["at"], np.int64 if t["h1"] == b"8" else np.uint32)
+            first = np.unpackbits(np.frombuffer(t["flags"], np.uint8), count=len(at))
+            bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(told["answer"], told["n"])]
+            begin = np.flatnonzero(first)
+            counts = np.diff(np.append(begin, len(at)))
+            hit = np.repeat(np.concatenate(bits) > 0, counts)
+            if least:  # or a smaller one of the flush's own
+                own = np.empty(len(at), np.int64)
+                for lo in range(0, len(at), _BLOCK):
+                    own[lo:lo + _BLOCK] = ids[np.searchsorted(starts, at[lo:lo + _BLOCK], side="right") - 1]
+                hit |= np.repeat(np.minimum.reduceat(own, begin), counts) < own
+                del own
+            del begin, counts
             at = np.sort(at[hit])
             owner = np.searchsorted(starts, at, side="right") - 1
             cuts = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -211,11 +251,8 @@ def shared_places(rows: DataFrame, entries: Callable, *, least: bool, prepare: C
     answers = (packed.where("bucket >= 0").select("uid", "bucket", "h1", "h2", "docs")
                .groupBy("bucket").applyInArrow(_answer(least), _ANSWER))
     # Written, so that the shuffle of the hashes is gone before the next one.
-    answers = answered = materialize(answers, "answers")
-    if not least:  # bits don't tell how many hashes they stand for
-        sizes = packed.where("bucket >= 0").select("uid", "bucket", F.expr("cast(length(h1) div 8 as int)").alias("n"))
-        answers = answered.join(sizes, ["uid", "bucket"]).select("uid", "bucket", "answer", "n")
+    answers = materialize(answers, "answers")
     tables = packed.where("bucket = -1").drop("bucket", "h2")
     out = materialize(tables.groupBy("uid").cogroup(answers.groupBy("uid")).applyInArrow(_places(least), PLACES), "places")
-    release(packed, answered)
+    release(packed, answers)
     return out

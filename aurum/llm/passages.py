@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aurum.llm.common import word_windows, words_of
+from aurum.llm.common import give_back, row_slices, word_windows, words_of
 from aurum.llm.exchange import keyed, on_key, shared_places
 
 LENGTH = 13
@@ -96,7 +96,7 @@ def remove_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PERI
     starts = repeated_passages(docs, length=length, period=period, cover=cover)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in row_slices(batches):
             total, removed, kept = [], [], []
             for text, at in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 w = words_of(text)
@@ -110,6 +110,7 @@ def remove_passages(docs: DataFrame, *, length: int = LENGTH, period: int = PERI
                 kept.append(b" ".join(w))
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "n_words": pa.array(total, pa.int64()),
                                               "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.binary())})
+        give_back()
 
     joined = own.alias("d").join(starts.alias("s"), on_key("d", "s"), "left").select("d.doc_id", "d.text", "s.at")
     return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept binary")

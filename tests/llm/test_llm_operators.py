@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import random
 import sys
+import tracemalloc
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -137,6 +139,47 @@ def test_words_hash_alike_alone_and_together():
     assert len(set(known.values())) == len(known)
 
 
+def traced_peak(work):
+    """Most bytes that Python and numpy held while ``work`` ran, above those before."""
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        work()
+        return tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("least,most", [(False, 72), (True, 112)])
+def test_packed_flush_holds_few_arrays(monkeypatch, least, most):
+    """Bytes an entry of a flush being packed, those of its hashes and places included."""
+    monkeypatch.setattr(exchange, "TaskContext", type("Task", (), {"get": lambda: type("Own", (), {"partitionId": lambda _: 0})()}))
+    n, per = 400_000, 200
+
+    def work():
+        f, rng = exchange._Flush(8, least), np.random.default_rng(0)
+        for i in range(n // per):
+            h = rng.integers(0, 1 << 62, per, dtype=np.uint64)
+            f.add(i, i, per, h, h.copy() if least else None, np.arange(per))
+        return [b.num_rows for b in f.rows()]
+
+    assert traced_peak(work) < most * n
+
+
+@pytest.mark.parametrize("least,docs,expected", [(True, [[4, 9, 7], [3, 9]], [[True, False, False], [False, False]]),
+                                                 (False, [[0, 1, 0], [0, 0]], [[True, True, False], [True, False]])])
+def test_packed_answers_are_bits(least, docs, expected):
+    """Of a hash in both flushes the one with the larger document is told so."""
+    kind = np.int64 if least else np.uint8
+    hashes = [np.array(h, np.uint64).tobytes() for h in ([5, 6, 8], [5, 7])]
+    got = exchange._answer(least)(pa.table({
+        "uid": pa.array([1, 2], pa.int64()), "bucket": pa.array([0, 0], pa.int32()), "h1": pa.array(hashes, pa.binary()),
+        "h2": pa.array(hashes if least else [None, None], pa.binary()), "docs": pa.array([np.array(d, kind).tobytes() for d in docs], pa.binary())}))
+    assert [len(a) for a in got["answer"].to_pylist()] == [1, 1] and got["n"].to_pylist() == [3, 2]
+    bits = [np.unpackbits(np.frombuffer(a, np.uint8), count=n) > 0 for a, n in zip(got["answer"].to_pylist(), got["n"].to_pylist())]
+    assert [b.tolist() for b in bits] == expected
+
+
 def test_packed_flushes_agree(spark):
     """The answers do not depend on how documents fall into flushes."""
     rows = exchange.keyed(table(spark, corpus(6, 60)))
