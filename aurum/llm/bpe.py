@@ -22,6 +22,10 @@ Agreement is one of two exact conditions, at each side of the join:
 Where neither is found the window doubles; at the limit it is the whole
 text of both sides, which is exact by definition.
 
+Between the rounds a node is its ids alone, in two bytes each if the vocabulary
+has no more than 65,536: its text is what they decode to, which is compared
+when the node is made. A text that its ids don't tell travels with them.
+
 The vocabulary files are public and named by a parameter; every task loads
 them from the installed package or the given path. A special token's string
 in a text is encoded as that token, as the reference library does.
@@ -42,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import document_columns, materialize, text_slices
+from aurum.llm.common import document_columns, give_back, materialize, row_slices, text_slices
 
 #: Code points of a leaf: texts up to this are encoded in one piece.
 LEAF_CHARS = 16_384
@@ -76,6 +80,7 @@ class Codec:
         self.lengths = np.array([len(tokens.get(i, b"")) for i in range(size)], dtype=np.int64)
         self._starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self._bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(size)), dtype=np.uint8)
+        self._narrow = np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -92,6 +97,21 @@ class Codec:
         index = np.repeat(self._starts[ids] - (ends - n), n) + np.arange(ends[-1])
         return self._bytes[index].tobytes()
 
+    def pack(self, ids: np.ndarray) -> bytes:
+        """The ids in two bytes each where the vocabulary allows it."""
+        return ids.astype(self._narrow).tobytes()
+
+    def unpack(self, data: bytes) -> np.ndarray:
+        return np.frombuffer(data, dtype=self._narrow).astype(np.uint32)
+
+    def node(self, text: bytes, ids: np.ndarray) -> tuple[bytes | None, bytes]:
+        """What of a node is stored: the text only if its ids don't tell it."""
+        return (None if self.decode(ids) == text else text), self.pack(ids)
+
+    def read_node(self, text: bytes | None, data: bytes) -> tuple[bytes, np.ndarray]:
+        ids = self.unpack(data)
+        return (self.decode(ids) if text is None else text), ids
+
     def bounds(self, ids: np.ndarray) -> np.ndarray:
         """Byte offsets of the token boundaries, both ends included."""
         return np.concatenate([[0], np.cumsum(self.lengths[ids])])
@@ -200,7 +220,7 @@ _LEAVES = "doc_id long, key long, part long, parts long, text binary, ids binary
 
 def _cut(leaf_chars: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in row_slices(batches):
             for doc_id, key, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 parts = -(-len(text) // leaf_chars)
                 for first in range(0, parts, 64):
@@ -216,23 +236,26 @@ def _cut(leaf_chars: int):
 def _encode_leaves(vocabulary):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*vocabulary)
-        for b in batches:
+        for b in row_slices(batches, 64):
             texts = b.column("text").to_pylist()
-            ids = pa.array([c.encode(t.decode()).tobytes() for t in texts], pa.binary())
-            yield b.set_column(b.schema.get_field_index("ids"), "ids", ids)
+            text, ids = zip(*(c.node(t, c.encode(t.decode())) for t in texts))
+            b = b.set_column(b.schema.get_field_index("text"), "text", pa.array(text, pa.binary()))
+            yield b.set_column(b.schema.get_field_index("ids"), "ids", pa.array(ids, pa.binary()))
+        give_back()
     return encode
 
 
-def _join_round(vocabulary, window: int):
+def _join_round(vocabulary, window: int, last: bool):
+    """A round of the tree. The ``last`` one gives the text and its ids."""
     def joined(table: pa.Table) -> pa.Table:
         rows = table.sort_by("part").to_pydict()
         c = codec(*vocabulary)
-        parts = [(t, np.frombuffer(i, dtype=np.uint32)) for t, i in zip(rows["text"], rows["ids"])]
-        text, ids = concatenate(c, parts, window)
+        text, ids = concatenate(c, [c.read_node(t, i) for t, i in zip(rows["text"], rows["ids"])], window)
+        text, ids = (text, ids.tobytes()) if last else c.node(text, ids)
         return pa.table({"doc_id": pa.array([rows["doc_id"][0]], pa.int64()), "key": pa.array([rows["key"][0]], pa.int64()),
                          "part": pa.array([rows["part"][0] // FAN_IN], pa.int64()),
                          "parts": pa.array([-(-rows["parts"][0] // FAN_IN)], pa.int64()),
-                         "text": pa.array([text], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary())})
+                         "text": pa.array([text], pa.binary()), "ids": pa.array([ids], pa.binary())})
     return joined
 
 
@@ -250,13 +273,14 @@ def encode_documents(docs: DataFrame, *, vocabulary: tuple[str, str | None] | No
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*vocabulary)
-        for b in batches:
+        for b in row_slices(batches):
             ids, texts = b.column(0), b.column(1).to_pylist()
             for lo, hi in text_slices(texts):
                 part = [t or "" for t in texts[lo:hi]]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": ids.slice(lo, hi - lo), "text": pa.array([t.encode() for t in part], pa.binary()),
                     "ids": pa.array([c.encode(t).tobytes() for t in part], pa.binary())})
+        give_back()
 
     schema = "doc_id long, text binary, ids binary"
     out = own.where(~F.coalesce(long_text, F.lit(False))).mapInArrow(short, schema)
@@ -268,9 +292,9 @@ def encode_documents(docs: DataFrame, *, vocabulary: tuple[str, str | None] | No
     parts = materialize(cut.repartition("key", "part").mapInArrow(_encode_leaves(vocabulary), _LEAVES), "bpe-leaves")
     left = parts.agg(F.max("parts")).first()[0] or 1
     while True:
-        parts = (parts.withColumn("_node", F.expr(f"part div {FAN_IN}"))
-                 .groupBy("key", "_node").applyInArrow(_join_round(vocabulary, window), _LEAVES))
         left = -(-left // FAN_IN)
+        parts = (parts.withColumn("_node", F.expr(f"part div {FAN_IN}"))
+                 .groupBy("key", "_node").applyInArrow(_join_round(vocabulary, window, left <= 1), _LEAVES))
         if left <= 1:
             break
         parts = materialize(parts, "bpe-nodes")
@@ -285,7 +309,7 @@ def digest_documents(encoded: DataFrame, *, vocabulary: tuple[str, str | None] |
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(*vocabulary)
-        for b in batches:
+        for b in row_slices(batches):
             rows = []
             for text, ids in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 tokens = np.frombuffer(ids, dtype="<u4")
@@ -296,5 +320,6 @@ def digest_documents(encoded: DataFrame, *, vocabulary: tuple[str, str | None] |
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(i, pa.string()),
                 "decoded_sha256": pa.array(d, pa.string()), "round_trip": pa.array(same, pa.bool_())})
+        give_back()
 
     return encoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean")

@@ -671,3 +671,22 @@ def test_bpe_documents_equal_the_library(spark):
         expected.append((d, len(i), brute.sha(np.array(i, "<u4").tobytes()), brute.sha(tok.decode(i, skip_special_tokens=False)), True))
     assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
     assert bpe.encode_documents(table(spark, [])).count() == 0
+
+
+def test_bpe_nodes_are_their_ids():
+    """A stored node is two bytes a token; a text that its ids don't tell stays."""
+    vocabulary = bpe.default_vocabulary()
+    c, texts = bpe.codec(*vocabulary), [b"the river", "日本 <|endoftext|>".encode()]
+    cut = pa.RecordBatch.from_pydict({"doc_id": [1, 1], "key": [0, 0], "part": [0, 1], "parts": [2, 2],
+                                      "text": pa.array(texts, pa.binary()), "ids": pa.array([b"", b""], pa.binary())})
+    leaves = pa.Table.from_batches(bpe._encode_leaves(vocabulary)(iter([cut])))
+    assert leaves["text"].to_pylist() == [None, None]
+    tokens = [c.encode(t.decode()) for t in texts]
+    assert [len(x) for x in leaves["ids"].to_pylist()] == [2 * len(t) for t in tokens]
+    assert [c.read_node(t, i)[0] for t, i in zip(leaves["text"].to_pylist(), leaves["ids"].to_pylist())] == texts
+    node = bpe._join_round(vocabulary, bpe.FIRST_WINDOW, False)(leaves).to_pylist()[0]
+    assert node["text"] is None and len(node["ids"]) == 2 * len(c.encode("the river日本 <|endoftext|>"))
+    done = bpe._join_round(vocabulary, bpe.FIRST_WINDOW, True)(leaves).to_pylist()[0]
+    assert done["text"] == b"".join(texts) and np.frombuffer(done["ids"], "<u4").tolist() == c.encode("the river日本 <|endoftext|>").tolist()
+    other = c.node(b"another text", tokens[0])
+    assert other[0] == b"another text" and c.read_node(*other)[0] == b"another text"
