@@ -13,7 +13,8 @@ streams them into the digest of the restored text.
 
 A document's pieces share a partition but are never held together: both sorts
 spill and both digests take one piece at a time, so a text of any length needs
-the memory of an Arrow batch.
+the memory of an Arrow batch, of which few rows are Python objects at a time; a
+worker gives its memory back at the end of a task, since two are at work in each.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aurum.llm.common import columns_of
+from aurum.llm.common import columns_of, give_back, row_slices
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SENTINELS = (PREFIX, SUFFIX, MIDDLE)
@@ -34,6 +35,8 @@ SENTINELS = (PREFIX, SUFFIX, MIDDLE)
 REORDERED, SUFFIX_FIRST = 90, 20
 #: Code points of a piece.
 PIECE = 8192
+#: Code points of the pieces that a task hands on at a time.
+BATCH_CHARS = 1 << 20
 
 _PIECES = "doc_id long, print binary, place long, form string, n long, prefix_chars long, middle_chars long, copies long, piece binary"
 _PASSED = "doc_id long, print binary, part int, place long, form string, n long, prefix_chars long, middle_chars long, copies long, piece binary"
@@ -84,13 +87,15 @@ def _cut(piece: int):
                         rows.append((doc_id, print_, place, *head, k, part.encode("utf-8", "surrogatepass")))
                         place += 1
                         size += len(part)
-                        if size > 8 << 20:
+                        if size > BATCH_CHARS:
                             yield _batch(rows, _CUT)
                             rows, size = [], 0
                 if not place:  # an empty text is one empty piece
                     rows.append((doc_id, print_, 0, *head, k, b""))
             if rows:
                 yield _batch(rows, _CUT)
+            copies, rows = {}, []
+        give_back()
     return run
 
 
@@ -113,7 +118,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part_of = {PREFIX.encode(): 0, MIDDLE.encode(): 1, SUFFIX.encode(): 2}
     key = digest = head = None
     last = copies = part = 0
-    for b in batches:
+    for b in row_slices(batches):
         rows: list = []
         columns = [b.column(i).to_pylist() for i in range(b.num_columns)]
         for doc_id, print_, place, form, n, prefix, middle, k, piece in zip(*columns):
@@ -135,12 +140,13 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(rows, _PASS)
     if key is not None:
         yield _batch([(*key, _END, 0, *head, copies, digest.digest())], _PASS)
+    give_back()
 
 
 def _restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces in the original's order: the digest of what was restored."""
     digest = hashlib.sha256()
-    for b in batches:
+    for b in row_slices(batches):
         rows: list = []
         columns = [b.column(i).to_pylist() for i in range(b.num_columns)]
         for doc_id, _, part, _, form, n, prefix, middle, copies, piece in zip(*columns):
@@ -151,6 +157,7 @@ def _restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest.update(piece)
         if rows:
             yield _batch(rows, _DONE)
+    give_back()
 
 
 def pieces(docs: DataFrame, *, piece: int = PIECE) -> DataFrame:

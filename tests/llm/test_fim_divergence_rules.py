@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from aurum.llm import divergence, fim, rules
@@ -93,6 +95,30 @@ def test_fill_in_middle_shuffles_once(spark):
     assert plan.count("RepartitionByExpression") == 1
 
 
+def test_fill_in_middle_holds_few_pieces(monkeypatch):
+    """A task holds few of a batch's pieces as Python objects, and gives memory back at its end."""
+    given = []
+    monkeypatch.setattr(fim, "give_back", lambda: given.append(1), raising=False)
+    n, piece = 4000, b"x" * fim.PIECE
+    rows = [(1, b"p", i, "plain", n * fim.PIECE, None, None, 1 if i == 0 else 0, piece) for i in range(n)]
+    batch = fim._batch(rows, fim._CUT)
+    sizes = []
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for passed in fim._assemble(iter([batch])):
+            sizes.append(passed.num_rows)
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) == n + 1 and peak < n * fim.PIECE / 2
+    text = "ab " * 2_000_000
+    docs = pa.record_batch({"doc_id": [1, 2, 3], "text": [text, text, None]})
+    cut = list(fim._cut(fim.PIECE)(iter([docs])))
+    assert max(b.nbytes for b in cut) < 2 * fim.BATCH_CHARS and sum(b.num_rows for b in cut) > 1400
+    assert list(fim._restore(iter([]))) == [] and len(given) == 3
+
+
 # -- source divergence -------------------------------------------------------
 
 TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
