@@ -11,6 +11,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 sys.path.insert(0, os.path.dirname(__file__))
 
@@ -115,6 +116,80 @@ def test_substrings_equal_brute_force(spark, rows, length, gram):
     assert ids(got, "n_bytes", "n_removed", "n_spans", "kept") == sorted(expected, key=repr)
 
 
+def test_anchors_do_not_depend_on_neighbours_or_pieces(monkeypatch):
+    """Texts looked at together, alone, and cut into pieces have the same runs,
+    and equal windows have their anchors at equal offsets."""
+    rng = random.Random(4)
+    passage = bytes(rng.randrange(97, 123) for _ in range(400))
+    texts = [b"", b"x" * 49, b"y" * 50, b"ab" * 700] + [bytes(rng.randrange(97, 100) for _ in range(rng.randrange(1500))) + passage for _ in range(12)]
+    monkeypatch.setattr(substrings, "_PIECE", 1000)
+    for gram in (4, 8, 11, 24):
+        offsets, cut = {}, 0
+        for lo, hi, data, starts, begin, end, at, h in substrings._grouped_runs(texts, 50, gram):
+            cut += len(data) > 1000
+            for t, start in zip(texts[lo:hi], starts.tolist()):
+                alone, hashes = substrings._window_anchors(np.frombuffer(t, np.uint8), 50, gram) if len(t) >= 50 else ([], None)
+                mine = (begin >= start) & (begin < start + len(t))
+                assert np.array_equal(np.repeat(at[mine], (end - begin)[mine]) - start, alone)
+                assert np.array_equal(h[mine], hashes[at[mine] - start] if len(t) >= 50 else [])
+                for i, p in enumerate(alone):
+                    assert offsets.setdefault(t[i:i + 50], p - i) == p - i
+        assert cut
+
+
+def test_digests_do_not_depend_on_neighbours():
+    rng = random.Random(6)
+    data = np.frombuffer(bytes(rng.randrange(2) for _ in range(3000)), np.uint8)
+    at, size = np.array([rng.randrange(2900) for _ in range(4000)]), np.array([rng.choice([1, 3, 7, 8, 9, 50, 76]) for _ in range(4000)])
+    together, known = substrings._digests(data, at, size), {}
+    for i, (a, n) in enumerate(zip(at.tolist(), size.tolist())):
+        assert known.setdefault(data[a:a + n].tobytes(), together[i].tobytes()) == together[i].tobytes()
+        if i < 100:
+            assert np.array_equal(substrings._digests(data[a:a + n], np.array([0]), np.array([n]))[0], together[i])
+    assert len(set(known.values())) == len(known)
+
+
+def test_a_shard_sorts_only_windows_that_may_be_equal(monkeypatch):
+    """Chunks around one anchor, most with surroundings of their own: those
+    are not sorted, and the answers are those of all windows."""
+    rng = random.Random(9)
+    noise = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    anchor, left, right = noise(24), noise(26), noise(26)
+    chunks = [noise(26) + anchor + noise(26) for _ in range(300)]
+    chunks += [left + anchor + noise(26) for _ in range(3)] + [noise(26) + anchor + right for _ in range(3)]
+    chunks += [noise(10) + left[10:] + anchor + right[:14] + noise(12) for _ in range(3)]
+    docs = np.array([rng.randrange(1000) for _ in chunks])
+    sorted_bytes, order = [], substrings.suffix_order
+    monkeypatch.setattr(substrings, "suffix_order", lambda text, depth: sorted_bytes.append(len(text)) or order(text, depth))
+    shard = substrings.Shard(50, 24)
+    halves = [slice(0, 200), slice(150, len(chunks))]  # some chunks in both flushes
+    for uid, own in enumerate(halves):
+        part = chunks[own]
+        size = np.array([len(c) for c in part], np.uint32)
+        digests = substrings._digests(np.frombuffer(b"".join(part), np.uint8), np.cumsum(size.astype(np.int64)) - size, size.astype(np.int64))
+        shard.add(uid, zstandard.compress(b"".join(part)), size.tobytes(), digests.tobytes(), docs[own].astype(np.int64).tobytes(),
+                  np.full(len(part), 26, np.uint32).tobytes())
+    least = {}
+    for c, d in zip(chunks, docs.tolist()):
+        for i in range(len(c) - 49):
+            least[c[i:i + 50]] = min(d, least.get(c[i:i + 50], d))
+    for (uid, values, runs), own in zip(shard.answer(), halves):
+        got = np.repeat(np.frombuffer(values, np.int64), np.frombuffer(runs, np.uint32))
+        assert got.tolist() == [least[c[i:i + 50]] for c in chunks[own] for i in range(len(c) - 49)]
+    assert 0 < sum(sorted_bytes) < 1500
+
+
+def test_shards_grow_with_the_text_whatever_the_partitions(spark, monkeypatch):
+    rows, made, pack = corpus(), [], substrings._pack
+    monkeypatch.setattr(substrings, "SHARD_TEXT", 200)
+    monkeypatch.setattr(substrings, "_pack", lambda length, gram, buckets, flush_bytes: made.append(buckets) or pack(length, gram, buckets, 3000))
+    got = ids(substrings.remove_substrings(table(spark, rows), length=20, gram=8), "n_removed")
+    text = sum(len((t or "").encode()) for _, t in rows)
+    assert made[0] >= 0.9 * text / 200 > 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    data = [(d, (t or "").encode()) for d, t in rows]
+    assert got == sorted([(d, sum(brute.gone(len(b), starts, 20))) for (d, b), (_, starts) in zip(data, brute.windows(data, 20))], key=repr)
+
+
 def test_passages_and_substrings_of_null_id_and_empty_table(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = table(spark, [(None, text), (7, text)])
