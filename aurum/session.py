@@ -118,7 +118,12 @@ def _file_system(spark: SparkSession, path: str):
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none if it doesn't exist."""
     jvm_path, fs = _file_system(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+    if not fs.exists(jvm_path):
+        return []
+    # In one call, whatever their number.
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(jvm_path))
+    joined = spark._jvm.scala.collection.mutable.ArraySeq.make(paths).mkString("\0")
+    return [p.rsplit("/", 1)[1] for p in joined.split("\0") if p]
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
@@ -136,3 +141,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     system (works for HDFS, object stores and local paths alike)."""
     jvm_path, fs = _file_system(spark, path)
     return bool(fs.exists(jvm_path))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small file, read without a job."""
+    jvm_path, fs = _file_system(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder; none if it doesn't exist."""
+    jvm_path, fs = _file_system(spark, path)
+    return fs.getContentSummary(jvm_path).getLength() if fs.exists(jvm_path) else 0

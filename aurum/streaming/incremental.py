@@ -8,18 +8,22 @@ transactional), then stops. Rerunning with no new files adds nothing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aurum import config
-from aurum.session import child_names
+from aurum.session import child_names, delete_path, make_folder
 from aurum.sources.csv import reader_options
 
 
-#: Metadata batches that wait for one rewrite of the keep-latest state, while
-#: there is no imaging to join yet.
+#: Batches that wait for one rewrite of the keep-latest state, the joined Silver
+#: and the Gold, at least; more while they are smaller than these tables.
 MERGE_AFTER = 16
+#: Increments stored at a time, while the stream goes on to the next batches.
+STORED_AT_A_TIME = 4
 
 
 def incremental_ingest(spark: SparkSession, landing_dir: str, schema: StructType, bronze_path: str,
@@ -69,16 +73,20 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
     """Keep Silver and Gold current from the landing zone with Structured
     Streaming: every new landed file is read once (``availableNow``), and each
     micro-batch is kept in Bronze and applied as one increment
-    (``plans.incremental.apply_increment``).
+    (``plans.incremental.apply_increment``). Batches of one call wait for each
+    other (``MERGE_AFTER``); all are in every table when it returns.
 
     Micro-batches are idempotent by epoch (Bronze partition ``_batch`` and
     the increment id are both derived from it), so a retried batch replaces
-    its own output. The metadata stream runs before the manifest stream:
-    increments must not update the same buckets concurrently. The stream
+    its own output. The metadata stream runs before the manifest stream, and
+    while one batch's increment is stored the next ones are read; the tables
+    that several increments share are rewritten by one thread alone. A batch
+    that Bronze holds and that was not applied when a call stopped is applied
+    by the next. The stream
     checkpoint belongs with the tables (both on shared storage): epochs
     restart if it is discarded, so reset the tables with it.
     """
-    from aurum.plans.incremental import apply_increment, merge_pending
+    from aurum.plans.incremental import apply_increment, is_stored, merge_due, merge_pending
 
     counts = {"metadata_batches": 0, "manifest_batches": 0}
 
@@ -93,28 +101,62 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         # The same lineage columns as a batch ingest's Bronze.
         stream = reader.csv(directory).withColumns(_batch_lineage(spark))
+        bronze, kept = stream.schema, f"{base}/bronze_{side}"
+        # Names the batches that Bronze holds and that are not applied yet.
+        todo = f"{kept}.pending"
 
-        def apply(batch, epoch_id):
+        def increment(epoch: str) -> None:
             # Silver is made from what Bronze keeps, read with the caller's
             # session: a stream's own plans every shuffle without adaptation.
-            kept = f"{base}/bronze_{side}/_batch={int(epoch_id)}"
-            batch.write.mode("overwrite").parquet(kept)
-            rows = spark.read.schema(batch.schema).parquet(kept)
+            rows = spark.read.schema(bronze).parquet(f"{kept}/_batch={epoch}")
             good = rows.where(F.col(config.CORRUPT_COLUMN).isNull()).select(*schema.fieldNames())
             if side == "metadata":
                 meta, man = good, None
             else:
                 meta, man = empty(metadata_schema), good
-            apply_increment(spark, meta, man, base, increment_id=f"{side}-{epoch_id}",
-                            tiebreakers=tiebreakers, buckets=buckets, merge_after=MERGE_AFTER)
-            counts[f"{side}_batches"] += 1
-
-        q = (stream.writeStream.foreachBatch(apply)
-             .option("checkpointLocation", f"{checkpoint_path}/{side}")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+            apply_increment(spark, meta, man, base, increment_id=f"{side}-{epoch}", tiebreakers=tiebreakers,
+                            buckets=buckets, merge_after=None)
+            delete_path(spark, f"{todo}/{epoch}")
+
+        with ThreadPoolExecutor(STORED_AT_A_TIME) as pool:
+            under_way, alone = [], []
+
+            def finish(most: int = 0) -> None:
+                while len(under_way) > most:
+                    under_way.pop(0).result()
+
+            def start(epoch: str) -> None:
+                # One that replaces rows of the tables goes alone, and the first, which finds or
+                # makes what belongs to the tables.
+                if not alone or is_stored(spark, base, f"{side}-{epoch}"):
+                    finish()
+                    increment(epoch)
+                    alone.append(epoch)
+                else:
+                    under_way.append(pool.submit(increment, epoch))
+                    finish(2 * STORED_AT_A_TIME)
+
+            def apply(batch, epoch_id):
+                epoch = str(int(epoch_id))
+                batch.write.mode("overwrite").parquet(f"{kept}/_batch={epoch}")
+                # From here on the batch is applied, by the next call if not by this one.
+                make_folder(spark, f"{todo}/{epoch}")
+                start(epoch)
+                counts[f"{side}_batches"] += 1
+                if counts[f"{side}_batches"] % MERGE_AFTER == 0 and merge_due(spark, base, MERGE_AFTER):
+                    finish()
+                    merge_pending(spark, base, tiebreakers, buckets=buckets)
+
+            for epoch in child_names(spark, todo):
+                start(epoch)
+            finish()  # before the stream may write one of them again
+            q = (stream.writeStream.foreachBatch(apply)
+                 .option("checkpointLocation", f"{checkpoint_path}/{side}")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+            finish()
 
     run("metadata", metadata_dir, metadata_schema)
-    merge_pending(spark, base, tiebreakers, buckets=buckets)
     run("manifest", manifest_dir, manifest_schema)
+    merge_pending(spark, base, tiebreakers, buckets=buckets)
     return counts

@@ -224,3 +224,122 @@ def test_increments_left_pending_are_merged_by_the_next(spark):
     apply_increment(spark, meta(("P1", "2026-01-15", 3)), none, base, "2", buckets=8, merge_after=3)
     assert merge_pending(spark, base, buckets=8) == 1 and merge_pending(spark, base, buckets=8) == 0
     assert latest() == {("P1", 3), ("P2", 2), ("P3", 6)}
+
+
+def _patients(spark, rows):
+    return spark.createDataFrame([(s, "7", "CHOC", "Cerner", "1", d, e) for s, d, e in rows],
+                                 "ssn string, age string, site_location string, ehr_system string, "
+                                 "lesion_status_code string, scan_date string, encounter_id long")
+
+
+def _imaging(spark, ids):
+    return spark.createDataFrame([(s, f"s3://b/{s}/{k}", "MRI", "Brain") for s, k in ids],
+                                 "ssn string, dicom_s3_uri string, modality string, body_region string")
+
+
+def _gold(spark, base, meta, man):
+    """Rows of the stored Gold and of a full run's."""
+    from collections import Counter
+
+    from aurum.plans import layers
+    full = layers.gold_dataset(layers.silver_joined(meta, man))
+    got = spark.read.parquet(f"{base}/gold_research").select(*full.columns)
+    return Counter(map(tuple, got.collect())), Counter(map(tuple, full.collect()))
+
+
+def test_small_increments_wait_until_they_are_as_large_as_what_they_rewrite(spark, monkeypatch):
+    from aurum.plans.incremental import apply_increment, merge_pending
+    base, merges, upsert = scratch_path(spark, "t-due"), [], incremental.upsert_latest
+    monkeypatch.setattr(incremental, "upsert_latest", lambda *a, **k: merges.append(1) or upsert(*a, **k))
+    rows = [[(f"P{i}", "2026-01-01", i) for i in range(k * 20_000, (k + 1) * 20_000)] for k in (0, 1)]
+    rows += [[(f"P{i}", "2026-02-01", 90_000 + i)] for i in range(8)]
+    scans = [[(f"P{i}", 1) for i in range(0, 20_000, 100)], [(f"P{i}", 2) for i in range(0, 20_000, 50)]] + [[(f"P{i}", 3)] for i in range(8)]
+    for k, (m, i) in enumerate(zip(rows, scans)):
+        apply_increment(spark, _patients(spark, m), _imaging(spark, i), base, str(k), buckets=4, merge_after=2)
+    assert len(merges) == 1  # the two large ones; the eight small ones are no reason to rewrite them
+    assert merge_pending(spark, base, buckets=4) == 8 and len(merges) == 2
+    got, want = _gold(spark, base, _patients(spark, sum(rows, [])), _imaging(spark, sum(scans, [])))
+    assert got == want
+
+
+def test_increments_wait_with_imaging_and_take_corrections(spark):
+    from aurum.plans.incremental import apply_increment, merge_pending
+    base = scratch_path(spark, "t-wait")
+
+    def put(name, m, i):
+        return apply_increment(spark, _patients(spark, m), _imaging(spark, i), base, name, buckets=8, merge_after=None)
+
+    put("a", [("P1", "2026-01-05", 1), ("P2", "2026-01-05", 2)], [("P1", 1), ("P2", 1)])
+    put("b", [("P1", "2026-03-01", 3)], [("P3", 1)])
+    assert not os.path.exists(f"{_local(base)}/silver_latest") and not os.path.exists(f"{_local(base)}/gold_research")
+    assert merge_pending(spark, base, buckets=8) == 2
+    put("c", [("P3", "2026-02-01", 4)], [])
+    put("d", [], [("P1", 2)])
+    put("b", [("P2", "2026-04-01", 5)], [("P3", 7)])  # corrected at once, c and d still wait
+    put("e", [], [])
+    assert merge_pending(spark, base, buckets=8) == 2
+    meta = [("P1", "2026-01-05", 1), ("P2", "2026-01-05", 2), ("P3", "2026-02-01", 4), ("P2", "2026-04-01", 5)]
+    got, want = _gold(spark, base, _patients(spark, meta), _imaging(spark, [("P1", 1), ("P2", 1), ("P1", 2), ("P3", 7)]))
+    assert got == want
+
+
+def _landed(spark, name, uploads):
+    from pyspark.sql import functions as F
+
+    from aurum.plans import files
+    from conftest import SF_SMALL
+    meta, man = files.load_fixtures(spark, SF_SMALL)
+    root = scratch_path(spark, name)
+    part = lambda key: F.concat(F.lit("part_"), F.pmod(F.xxhash64(key), F.lit(uploads)), F.lit("_20260601T000000Z.csv"))
+    files.land_uploads(meta, part("encounter_id"), files.META_COLS, f"{root}/meta")
+    files.land_uploads(man, part("ssn"), files.MANIFEST_COLS, f"{root}/man")
+    return meta, man, root
+
+
+def _stream(spark, root):
+    from aurum import config
+    from aurum.plans import files
+    from aurum.streaming.incremental import stream_increments
+    return stream_increments(spark, f"{root}/meta", f"{root}/man", f"{root}/lake", f"{root}/ckpt", files.FIXTURE_METADATA_SCHEMA,
+                             config.MANIFEST_RAW_SCHEMA, buckets=16, max_files_per_trigger=1)
+
+
+def test_imaging_uploads_rewrite_gold_rarely(spark, monkeypatch):
+    """One file per trigger on both sides: the joined Silver and the Gold are
+    rewritten for many batches at once, not for each upload."""
+    meta, man, root = _landed(spark, "t-stream-gold", 5)
+    written, put = [], incremental._put_buckets
+    monkeypatch.setattr(incremental, "_put_buckets", lambda spark, df, path, *a: written.append(path.rsplit("/", 1)[1]) or put(spark, df, path, *a))
+    assert _stream(spark, root) == {"metadata_batches": 5, "manifest_batches": 5}
+    assert sorted(written) == ["gold_research", "silver_joined", "silver_latest"]
+    got, want = _gold(spark, f"{root}/lake", meta, man)
+    assert got == want
+
+
+def test_a_stopped_stream_is_caught_up_by_the_next(spark, monkeypatch):
+    """Batches kept in Bronze and not applied, because the call stopped, are
+    applied by the next call though the stream doesn't deliver them again."""
+    import pytest
+
+    meta, man, root = _landed(spark, "t-stream-stop", 5)
+    apply, failed = incremental.apply_increment, []
+
+    def stops(*args, increment_id, **options):
+        if increment_id in ("metadata-1", "metadata-3") and len(failed) < 2:
+            failed.append(increment_id)
+            raise RuntimeError("stopped")
+        return apply(*args, increment_id=increment_id, **options)
+
+    monkeypatch.setattr(incremental, "apply_increment", stops)
+    with pytest.raises(Exception, match="stopped"):
+        _stream(spark, root)
+    for _ in range(3):
+        try:
+            _stream(spark, root)
+            break
+        except RuntimeError:  # the second one
+            continue
+    got, want = _gold(spark, f"{root}/lake", meta, man)
+    assert got == want and failed
+    assert not os.listdir(f"{_local(root)}/lake/bronze_metadata.pending")
+    assert _stream(spark, root) == {"metadata_batches": 0, "manifest_batches": 0}
