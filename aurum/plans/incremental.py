@@ -252,7 +252,7 @@ def apply_increment(spark: SparkSession, new_metadata: DataFrame, new_manifest:
     are rewritten with all of them, and more while they are smaller than these
     tables. ``merge_pending`` merges those that are left, or all of them if
     ``merge_after`` is None. Such increments may be applied at the same time as
-    others, unless they are stored already (``is_stored``) or one of them merges.
+    others and as one ``merge_pending``, unless they are stored already (``is_stored``).
     """
     from aurum.plans import layers
 

@@ -79,11 +79,10 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
     Micro-batches are idempotent by epoch (Bronze partition ``_batch`` and
     the increment id are both derived from it), so a retried batch replaces
     its own output. The metadata stream runs before the manifest stream, and
-    while one batch's increment is stored the next ones are read; the tables
-    that several increments share are rewritten by one thread alone. A batch
-    that Bronze holds and that was not applied when a call stopped is applied
-    by the next. The stream
-    checkpoint belongs with the tables (both on shared storage): epochs
+    while one batch's increment is stored, or those that wait are merged, the
+    next ones are read; the tables that several increments share are rewritten
+    by one thread at a time. A batch that Bronze holds and that was not applied
+    when a call stopped is applied by the next. The stream checkpoint belongs with the tables (both on shared storage): epochs
     restart if it is discarded, so reset the tables with it.
     """
     from aurum.plans.incremental import apply_increment, is_stored, merge_due, merge_pending
@@ -119,11 +118,13 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
             delete_path(spark, f"{todo}/{epoch}")
 
         with ThreadPoolExecutor(STORED_AT_A_TIME) as pool:
-            under_way, alone = [], []
+            under_way, merging, alone = [], [], []
 
             def finish(most: int = 0) -> None:
                 while len(under_way) > most:
                     under_way.pop(0).result()
+                while merging and (not most or merging[0].done()):
+                    merging.pop().result()
 
             def start(epoch: str) -> None:
                 # One that replaces rows of the tables goes alone, and the first, which finds or
@@ -143,9 +144,9 @@ def stream_increments(spark: SparkSession, metadata_dir: str, manifest_dir: str,
                 make_folder(spark, f"{todo}/{epoch}")
                 start(epoch)
                 counts[f"{side}_batches"] += 1
-                if counts[f"{side}_batches"] % MERGE_AFTER == 0 and merge_due(spark, base, MERGE_AFTER):
-                    finish()
-                    merge_pending(spark, base, tiebreakers, buckets=buckets)
+                # A merge takes the increments that wait when it begins; others may come meanwhile.
+                if counts[f"{side}_batches"] % MERGE_AFTER == 0 and not merging and merge_due(spark, base, MERGE_AFTER):
+                    merging.append(pool.submit(merge_pending, spark, base, tiebreakers, buckets=buckets))
 
             for epoch in child_names(spark, todo):
                 start(epoch)
