@@ -194,19 +194,33 @@ class _Pass:
             self.queues.push(int(symbols[lo]), pushed[lo:hi], value[lo:hi])
 
 
+def _equal_run(text: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the eight symbols from ``x`` and from ``y`` on are equal, up
+    to the first that differ or the end of the text."""
+    n = len(text)
+    run = np.empty(len(x), np.int16)
+    slow = np.arange(len(x))
+    if text.dtype == np.uint8 and n >= 8:
+        # Bytes: eight as one integer, whose lowest different bit is in the first different byte.
+        words = np.ndarray((n - 7,), "<u8", text, strides=(1,))
+        differ = words[np.minimum(x, n - 8)] ^ words[np.minimum(y, n - 8)]
+        run[:] = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3
+        slow = np.flatnonzero(np.maximum(x, y) > n - 8)
+    if len(slow):
+        i, j = x[slow, None] + np.arange(8), y[slow, None] + np.arange(8)
+        same = (i < n) & (j < n) & (text[np.minimum(i, n - 1)] == text[np.minimum(j, n - 1)])
+        run[slow] = np.where(same.all(axis=1), 8, same.argmin(axis=1))
+    return run
+
+
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Common prefixes of suffix pairs, up to ``depth``, eight symbols at a time."""
-    n = len(text)
     out = np.zeros(len(a), np.int16)
     live = np.arange(len(a))
     for k in range(0, depth, 8):
-        width = min(8, depth - k)
-        x, y = a[live, None] + k + np.arange(width), b[live, None] + k + np.arange(width)
-        inside = (x < n) & (y < n)
-        same = inside & (text[np.minimum(x, n - 1)] == text[np.minimum(y, n - 1)])
-        run = np.where(same.all(axis=1), width, same.argmin(axis=1))
-        out[live] += run.astype(np.int16)
-        live = live[run == width]
+        run = np.minimum(_equal_run(text, a[live] + k, b[live] + k), min(8, depth - k))
+        out[live] += run
+        live = live[run == 8]
         if not len(live):
             break
     return out
@@ -371,10 +385,8 @@ def suffix_order(text: np.ndarray, depth: int, *, base: int = BASE) -> Iterator[
         # A piece that runs into the end of the text equals no other.
         live = live[(which[live] != len(local) - 1) & (which[live - 1] != len(local) - 1)]
         for k in range(0, int(size[live].max()) if len(live) else 0, 8):
-            a, b, left = pieces[live], pieces[live - 1], size[live] - k
-            span = np.arange(8)
-            x, y = np.minimum(a[:, None] + k + span, n - 1), np.minimum(b[:, None] + k + span, n - 1)
-            same = ((text[x] == text[y]) | (span >= left[:, None])).all(axis=1)
+            left = size[live] - k
+            same = _equal_run(text, pieces[live] + k, pieces[live - 1] + k) >= np.minimum(left, 8)
             equal[live[same & (left <= 8)]] = True
             live = live[same & (left > 8)]
             if not len(live):
